@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from pricewave.llm.common import BLANKS, LOWER, UPPER, texts
+from pricewave.llm.common import BLANKS, LOWER, UPPER, cut, texts
 
 
 def drop_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 10) -> DataFrame:
@@ -29,7 +29,7 @@ def drop_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 10) -> DataF
     )
     by_doc = F.count_distinct("doc_id") if min_docs > 2 else F.when(F.min("doc_id") < F.max("doc_id"), 2).otherwise(1)
     nulls = F.max(F.when(F.col("doc_id").isNull(), 1).otherwise(0))
-    shared = (
+    shared = cut(  # so that the join below has an exchange of its own on both sides, which Spark splits where a line is hot
         held.groupBy("h", "g")
         .agg(F.min("doc_id").alias("first_id"), by_doc.alias("n"), nulls.alias("nulls"))
         .where((F.col("n") + F.when(F.col("first_id").isNull(), 0).otherwise(F.col("nulls"))) >= min_docs)
