@@ -16,7 +16,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pricewave.llm.common import cut, texts
+from pricewave.llm.common import cut, partitions, texts
 
 #: Odd multipliers of the polynomial word hashes, modulo 2**64.
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -76,6 +76,9 @@ def anchors(ws: list[bytes], window: int, gram: int):
 _OCC = pa.schema([("doc_id", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("a", pa.int64()), ("c", pa.int64())])
 
 
+_OCC_SQL = "doc_id long, lo int, n int, a long, c long"
+
+
 def _texts(batch):
     return (t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column("text"))
 
@@ -122,20 +125,46 @@ def _windows(window):
     return run
 
 
+#: One document in so many is looked at to find hot anchors.
+SAMPLE = 32
+
+
+def _hot(rows: DataFrame, window: int, gram: int, spread: int) -> DataFrame:
+    """(a, hot) of anchors frequent enough to fill a task, estimated from a sample; it decides only how rows are dealt out.
+
+    At most 2 * spread anchors can each hold more than a (2 * spread)th of the sample, which bounds the broadcast.
+    """
+    some = rows.where(F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(SAMPLE)) == 0).mapInArrow(_occurrences(window, gram), _OCC_SQL)
+    counts = cut(some.groupBy("a").count())
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    return cut(counts.where(F.col("count") > max(20, total // (2 * spread))).select("a", F.lit(True).alias("hot")))
+
+
 def repeats(docs: DataFrame, window: int = 20, gram: int = 5) -> DataFrame:
     """(doc_id, lo, hi): word ranges, not yet merged, covered by windows whose words also start earlier."""
     rows = texts(docs)
-    by_anchor = Window.partitionBy("a").orderBy("c", "doc_id", "lo")
-    by_class = Window.partitionBy("a", "c").orderBy("doc_id", "lo")
+    occ = rows.mapInArrow(_occurrences(window, gram), _OCC_SQL)
+    spread = partitions(docs)
+    route = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "lo"), F.lit(spread))).otherwise(0)
+    by_anchor = Window.partitionBy("a", "route").orderBy("c", "doc_id", "lo")
+    by_class = Window.partitionBy("a", "route", "c").orderBy("doc_id", "lo")
     whole = by_anchor.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     told = cut(
-        rows.mapInArrow(_occurrences(window, gram), "doc_id long, lo int, n int, a long, c long")
-        .repartition(F.col("a"))
+        occ.join(F.broadcast(_hot(rows, window, gram, spread)), "a", "left")
+        .withColumn("hot", F.coalesce("hot", F.lit(False)))
+        .withColumn("route", route)
+        .repartition("a", "route")
         .withColumn("head", F.rank().over(by_class) == 1)
         .withColumn("several", F.min("c").over(whole) < F.max("c").over(whole))
-        .where("several or not head")
-        .select("doc_id", "lo", "n", "head")
+        .where("several or hot or not head")
+        .select("doc_id", "lo", "n", "a", "c", "head", "hot")
     )
+    # Each share of a hot anchor has named its own firsts; the first of those is the class's.
+    firsts = told.where("hot and head")
+    classes = firsts.groupBy("a", "c").agg(F.min(F.struct("doc_id", "lo")).alias("first"))
+    plural = classes.groupBy("a").agg((F.min("c") < F.max("c")).alias("several"))
+    again = firsts.join(classes, ["a", "c"]).join(plural, "a").withColumn("head", F.struct("doc_id", "lo") == F.col("first"))
+    told = told.where("not (hot and head)").select("doc_id", "lo", "n", "head").union(again.where("several or not head").select("doc_id", "lo", "n", "head"))
     covered = told.where("not head").select("doc_id", "lo", (F.col("lo") + F.col("n") - 1 + window).alias("hi"))
     open_ = told.where("head").groupBy("doc_id").agg(F.collect_set(F.struct("lo", "n")).alias("spans"))
     bodies = rows.where("doc_id is not null").mapInArrow(_packed, "doc_id long, body binary")
