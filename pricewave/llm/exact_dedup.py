@@ -99,7 +99,7 @@ def groups(docs: DataFrame) -> DataFrame:
     lists = rows.mapInArrow(_recipes("keys", exact=clash), f"doc_id {kind}, sha string, chunks array<binary>")
     lists = lists.select("doc_id", "sha", F.sha2(F.array_join(F.transform("chunks", F.hex), ","), 256).alias("recipe"), F.size("chunks").alias("n"))
     lists = cut(lists)
-    firsts = lists.groupBy("recipe", "n").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    firsts = cut(lists.groupBy("recipe", "n").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")))  # the join can then split a hot recipe
     return lists.join(firsts, ["recipe", "n"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256")
     )
