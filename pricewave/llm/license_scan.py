@@ -7,6 +7,8 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from pricewave.llm.common import cut
+
 _TERM = re.compile(r"[a-z0-9]+")
 
 # Notices by which licences are commonly named, and openings of their texts.
@@ -130,7 +132,8 @@ def scan(files: DataFrame, templates=TEMPLATES, threshold: float = 0.6) -> DataF
     evidence. Rows that repeat a path count as one file with their best
     evidence. An empty table gives no rows.
     """
-    own = evidence(files, templates, threshold).groupBy("path").agg(F.max_by(F.struct("licence", "score"), F.struct("score", "licence")).alias("e")).select("path", "e.*")
+    best = F.max_by(F.struct("licence", "score"), F.struct("score", "licence")).alias("e")
+    own = cut(evidence(files, templates, threshold).groupBy("path").agg(best).select("path", "e.*"))
     # Named by position: the directories of a/b/c.txt are "", "a" and "a/b".
     parts = F.split("path", "/", -1)
     folders = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.struct(F.array_join(F.slice(parts, 1, i), "/").alias("folder"), i.alias("depth")))
