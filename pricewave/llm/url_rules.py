@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pricewave.llm.common import LOWER, UPPER, partitions
 
-#: At most this many keys are sampled to cut the key order into ranges.
+#: About this many keys, chosen by hash, are sampled to cut the key order into ranges.
 MAX_SAMPLE = 20_000
 
 
@@ -79,7 +79,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", ranges: in
     asked = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     asked = asked.withColumn("key", host_key(F.col("host"))).withColumn("spread", F.xxhash64("page_id", "path"))
     given = rules.where("host is not null and host <> ''").select(host_key(F.translate("host", UPPER, LOWER)).alias("key"), F.translate("host", UPPER, LOWER).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict")
-    sample = sorted(r.key for r in asked.orderBy(F.xxhash64("spread"), "key").limit(MAX_SAMPLE).select("key").collect())
+    one_in = max(1, asked.count() // MAX_SAMPLE)
+    sample = sorted(r.key for r in asked.where(F.pmod(F.xxhash64("spread"), F.lit(one_in)) == 0).select("key").collect())
     cuts = [sample[len(sample) * i // n] for i in range(1, n)] if sample else []
 
     def place(keys, spread):
