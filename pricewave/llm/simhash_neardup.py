@@ -16,27 +16,50 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pricewave.llm.common import ASCII_LOWER, arrow_rows, components, cut, texts, words
+from pricewave.llm.common import ASCII_LOWER, arrow_rows, components, cut, texts
 
 BITS = 64
 #: A bucket with more fingerprints than this is compared in cells of blocks.
 HOT_BUCKET = 512
 BLOCK = 2048
+#: Checking a candidate pair costs this much of shuffling a probe row.
+CHECK_COST = 0.05
 
 
-def fingerprint(text, shingle: int = 4) -> int:
-    """Bit majority over the XXH64 (seed 42) of the word shingles, repeats included; 0 without words."""
-    w = [x.translate(ASCII_LOWER) for x in words(text)] if not isinstance(text, bytes) else text.translate(ASCII_LOWER).split()
+def _grams(raw: bytes, size: int) -> np.ndarray:
+    """XXH64 (seed 42) of the word shingles of a text, A-Z lower-cased; fewer words: of all of them; none: none."""
+    w = raw.translate(ASCII_LOWER).split()
     if not w:
-        return 0
-    grams = [b" ".join(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))]
-    h = np.fromiter((xxhash.xxh64_intdigest(g, 42) for g in grams), dtype=np.uint64, count=len(grams))
+        return np.zeros(0, np.uint64)
+    n = max(1, len(w) - size + 1)
+    return np.fromiter((xxhash.xxh64_intdigest(b" ".join(w[i : i + size]), 42) for i in range(n)), dtype=np.uint64, count=n)
+
+
+def _majority(h: np.ndarray) -> int:
+    """Bits set in over half of the hashes; 0 without any."""
     ones = np.zeros(BITS, np.int64)
     for i in range(0, len(h), 65536):
         ones += np.unpackbits(h[i : i + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(ones * 2 > len(h), bitorder="little").tobytes(), "little")
 
 
+def fingerprint(text: str | bytes | None, shingle: int = 4) -> int:
+    """Bit majority over the hashes of the word shingles, repeats included; 0 without words."""
+    raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
+    return _majority(_grams(raw, shingle))
+
+
+def sketch(raw: bytes, shingle: int = 5) -> list[int]:
+    """512 bits: majorities over eight rehashes of the set of word shingles."""
+    h = np.unique(_grams(raw, shingle))
+    out = []
+    for k in range(1, 9):
+        x = (h + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        out.append(_signed(_majority(x ^ (x >> np.uint64(29)))))
+    return out
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """(doc_id, fp) for each row of docs; fp is the fingerprint as a signed long."""
     rows = texts(docs)
@@ -44,12 +67,24 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     out = pa.schema([("doc_id", {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[key]), ("fp", pa.int64())])
 
     def make(batch):
-        fps = np.array([fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle) for t in batch.column("text")], dtype=np.uint64)
+        fps = np.array([fingerprint(t.as_buffer().to_pybytes(), shingle) for t in batch.column("text")], dtype=np.uint64)
         return [batch.column("doc_id"), fps.view(np.int64)]
 
     return rows.mapInArrow(arrow_rows(make, out), f"doc_id {key}, fp long")
 
 
+def sketches(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, wide): fp over the set of word pairs, for finding; wide over five-word shingles, for judging."""
+    out = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("wide", pa.list_(pa.int64()))])
+
+    def make(batch):
+        raws = [t.as_buffer().to_pybytes() for t in batch.column("text")]
+        return [batch.column("doc_id"), [_signed(_majority(np.unique(_grams(r, 2)))) for r in raws], [sketch(r) for r in raws]]
+
+    rows = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id is not null")
+    return rows.mapInArrow(arrow_rows(make, out), "doc_id long, fp long, wide array<long>")
+
+
 def bit_pairs(fps: DataFrame) -> tuple[int, np.ndarray]:
     """Over all fingerprints: their number, and how often each two bits are both set."""
 
@@ -106,7 +141,7 @@ def plan(n: int, both: np.ndarray, max_bits: int) -> list[tuple[list[int], int]]
                 at[1:] = at[1:] * (1 - differ[b]) + at[:-1] * differ[b]
                 at[0] *= 1 - differ[b]
             probes = np.cumsum([comb(len(g), t) for t in range(max_bits + 1)])
-            costs.append([0.0] + [n * probes[t] + n * n * at[: t + 1].sum() for t in range(max_bits + 1)])
+            costs.append([0.0] + [n * probes[t] + CHECK_COST * n * n * at[: t + 1].sum() for t in range(max_bits + 1)])
         table = {0: (0.0, [])}
         for cost in costs:
             table = {
@@ -127,55 +162,70 @@ def _keys(part: int, key, flips: list[int]):
     return F.transform(F.array(*[F.lit(f).cast("long") for f in flips]), lambda f: F.struct(F.lit(part).alias("part"), key.bitwiseXOR(f).alias("key")))
 
 
-def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
-    """(u, v) edges that connect exactly the distinct fingerprints (column fp) linked by at most max_bits differing bits.
+def links(nodes: DataFrame, max_bits: int = 4, max_wide: int | None = None) -> DataFrame:
+    """(u, v) edges that connect exactly the nodes linked by at most max_bits differing bits of fp and, if given, max_wide of wide.
 
-    Ordinary buckets give each link once; hot ones are compared in cells of
-    bounded blocks, of which each gives a spanning forest of its links.
+    nodes is (node, fp) or (node, fp, wide), node a unique long. Ordinary buckets
+    give each link once; hot ones are compared in cells of bounded blocks, of
+    which each gives a spanning forest of its links.
     """
-    n, both = bit_pairs(fps)
-    parts = plan(n, both, max_bits)
+    n, both = bit_pairs(nodes)
     index, probe = [], []
-    for i, (bits, t) in enumerate(parts):
+    for i, (bits, t) in enumerate(plan(n, both, max_bits)):
         key = F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in bits))).cast("long"))
         flips = [_signed(sum(1 << b for b in c)) for k in range(t + 1) for c in combinations(bits, k)]
         index.append(_keys(i, key, [0]))
         probe.append(_keys(i, key, flips))
-    spread = lambda arrays, name: fps.select(F.col("fp").alias(name), F.explode(F.concat(*arrays)).alias("k")).select(name, "k.part", "k.key")
+    spread = lambda arrays, name: nodes.select(F.col("node").alias(name), F.col("fp").alias(name + "_fp"), F.explode(F.concat(*arrays)).alias("k")).select(name, name + "_fp", "k.part", "k.key")
     index, probe = spread(index, "u"), spread(probe, "v")
     hot = cut(index.groupBy("part", "key").count().where(F.col("count") > HOT_BUCKET))
-    near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits
-    if hot.isEmpty():
-        return index.join(probe, ["part", "key"]).where((F.col("u") < F.col("v")) & near).select("u", "v").distinct()
-    cool = lambda df: df.join(hot.select("part", "key"), ["part", "key"], "left_anti")
-    found = cool(index).join(cool(probe), ["part", "key"]).where((F.col("u") < F.col("v")) & near).select("u", "v")
+    any_hot = not hot.isEmpty()
+    near = F.bit_count(F.col("u_fp").bitwiseXOR(F.col("v_fp"))) <= max_bits
+    cool = lambda df: df.join(hot.select("part", "key"), ["part", "key"], "left_anti") if any_hot else df
+    found = cool(index).join(cool(probe), ["part", "key"]).where((F.col("u") < F.col("v")) & near).select("u", "v").distinct()
+    wide = lambda name: nodes.select(F.col("node").alias(name), F.col("wide").alias(name + "_wide"))
+    if max_wide is not None:
+        differ = F.aggregate(F.zip_with("u_wide", "v_wide", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x)
+        found = found.join(wide("u"), "u").join(wide("v"), "v").where(differ <= max_wide).select("u", "v")
+    if not any_hot:
+        return found
     # Of a hot bucket, block b of the index rows meets block c of the probes.
     sized = lambda df: df.join(hot, ["part", "key"]).withColumn("n", F.ceil(F.col("count") / BLOCK).cast("int"))
     block = lambda c: F.pmod(F.xxhash64(c), F.col("n")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
-    left = sized(index).select("part", "key", block("u").alias("b"), every.alias("c"), F.col("u").alias("fp"), F.lit(True).alias("indexed"))
-    right = sized(probe).select("part", "key", every.alias("b"), block("v").alias("c"), F.col("v").alias("fp"), F.lit(False).alias("indexed"))
-    forest = left.union(right).groupBy("part", "key", "b", "c").applyInPandas(lambda cell: _forest(cell, max_bits), "u long, v long")
+    left, right = sized(index), sized(probe)
+    if max_wide is not None:
+        left, right = left.join(wide("u"), "u"), right.join(wide("v"), "v")
+    more = lambda name: [F.col(name + "_wide").alias("wide")] if max_wide is not None else []
+    left = left.select("part", "key", block("u").alias("b"), every.alias("c"), F.col("u").alias("node"), F.col("u_fp").alias("fp"), F.lit(True).alias("indexed"), *more("u"))
+    right = right.select("part", "key", every.alias("b"), block("v").alias("c"), F.col("v").alias("node"), F.col("v_fp").alias("fp"), F.lit(False).alias("indexed"), *more("v"))
+    forest = left.union(right).groupBy("part", "key", "b", "c").applyInPandas(lambda cell: _forest(cell, max_bits, max_wide), "u long, v long")
     return found.union(forest).distinct()
 
 
-def _forest(cell: pd.DataFrame, max_bits: int) -> pd.DataFrame:
-    """Edges from each fingerprint of a cell to the root of its component under the cell's links."""
-    a = np.unique(cell.fp[cell.indexed].to_numpy(np.int64)).view(np.uint64)
-    b = np.unique(cell.fp[~cell.indexed].to_numpy(np.int64)).view(np.uint64)
+def _forest(cell: pd.DataFrame, max_bits: int, max_wide: int | None) -> pd.DataFrame:
+    """Edges from each node of a cell to the root of its component under the cell's links."""
+    a, b = cell[cell.indexed].drop_duplicates("node"), cell[~cell.indexed].drop_duplicates("node")
+    x, y = (s.fp.to_numpy(np.int64).view(np.uint64) for s in (a, b))
+    if max_wide is not None:
+        xw, yw = (np.array(s.wide.tolist(), np.int64).reshape(len(s), -1).view(np.uint64) for s in (a, b))
+    p, q = a.node.to_numpy(np.int64), b.node.to_numpy(np.int64)
     root: dict[int, int] = {}
 
-    def find(x):
-        while root.setdefault(x, x) != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    for i in range(0, len(a), 256):
-        at, to = np.nonzero(np.bitwise_count(a[i : i + 256, None] ^ b[None, :]) <= max_bits)
-        for x, y in zip(a[i + at].tolist(), b[to].tolist()):
-            x, y = find(x), find(y)
-            root[max(x, y)] = min(x, y)
-    pairs = np.array([(x, find(x)) for x in list(root) if find(x) != x], dtype=np.uint64).reshape(-1, 2).view(np.int64)
+    def find(k):
+        while root.setdefault(k, k) != k:
+            root[k] = k = root[root[k]]
+        return k
+
+    for i in range(0, len(x), 256):
+        at, to = np.nonzero(np.bitwise_count(x[i : i + 256, None] ^ y[None, :]) <= max_bits)
+        if max_wide is not None:
+            good = np.bitwise_count(xw[i + at] ^ yw[to]).sum(axis=1, dtype=np.int64) <= max_wide
+            at, to = at[good], to[good]
+        for u, v in zip(p[i + at].tolist(), q[to].tolist()):
+            u, v = find(u), find(v)
+            root[max(u, v)] = min(u, v)
+    pairs = np.array([(k, find(k)) for k in list(root) if find(k) != k], dtype=np.int64).reshape(-1, 2)
     return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
 
 
@@ -192,7 +242,7 @@ def near_dups(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame
     """
     fps = cut(fingerprints(docs, shingle))
     classes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    roots = components(links(classes.select("fp"), max_bits))
+    roots = components(links(classes.select(F.col("fp").alias("node"), "fp"), max_bits))
     placed = classes.join(roots, classes.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     named = placed.join(lows, "root").select("fp", "component_id")
@@ -200,8 +250,27 @@ def near_dups(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame
     return fps.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def similar_groups(docs: DataFrame, max_bits: int = 8, max_wide: int = 86) -> DataFrame:
+    """(doc_id, component_id) of the documents that share a component with another, ids being whole numbers.
+
+    For texts alike in their five-word shingles, a similarity of 0.8 or more.
+    Edits change five-word shingles the most, so candidates come from 64-bit
+    fingerprints over the set of word pairs, found by the pigeonhole search at
+    max_bits; of two texts with Jaccard similarity 0.8 nearly all lie within 8.
+    A link must also hold on 512-bit sketches of the five-word shingles, where
+    0.8 means 78 differing bits on average (deviation 8); the limit of 86 takes
+    most at 0.8 and few at 0.7. Equal texts always link; rows without an id and
+    rows that repeat one are never told apart from it.
+    """
+    marks = cut(sketches(docs))
+    classes = marks.groupBy("fp", "wide").agg(F.min("doc_id").alias("node"))
+    classes = cut(classes.groupBy("node").agg(F.min(F.struct("fp", "wide")).alias("s")).select("node", "s.fp", "s.wide"))
+    roots = components(links(classes, max_bits, max_wide))
+    named = marks.join(classes, ["fp", "wide"]).select("doc_id", "node")
+    return named.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("component_id")).where("doc_id <> component_id")
+
+
 def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """The rows of docs that stay when of each component only the smallest doc_id is kept; columns unchanged."""
-    found = near_dups(docs, **how)
-    lost = found.where("doc_id <> component_id").select("doc_id").distinct()
+    """The rows of docs that stay when of each group of similar texts only the smallest doc_id is kept; columns unchanged."""
+    lost = similar_groups(docs, **how).select("doc_id").distinct()
     return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
