@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 from pricewave.llm.common import ASCII_LOWER, arrow_rows, components, cut, texts
 
 BITS = 64
-#: A bucket with more fingerprints than this is compared in cells of blocks.
-HOT_BUCKET = 512
+#: A bucket with more fingerprints than the first and so many times the mean is compared in cells of blocks.
+HOT_BUCKET, HOT_FACTOR = 16, 4
 BLOCK = 2048
 #: Checking a candidate pair costs this much of shuffling a probe row.
 CHECK_COST = 0.05
@@ -131,7 +131,7 @@ def plan(n: int, both: np.ndarray, max_bits: int) -> list[tuple[list[int], int]]
     p = np.diag(both) / max(n, 1)
     differ = 2 * p * (1 - p)
     best = None
-    for m in range(2, max_bits + 2):
+    for m in range(1, max_bits + 2):
         groups = group_bits(n, both, m)
         costs = []
         for g in groups:
@@ -170,15 +170,16 @@ def links(nodes: DataFrame, max_bits: int = 4, max_wide: int | None = None) -> D
     which each gives a spanning forest of its links.
     """
     n, both = bit_pairs(nodes)
-    index, probe = [], []
+    index, probe, limits = [], [], []
     for i, (bits, t) in enumerate(plan(n, both, max_bits)):
+        limits.append(F.lit(HOT_BUCKET + HOT_FACTOR * n // (1 << len(bits))))
         key = F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in bits))).cast("long"))
         flips = [_signed(sum(1 << b for b in c)) for k in range(t + 1) for c in combinations(bits, k)]
         index.append(_keys(i, key, [0]))
         probe.append(_keys(i, key, flips))
     spread = lambda arrays, name: nodes.select(F.col("node").alias(name), F.col("fp").alias(name + "_fp"), F.explode(F.concat(*arrays)).alias("k")).select(name, name + "_fp", "k.part", "k.key")
     index, probe = spread(index, "u"), spread(probe, "v")
-    hot = cut(index.groupBy("part", "key").count().where(F.col("count") > HOT_BUCKET))
+    hot = cut(index.groupBy("part", "key").count().where(F.col("count") > F.get(F.array(*limits), F.col("part"))))
     any_hot = not hot.isEmpty()
     near = F.bit_count(F.col("u_fp").bitwiseXOR(F.col("v_fp"))) <= max_bits
     cool = lambda df: df.join(hot.select("part", "key"), ["part", "key"], "left_anti") if any_hot else df
