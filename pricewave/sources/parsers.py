@@ -100,14 +100,15 @@ def sitemap_links(docs: DataFrame, xml: str = "xml", pattern: str = r"/product/(
 def read_sheet(spark: SparkSession, path: str, header: tuple[str, ...], limit: int = 5000) -> DataFrame:
     """A CSV sheet: a banner row, a header whose first cells must be as given, then rows of nine cells or more; the first rows up to limit, as the sheet's format has it."""
     names = ("name", "category", "retailer", "regular", "sale", "percent", "last", "week", "notes")
-    schema = StructType([StructField(n, StringType()) for n in names])
-    rows = spark.read.schema(schema).csv(path, mode="PERMISSIVE").withColumn("line", F.monotonically_increasing_id())
+    schema = StructType([StructField(n, StringType()) for n in (*names, "_other")])
+    rows = spark.read.schema(schema).options(mode="PERMISSIVE", columnNameOfCorruptRecord="_other", columnPruning=False).csv(path).withColumn("line", F.monotonically_increasing_id())
     head = [x.strip().lower() if x else "" for x in (rows.where("line = 1").first() or [""] * len(header))[: len(header)]]
     if head != [h.lower() for h in header]:
         raise ValueError(f"unexpected header {head}")
     sale, regular = scalars.dollars_to_cents("sale"), scalars.dollars_to_cents("regular")
     pct = F.coalesce(scalars.percent("percent"), F.rint(100.0 * (regular - sale) / regular).cast("int"))
-    good = rows.where("line > 1 AND notes IS NOT NULL").where(discounted(sale, regular))
+    # An empty last cell is null like a missing one, but only a row of another length than nine is kept in _other.
+    good = rows.where("line > 1 AND (notes IS NOT NULL OR _other IS NULL)").where(discounted(sale, regular))
     return good.select("line", F.trim("name").alias("name"), "category", scalars.retailer_cell("retailer", exact=True).alias("retailer"), regular.alias("regular_cents"), sale.alias("sale_cents"), pct.alias("discount_pct"), scalars.hint("last").alias("hint"), (pct >= 50).alias("is_half_price")).where("retailer IS NOT NULL").orderBy("line").limit(limit)
 
 
