@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 _PARTS = re.compile(r"(\{\{.*?\}\}|\{%.*?%\})", re.S)
-_TOKEN = re.compile(r"\s*(?:(\d+)|('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|([A-Za-z]\w*)|(==|!=|<=|>=|[-+~|.()\[\]<>]))")
+_TOKEN = re.compile(r"\s*(?:(\d+)|('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|([A-Za-z_]\w*)|(==|!=|<=|>=|[-+~|.()\[\]<>]))")
 _ESCAPES = {"n": "\n", "t": "\t"}
 
 #: Strings that mark structure, as patterns: opening bracket, backslashes, the rest.
@@ -98,14 +98,21 @@ class _Expression:
         return ("not", self.negated()) if self.take("not") else self.compared()
 
     def compared(self):
-        node = self.summed()
+        node = self.joined()
         while op := self.take("==", "!=", "<", ">", "<=", ">=", "in"):
+            node = (op, node, self.joined())
+        return node
+
+    def joined(self):
+        """Text joined by ~, which binds looser than + and -."""
+        node = self.summed()
+        while op := self.take("~"):
             node = (op, node, self.summed())
         return node
 
     def summed(self):
         node = self.filtered()
-        while op := self.take("+", "-", "~"):
+        while op := self.take("+", "-"):
             node = (op, node, self.filtered())
         return node
 
