@@ -141,7 +141,7 @@ def plan(n: int, both: np.ndarray, max_bits: int) -> list[tuple[list[int], int]]
                 at[1:] = at[1:] * (1 - differ[b]) + at[:-1] * differ[b]
                 at[0] *= 1 - differ[b]
             probes = np.cumsum([comb(len(g), t) for t in range(max_bits + 1)])
-            costs.append([0.0] + [n * probes[t] + CHECK_COST * n * n * at[: t + 1].sum() for t in range(max_bits + 1)])
+            costs.append([0.0] + [max(n, 1) * probes[t] + CHECK_COST * n * n * at[: t + 1].sum() for t in range(max_bits + 1)])
         table = {0: (0.0, [])}
         for cost in costs:
             table = {
