@@ -98,6 +98,8 @@ def _hits(gram, sorted_grams):
 MAX_SHIPPED_GRAMS = 4_000_000
 #: Candidate pairs up to this many are broadcast to the texts; beyond it both are shuffled.
 MAX_BROADCAST_PAIRS = 100_000
+#: Places of seeds up to this many (32 bytes each) are broadcast to the hits, so that a seed that many documents hold is not dealt to one task.
+MAX_BROADCAST_PLACES = 1_000_000
 
 
 def _grams(gram):
@@ -173,7 +175,9 @@ def matches(docs: DataFrame, bench: DataFrame, gram: int = 3, rare: int = 12, sc
     held_by = hits.groupBy("h").agg(F.count_distinct("doc_id").alias("df"))
     ranked = grams.join(held_by, "h").withColumn("r", F.rank().over(Window.partitionBy("item").orderBy("df")))
     seeds = cut(ranked.where(F.col("r") <= rare).select("item", "h", F.count("*").over(Window.partitionBy("item")).alias("n_seeds")))
-    places = grams_at(items, gram).join(seeds, ["item", "h"])
+    places = cut(grams_at(items, gram).join(seeds, ["item", "h"]))
+    if places.count() <= MAX_BROADCAST_PLACES:
+        places = F.broadcast(places)
     pairs = (
         hits.join(places, "h")
         .groupBy("row", "item")
