@@ -1,6 +1,7 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment."""
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment."""
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -110,7 +111,7 @@ def _grams(gram):
     return make
 
 
-def _scored(margin):
+def _scored(margin, least):
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])
 
     def regions(starts, length):
@@ -131,12 +132,17 @@ def _scored(margin):
                 if t is not text:
                     text, ws = t, tokens(t)
                 words = tokens(body)
-                best = (0, 0, 0)
+                best, wanted = (0, 0, 0), Counter(words)
                 for lo, hi in regions(set(offsets), len(words)):
                     # Long regions, of passages repeated many times, are aligned in overlapping pieces.
                     step = max(4096, 4 * len(words))
                     for a in range(lo, min(hi, len(ws)), step):
-                        score, s, e = align(words, ws[a : min(hi, a + step + 2 * len(words))])
+                        piece = ws[a : min(hi, a + step + 2 * len(words))]
+                        # No alignment scores more than a match for each word of the item that the piece holds.
+                        most = MATCH * (wanted & Counter(w for w in piece if w in wanted)).total()
+                        if most <= best[0] or most / (MATCH * len(words)) < least:
+                            continue
+                        score, s, e = align(words, piece)
                         if score > best[0]:
                             best = (score, a + s, a + e)
                 rows.append((doc, item, best[0] / (MATCH * len(words)), best[1], best[2]))
@@ -146,13 +152,15 @@ def _scored(margin):
     return run
 
 
-def matches(docs: DataFrame, bench: DataFrame, gram: int = 3, rare: int = 12, score: float = 0.5, margin: int = 8, min_seeds: int = 2) -> DataFrame:
+def matches(docs: DataFrame, bench: DataFrame, gram: int = 3, score: float = 0.5, margin: int = 8, min_seeds: int = 2) -> DataFrame:
     """(doc_id, item_id, score, start, end): documents holding an exact, edited or paraphrased benchmark item.
 
-    The seeds of an item are its rare grams found in the fewest documents of the
-    whole corpus, those found in none left out, and ties of the last rank all
-    taken. A document with at least min_seeds seeds of an item (or with all, if
-    the item has fewer) is aligned to it around them; score is the Smith-Waterman
+    The seeds of an item are all its grams that the corpus holds: a choice by
+    frequency would fall on the grams that edits break, as the item's other copies
+    make the rest frequent. A document with at least min_seeds seeds of an item
+    (or with all, if the item has fewer) is aligned to it around them, so a copy
+    is missed only if edits leave fewer than that many runs of gram words; a pair
+    whose shared words cannot reach the threshold is not aligned. score is the Smith-Waterman
     score over that of a perfect copy and must reach the threshold; start and end
     count the document's words. Words are lower-cased runs of letters, digits and
     underscores. Null or empty texts and items match nothing; repeated items are
@@ -172,9 +180,7 @@ def matches(docs: DataFrame, bench: DataFrame, gram: int = 3, rare: int = 12, sc
     found = rows.mapInArrow(arrow_rows(make, schema), "doc_id long, row long, hs array<long>, at array<long>")
     hits = found.select("row", "doc_id", F.explode(F.arrays_zip("hs", "at")).alias("g")).select("row", "doc_id", F.col("g.hs").alias("h"), F.col("g.at").alias("at"))
     hits = cut(hits if ship else hits.join(known, "h", "left_semi"))
-    held_by = hits.groupBy("h").agg(F.count_distinct("doc_id").alias("df"))
-    ranked = grams.join(held_by, "h").withColumn("r", F.rank().over(Window.partitionBy("item").orderBy("df")))
-    seeds = cut(ranked.where(F.col("r") <= rare).select("item", "h", F.count("*").over(Window.partitionBy("item")).alias("n_seeds")))
+    seeds = cut(grams.join(hits.select("h").distinct(), "h", "left_semi").select("item", "h", F.count("*").over(Window.partitionBy("item")).alias("n_seeds")))
     places = cut(grams_at(items, gram).join(seeds, ["item", "h"]))
     if places.count() <= MAX_BROADCAST_PLACES:
         places = F.broadcast(places)
@@ -189,7 +195,7 @@ def matches(docs: DataFrame, bench: DataFrame, gram: int = 3, rare: int = 12, sc
     if pairs.count() <= MAX_BROADCAST_PAIRS:
         pairs = F.broadcast(pairs)
     held = rows.join(pairs, "row").join(items, "item").select("doc_id", "text", "item_id", "body", "offsets")
-    scored = held.mapInArrow(_scored(margin), "doc_id long, item_id long, score double, start long, end long")
+    scored = held.mapInArrow(_scored(margin, score), "doc_id long, item_id long, score double, start long, end long")
     best = scored.where(F.col("score") >= score).groupBy("doc_id", "item_id").agg(F.max_by(F.struct("score", "start", "end"), F.struct("score", -F.col("start"), "end")).alias("m"))
     return best.select("doc_id", "item_id", "m.score", "m.start", "m.end")
 

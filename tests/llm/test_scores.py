@@ -77,6 +77,25 @@ def test_decontaminate(spark, nothing, monkeypatch, shipped):
     assert decontaminate.matches(nothing, b).count() == 0 and decontaminate.matches(d, nothing.withColumnRenamed("doc_id", "item_id")).count() == 0
 
 
+def test_copies_do_not_choose_seeds(spark):
+    """Exact and edited copies of the same items, against alignment of all pairs."""
+    rng = random.Random(6)
+    text = lambda n: [rng.choice("aeiou") + "".join(rng.choice("aeioulmn") for _ in range(5)) for _ in range(n)]
+    items = [text(36) for _ in range(4)]
+    docs = [text(60) + text(40) for _ in range(5)]
+    for k, item in enumerate(items):
+        docs += [text(20) + item + text(20)] * (1, 1, 1, 5)[k]
+        broken = [f"new{i}" if i in range(3, 36, 7 - k % 3) else w for i, w in enumerate(item)]
+        docs += [text(30) + broken + text(10)] * (1, 1, 1, 3)[k]
+        docs.append(text(30) + item[:5] + text(10))
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(docs)], "doc_id long, text string")
+    b = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    want = {(i, j): s for i, t in enumerate(docs) for j, item in enumerate(items) if (s := plain_align(item, t) / (2 * len(item))) >= 0.5}
+    assert len(want) == 14
+    assert {(r.doc_id, r.item_id): r.score for r in decontaminate.matches(d, b).collect()} == pytest.approx(want)
+    assert {r.doc_id for r in decontaminate.clean(d, b).collect()} == set(range(len(docs))) - {i for i, _ in want}
+
+
 def test_licences(spark, nothing):
     apache, gpl = "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3."
     files = [("a/LICENSE", "x\n" + apache), ("a/b/f.txt", "words and the license of all"), ("a/b/COPYING", gpl), ("a/c/f.txt", None), ("d/f.txt", "prose"), ("d/g.txt", gpl.lower()), ("f.txt", ""), (None, apache), ("a/b/c/d/e.txt", "deep"), ("a/LICENSE", "x\n" + apache)]
