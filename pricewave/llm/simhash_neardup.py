@@ -5,6 +5,9 @@ sum of (t_i + 1) is max_bits + 1, two fingerprints within max_bits agree to
 within t_i on some part i, so probing every part's values with up to t_i bits
 flipped finds every link. Part count and thresholds come from a dynamic program
 over estimated candidate counts.
+
+Documents alike in their five-word shingles are found by bands of MinHashes and
+decided by the exact Jaccard similarity of their shingle sets.
 """
 
 from itertools import combinations
@@ -24,6 +27,12 @@ HOT_BUCKET, HOT_FACTOR = 16, 4
 BLOCK = 2048
 #: Checking a candidate pair costs this much of shuffling a probe row.
 CHECK_COST = 0.05
+#: MinHashes of a shingle set: of two sets with similarity 0.8, some band of rows agrees in all but 2 of 10,000 cases.
+BANDS, BAND_ROWS = 16, 4
+#: Pairs of hot buckets that agree in fewer MinHashes are not compared further; at similarity 0.8 the mean is 51, the deviation 3.
+MIN_EQUAL = 32
+#: A block of a hot bucket holds about this many shingles at most.
+BLOCK_SHINGLES = 1 << 21
 
 
 def _grams(raw: bytes, size: int) -> np.ndarray:
@@ -49,14 +58,24 @@ def fingerprint(text: str | bytes | None, shingle: int = 4) -> int:
     return _majority(_grams(raw, shingle))
 
 
-def sketch(raw: bytes, shingle: int = 5) -> list[int]:
-    """512 bits: majorities over eight rehashes of the set of word shingles."""
-    h = np.unique(_grams(raw, shingle))
-    out = []
-    for k in range(1, 9):
-        x = (h + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-        out.append(_signed(_majority(x ^ (x >> np.uint64(29)))))
+def shingle_set(raw: bytes, shingle: int = 5) -> np.ndarray:
+    """The distinct hashes of the word shingles, in order."""
+    return np.unique(_grams(raw, shingle))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+
+
+_SALTS = _mixed(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+
+
+def min_hashes(h: np.ndarray) -> np.ndarray:
+    """The least of the set's hashes under each of the rehashes; of no set at all, the greatest number."""
+    out = np.full(len(_SALTS), 2**64 - 1, np.uint64)
+    for i in range(0, len(h), 4096):
+        out = np.minimum(out, _mixed(h[None, i : i + 4096] ^ _SALTS).min(axis=1))
     return out
 
 
@@ -73,16 +92,44 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     return rows.mapInArrow(arrow_rows(make, out), f"doc_id {key}, fp long")
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, wide): fp over the set of word pairs, for finding; wide over five-word shingles, for judging."""
-    out = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("wide", pa.list_(pa.int64()))])
+def marks_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, node, n, low_bytes, bands): node tells shingle sets apart, n is the set's size; low_bytes and bands come from its MinHashes."""
+    out = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("low_bytes", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def make(batch):
-        raws = [t.as_buffer().to_pybytes() for t in batch.column("text")]
-        return [batch.column("doc_id"), [_signed(_majority(np.unique(_grams(r, 2)))) for r in raws], [sketch(r) for r in raws]]
+        cols = ([], [], [], [])
+        for t in batch.column("text"):
+            h = shingle_set(t.as_buffer().to_pybytes())
+            m = min_hashes(h)
+            keys = m.reshape(BANDS, BAND_ROWS)
+            key = keys[:, 0]
+            for k in range(1, BAND_ROWS):
+                key = _mixed(key) + keys[:, k]
+            for c, v in zip(cols, (_node(h), len(h), m.astype(np.uint8).tobytes(), key.view(np.int64).tolist() if len(h) else [])):
+                c.append(v)
+        return [batch.column("doc_id"), *cols]
+
+    return whole_ids(docs).mapInArrow(arrow_rows(make, out), "doc_id long, node long, n long, low_bytes binary, bands array<long>")
+
+
+def whole_ids(docs: DataFrame) -> DataFrame:
+    return texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id is not null")
+
 
-    rows = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id is not null")
-    return rows.mapInArrow(arrow_rows(make, out), "doc_id long, fp long, wide array<long>")
+def _node(h: np.ndarray) -> int:
+    return _signed(xxhash.xxh3_64_intdigest(h.tobytes()))
+
+
+def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, hs): the shingle sets of nodes (node, low), computed anew from the rows whose id is low."""
+    out = pa.schema([("node", pa.int64()), ("hs", pa.list_(pa.int64()))])
+
+    def make(batch):
+        found = [shingle_set(t.as_buffer().to_pybytes()) for t in batch.column("text")]
+        return [[_node(h) for h in found], [h.view(np.int64) for h in found]]
+
+    rows = whole_ids(docs).join(nodes.select(F.col("low").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    return rows.mapInArrow(arrow_rows(make, out), "node long, hs array<long>").join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
 def bit_pairs(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -162,10 +209,10 @@ def _keys(part: int, key, flips: list[int]):
     return F.transform(F.array(*[F.lit(f).cast("long") for f in flips]), lambda f: F.struct(F.lit(part).alias("part"), key.bitwiseXOR(f).alias("key")))
 
 
-def links(nodes: DataFrame, max_bits: int = 4, max_wide: int | None = None) -> DataFrame:
-    """(u, v) edges that connect exactly the nodes linked by at most max_bits differing bits of fp and, if given, max_wide of wide.
+def links(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
+    """(u, v) edges that connect exactly the nodes linked by at most max_bits differing bits of fp.
 
-    nodes is (node, fp) or (node, fp, wide), node a unique long. Ordinary buckets
+    nodes is (node, fp), node a unique long. Ordinary buckets
     give each link once; hot ones are compared in cells of bounded blocks, of
     which each gives a spanning forest of its links.
     """
@@ -184,10 +231,6 @@ def links(nodes: DataFrame, max_bits: int = 4, max_wide: int | None = None) -> D
     near = F.bit_count(F.col("u_fp").bitwiseXOR(F.col("v_fp"))) <= max_bits
     cool = lambda df: df.join(hot.select("part", "key"), ["part", "key"], "left_anti") if any_hot else df
     found = cool(index).join(cool(probe), ["part", "key"]).where((F.col("u") < F.col("v")) & near).select("u", "v").distinct()
-    wide = lambda name: nodes.select(F.col("node").alias(name), F.col("wide").alias(name + "_wide"))
-    if max_wide is not None:
-        differ = F.aggregate(F.zip_with("u_wide", "v_wide", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x)
-        found = found.join(wide("u"), "u").join(wide("v"), "v").where(differ <= max_wide).select("u", "v")
     if not any_hot:
         return found
     # Of a hot bucket, block b of the index rows meets block c of the probes.
@@ -195,21 +238,16 @@ def links(nodes: DataFrame, max_bits: int = 4, max_wide: int | None = None) -> D
     block = lambda c: F.pmod(F.xxhash64(c), F.col("n")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
     left, right = sized(index), sized(probe)
-    if max_wide is not None:
-        left, right = left.join(wide("u"), "u"), right.join(wide("v"), "v")
-    more = lambda name: [F.col(name + "_wide").alias("wide")] if max_wide is not None else []
-    left = left.select("part", "key", block("u").alias("b"), every.alias("c"), F.col("u").alias("node"), F.col("u_fp").alias("fp"), F.lit(True).alias("indexed"), *more("u"))
-    right = right.select("part", "key", every.alias("b"), block("v").alias("c"), F.col("v").alias("node"), F.col("v_fp").alias("fp"), F.lit(False).alias("indexed"), *more("v"))
-    forest = left.union(right).groupBy("part", "key", "b", "c").applyInPandas(lambda cell: _forest(cell, max_bits, max_wide), "u long, v long")
+    left = left.select("part", "key", block("u").alias("b"), every.alias("c"), F.col("u").alias("node"), F.col("u_fp").alias("fp"), F.lit(True).alias("indexed"))
+    right = right.select("part", "key", every.alias("b"), block("v").alias("c"), F.col("v").alias("node"), F.col("v_fp").alias("fp"), F.lit(False).alias("indexed"))
+    forest = left.union(right).groupBy("part", "key", "b", "c").applyInPandas(lambda cell: _forest(cell, max_bits), "u long, v long")
     return found.union(forest).distinct()
 
 
-def _forest(cell: pd.DataFrame, max_bits: int, max_wide: int | None) -> pd.DataFrame:
+def _forest(cell: pd.DataFrame, max_bits: int) -> pd.DataFrame:
     """Edges from each node of a cell to the root of its component under the cell's links."""
     a, b = cell[cell.indexed].drop_duplicates("node"), cell[~cell.indexed].drop_duplicates("node")
     x, y = (s.fp.to_numpy(np.int64).view(np.uint64) for s in (a, b))
-    if max_wide is not None:
-        xw, yw = (np.array(s.wide.tolist(), np.int64).reshape(len(s), -1).view(np.uint64) for s in (a, b))
     p, q = a.node.to_numpy(np.int64), b.node.to_numpy(np.int64)
     root: dict[int, int] = {}
 
@@ -220,9 +258,6 @@ def _forest(cell: pd.DataFrame, max_bits: int, max_wide: int | None) -> pd.DataF
 
     for i in range(0, len(x), 256):
         at, to = np.nonzero(np.bitwise_count(x[i : i + 256, None] ^ y[None, :]) <= max_bits)
-        if max_wide is not None:
-            good = np.bitwise_count(xw[i + at] ^ yw[to]).sum(axis=1, dtype=np.int64) <= max_wide
-            at, to = at[good], to[good]
         for u, v in zip(p[i + at].tolist(), q[to].tolist()):
             u, v = find(u), find(v)
             root[max(u, v)] = min(u, v)
@@ -251,24 +286,85 @@ def near_dups(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame
     return fps.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def similar_groups(docs: DataFrame, max_bits: int = 8, max_wide: int = 86) -> DataFrame:
+def alike(docs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """(u, v) edges that connect the nodes of classes (node, low, n, low_bytes, bands) whose shingle sets have a Jaccard similarity of least or more.
+
+    Candidates agree in a band. Pairs of ordinary buckets are all decided. In a
+    hot bucket each node is decided against the least one; only those that are
+    not linked to it meet the whole bucket, in cells of bounded blocks.
+    """
+    index = classes.select("node", "n", F.posexplode("bands").alias("part", "key"))
+    counts = index.groupBy("part", "key").agg(F.count("*").alias("count"), F.sum("n").alias("total"), F.min("node").alias("pivot")).where("count > 1")
+    held = cut(index.join(counts, ["part", "key"]))
+    is_hot = F.col("count") > HOT_BUCKET + HOT_FACTOR
+    cool, hot = held.where(~is_hot), held.where(is_hot)
+    side = lambda df, name: df.select("part", "key", F.col("node").alias(name), F.col("n").alias(name + "_n"))
+    pairs = side(cool, "u").join(side(cool, "v"), ["part", "key"]).where("u < v").where(F.least("u_n", "v_n") >= least * F.greatest("u_n", "v_n")).select("u", "v").distinct()
+    stars = hot.where("node <> pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v"))
+    pairs = cut(pairs.union(stars).distinct())
+    ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    sets = cut(sets_of(docs, classes.join(ends, "node", "left_semi").select("node", "low")))
+    whole = lambda name: sets.select(F.col("node").alias(name), F.col("hs").alias(name + "_hs"))
+    both = F.size(F.array_intersect("u_hs", "v_hs"))
+    linked = cut(pairs.join(whole("u"), "u").join(whole("v"), "v").where(both >= least * (F.size("u_hs") + F.size("v_hs") - both)).select("u", "v"))
+    rest = cut(hot.where("node <> pivot").join(linked.select(F.col("u").alias("pivot"), F.col("v").alias("node")), ["pivot", "node"], "left_anti"))
+    if rest.isEmpty():
+        return linked
+    # Block b of the rest of a bucket meets block c of the whole bucket.
+    blocks = lambda count, total: F.greatest(F.ceil(F.col(count) / BLOCK), F.ceil(F.col(total) / BLOCK_SHINGLES)).cast("int")
+    over = cut(rest.groupBy("part", "key").agg(F.count("*").alias("few"), F.sum("n").alias("few_total")))
+    home = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    sized = lambda df: df.join(over, ["part", "key"]).withColumn("nb", blocks("few", "few_total")).withColumn("nc", blocks("count", "total")).join(sets, "node").join(classes.select("node", "low_bytes"), "node")
+    left = sized(rest).select("part", "key", home("nb").alias("b"), every("nc").alias("c"), "node", "low_bytes", "hs", F.lit(True).alias("asked"))
+    right = sized(hot).select("part", "key", every("nb").alias("b"), home("nc").alias("c"), "node", "low_bytes", "hs", F.lit(False).alias("asked"))
+    return linked.union(left.union(right).groupBy("part", "key", "b", "c").applyInPandas(lambda cell: _spanning(cell, least), "u long, v long")).distinct()
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sets in order, not both empty."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
+def _spanning(cell: pd.DataFrame, least: float) -> pd.DataFrame:
+    """Links between the asked nodes of a cell and its others; those between nodes already connected are left out."""
+    asked, others = cell[cell.asked], cell[~cell.asked]
+    bytes_of = lambda df: np.frombuffer(b"".join(df.low_bytes), np.uint8).reshape(len(df), -1)
+    (x, y), (xs, ys) = ((bytes_of(asked), bytes_of(others)), (asked.hs.tolist(), others.hs.tolist()))
+    names, at = np.unique(np.concatenate([asked.node.to_numpy(np.int64), others.node.to_numpy(np.int64)]), return_inverse=True)
+    p, q, label = at[: len(x)], at[len(x) :], np.arange(len(names))
+    size, edges = np.array([len(h) for h in ys], np.int64), []
+    for i in range(len(x)):
+        n = len(xs[i])
+        fit = (np.minimum(size, n) >= least * np.maximum(size, n)) & (label[q] != label[p[i]])
+        equal = np.where(fit, (y == x[i]).sum(axis=1), 0)
+        left = np.flatnonzero(equal >= MIN_EQUAL)
+        left = left[np.argsort(-equal[left], kind="stable")]
+        while len(left):
+            k, left = left[0], left[1:]
+            if jaccard(xs[i], ys[k]) >= least:
+                edges.append((names[p[i]], names[q[k]]))
+                label[label == label[q[k]]] = label[p[i]]
+                left = left[label[q[left]] != label[p[i]]]
+    pairs = np.array(edges, dtype=np.int64).reshape(-1, 2)
+    return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
+
+
+def similar_groups(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """(doc_id, component_id) of the documents that share a component with another, ids being whole numbers.
 
-    For texts alike in their five-word shingles, a similarity of 0.8 or more.
-    Edits change five-word shingles the most, so candidates come from 64-bit
-    fingerprints over the set of word pairs, found by the pigeonhole search at
-    max_bits; of two texts with Jaccard similarity 0.8 nearly all lie within 8.
-    A link must also hold on 512-bit sketches of the five-word shingles, where
-    0.8 means 78 differing bits on average (deviation 8); the limit of 86 takes
-    most at 0.8 and few at 0.7. Equal texts always link; rows without an id and
-    rows that repeat one are never told apart from it.
+    Texts are linked when the Jaccard similarity of their sets of five-word
+    shingles is least or more; it is computed for each candidate pair, and those
+    agree in a band of MinHashes, which depends on that similarity alone and not
+    on where the edits lie. Equal sets always link; rows without an id take no part.
     """
-    marks = cut(sketches(docs))
-    classes = marks.groupBy("fp", "wide").agg(F.min("doc_id").alias("node"))
-    classes = cut(classes.groupBy("node").agg(F.min(F.struct("fp", "wide")).alias("s")).select("node", "s.fp", "s.wide"))
-    roots = components(links(classes, max_bits, max_wide))
-    named = marks.join(classes, ["fp", "wide"]).select("doc_id", "node")
-    return named.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("component_id")).where("doc_id <> component_id")
+    marks = cut(marks_of(docs))
+    classes = cut(marks.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("low_bytes").alias("low_bytes"), F.first("bands").alias("bands")))
+    roots = components(alike(docs, classes, least))
+    placed = classes.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
+    named = placed.join(placed.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("node", "component_id")
+    return marks.select("doc_id", "node").join(named, "node").select("doc_id", "component_id").where("doc_id <> component_id")
 
 
 def keep_one(docs: DataFrame, **how) -> DataFrame:

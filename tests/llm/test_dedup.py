@@ -1,6 +1,7 @@
 """Duplicate operators against brute force."""
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -80,6 +81,37 @@ def test_keep_one(corpus):
     assert set(range(20, 50)) <= kept
 
 
+def five_words(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def exact_components(texts):
+    """By exact five-word Jaccard similarity of all pairs; texts without words are alike."""
+    sets = {i: five_words(t) for i, t in texts.items()}
+    return union(sorted(texts), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_whole_passages_link(spark, monkeypatch, hot):
+    """Cut off, added, inserted and moved passages and one-word edits at a similarity of 0.8 or a little more."""
+    if hot:
+        monkeypatch.setattr(simhash_neardup, "HOT_BUCKET", -9)
+        monkeypatch.setattr(simhash_neardup, "BLOCK", 3)
+    rng, docs = random.Random(8), []
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    for k in range(30):
+        w = [word() for _ in range(300)]
+        new = [word() for _ in range(60)]
+        one = [word() if i % 50 == 7 else x for i, x in enumerate(w)]
+        docs += [w, (w[:245], w + new, w[:150] + new + w[150:], w[200:] + w[:200], one)[k % 5]]
+    texts = {i: " ".join(w) for i, w in enumerate(docs)}
+    want = exact_components(texts)
+    assert sum(i != c for i, c in want.items()) == 30
+    kept = {r.doc_id for r in simhash_neardup.keep_one(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert kept == {i for i, c in want.items() if i == c}
+
+
 def test_exact(corpus):
     text = {i: re.sub("[" + BLANK + "]+", " ", t) for i, t in texts_of(corpus).items()}
     groups = defaultdict(list)
