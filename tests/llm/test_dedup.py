@@ -112,6 +112,26 @@ def test_whole_passages_link(spark, monkeypatch, hot):
     assert kept == {i for i, c in want.items() if i == c}
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_texts_below_the_threshold_stay(spark, monkeypatch, hot):
+    """One-word edits and cut passages at similarities of 0.7 to 0.79, beside chains that link only step by step."""
+    if hot:
+        monkeypatch.setattr(simhash_neardup, "HOT_BUCKET", -9)
+        monkeypatch.setattr(simhash_neardup, "BLOCK", 3)
+    rng, docs = random.Random(9), []
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    for k in range(20):
+        w = [word() for _ in range(300)]
+        docs += [w, [word() if i % 40 == 7 else x for i, x in enumerate(w)] if k % 2 else w[: 230 + k % 3]]
+    w = [word() for _ in range(400)]
+    docs += [w[20 * k : 20 * k + 300] for k in range(6)]
+    texts = {i: " ".join(w) for i, w in enumerate(docs)}
+    want = exact_components(texts)
+    assert all(want[i] == i for i in range(40)) and {want[i] for i in range(40, 46)} == {40}
+    kept = {r.doc_id for r in simhash_neardup.keep_one(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert kept == set(range(41))
+
+
 def test_exact(corpus):
     text = {i: re.sub("[" + BLANK + "]+", " ", t) for i, t in texts_of(corpus).items()}
     groups = defaultdict(list)
