@@ -1,5 +1,7 @@
 """Packing of token sequences by an order-preserving dynamic program."""
 
+import json
+import re
 import zlib
 from bisect import bisect_left
 from collections import deque
@@ -19,14 +21,12 @@ _ENCODERS: dict = {}
 
 
 def encoder(path: str):
-    """ids(text) -> uint32 array, with the vocabulary of a tokenizers file; special strings in a text are ordinary text.
+    """ids(text) -> uint32 array, with the vocabulary of a tokenizers file; special strings in a text are ordinary text to it; encode() cuts them out first.
 
     The file's byte-level BPE is run by tiktoken, which gives the same ids about
     five times as fast; the tests compare the two.
     """
     if path not in _ENCODERS:
-        import json
-
         import tiktoken
 
         spec = json.load(open(path, encoding="utf-8"))
@@ -37,7 +37,7 @@ def encoder(path: str):
         ranks = {bytes(byte[c] for c in w): i for w, i in spec["model"]["vocab"].items() if w not in special}
         pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         enc = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        ends = np.zeros(max(ranks.values()) + 1, bool)
+        ends = np.zeros(max([*ranks.values(), *(t["id"] for t in spec["added_tokens"])]) + 1, bool)
         for w, i in ranks.items():
             ends[i] = w[-1:] in b".!?\n" if w else False
         _ENCODERS[path] = enc, ends
@@ -51,6 +51,19 @@ def _encode(enc, text: str) -> np.ndarray:
         return np.array(enc.encode_ordinary(text), dtype="<u4")
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The strings that the tokenizers file takes out of a text as one token each, and their ids."""
+    return {t["content"]: t["id"] for t in json.load(open(path, encoding="utf-8"))["added_tokens"]}
+
+
+def encode(enc, added: dict[str, int], text: str) -> np.ndarray:
+    """The ids that the tokenizers file gives as loaded: added tokens, leftmost and then longest first, split the text and have their own ids."""
+    if not any(w in text for w in added):
+        return _encode(enc, text)
+    parts = re.split("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")", text)
+    return np.concatenate([np.array([added[t]], "<u4") if k % 2 else _encode(enc, t) for k, t in enumerate(parts)])
+
+
 def choose(length: int, places: np.ndarray, costs: np.ndarray, size: int) -> list[int]:
     """Ends of the sequences that cover length tokens at least padding plus cut cost.
 
@@ -90,6 +103,7 @@ def _pack(path: str, size: int, with_ids: bool):
         from pyspark import TaskContext
 
         enc, is_end = encoder(path)
+        added = added_tokens(path)
         sequence = TaskContext.get().partitionId() << 40
         held: list[list] = []  # [doc_id, ids, first id not yet placed, all ids]
         waiting = 0
@@ -144,7 +158,7 @@ def _pack(path: str, size: int, with_ids: bool):
 
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.append(_encode(enc, text or ""), np.array([0], "<u4")).astype("<u4")
+                ids = np.append(encode(enc, added, text or ""), np.array([0], "<u4")).astype("<u4")
                 held.append([doc, ids, 0, len(ids)])
                 waiting += len(ids)
                 if waiting >= STRETCH:

@@ -118,6 +118,19 @@ def test_encoder_equals_tokenizers(corpus):
         assert pack_dp._encode(enc, text).tolist() == t.encode(text, add_special_tokens=False).ids, text[:80]
 
 
+def test_added_tokens_as_loaded(spark):
+    """Texts that quote an added token, against the tokenizer as loaded."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokenizer_path())
+    end = "<|endoftext|>"
+    quoted = [end, f"a {end} b", f"{end}{end}", f"one.  {end}  two\n", f"<|endof{end}text|>", f"É {end}x 12,3", "<|endoftext| >"]
+    got = pack_dp.pack(spark.createDataFrame(list(enumerate(quoted)), "doc_id long, text string"), tokenizer_path(), with_ids=True).collect()
+    for i, text in enumerate(quoted):
+        mine = [x for r in sorted((r for r in got if r.doc_id == i), key=lambda r: r.start) for x in r.ids]
+        assert mine == [*t.encode(text, add_special_tokens=False).ids, 0], text
+
+
 def test_choose_is_optimal():
     rng = random.Random(5)
     for _ in range(200):
