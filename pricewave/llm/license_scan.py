@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, functions as F
 from pricewave.llm.common import cut
 
 _TERM = re.compile(r"[a-z0-9]+")
+_WORDY = re.compile(r"[A-Za-z0-9]")
+#: How a comment line starts; the signs are those of common languages.
+_COMMENT = re.compile(r"\s*(#|//|/?\*|--|;|%|\"\"\")")
 
 # Notices by which licences are commonly named, and openings of their texts.
 TEMPLATES = (
@@ -26,6 +29,14 @@ TEMPLATES = (
     ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
+    *((name, f"This {thing} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {kind} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.") for name, thing, mark, kind, version in (
+        ("GPL-3.0", "program", ":", "General Public License", "3"),
+        ("GPL-2.0", "program", ";", "General Public License", "2"),
+        ("LGPL-3.0", "library", ":", "Lesser General Public License", "3"),
+        ("LGPL-2.1", "library", ";", "Lesser General Public License", "2.1"),
+        ("AGPL-3.0", "program", ":", "Affero General Public License", "3"),
+    )),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -72,9 +83,22 @@ class Index:
 
 
 def _units(text: str):
-    """A file's units: each line that has a term, and the whole text."""
+    """A file's units: each line, each block of several lines (a paragraph, or a run of comment lines), and the whole text."""
     lines = [x for x in text.split("\n") if x.strip()]
-    return lines if len(lines) < 2 else [*lines, text]
+    if len(lines) < 2:
+        return lines
+    blocks, block, was = [], [], None
+    for line in [*text.split("\n"), ""]:
+        mark = bool(_COMMENT.match(line))
+        blank = not _WORDY.search(line)
+        if blank or mark != was:
+            if 1 < len(block) < len(lines):
+                blocks.append("\n".join(block))
+            block = []
+        if not blank:
+            block.append(line)
+            was = mark
+    return [*lines, *blocks, text]
 
 
 def _frequencies(vocabulary):
@@ -93,9 +117,9 @@ def _frequencies(vocabulary):
 
 
 def evidence(files: DataFrame, templates=TEMPLATES, threshold: float = 0.6) -> DataFrame:
-    """(path, licence, score) of files with a line, or a whole text, whose cosine to a template reaches the threshold.
+    """(path, licence, score) of files with a line, a block of lines or a whole text whose cosine to a template reaches the threshold.
 
-    Weights are TF-IDF: how many units (lines and whole texts) of all files hold
+    Weights are TF-IDF: how many units (lines, blocks and whole texts) of all files hold
     each template term is counted over the whole table; terms of no template
     weigh as terms never seen. The best template counts, the earlier of equals.
     """

@@ -1,6 +1,7 @@
 """Classifier, decontamination, licences, packing, chats and url rules."""
 
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -118,6 +119,16 @@ def test_encoder_equals_tokenizers(corpus):
         assert pack_dp._encode(enc, text).tolist() == t.encode(text, add_special_tokens=False).ids, text[:80]
 
 
+def test_wrapped_headers(spark):
+    """Usual headers, wrapped and commented, above code."""
+    head = "This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    kinds = {"GPL-2.0": ("program", ";", "General Public License", "2"), "GPL-3.0": ("program", ":", "General Public License", "3"), "LGPL-3.0": ("library", ":", "Lesser General Public License", "3"), "AGPL-3.0": ("program", ":", "Affero General Public License", "3")}
+    files = [(f"{name}/{k}", "\n".join([mark + " Copyright 2020 A B", mark, *(f"{mark} {x}" for x in textwrap.wrap(head.format(*kind), 60)), "import words", "x = other + things", "", "def more(code):", "    return code"])) for name, kind in kinds.items() for k, mark in enumerate(["#", "//", " *"])]
+    got = license_scan.scan(spark.createDataFrame(files + [(f"p/{i}", f"prose {i} of\nmany words") for i in range(50)], "path string, text string")).collect()
+    assert {r.path: r.own for r in got if r.path[0] != "p"} == {p: p.split("/")[0] for p, _ in files}
+    assert not any(r.own for r in got if r.path[0] == "p")
+
+
 def test_added_tokens_as_loaded(spark):
     """Texts that quote an added token, against the tokenizer as loaded."""
     from tokenizers import Tokenizer
