@@ -59,16 +59,17 @@ def components(edges: DataFrame) -> DataFrame:
     without an edge to another node are absent. Alternates the large-star and
     small-star steps until the edges no longer change: every round is two
     grouped minima and two joins, and a node with many neighbours is never
-    gathered in one row. Each round is checkpointed.
+    gathered in one row. Each round is checkpointed, and the minima are written
+    before their joins, so that Spark can split the edges of a star's centre.
     """
     pair = lambda a, b: F.struct(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     flat = lambda df: df.where("u <> v").select(pair(F.col("u"), F.col("v")).alias("e")).select("e.u", "e.v").distinct()
     now, seen = cut(flat(edges)), None
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new = cut(flat(small.union(least.select("u", F.col("m").alias("v")))))
         mark = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -280,7 +280,7 @@ def near_dups(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame
     classes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("low")))
     roots = components(links(classes.select(F.col("fp").alias("node"), "fp"), max_bits))
     placed = classes.join(roots, classes.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lows = placed.groupBy("root").agg(F.min("low").alias("component_id"))
+    lows = cut(placed.groupBy("root").agg(F.min("low").alias("component_id")))  # the join can then split a large component
     named = placed.join(lows, "root").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return fps.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
@@ -295,6 +295,7 @@ def alike(docs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """
     index = classes.select("node", "n", F.posexplode("bands").alias("part", "key"))
     counts = index.groupBy("part", "key").agg(F.count("*").alias("count"), F.sum("n").alias("total"), F.min("node").alias("pivot")).where("count > 1")
+    counts = cut(counts)  # the join can then split a hot bucket
     held = cut(index.join(counts, ["part", "key"]))
     is_hot = F.col("count") > HOT_BUCKET + HOT_FACTOR
     cool, hot = held.where(~is_hot), held.where(is_hot)
