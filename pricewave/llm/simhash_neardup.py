@@ -25,6 +25,8 @@ BITS = 64
 #: A bucket with more fingerprints than the first and so many times the mean is compared in cells of blocks.
 HOT_BUCKET, HOT_FACTOR = 16, 4
 BLOCK = 2048
+#: Blocks of shingle sets are smaller, as each set is long and each comparison dear.
+SET_BLOCK = 512
 #: Checking a candidate pair costs this much of shuffling a probe row.
 CHECK_COST = 0.05
 #: MinHashes of a shingle set: of two sets with similarity 0.8, some band of rows agrees in all but 2 of 10,000 cases.
@@ -312,7 +314,7 @@ def alike(docs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     if rest.isEmpty():
         return linked
     # Block b of the rest of a bucket meets block c of the whole bucket.
-    blocks = lambda count, total: F.greatest(F.ceil(F.col(count) / BLOCK), F.ceil(F.col(total) / BLOCK_SHINGLES)).cast("int")
+    blocks = lambda count, total: F.greatest(F.ceil(F.col(count) / SET_BLOCK), F.ceil(F.col(total) / BLOCK_SHINGLES)).cast("int")
     over = cut(rest.groupBy("part", "key").agg(F.count("*").alias("few"), F.sum("n").alias("few_total")))
     home = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))

@@ -97,7 +97,7 @@ def test_whole_passages_link(spark, monkeypatch, hot):
     """Cut off, added, inserted and moved passages and one-word edits at a similarity of 0.8 or a little more."""
     if hot:
         monkeypatch.setattr(simhash_neardup, "HOT_BUCKET", -9)
-        monkeypatch.setattr(simhash_neardup, "BLOCK", 3)
+        monkeypatch.setattr(simhash_neardup, "SET_BLOCK", 3)
     rng, docs = random.Random(8), []
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
     for k in range(30):
@@ -117,7 +117,7 @@ def test_texts_below_the_threshold_stay(spark, monkeypatch, hot):
     """One-word edits and cut passages at similarities of 0.7 to 0.79, beside chains that link only step by step."""
     if hot:
         monkeypatch.setattr(simhash_neardup, "HOT_BUCKET", -9)
-        monkeypatch.setattr(simhash_neardup, "BLOCK", 3)
+        monkeypatch.setattr(simhash_neardup, "SET_BLOCK", 3)
     rng, docs = random.Random(9), []
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
     for k in range(20):
