@@ -25,11 +25,37 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def row_key(text: str = "text"):
+    """With the doc_id it tells rows apart that repeat a doc_id with other texts."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, row), ids being whole numbers or null."""
+    return texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("row"))
+
+
+def rows_in(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of docs whose (doc_id, row) is among keys, null ids being equal; with left_anti the others."""
+    keys = keys.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"))
+    return docs.join(keys, docs["doc_id"].eqNullSafe(keys["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == keys["_row"]), how)
+
+
+def once(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """docs with one row only for each (doc_id, row) of repeated; repeated is a written table."""
+    if repeated.isEmpty():
+        return docs
+    return rows_in(docs, repeated, "left_anti").union(rows_in(docs, repeated).dropDuplicates(["doc_id", "text"]))
+
+
 def shared_folder(spark) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset, as in tests."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset and all runs on one machine, as in tests."""
     found = spark.sparkContext._jsc.sc().getCheckpointDir()
     if found.isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint"))
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
     return found.get()
 

@@ -8,7 +8,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pricewave.llm.common import arrow_rows, cut, texts
+from pricewave.llm.common import arrow_rows, cut, keyed, rows_in, texts
 
 _WORD = re.compile(r"\w+")
 #: Smith-Waterman scores for equal words, differing words and a gap.
@@ -90,7 +90,7 @@ def _hits(gram, sorted_grams):
                 for out, v in zip(kept, (k, h[pos].tolist(), pos.tolist())):
                     out.append(v)
         rows = pa.array(kept[0], pa.int64())
-        return [batch.column("doc_id").take(rows), batch.column("row").take(rows), kept[1], kept[2]]
+        return [batch.column("row").take(rows), kept[1], kept[2]]
 
     return make
 
@@ -106,13 +106,13 @@ MAX_BROADCAST_PLACES = 1_000_000
 def _grams(gram):
     def make(batch):
         found = [gram_hashes(tokens(t), gram) for t in batch.column("text").to_pylist()]
-        return [batch.column("doc_id"), batch.column("row"), [f.tolist() for f in found], [list(range(len(f))) for f in found]]
+        return [batch.column("row"), [f.tolist() for f in found], [list(range(len(f))) for f in found]]
 
     return make
 
 
 def _scored(margin, least):
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])
 
     def regions(starts, length):
         """Merge the places that the seeds point to, with room for edits."""
@@ -128,7 +128,7 @@ def _scored(margin, least):
     def run(batches):
         for batch in batches:
             rows, text, ws = [], None, []
-            for doc, t, item, body, offsets in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "item_id", "body", "offsets"))):
+            for doc, row, t, item, body, offsets in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text", "item_id", "body", "offsets"))):
                 if t is not text:
                     text, ws = t, tokens(t)
                 words = tokens(body)
@@ -136,8 +136,10 @@ def _scored(margin, least):
                 for lo, hi in regions(set(offsets), len(words)):
                     # Long regions, of passages repeated many times, are aligned in overlapping pieces.
                     step = max(4096, 4 * len(words))
+                    # Each word beyond the item's costs a gap, which bounds the length of a passage that reaches the threshold.
+                    longest = int(len(words) * (3 - 2 * least)) + 1
                     for a in range(lo, min(hi, len(ws)), step):
-                        piece = ws[a : min(hi, a + step + 2 * len(words))]
+                        piece = ws[a : min(hi, a + step + longest)]
                         # No alignment scores more than a match for each word of the item that the piece holds.
                         most = MATCH * (wanted & Counter(w for w in piece if w in wanted)).total()
                         if most <= best[0] or most / (MATCH * len(words)) < least:
@@ -145,7 +147,7 @@ def _scored(margin, least):
                         score, s, e = align(words, piece)
                         if score > best[0]:
                             best = (score, a + s, a + e)
-                rows.append((doc, item, best[0] / (MATCH * len(words)), best[1], best[2]))
+                rows.append((doc, row, item, best[0] / (MATCH * len(words)), best[1], best[2]))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -167,18 +169,25 @@ def matches(docs: DataFrame, bench: DataFrame, gram: int = 3, score: float = 0.5
     matched once by (item_id, text); of rows repeating a doc_id the best score
     counts. Rows whose id is null match nothing. Ids are whole numbers.
     """
-    rows = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id is not null").withColumn("row", F.xxhash64("doc_id", "text"))
+    found = _matched(docs, bench, gram, score, margin, min_seeds).where("doc_id is not null")
+    best = found.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("score", "start", "end"), F.struct("score", -F.col("start"), "end")).alias("m"))
+    return best.select("doc_id", "item_id", "m.score", "m.start", "m.end")
+
+
+def _matched(docs, bench, gram=3, score=0.5, margin=8, min_seeds=2) -> DataFrame:
+    """(doc_id, row, item_id, score, start, end) for each row of docs, with or without an id, that holds an item."""
+    rows = keyed(docs)
     items = cut(texts(bench, "item_id").select(F.col("doc_id").cast("long").alias("item_id"), F.col("text").alias("body")).where("item_id is not null").distinct().withColumn("item", F.xxhash64("item_id", "body")))
     grams = cut(items.select("item", F.col("body").alias("text")).mapInArrow(_seeds(gram), "item long, h long"))
     known = grams.select("h").distinct()
-    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("hs", pa.list_(pa.int64())), ("at", pa.list_(pa.int64()))])
+    schema = pa.schema([("row", pa.int64()), ("hs", pa.list_(pa.int64())), ("at", pa.list_(pa.int64()))])
     n = known.count()
     if not n:
-        return rows.selectExpr("doc_id", "cast(null as long) item_id", "0D score", "0L start", "0L end").where("false")
+        return rows.selectExpr("doc_id", "row", "cast(null as long) item_id", "0D score", "0L start", "0L end").where("false")
     ship = n <= MAX_SHIPPED_GRAMS
     make = _hits(gram, sorted(r.h for r in known.collect())) if ship else _grams(gram)
-    found = rows.mapInArrow(arrow_rows(make, schema), "doc_id long, row long, hs array<long>, at array<long>")
-    hits = found.select("row", "doc_id", F.explode(F.arrays_zip("hs", "at")).alias("g")).select("row", "doc_id", F.col("g.hs").alias("h"), F.col("g.at").alias("at"))
+    found = rows.mapInArrow(arrow_rows(make, schema), "row long, hs array<long>, at array<long>")
+    hits = found.select("row", F.explode(F.arrays_zip("hs", "at")).alias("g")).select("row", F.col("g.hs").alias("h"), F.col("g.at").alias("at"))
     hits = cut(hits if ship else hits.join(known, "h", "left_semi"))
     seeds = cut(grams.join(hits.select("h").distinct(), "h", "left_semi").select("item", "h", F.count("*").over(Window.partitionBy("item")).alias("n_seeds")))
     places = cut(grams_at(items, gram).join(seeds, ["item", "h"]))
@@ -194,10 +203,9 @@ def matches(docs: DataFrame, bench: DataFrame, gram: int = 3, score: float = 0.5
     pairs = cut(pairs)
     if pairs.count() <= MAX_BROADCAST_PAIRS:
         pairs = F.broadcast(pairs)
-    held = rows.join(pairs, "row").join(items, "item").select("doc_id", "text", "item_id", "body", "offsets")
-    scored = held.mapInArrow(_scored(margin, score), "doc_id long, item_id long, score double, start long, end long")
-    best = scored.where(F.col("score") >= score).groupBy("doc_id", "item_id").agg(F.max_by(F.struct("score", "start", "end"), F.struct("score", -F.col("start"), "end")).alias("m"))
-    return best.select("doc_id", "item_id", "m.score", "m.start", "m.end")
+    held = rows.join(pairs, "row").join(items, "item").select("doc_id", "row", "text", "item_id", "body", "offsets")
+    scored = held.mapInArrow(_scored(margin, score), "doc_id long, row long, item_id long, score double, start long, end long")
+    return scored.where(F.col("score") >= score)
 
 
 def grams_at(items: DataFrame, gram: int) -> DataFrame:
@@ -208,6 +216,5 @@ def grams_at(items: DataFrame, gram: int) -> DataFrame:
 
 
 def clean(docs: DataFrame, bench: DataFrame, **how) -> DataFrame:
-    """The rows of docs without those that hold a benchmark item; columns unchanged."""
-    hit = matches(docs, bench, **how).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of docs without those that hold a benchmark item, rows without an id included; columns unchanged."""
+    return rows_in(docs, _matched(docs, bench, **how).select("doc_id", "row").distinct(), "left_anti")

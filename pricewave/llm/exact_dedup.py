@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pricewave.llm.common import BLANKS, cut, texts
+from pricewave.llm.common import BLANKS, cut, once, row_key, rows_in, texts
 
 #: The rolling hash sees this many bytes; a cut falls where its low bits are zero.
 WINDOW = 16
@@ -48,7 +48,7 @@ _PARTS = {"keys": pa.list_(pa.binary()), "bodies": pa.list_(pa.struct([("key", p
 
 
 def _recipes(part: str, exact: bool = False):
-    """Per row: doc_id, SHA-256 of the normalised text, and its chunks in order, as identifiers or with their bytes."""
+    """Per row: doc_id, row key, SHA-256 of the normalised text, and its chunks in order, as identifiers or with their bytes."""
 
     def ids(chunks):
         if part == "bodies":
@@ -58,10 +58,10 @@ def _recipes(part: str, exact: bool = False):
     def run(batches):
         for batch in batches:
             held, size = [], 0
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            for doc, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), batch.column("text")):
                 data = normalise(text.as_buffer().to_pybytes())
                 at = cuts(data)
-                held.append((doc, hashlib.sha256(data).hexdigest(), ids([data[a:b] for a, b in zip([0, *at], at)])))
+                held.append((doc, row, hashlib.sha256(data).hexdigest(), ids([data[a:b] for a, b in zip([0, *at], at)])))
                 size += len(data)
                 if size > 4 << 20:
                     yield out(batch, held)
@@ -70,8 +70,8 @@ def _recipes(part: str, exact: bool = False):
                 yield out(batch, held)
 
     def out(batch, held):
-        doc, sha, chunks = zip(*held)
-        return pa.RecordBatch.from_arrays([pa.array(doc, batch.schema.field("doc_id").type), pa.array(sha), pa.array(chunks, _PARTS[part])], names=["doc_id", "sha", "chunks"])
+        doc, row, sha, chunks = zip(*held)
+        return pa.RecordBatch.from_arrays([pa.array(doc, batch.schema.field("doc_id").type), pa.array(row, pa.int64()), pa.array(sha), pa.array(chunks, _PARTS[part])], names=["doc_id", "row", "sha", "chunks"])
 
     return run
 
@@ -91,21 +91,37 @@ def groups(docs: DataFrame) -> DataFrame:
     identifiers also take the bytes' SHA-256. Documents are then compared by
     their ordered lists of identifiers.
     """
+    return _grouped(docs).drop("row")
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = texts(docs)
-    bodies = rows.mapInArrow(_recipes("bodies"), f"doc_id {kind}, sha string, chunks array<struct<key: binary, bytes: binary>>")
+    rows = texts(docs).withColumn("row", row_key())
+    bodies = rows.mapInArrow(_recipes("bodies"), f"doc_id {kind}, row long, sha string, chunks array<struct<key: binary, bytes: binary>>")
     distinct = bodies.select(F.explode("chunks").alias("c")).select("c.key", "c.bytes").distinct()
     clash = not distinct.groupBy("key").count().where("count > 1").isEmpty()
-    lists = rows.mapInArrow(_recipes("keys", exact=clash), f"doc_id {kind}, sha string, chunks array<binary>")
-    lists = lists.select("doc_id", "sha", F.sha2(F.array_join(F.transform("chunks", F.hex), ","), 256).alias("recipe"), F.size("chunks").alias("n"))
+    lists = rows.mapInArrow(_recipes("keys", exact=clash), f"doc_id {kind}, row long, sha string, chunks array<binary>")
+    lists = lists.select("doc_id", "row", "sha", F.sha2(F.array_join(F.transform("chunks", F.hex), ","), 256).alias("recipe"), F.size("chunks").alias("n"))
     lists = cut(lists)
     firsts = cut(lists.groupBy("recipe", "n").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")))  # the join can then split a hot recipe
     return lists.join(firsts, ["recipe", "n"]).select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256")
+        "doc_id", "row", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256")
     )
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay when of equal texts only the smallest doc_id is kept; columns unchanged."""
-    lost = groups(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of docs that stay when of equal texts one row with the smallest doc_id is kept; columns unchanged.
+
+    Decisions hold for rows, not for ids: a row that repeats a doc_id with
+    another text stays, a row without an id goes if any other row has its text,
+    and of rows that repeat a doc_id and an equal text one stays.
+    """
+    found = _grouped(docs)
+    stay = found.where("kept")
+    again = cut(stay.groupBy("doc_id", "text_sha256").agg(F.min("row").alias("least"), F.count("*").alias("k")).where("k > 1"))
+    lost = found.where(~F.col("kept")).select("doc_id", "row")
+    if again.isEmpty():
+        return rows_in(docs, lost, "left_anti")
+    same = stay["doc_id"].eqNullSafe(again["doc_id"]) & (stay["text_sha256"] == again["text_sha256"])
+    lost = lost.union(stay.join(again, same).where(F.col("row") != F.col("least")).select(stay["doc_id"], "row"))
+    return once(rows_in(docs, lost, "left_anti"), again.select("doc_id", F.col("least").alias("row")))

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pricewave.llm.common import ASCII_LOWER, arrow_rows, components, cut, texts
+from pricewave.llm.common import ASCII_LOWER, arrow_rows, components, cut, keyed, once, rows_in, texts
 
 BITS = 64
 #: A bucket with more fingerprints than the first and so many times the mean is compared in cells of blocks.
@@ -95,8 +95,8 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
 
 
 def marks_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n, low_bytes, bands): node tells shingle sets apart, n is the set's size; low_bytes and bands come from its MinHashes."""
-    out = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("low_bytes", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    """(doc_id, row, node, n, low_bytes, bands): node tells shingle sets apart, n is the set's size; low_bytes and bands come from its MinHashes."""
+    out = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("low_bytes", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def make(batch):
         cols = ([], [], [], [])
@@ -109,13 +109,9 @@ def marks_of(docs: DataFrame) -> DataFrame:
                 key = _mixed(key) + keys[:, k]
             for c, v in zip(cols, (_node(h), len(h), m.astype(np.uint8).tobytes(), key.view(np.int64).tolist() if len(h) else [])):
                 c.append(v)
-        return [batch.column("doc_id"), *cols]
+        return [batch.column("doc_id"), batch.column("row"), *cols]
 
-    return whole_ids(docs).mapInArrow(arrow_rows(make, out), "doc_id long, node long, n long, low_bytes binary, bands array<long>")
-
-
-def whole_ids(docs: DataFrame) -> DataFrame:
-    return texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id is not null")
+    return keyed(docs).mapInArrow(arrow_rows(make, out), "doc_id long, row long, node long, n long, low_bytes binary, bands array<long>")
 
 
 def _node(h: np.ndarray) -> int:
@@ -123,14 +119,14 @@ def _node(h: np.ndarray) -> int:
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, hs): the shingle sets of nodes (node, low), computed anew from the rows whose id is low."""
+    """(node, hs): the shingle sets of nodes (node, low), computed anew from the rows that low names."""
     out = pa.schema([("node", pa.int64()), ("hs", pa.list_(pa.int64()))])
 
     def make(batch):
         found = [shingle_set(t.as_buffer().to_pybytes()) for t in batch.column("text")]
         return [[_node(h) for h in found], [h.view(np.int64) for h in found]]
 
-    rows = whole_ids(docs).join(nodes.select(F.col("low").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    rows = rows_in(keyed(docs), nodes.select("low.doc_id", "low.row"))
     return rows.mapInArrow(arrow_rows(make, out), "node long, hs array<long>").join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -354,23 +350,28 @@ def _spanning(cell: pd.DataFrame, least: float) -> pd.DataFrame:
     return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
 
 
-def similar_groups(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """(doc_id, component_id) of the documents that share a component with another, ids being whole numbers.
+def similar_groups(docs: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row, keep_id) of the rows that share a component with another that stays, and (doc_id, row) of those that occur more than once.
 
     Texts are linked when the Jaccard similarity of their sets of five-word
     shingles is least or more; it is computed for each candidate pair, and those
     agree in a band of MinHashes, which depends on that similarity alone and not
-    on where the edits lie. Equal sets always link; rows without an id take no part.
+    on where the edits lie. Equal sets always link. Of a component the row with
+    the smallest doc_id stays, rows without an id coming last and, of rows that
+    repeat an id, the one whose text has the least hash; ids are whole numbers.
     """
     marks = cut(marks_of(docs))
-    classes = cut(marks.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("low_bytes").alias("low_bytes"), F.first("bands").alias("bands")))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    classes = cut(marks.groupBy("node").agg(F.min(place).alias("low"), F.first("n").alias("n"), F.first("low_bytes").alias("low_bytes"), F.first("bands").alias("bands")))
     roots = components(alike(docs, classes, least))
     placed = classes.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
-    named = placed.join(placed.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("node", "component_id")
-    return marks.select("doc_id", "node").join(named, "node").select("doc_id", "component_id").where("doc_id <> component_id")
+    lows = cut(placed.groupBy("root").agg(F.min("low").alias("keep")))  # the join can then split a large component
+    named = placed.join(lows, "root").select("node", "keep")
+    lost = marks.join(named, "node").where(place != F.col("keep")).select("doc_id", "row", F.col("keep.doc_id").alias("keep_id"))
+    return lost, cut(marks.groupBy("doc_id", "row").count().where("count > 1").select("doc_id", "row"))
 
 
 def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """The rows of docs that stay when of each group of similar texts only the smallest doc_id is kept; columns unchanged."""
-    lost = similar_groups(docs, **how).select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of docs that stay when of each group of similar texts one row with the smallest doc_id is kept; columns unchanged."""
+    lost, repeated = similar_groups(docs, **how)
+    return once(rows_in(docs, lost, "left_anti"), repeated)

@@ -148,7 +148,7 @@ def test_exact_with_clashing_fingerprints(corpus, monkeypatch):
     one, two = exact_dedup._recipes("keys", exact=True), exact_dedup._recipes("keys")
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a b" * 100, "a  b" * 100]})
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "row": [3, 4], "text": ["a b" * 100, "a  b" * 100]})
     assert len(next(one([batch])).column("chunks")[0][0].as_py()) == 48
     assert len(next(two([batch])).column("chunks")[0][0].as_py()) == 16
 
@@ -202,7 +202,25 @@ def test_repeated_rows_and_null_ids(corpus):
     for found in (exact_dedup.groups(twice), line_dedup.drop_lines(twice), substring_dedup.drop_repeats(twice), simhash_neardup.near_dups(twice)):
         assert found.count() == n
     assert exact_dedup.groups(twice).where("doc_id is null").first().keep_id == 0
-    assert simhash_neardup.keep_one(twice).where("doc_id is null").count() == 1
+    assert simhash_neardup.keep_one(twice).where("doc_id is null").count() == 0
+
+
+def test_stages_judge_rows(spark):
+    """Repeated and null ids: rows, not ids, are dropped; of equal rows one stays."""
+    rng = random.Random(21)
+    text = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60))
+    same, other, rep, alone = (text() for _ in range(4))
+    edited = same.replace(same.split()[30], "changed")
+    given = [(1, same), (5, same), (5, other), (None, same), (None, alone), (7, rep), (7, rep), (7, rep.replace(" ", "  ")), (8, ""), (9, None), (None, None), (6, edited)]
+    docs = spark.createDataFrame(given, "doc_id long, text string").withColumn("row", F.lit("clash")).withColumn("keep", F.lit(1)).repartition(3)
+    exact = exact_dedup.keep_first(docs)
+    assert exact.columns == docs.columns
+    flat = lambda df: sorted(((r.doc_id, " ".join((r.text or "").split())) for r in df.collect()), key=str)
+    want = sorted([(1, same), (5, other), (None, alone), (7, rep), (8, ""), (6, edited)], key=str)
+    assert flat(exact) == want
+    near = simhash_neardup.keep_one(docs)
+    assert near.columns == docs.columns and flat(near) == [x for x in want if x[0] != 6]
+    assert flat(simhash_neardup.keep_one(exact)) == flat(near)
 
 
 def test_empty(nothing):
