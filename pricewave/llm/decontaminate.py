@@ -154,14 +154,28 @@ def _scored(margin, least):
     return run
 
 
-def matches(docs: DataFrame, bench: DataFrame, gram: int = 3, score: float = 0.5, margin: int = 8, min_seeds: int = 2) -> DataFrame:
+def rare_grams(grams: DataFrame, shared: int, score: float, min_seeds: int) -> DataFrame:
+    """The seeds among grams (item, h): those that at most shared items hold.
+
+    An item of which too few are so rare also takes the rarest of the others,
+    ties included, until any part of it that is long enough to reach the score
+    holds min_seeds of them: all but the last score * n - min_seeds of its n.
+    Rarity is counted over items, so an item's copies in the corpus do not
+    change its seeds, and a place in the corpus meets few items.
+    """
+    held = grams.groupBy("h").agg(F.count("*").alias("held"))
+    of_item = Window.partitionBy("item")
+    ranked = grams.join(held, "h").withColumn("n", F.count("*").over(of_item)).withColumn("r", F.rank().over(of_item.orderBy("held")))
+    return ranked.where((F.col("held") <= shared) | (F.col("r") <= F.ceil((1 - score) * F.col("n")) + min_seeds)).select("item", "h")
+
+
+def matches(docs: DataFrame, bench: DataFrame, gram: int = 3, score: float = 0.5, margin: int = 8, min_seeds: int = 2, shared: int = 8) -> DataFrame:
     """(doc_id, item_id, score, start, end): documents holding an exact, edited or paraphrased benchmark item.
 
-    The seeds of an item are all its grams that the corpus holds: a choice by
-    frequency would fall on the grams that edits break, as the item's other copies
-    make the rest frequent. A document with at least min_seeds seeds of an item
+    The seeds of an item are its rare grams, by the number of items that hold
+    them; see rare_grams. A document with at least min_seeds seeds of an item
     (or with all, if the item has fewer) is aligned to it around them, so a copy
-    is missed only if edits leave fewer than that many runs of gram words; a pair
+    is missed only if edits leave fewer than that many of its seeds whole; a pair
     whose shared words cannot reach the threshold is not aligned. score is the Smith-Waterman
     score over that of a perfect copy and must reach the threshold; start and end
     count the document's words. Words are lower-cased runs of letters, digits and
@@ -169,16 +183,16 @@ def matches(docs: DataFrame, bench: DataFrame, gram: int = 3, score: float = 0.5
     matched once by (item_id, text); of rows repeating a doc_id the best score
     counts. Rows whose id is null match nothing. Ids are whole numbers.
     """
-    found = _matched(docs, bench, gram, score, margin, min_seeds).where("doc_id is not null")
+    found = _matched(docs, bench, gram, score, margin, min_seeds, shared).where("doc_id is not null")
     best = found.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("score", "start", "end"), F.struct("score", -F.col("start"), "end")).alias("m"))
     return best.select("doc_id", "item_id", "m.score", "m.start", "m.end")
 
 
-def _matched(docs, bench, gram=3, score=0.5, margin=8, min_seeds=2) -> DataFrame:
+def _matched(docs, bench, gram=3, score=0.5, margin=8, min_seeds=2, shared=8) -> DataFrame:
     """(doc_id, row, item_id, score, start, end) for each row of docs, with or without an id, that holds an item."""
     rows = keyed(docs)
     items = cut(texts(bench, "item_id").select(F.col("doc_id").cast("long").alias("item_id"), F.col("text").alias("body")).where("item_id is not null").distinct().withColumn("item", F.xxhash64("item_id", "body")))
-    grams = cut(items.select("item", F.col("body").alias("text")).mapInArrow(_seeds(gram), "item long, h long"))
+    grams = cut(rare_grams(items.select("item", F.col("body").alias("text")).mapInArrow(_seeds(gram), "item long, h long"), shared, score, min_seeds))
     known = grams.select("h").distinct()
     schema = pa.schema([("row", pa.int64()), ("hs", pa.list_(pa.int64())), ("at", pa.list_(pa.int64()))])
     n = known.count()
