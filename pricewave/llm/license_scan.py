@@ -11,46 +11,89 @@ from pricewave.llm.common import cut
 
 _TERM = re.compile(r"[a-z0-9]+")
 _WORDY = re.compile(r"[A-Za-z0-9]")
+#: A version or clause number with what it counts, so that "version 2" and "version 3" are terms of their own.
+_VERSION = re.compile(r"(?:\bv(?:ersion)?[. ]*|gpl[- v]*|(?:apache|mpl|zero)[- ]|\bcc[-a-z0 ]*)(\d)(?:\.(\d))?(?![\d])|(\d)[- ]clause")
 #: How a comment line starts; the signs are those of common languages.
 _COMMENT = re.compile(r"\s*(#|//|/?\*|--|;|%|\"\"\")")
 
-# Notices by which licences are commonly named, and openings of their texts.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."),
-    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
-    ("ISC", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License, either version 3 of the License, or any later version."),
-    ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
-    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
-    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
-    *((name, f"This {thing} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {kind} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.") for name, thing, mark, kind, version in (
-        ("GPL-3.0", "program", ":", "General Public License", "3"),
-        ("GPL-2.0", "program", ";", "General Public License", "2"),
-        ("LGPL-3.0", "library", ":", "Lesser General Public License", "3"),
-        ("LGPL-2.1", "library", ";", "Lesser General Public License", "2.1"),
-        ("AGPL-3.0", "program", ":", "Affero General Public License", "3"),
-    )),
-    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+# The texts and usual notices of common licences, and the names that they go by.
+_AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'
+_MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+_ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+_ISC_AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_BSD_TWO = "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_THREE = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_AS_IS = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'
+_APACHE = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'
+_APACHE_REST = 'You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'
+_MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+_MPL_REST = "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+_GNU = "This {thing} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {kind} as published by the Free Software Foundation{either} version {version} of the License, or (at your option) any later version."
+_GNU_REST = "This {thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} for more details. You should have received a copy of the GNU {kind} along with this {thing}."
+_UNLICENSE = "This is free and unencumbered software released into the public domain."
+_GNU_KINDS = (
+    ("GPL-2.0", "program", ";", "General Public License", "2"),
+    ("GPL-3.0", "program", ":", "General Public License", "3"),
+    ("LGPL-2.1", "library", ";", "Lesser General Public License", "2.1"),
+    ("LGPL-3.0", "library", ":", "Lesser General Public License", "3"),
+    ("AGPL-3.0", "program", ":", "Affero General Public License", "3"),
 )
+_TITLES = (
+    ("Apache-2.0", "Apache License, Version 2.0"), ("Apache-2.0", "Apache License 2.0"), ("MIT", "MIT License"), ("ISC", "ISC License"), ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"),
+    *((name, f"GNU {kind}, version {version}") for name, _, _, kind, version in _GNU_KINDS), *((name, f"{name.split('-')[0]}v{version}") for name, _, _, _, version in _GNU_KINDS),
+    ("MPL-2.0", "Mozilla Public License 2.0"), ("CC0-1.0", "CC0 1.0 Universal"), ("CC-BY-4.0", "CC BY 4.0"), ("CC-BY-SA-4.0", "CC BY-SA 4.0"), ("CC-BY-NC-4.0", "CC BY-NC 4.0"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International License"), ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"), ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"),
+)
+#: Licences of a family share most of their wording; a text that fits two of them alike is given to the family.
+FAMILIES = {"BSD-2-Clause": "BSD", "BSD-3-Clause": "BSD", "GPL-2.0": "GPL", "GPL-3.0": "GPL", "LGPL-2.1": "LGPL", "LGPL-3.0": "LGPL", "AGPL-3.0": "AGPL", "CC-BY-4.0": "CC", "CC-BY-SA-4.0": "CC", "CC-BY-NC-4.0": "CC"}
+MARGIN = 0.01
+
+
+def _templates():
+    """(licence, text); a text without a licence is a rival that tells what only looks like one."""
+    yield "MIT", _MIT
+    yield "MIT", f"{_MIT} {_AS_IS}"
+    yield "ISC", _ISC
+    yield "ISC", f"{_ISC} {_ISC_AS_IS}"
+    yield "BSD", _BSD
+    yield "BSD-2-Clause", f"{_BSD} {_BSD_TWO}"
+    yield "BSD-2-Clause", f"{_BSD} {_BSD_TWO} {_BSD_AS_IS}"
+    yield "BSD-3-Clause", f"{_BSD} {_BSD_TWO} {_BSD_THREE}"
+    yield "BSD-3-Clause", f"{_BSD} {_BSD_TWO} {_BSD_THREE} {_BSD_AS_IS}"
+    yield None, _AS_IS
+    yield None, _BSD_AS_IS
+    yield None, _ISC_AS_IS
+    yield "Apache-2.0", _APACHE
+    yield "Apache-2.0", f"{_APACHE} {_APACHE_REST}"
+    yield "MPL-2.0", _MPL
+    yield "MPL-2.0", f"{_MPL} {_MPL_REST}"
+    for name, thing, mark, kind, version in _GNU_KINDS:
+        for either in (", either", ";"):
+            notice = _GNU.format(thing=thing, mark=mark, kind=kind, version=version, either=either)
+            yield name, notice
+            yield name, notice + " " + _GNU_REST.format(thing=thing, kind=kind)
+        yield name, f"under the terms of the GNU {kind} version {version} as published by the Free Software Foundation."
+    yield "Unlicense", _UNLICENSE
+    yield "CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."
+    for name, title in _TITLES:
+        yield name, f"Licensed under the {title}."
+        yield name, f"Released under the {title}."
+        yield name, f"This work is licensed under a {title}."
+        yield None, f"Not licensed under the {title}."
+        yield None, f"This file is not licensed under the {title}."
+    for name in dict.fromkeys(name for name, _ in _TITLES):
+        yield name, f"SPDX-License-Identifier: {name}"
+
+
+TEMPLATES = tuple(_templates())
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)([.\-_][^/]*)?$"
 
 
 def terms(text: str) -> list[str]:
-    return _TERM.findall(text.lower())
+    """Runs of letters and digits in lower case, and versions and clause numbers as terms of their own."""
+    low = text.lower()
+    return _TERM.findall(low) + [f"@clause {c}" if c else f"@{a}.{b or 0}" for a, b, c in _VERSION.findall(low)]
 
 
 class Index:
@@ -67,19 +110,39 @@ class Index:
             for t, n in tf.items():
                 self.postings[t].append((k, n * self.idf[t] / norm))
 
-    def best(self, unit: str):
-        """(score, licence) of the most similar template, the earlier of equals; None if no term is shared."""
+    def scores(self, unit: str, threshold: float = 0.0):
+        """({template: cosine}, length of the unit); None if no cosine can reach the threshold."""
         tf = Counter(terms(unit))
-        known = [(t, n) for t, n in tf.items() if t in self.idf]
-        if not known:
+        known = [(t, n * self.idf[t]) for t, n in tf.items() if t in self.idf]
+        held = sum(x * x for _, x in known)
+        norm = math.sqrt(held + sum((n * self.unseen) ** 2 for t, n in tf.items() if t not in self.idf))
+        # Templates have only known terms and unit length, so a cosine is at most the share of those terms.
+        if not known or math.sqrt(held) < threshold * norm:
             return None
-        norm = sum((n * self.idf[t]) ** 2 for t, n in known) + sum((n * self.unseen) ** 2 for t, n in tf.items() if t not in self.idf)
         scores: dict = {}
-        for t, n in known:
+        for t, x in known:
             for k, w in self.postings[t]:
-                scores[k] = scores.get(k, 0.0) + n * self.idf[t] * w
+                scores[k] = scores.get(k, 0.0) + x * w
+        return {k: v / (norm or 1.0) for k, v in scores.items()}, norm
+
+    def best(self, unit: str, threshold: float = 0.0):
+        """(weight, score, licence) of the most similar template, the earlier of equals; None below the threshold, or if it is no licence.
+
+        weight is the part of the unit's length that the template explains. Where
+        another licence of the same family comes within MARGIN, the family is given.
+        """
+        found = self.scores(unit, threshold)
+        if not found:
+            return None
+        scores, norm = found
         k = max(scores, key=lambda k: (scores[k], -k))
-        return scores[k] / math.sqrt(norm or 1.0), self.names[k]
+        name, score = self.names[k], scores[k]
+        if score < threshold or name is None:
+            return None
+        family = FAMILIES.get(name)
+        if family and any(v > score - MARGIN and self.names[j] != name and FAMILIES.get(self.names[j]) == family for j, v in scores.items()):
+            name = family
+        return score * norm, score, name
 
 
 def _units(text: str):
@@ -121,7 +184,10 @@ def evidence(files: DataFrame, templates=TEMPLATES, threshold: float = 0.6) -> D
 
     Weights are TF-IDF: how many units (lines, blocks and whole texts) of all files hold
     each template term is counted over the whole table; terms of no template
-    weigh as terms never seen. The best template counts, the earlier of equals.
+    weigh as terms never seen. Of a file's units that reach the threshold the one
+    counts of which a template explains most, so that a whole text or a header
+    goes before one of its lines; its best template names the licence, the earlier
+    of equals, or the family where two of its licences fit alike.
     """
     rows = files.select("path", F.coalesce("text", F.lit("")).alias("text"))
     vocabulary = frozenset(t for _, text in templates for t in terms(text))
@@ -134,9 +200,9 @@ def evidence(files: DataFrame, templates=TEMPLATES, threshold: float = 0.6) -> D
         for batch in batches:
             out = []
             for path, text in zip(batch.column("path").to_pylist(), batch.column("text").to_pylist()):
-                found = [b for b in map(index.best, _units(text)) if b and b[0] >= threshold]
+                found = [b for u in _units(text) if (b := index.best(u, threshold))]
                 if found:
-                    score, name = max(found, key=lambda b: b[0])
+                    _, score, name = max(found, key=lambda b: b[:2])
                     out.append((path, name, score))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
@@ -158,29 +224,30 @@ def scan(files: DataFrame, templates=TEMPLATES, threshold: float = 0.6) -> DataF
     """
     best = F.max_by(F.struct("licence", "score"), F.struct("score", "licence")).alias("e")
     own = cut(evidence(files, templates, threshold).groupBy("path").agg(best).select("path", "e.*"))
-    # Named by position: the directories of a/b/c.txt are "", "a" and "a/b".
-    parts = F.split("path", "/", -1)
-    folders = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.struct(F.array_join(F.slice(parts, 1, i), "/").alias("folder"), i.alias("depth")))
-    licensed = (
+    folder = F.regexp_replace("path", "/?[^/]*$", "").alias("folder")
+    licensed = cut(
         own.where(F.col("path").rlike(LICENCE_FILE))
-        .select(F.element_at(folders, -1).getField("folder").alias("folder"), "path", "licence", "score")
+        .select(folder, "path", "licence", "score")
         .groupBy("folder")
         .agg(F.min_by(F.struct(F.col("licence").alias("given"), F.col("path").alias("giver")), F.struct(-F.col("score"), "path")).alias("g"))
         .select("folder", "g.*")
-    )
+    )  # written, so that the join can split the rows of a folder high up
     paths = files.select("path").distinct()
-    every = paths.join(own.withColumnRenamed("path", "p"), F.col("path").eqNullSafe(F.col("p")), "left").drop("p")
-    above = (
-        paths.where("path is not null")
-        .select("path", F.size(parts).alias("n"), F.explode(folders).alias("f"))
-        .select("path", "n", "f.folder", "f.depth")
+    every = paths.join(own.withColumnRenamed("path", "p"), F.col("path").eqNullSafe(F.col("p")), "left").drop("p").withColumn("in_folder", folder)
+    # Each folder is resolved once: those above a/b are "", "a" and "a/b", named by depth.
+    parts = F.filter(F.split("in_folder", "/", -1), lambda x: F.col("in_folder") != "")
+    up = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.struct(F.array_join(F.slice(parts, 1, i), "/").alias("folder"), (F.size(parts) - i).alias("distance")))
+    above = cut(
+        every.select("in_folder").where("in_folder is not null").distinct()
+        .select("in_folder", F.explode(up).alias("f"))
+        .select("in_folder", "f.folder", "f.distance")
         .join(licensed, "folder")
-        .groupBy("path")
-        .agg(F.max_by(F.struct("given", "giver", (F.col("n") - 1 - F.col("depth")).alias("distance")), "depth").alias("a"))
-        .select(F.col("path").alias("p"), "a.*")
-    )
+        .groupBy("in_folder")
+        .agg(F.min_by(F.struct("given", "giver", "distance"), "distance").alias("a"))
+        .select("in_folder", "a.*")
+    )
     mine = F.col("licence").isNotNull()
-    return every.join(above, F.col("path").eqNullSafe(F.col("p")), "left").select(
+    return every.join(above, "in_folder", "left").select(
         "path",
         F.col("licence").alias("own"),
         "score",
