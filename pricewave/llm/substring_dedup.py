@@ -161,15 +161,16 @@ def repeats(docs: DataFrame, window: int = 20, gram: int = 5) -> DataFrame:
     )
     # Each share of a hot anchor has named its own firsts; the first of those is the class's.
     firsts = told.where("hot and head")
-    classes = firsts.groupBy("a", "c").agg(F.min(F.struct("doc_id", "lo")).alias("first"))
-    plural = classes.groupBy("a").agg((F.min("c") < F.max("c")).alias("several"))
-    again = firsts.join(classes, ["a", "c"]).join(plural, "a").withColumn("head", F.struct("doc_id", "lo") == F.col("first"))
+    classes = cut(firsts.groupBy("a", "c").agg(F.min(F.struct("doc_id", "lo")).alias("first")))
+    plural = classes.groupBy("a").agg((F.min("c") < F.max("c")).alias("several"))  # a row per hot anchor, of which there are 2 * spread at most
+    again = firsts.join(classes, ["a", "c"]).join(F.broadcast(plural), "a").withColumn("head", F.struct("doc_id", "lo") == F.col("first"))
     told = told.where("not (hot and head)").select("doc_id", "lo", "n", "head").union(again.where("several or not head").select("doc_id", "lo", "n", "head"))
     covered = told.where("not head").select("doc_id", "lo", (F.col("lo") + F.col("n") - 1 + window).alias("hi"))
     open_ = told.where("head").groupBy("doc_id").agg(F.collect_set(F.struct("lo", "n")).alias("spans"))
     bodies = rows.where("doc_id is not null").mapInArrow(_packed, "doc_id long, body binary")
     wins = cut(bodies.join(open_, "doc_id").mapInArrow(_windows(window), "doc_id long, start int, w long, x long"))
-    early = wins.groupBy("w", "x").agg(F.min(F.struct("doc_id", "start")).alias("m"), F.count("*").alias("k")).where("k > 1")
+    # Written, so that the join can split a window that stands in many contexts.
+    early = cut(wins.groupBy("w", "x").agg(F.min(F.struct("doc_id", "start")).alias("m"), F.count("*").alias("k")).where("k > 1"))
     late = wins.join(early, ["w", "x"]).where(F.struct("doc_id", "start") > F.col("m"))
     return covered.union(late.select("doc_id", F.col("start").alias("lo"), (F.col("start") + window).alias("hi")))
 
