@@ -7,7 +7,7 @@ starts are sorted together; a sweep keeps the stack of intervals that hold the
 current url, which are nested, and judges the url by their rules' paths.
 """
 
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left, bisect_right, insort
 
 import pandas as pd
 import pyarrow as pa
@@ -38,7 +38,7 @@ def _sweep(default):
     schema = pa.schema([("page_id", pa.int64()), ("host", pa.string()), ("path", pa.string()), ("rule", pa.string()), ("verdict", pa.string())])
 
     def run(batches):
-        stack, cell = [], None  # stack: (key prefix, [(path, rule, verdict)]), each prefix holding the next
+        stack, cell = [], None  # stack: (key prefix, {path: (rule, verdict)}, lengths of the paths), each prefix holding the next
         for batch in batches:
             out = []
             for part, key, page, host, path, rule, verdict, is_rule in zip(*(batch.column(c).to_pylist() for c in ("part", "key", "page_id", "host", "path", "rule", "verdict", "is_rule"))):
@@ -48,11 +48,20 @@ def _sweep(default):
                     stack.pop()
                 if is_rule:
                     if not stack or stack[-1][0] != key:
-                        stack.append((key, []))
-                    stack[-1][1].append((path, rule, verdict))
+                        stack.append((key, {}, []))
+                    _, rules, lengths = stack[-1]
+                    if len(path) not in lengths:
+                        insort(lengths, len(path))
+                    if path not in rules or verdict == "block":
+                        rules[path] = rule, verdict
                     continue
-                best = max(((len(r), len(k), v == "block", r, v) for k, rules in stack for p, r, v in rules if path.startswith(p)), default=None)
-                out.append((page, host, path, *(best[3:] if best else (None, default))))
+                # Of one host the longest fitting path is looked up by length, whatever the number of its rules.
+                fits = []
+                for k, rules, lengths in stack:
+                    hit = next((rules[path[:n]] for n in reversed(lengths) if n <= len(path) and path[:n] in rules), None)
+                    if hit:
+                        fits.append((len(hit[0]), len(k), hit[1] == "block", *hit))
+                out.append((page, host, path, *(max(fits)[3:] if fits else (None, default))))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
@@ -98,5 +107,5 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", ranges: in
     left = asked.select(part_of("key", "spread").alias("part"), "key", F.lit(False).alias("is_rule"), "page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"))
     right = given.select(F.explode(parts_of("key")).alias("part"), "key", F.lit(True).alias("is_rule"), F.lit(None).cast("long").alias("page_id"), "host", "path", F.concat("host", "path").alias("rule"), "verdict")
     both = left.union(right).withColumn("late", ~F.col("is_rule"))
-    dealt = both.repartition(n, "part").sortWithinPartitions("part", "key", "late")
+    dealt = both.repartitionById(n, F.col("part")).sortWithinPartitions("part", "key", "late")
     return dealt.mapInArrow(_sweep(default), "page_id long, host string, path string, rule string, verdict string")
