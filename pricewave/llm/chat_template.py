@@ -1,10 +1,14 @@
 """Chat formatting by a small sandboxed template language.
 
-A template is cut into text, ``{{ expression }}`` and ``{% tag %}``, parsed into
-a syntax tree, constant parts folded, and compiled into Python closures. Names
-reach only the values passed in; there are no attributes beyond mapping keys, no
-calls beyond the listed filters, and no assignment. Text between
-``{% generation %}`` and ``{% endgeneration %}`` is under the loss mask.
+A template is cut into text, ``{{ expression }}``, ``{% tag %}`` and
+``{# comment #}``, parsed into a syntax tree, constant parts folded, and compiled
+into Python closures. A ``-`` inside a delimiter strips the white space beside
+it. Names reach only the values passed in and those set by ``{% set %}``, which
+last to the end of the loop's turn they are set in; missing ones are none. There
+are no attributes beyond mapping keys and no calls beyond the listed filters and
+tests. Text between ``{% generation %}`` and ``{% endgeneration %}`` is under the
+loss mask. Whatever a template asks of values that cannot give it, such as the
+sum of a number and a text, is a TemplateError.
 """
 
 import hashlib
@@ -13,8 +17,9 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-_PARTS = re.compile(r"(\{\{.*?\}\}|\{%.*?%\})", re.S)
-_TOKEN = re.compile(r"\s*(?:(\d+)|('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|([A-Za-z_]\w*)|(==|!=|<=|>=|[-+~|.()\[\]<>]))")
+_QUOTED = r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\""
+_PARTS = re.compile(rf"(\{{#.*?#\}}|\{{\{{(?:{_QUOTED}|.)*?\}}\}}|\{{%(?:{_QUOTED}|.)*?%\}})", re.S)
+_TOKEN = re.compile(r"\s*(?:(\d+)|('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|([A-Za-z_]\w*)|(==|!=|<=|>=|[-+*%~|.:()\[\]<>]))")
 _ESCAPES = {"n": "\n", "t": "\t"}
 
 #: Strings that mark structure, as patterns: opening bracket, backslashes, the rest.
@@ -40,13 +45,29 @@ def many_lines(text: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], text)
 
 
-FILTERS = {"guard": guard, "line": one_line, "trim": str.strip, "upper": str.upper, "lower": str.lower, "length": len, "string": str}
-
-
 class TemplateError(ValueError):
     pass
 
 
+def _checked(what, call):
+    """call, with values that it cannot take as a TemplateError."""
+
+    def run(*args):
+        try:
+            return call(*args)
+        except (TypeError, AttributeError, ValueError, IndexError, ZeroDivisionError) as e:
+            raise TemplateError(f"{what}: {e}") from None
+
+    return run
+
+
+FILTERS = {name: _checked(name, f) for name, f in (("guard", guard), ("line", one_line), ("trim", str.strip), ("upper", str.upper), ("lower", str.lower), ("length", len), ("string", str), ("first", lambda x: x[0]), ("last", lambda x: x[-1]))}
+TESTS = {
+    "defined": lambda x: x is not None, "none": lambda x: x is None, "string": lambda x: isinstance(x, str), "number": lambda x: isinstance(x, (int, float)) and not isinstance(x, bool),
+    "mapping": lambda x: isinstance(x, dict), "true": lambda x: x is True, "false": lambda x: x is False,
+}
+
+
 class _Expression:
     """Recursive descent over one expression; nodes are tuples (kind, ...)."""
 
@@ -77,11 +98,19 @@ class _Expression:
             raise TemplateError(f"expected {op!r}")
 
     def parse(self):
-        node = self.either()
+        node = self.chosen()
         if self.at != len(self.items):
             raise TemplateError("text after the expression")
         return node
 
+    def chosen(self):
+        """a if test else b; without else none."""
+        node = self.either()
+        if self.take("if"):
+            test = self.either()
+            node = ("choose", test, node, self.chosen() if self.take("else") else ("value", None))
+        return node
+
     def either(self):
         node = self.both()
         while self.take("or"):
@@ -99,8 +128,20 @@ class _Expression:
 
     def compared(self):
         node = self.joined()
-        while op := self.take("==", "!=", "<", ">", "<=", ">=", "in"):
-            node = (op, node, self.joined())
+        while op := self.take("==", "!=", "<", ">", "<=", ">=", "in", "not", "is"):
+            if op == "not":
+                self.need("in")
+                node = ("not", ("in", node, self.joined()))
+            elif op == "is":
+                wrong = self.take("not")
+                name = self.items[self.at][2] if self.at < len(self.items) else None
+                if name not in TESTS:
+                    raise TemplateError(f"no test {name!r}")
+                self.at += 1
+                node = ("test", name, node)
+                node = ("not", node) if wrong else node
+            else:
+                node = (op, node, self.joined())
         return node
 
     def joined(self):
@@ -111,8 +152,14 @@ class _Expression:
         return node
 
     def summed(self):
-        node = self.filtered()
+        node = self.multiplied()
         while op := self.take("+", "-"):
+            node = (op, node, self.multiplied())
+        return node
+
+    def multiplied(self):
+        node = self.filtered()
+        while op := self.take("*", "%"):
             node = (op, node, self.filtered())
         return node
 
@@ -136,15 +183,22 @@ class _Expression:
                 self.at += 1
                 node = ("key", node, ("value", name))
             else:
-                node = ("key", node, self.either())
+                low = None if self.peek(":") else self.either()
+                if self.take(":"):
+                    high = None if self.peek("]") else self.either()
+                    node = ("slice", node, low or ("value", None), high or ("value", None))
+                else:
+                    node = ("key", node, low)
                 self.need("]")
         return node
 
     def single(self):
         if self.take("("):
-            node = self.either()
+            node = self.chosen()
             self.need(")")
             return node
+        if self.take("-"):
+            return ("-", ("value", 0), self.reached())
         if self.at >= len(self.items):
             raise TemplateError("expression ends early")
         number, text, name, op = self.items[self.at]
@@ -153,16 +207,32 @@ class _Expression:
             return ("value", int(number))
         if text:
             return ("value", re.sub(r"\\(.)", lambda m: _ESCAPES.get(m[1], m[1]), text[1:-1]))
-        if name in ("true", "false", "none"):
-            return ("value", {"true": True, "false": False, "none": None}[name])
+        if name and name.lower() in _NAMED:
+            return ("value", _NAMED[name.lower()])
         if name:
             return ("name", name)
         raise TemplateError(f"unexpected {op!r}")
 
 
+_NAMED = {"true": True, "false": False, "none": None}
+
+
+def _pieces(source: str) -> list[str]:
+    """Texts, and parts without the signs that strip the white space beside them."""
+    out = _PARTS.split(source)
+    for k in range(1, len(out), 2):
+        if out[k][2:3] == "-":
+            out[k] = out[k][:2] + out[k][3:]
+            out[k - 1] = out[k - 1].rstrip()
+        if out[k][-3:-2] == "-" and len(out[k]) > 4:
+            out[k] = out[k][:-3] + out[k][-2:]
+            out[k + 1] = out[k + 1].lstrip()
+    return [p for k, p in enumerate(out) if p and not (k % 2 and p.startswith("{#"))]
+
+
 def parse(source: str) -> list:
-    """Syntax tree: a list of ("text", s), ("print", e), ("for", name, e, body), ("if", [(e, body)...], orelse), ("generation", body)."""
-    pieces = [p for p in _PARTS.split(source) if p]
+    """Syntax tree: a list of ("text", s), ("print", e), ("set", name, e), ("for", name, e, body), ("if", [(e, body)...], orelse), ("generation", body)."""
+    pieces = _pieces(source)
     body, at = _block(pieces, 0, ())
     if at != len(pieces):
         raise TemplateError(f"unexpected {pieces[at]!r}")
@@ -190,13 +260,19 @@ def _block(pieces, at, until):
                 raise TemplateError(f"cannot read {tag!r}")
             body, at = _closed(pieces, at, "endfor")
             out.append(("for", m[1], _Expression(m[2]).parse(), body))
+        elif word == "set":
+            m = re.fullmatch(r"set\s+([A-Za-z_]\w*)\s*=(?!=)\s*(.+)", tag, re.S)
+            if not m:
+                raise TemplateError(f"cannot read {tag!r}")
+            out.append(("set", m[1], _Expression(m[2]).parse()))
+            at += 1
         elif word == "generation":
             body, at = _closed(pieces, at, "endgeneration")
             out.append(("generation", body))
         elif word == "if":
             arms, other = [], []
             while True:
-                test = _Expression(tag.split(None, 1)[1] if " " in tag else "").parse()
+                test = _Expression((tag.split(None, 1) + [""])[1]).parse()
                 body, at = _block(pieces, at + 1, ("elif", "else", "endif"))
                 arms.append((test, body))
                 tag = _tag(pieces[at]) if at < len(pieces) else ""
@@ -224,8 +300,29 @@ def _closed(pieces, at, end):
 _BINARY = {
     "==": lambda a, b: a == b, "!=": lambda a, b: a != b, "<": lambda a, b: a < b, ">": lambda a, b: a > b,
     "<=": lambda a, b: a <= b, ">=": lambda a, b: a >= b, "in": lambda a, b: a in b,
-    "+": lambda a, b: a + b, "-": lambda a, b: a - b, "~": lambda a, b: f"{a}{b}",
+    "+": lambda a, b: a + b, "-": lambda a, b: a - b, "*": lambda a, b: _number(a) * _number(b), "%": lambda a, b: _number(a) % b, "~": lambda a, b: f"{_shown(a)}{_shown(b)}",
 }
+_BINARY = {op: _checked(op, call) for op, call in _BINARY.items()}
+
+
+def _shown(value) -> str:
+    return "" if value is None else str(value)
+
+
+def _number(value):
+    """Texts are neither repeated nor taken as formats."""
+    if isinstance(value, (str, list, tuple)):
+        raise TypeError("a number is needed")
+    return value
+
+
+def _slice(value, low, high):
+    if not isinstance(value, (str, list, tuple)):
+        raise TypeError("only texts and lists have parts")
+    return value[low:high]
+
+
+_slice = _checked("slice", _slice)
 
 
 def fold_expression(node):
@@ -236,9 +333,16 @@ def fold_expression(node):
     if kind == "filter":
         inner = fold_expression(node[2])
         return ("value", FILTERS[node[1]](inner[1])) if inner[0] == "value" else ("filter", node[1], inner)
+    if kind == "test":
+        inner = fold_expression(node[2])
+        return ("value", TESTS[node[1]](inner[1])) if inner[0] == "value" else ("test", node[1], inner)
     args = [fold_expression(a) for a in node[1:]]
     if kind in ("and", "or") and args[0][0] == "value":
         return args[1] if bool(args[0][1]) == (kind == "and") else args[0]
+    if kind == "choose" and args[0][0] == "value":
+        return args[1] if args[0][1] else args[2]
+    if kind == "slice" and all(a[0] == "value" for a in args):
+        return ("value", _slice(*(a[1] for a in args)))
     if kind == "not" and args[0][0] == "value":
         return ("value", not args[0][1])
     if kind in _BINARY and args[0][0] == args[1][0] == "value":
@@ -260,7 +364,9 @@ def fold(body: list) -> list:
         kind = node[0]
         if kind == "print":
             e = fold_expression(node[1])
-            add(("text", "" if e[1] is None else str(e[1])) if e[0] == "value" else ("print", e))
+            add(("text", _shown(e[1])) if e[0] == "value" else ("print", e))
+        elif kind == "set":
+            add(("set", node[1], fold_expression(node[2])))
         elif kind == "for":
             add(("for", node[1], fold_expression(node[2]), fold(node[3])))
         elif kind == "generation":
@@ -292,8 +398,8 @@ def _expression(node):
     if kind == "name":
         name = node[1]
         return lambda scope: scope.get(name)
-    if kind == "filter":
-        call, inner = FILTERS[node[1]], _expression(node[2])
+    if kind in ("filter", "test"):
+        call, inner = (FILTERS if kind == "filter" else TESTS)[node[1]], _expression(node[2])
         return lambda scope: call(inner(scope))
     args = [_expression(a) for a in node[1:]]
     if kind == "key":
@@ -314,6 +420,10 @@ def _expression(node):
         return lambda scope: args[0](scope) or args[1](scope)
     if kind == "not":
         return lambda scope: not args[0](scope)
+    if kind == "choose":
+        return lambda scope: args[1](scope) if args[0](scope) else args[2](scope)
+    if kind == "slice":
+        return lambda scope: _slice(*(a(scope) for a in args))
     call = _BINARY[kind]
     return lambda scope: call(args[0](scope), args[1](scope))
 
@@ -338,10 +448,12 @@ def _step(node):
         value = _expression(node[1])
 
         def show(scope, emit, masked):
-            v = value(scope)
-            emit("" if v is None else str(v), masked)
+            emit(_shown(value(scope)), masked)
 
         return show
+    if kind == "set":
+        given = _expression(node[2])
+        return lambda scope, emit, masked: scope.__setitem__(node[1], given(scope))
     if kind == "generation":
         inner = _body(node[1])
         return lambda scope, emit, masked: inner(scope, emit, True)
@@ -359,7 +471,7 @@ def _step(node):
 
     def loop(scope, emit, masked):
         """The items may be any iterable: one is held ahead, to know the last."""
-        source = iter(items(scope) or ())
+        source = _checked("for", iter)(items(scope) or ())
         item = next(source, _END)
         index = 0
         while item is not _END:
@@ -376,7 +488,7 @@ _END = object()
 def compile_template(source: str):
     """render(emit, **names): emit(text, masked) is called for each stretch in order."""
     run = _body(fold(parse(source)))
-    return lambda emit, **names: run(names, emit, False)
+    return lambda emit, **names: run(dict(names), emit, False)
 
 
 TEMPLATE = (
