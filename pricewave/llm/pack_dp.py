@@ -95,7 +95,7 @@ def choose(length: int, places: np.ndarray, costs: np.ndarray, size: int) -> lis
     return ends[::-1]
 
 
-def _pack(path: str, size: int, with_ids: bool):
+def _pack(path: str, size: int, with_ids: bool, stretch: int, every: int):
     fields = [("doc_id", pa.int64())] + [(n, pa.int64()) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
     schema = pa.schema(fields + ([("ids", pa.list_(pa.int32()))] if with_ids else []))
 
@@ -116,7 +116,7 @@ def _pack(path: str, size: int, with_ids: bool):
             doc_ends = np.cumsum([len(d[1]) for d in held])
             kind[doc_ends - 1] = DOC_CUT
             free = kind < HARD_CUT
-            free[31::32] = True  # cuts elsewhere, so that no stretch is without one
+            free[every - 1 :: every] = True  # cuts elsewhere, so that no stretch is without one
             free[-1] = True
             places = np.flatnonzero(free) + 1
             ends = choose(length, places, kind[places - 1], size)
@@ -161,7 +161,7 @@ def _pack(path: str, size: int, with_ids: bool):
                 ids = np.append(encode(enc, added, text or ""), np.array([0], "<u4")).astype("<u4")
                 held.append([doc, ids, 0, len(ids)])
                 waiting += len(ids)
-                if waiting >= STRETCH:
+                if waiting >= stretch:
                     yield solve(False)
         if held:
             yield solve(True)
@@ -169,14 +169,18 @@ def _pack(path: str, size: int, with_ids: bool):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 1024, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = 1024, with_ids: bool = False, stretch: int = STRETCH, every: int = 32) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids).
 
     A document is its token ids, by the tokenizers file whose path is given, and
     an id 0. Documents stay in doc_id order, and each partition of that order is
     packed on its own into sequences of at most size tokens. Cuts fall at
     document ends or sentence ends, or elsewhere at a higher cost; a dynamic
-    program minimises padding plus cut costs. Sequences whose length is a power
+    program minimises padding plus cut costs over each stretch of about that many
+    tokens, cuts elsewhere being offered at every so many tokens: it is optimal
+    for a partition with a stretch longer than that and every = 1, and every
+    must not exceed size. What is packed together depends on the number of
+    partitions; that each id lies in one piece does not. Sequences whose length is a power
     of two need no padding, so a partition's last tokens become such sequences.
     Null and empty texts are the single id 0. Repeated rows are packed each;
     rows without a doc_id come first. doc_ids are whole numbers. An empty table
@@ -185,4 +189,4 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, with_ids: bool = Fal
     rows = texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     dealt = rows.repartitionByRange(partitions(docs), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + (", ids array<int>" if with_ids else "")
-    return dealt.mapInArrow(_pack(tokenizer, size, with_ids), kinds)
+    return dealt.mapInArrow(_pack(tokenizer, size, with_ids, stretch, every), kinds)

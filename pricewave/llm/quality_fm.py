@@ -135,7 +135,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train: i
     """Fit on labelled rows that are not held out; at most max_train, the least by hash of the doc_id.
 
     Rows with a null label or id are left out; of several labels of a document
-    the least counts. Without rows the machine scores everything 0.5.
+    the least counts. Rows that repeat a chosen document each train, so it weighs
+    more. Without rows the machine scores everything 0.5.
     """
     said = labels.where(F.col(label).isNotNull() & ~held_out("doc_id")).groupBy("doc_id").agg(F.min(label).cast("double").alias("y"))
     chosen = said.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)

@@ -39,6 +39,18 @@ def test_classifier_learns_and_scores_all(spark, corpus, nothing):
     assert quality_fm.score(nothing, quality_fm.fit(nothing, labels)).count() == 0
 
 
+def test_held_out_labels(spark):
+    """Figures on the driver's labelled rows that are never fitted on: area under the curve, and accuracy."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    scored = quality_fm.score(docs, quality_fm.fit(docs, labels)).where("held_out").join(labels, "doc_id").collect()
+    good, bad = ([r.score for r in scored if r.quality == q] for q in (1, 0))
+    assert len(good) > 30 and len(bad) > 10
+    assert sum((g > b) + 0.5 * (g == b) for g in good for b in bad) > 0.97 * len(good) * len(bad)
+    assert sum(r.predicted == r.quality for r in scored) > 0.93 * len(scored)
+    assert quality_fm.score(docs.unionByName(docs.limit(9)), quality_fm.fit(docs.unionByName(docs), labels)).count() == docs.count() + 9
+
+
 def plain_align(item, passage):
     best, h = (0, 0), [[0] * (len(passage) + 1) for _ in range(len(item) + 1)]
     for i in range(1, len(item) + 1):
@@ -74,7 +86,7 @@ def test_decontaminate(spark, nothing, monkeypatch, shipped):
     got = {(r.doc_id, r.item_id): r for r in decontaminate.matches(d, b).collect()}
     assert set(got) == {(1, 0), (2, 1), (5, 2)}
     assert got[1, 0].score == 1.0 and (got[1, 0].start, got[1, 0].end) == (50, 80) and 0.8 < got[2, 1].score < 1
-    assert {r.doc_id for r in decontaminate.clean(d, b).collect()} == {0, 3, 4, 6, None}
+    assert {r.doc_id for r in decontaminate.clean(d, b).collect()} == {0, 3, 4, 6}  # the row without an id is item 0
     assert decontaminate.matches(nothing, b).count() == 0 and decontaminate.matches(d, nothing.withColumnRenamed("doc_id", "item_id")).count() == 0
 
 
@@ -97,6 +109,35 @@ def test_copies_do_not_choose_seeds(spark):
     assert {r.doc_id for r in decontaminate.clean(d, b).collect()} == set(range(len(docs))) - {i for i, _ in want}
 
 
+@pytest.mark.parametrize("own", [14, 26])
+def test_phrases_that_items_share(spark, own):
+    """Items of a common phrase and words of their own, repeated items, and copies, edited copies and the phrase alone, against alignment of all pairs."""
+    rng = random.Random(14)
+    text = lambda n: [rng.choice("aeiou") + "".join(rng.choice("aeioulmn") for _ in range(5)) for _ in range(n)]
+    phrase = text(20)
+    items = [phrase + text(own) for _ in range(12)]
+    items += [items[0], items[0]]
+    docs = [text(10) + phrase + text(10), text(60), text(8) + items[3] + text(8), items[0], items[5][10:] + text(5)]
+    docs += [text(8) + [f"new{i}" if i in range(k, 99, 7) else w for i, w in enumerate(items[k])] + text(8) for k in range(6)]
+    want = {(i, j): s for i, t in enumerate(docs) for j, item in enumerate(items) if (s := plain_align(item, t) / (2 * len(item))) >= 0.5}
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(docs)], "doc_id long, text string").withColumn("item_id", F.lit("clash"))
+    b = spark.createDataFrame([(j, " ".join(t)) for j, t in enumerate(items)], "item_id long, text string").withColumn("doc_id", F.lit(5))
+    assert {(r.doc_id, r.item_id): r.score for r in decontaminate.matches(d, b).collect()} == pytest.approx(want)
+
+
+def test_long_texts_are_aligned_in_pieces(spark, monkeypatch):
+    """A text whose copies lie beyond one piece, by the shuffled plan too."""
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_PLACES", 0)
+    rng = random.Random(15)
+    text = lambda n: [rng.choice("aeiou") + "".join(rng.choice("aeioulmn") for _ in range(4)) for _ in range(n)]
+    item = text(30)
+    # Seeds of the item all along make one long region; its best copy comes last.
+    long = [w for _ in range(400) for w in item[:5] + text(12)] + item + text(50)
+    d = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(text(9000)))], "doc_id long, text string")
+    got = decontaminate.matches(d, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.score, r.start, r.end) for r in got] == [(1, 7, 1.0, 6800, 6830)]
+
+
 def test_licences(spark, nothing):
     apache, gpl = "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3."
     files = [("a/LICENSE", "x\n" + apache), ("a/b/f.txt", "words and the license of all"), ("a/b/COPYING", gpl), ("a/c/f.txt", None), ("d/f.txt", "prose"), ("d/g.txt", gpl.lower()), ("f.txt", ""), (None, apache), ("a/b/c/d/e.txt", "deep"), ("a/LICENSE", "x\n" + apache)]
@@ -112,9 +153,8 @@ def test_encoder_equals_tokenizers(corpus):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     enc, _ = pack_dp.encoder(tokenizer_path())
-    tricky = ["", " ", "a  b", "it's we'LL <|endoftext|> 12,3\n\n x\t", "é ñ   日本語 😀", "\x1c\x85 end "]
+    tricky = ["", " ", "a  b", "it's we'LL 12,3\n\n x\t", "é ñ   日本語 😀", "\x1c\x85 end "]
     for text in [r.text or "" for r in corpus.where("doc_id < 40").collect()] + tricky:
         assert pack_dp._encode(enc, text).tolist() == t.encode(text, add_special_tokens=False).ids, text[:80]
 
@@ -129,6 +169,55 @@ def test_wrapped_headers(spark):
     assert not any(r.own for r in got if r.path[0] == "p")
 
 
+def test_versions_are_told_apart(spark):
+    """Texts and headers of licences that share most of their wording, and lines that only mention one."""
+    L = license_scan
+    wrap = lambda text, mark: "\n".join(f"{mark} {x}" for x in textwrap.wrap(text, 64))
+    gnu = lambda name, rest: next((L._GNU.format(thing=t, mark=m, kind=k, version=v, either=", either") + rest * (" " + L._GNU_REST.format(thing=t, kind=k)) for n, t, m, k, v in L._GNU_KINDS if n == name))
+    own = "Copyright (c) 2011, Some Person. All rights reserved.\n\n"
+    given = {"MIT": own + L._MIT + "\n\n" + L._AS_IS, "ISC": own + L._ISC + "\n\n" + L._ISC_AS_IS, "BSD-2-Clause": own + L._BSD + "\n" + L._BSD_TWO + "\n\n" + L._BSD_AS_IS, "BSD-3-Clause": own + L._BSD + "\n" + L._BSD_TWO + "\n" + L._BSD_THREE + "\n\n" + L._BSD_AS_IS}
+    given |= {name: gnu(name, True) for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")}
+    given |= {"Apache-2.0": L._APACHE + " " + L._APACHE_REST, "MPL-2.0": L._MPL + " " + L._MPL_REST}
+    code = "\n\nimport words\nx = other + things\n\ndef more(code):\n    return code\n"
+    files = [(f"{name}/{k}", text) for name, whole in given.items() for k, text in enumerate([whole, wrap(whole, "#") + code, wrap(whole, " *") + code, f"// SPDX-License-Identifier: {name}" + code])]
+    files += [(f"{name}/short", wrap(gnu(name, False), "//") + code) for name in given if "GPL" in name]
+    files += [(f"none/{k}", t) for k, t in enumerate(["This file is not licensed under the MIT License.", "Not licensed under the Apache License, Version 2.0.", "words on a licence that is fine", L._AS_IS])]
+    files += [("BSD/line", L._BSD + code)] + [(f"p/{i}", f"prose {i} of\nmany words and the rest of a line") for i in range(80)]
+    got = {r.path: r.own for r in license_scan.scan(spark.createDataFrame(files, "path string, text string").withColumn("licence", F.lit("clash"))).collect()}
+    assert {p: o for p, o in got.items() if p.split("/")[0] != o} == {p: None for p, _ in files if p[:2] in ("no", "p/")}
+
+
+def test_cosines_and_ties(spark):
+    """Cosines against plain vectors; tied templates and tied licence files of a folder."""
+    rng = random.Random(13)
+    vocabulary = [f"w{i}" for i in range(30)]
+    templates = [(f"L{k}", " ".join(rng.choices(vocabulary, k=8))) for k in range(6)]
+    templates += [("tie", templates[2][1])]
+    units = [" ".join(rng.choices(vocabulary + ["unseen", "other"], k=rng.randint(1, 12))) for _ in range(300)]
+    frequency = {t: sum(t in u.split() for u in units) for t in vocabulary}
+    index = license_scan.Index(templates, frequency, len(units))
+
+    def vector(text):
+        held = {t for _, x in templates for t in x.split()}
+        return {t: text.split().count(t) * (np.log((1 + len(units)) / (1 + frequency[t])) + 1e-6 if t in held else np.log(1 + len(units))) for t in set(text.split())}
+
+    def cosine(a, b):
+        return sum(x * b.get(t, 0) for t, x in a.items()) / np.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+
+    for u in units:
+        scores = [cosine(vector(u), vector(t)) for _, t in templates]
+        for threshold in (0.0, 0.4, 0.7):
+            got = index.best(u, threshold)
+            if got is None:
+                assert max(scores) < max(threshold, 1e-9)
+            else:
+                assert got[1] == pytest.approx(max(scores)) and got[2] == templates[int(np.argmax(np.round(scores, 9)))][0]
+    apache, mit = "Licensed under the Apache License, Version 2.0.", "Licensed under the MIT License."
+    files = [("d/LICENSE-b", mit), ("d/LICENSE-a", mit), ("d/e/f.txt", "x"), ("g/f.txt", "long " * 200000), ("/LICENSE", apache), ("/h/i", None)]
+    got = {r.path: (r.licence, r.source, r.distance) for r in license_scan.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got["d/e/f.txt"] == ("MIT", "d/LICENSE-a", 1) and got["/h/i"] == ("Apache-2.0", "/LICENSE", 1)
+
+
 def test_added_tokens_as_loaded(spark):
     """Texts that quote an added token, against the tokenizer as loaded."""
     from tokenizers import Tokenizer
@@ -178,6 +267,35 @@ def test_pack_round_trip(corpus, nothing):
     assert pack_dp.pack(nothing, tokenizer_path()).count() == 0
 
 
+def test_pack_stretches(spark):
+    """Documents longer than a stretch, repeated rows and null ids; and the exact program over one stretch against choose()."""
+    rng = random.Random(16)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(4)) + rng.choice(["", "", "."]) for _ in range(n))
+    docs = [(1, prose(400)), (2, prose(30)), (2, prose(20)), (3, prose(10)), (3, None), (None, prose(15)), (4, prose(90))]
+    docs += [docs[3]]
+    d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("start", F.lit("clash")).coalesce(1)
+    enc, is_end = pack_dp.encoder(tokenizer_path())
+    whole = sorted(str([*pack_dp._encode(enc, t or "").tolist(), 0]) for _, t in docs)
+    for how in ({"stretch": 100}, {"stretch": 1 << 40, "every": 1}):
+        got = pack_dp.pack(d, tokenizer_path(), size=64, with_ids=True, **how).toPandas()
+        pieces = got.sort_values(["sequence_id", "offset"])
+        joined, held = [], []
+        for r in pieces.itertuples():
+            held += list(r.ids)
+            if r.start + r.length == r.doc_tokens:
+                joined.append(str(held))
+                held = []
+        assert sorted(joined) == whole and not held
+        assert got.groupby("sequence_id").length.sum().max() <= 64
+    for _, part in pieces.groupby(pieces.sequence_id // (1 << 40)):
+        ids = np.concatenate([np.array(x) for x in part.ids])
+        kind = np.where(is_end[ids], pack_dp.SENTENCE_CUT, pack_dp.HARD_CUT)
+        kind[np.flatnonzero((part.start + part.length == part.doc_tokens).to_numpy()).tolist() and (part.length.cumsum()[(part.start + part.length == part.doc_tokens)] - 1).to_numpy()] = pack_dp.DOC_CUT
+        ends = pack_dp.choose(len(ids), np.arange(1, len(ids) + 1), kind, 64)
+        mine = part.groupby("sequence_id").length.sum().cumsum().tolist()
+        assert mine[: len(ends) - 1] == ends[:-1]
+
+
 def render(source, **names):
     parts = []
     chat.compile_template(source)(lambda t, masked: parts.append((t, masked)), **names)
@@ -191,7 +309,16 @@ def test_template_language():
     assert render("a{% generation %}{{ 'b' ~ 1 + 1 }}{% endgeneration %}c") == ("ab2c", "b2")
     assert chat.fold(chat.parse("a{{ 'b' ~ 'c' }}{% if 1 == 2 %}no{% else %}d{% endif %}")) == [("text", "abcd")]
     assert render("{{ m.__class__ }}|{{ m['x'] }}", m={"x": 1})[0] == "|1"
-    for bad in ("{% for x %}{% endfor %}", "{{ x | eval }}", "{% if a %}", "{{ f(1) }}", "{% import os %}"):
+    assert render("a{# note {{ x }} #}b")[0] == "ab" and render("a \n{%- if true -%} \n b {{- ' c ' -}} d{% endif %}")[0] == "ab c d"
+    assert render("{{ '}}' }}{% if '%}' == x %}y{% endif %}", x="%}")[0] == "}}y"
+    assert render("{% set a = 'p' %}{% for x in xs %}{% set b = x ~ a %}{{ b }}{% endfor %}{{ b }}|{{ xs[1:] | length }}{{ 'word'[:-2] }}", xs=["q", "r"])[0] == "qprp|1wo"
+    assert render("{{ 'y' if a is defined and b is not defined else 'n' }}{{ 'z' if c not in 'abc' }}", a=1, c="q")[0] == "yz"
+    assert render("{% for x in xs %}{% if loop.index0 % 2 == 1 %}{{ x }}{% endif %}{% endfor %}{% if\n a\n%}k{% endif %}", xs="abcd", a=1)[0] == "bdk"
+    assert render("{% for m in messages %}{% if m['role'] == 'user' %}{{ '<|u|>' + m['content'].text | trim }}{% else %}{{ m['content'] }}{% endif %}{% endfor %}{% if add %}{{ '<|a|>' }}{% endif %}", messages=[{"role": "user", "content": {"text": " hi "}}, {"role": "assistant", "content": None}], add=True)[0] == "<|u|>hi<|a|>"
+    for wrong in ("{{ none | upper }}", "{{ 1 + 'a' }}", "{{ x | trim }}", "{{ x < 'a' }}", "{{ 5[1:] }}", "{{ 'a' * 9 }}", "{% for y in 5 %}{% endfor %}", "{{ 1 % 0 }}"):
+        with pytest.raises(chat.TemplateError):
+            render(wrong, x=3)
+    for bad in ("{% for x %}{% endfor %}", "{{ 1 is odd }}", "{% set a %}", "{{ x[ }}", "{{ x | eval }}", "{% if a %}", "{{ f(1) }}", "{% import os %}"):
         with pytest.raises(chat.TemplateError):
             chat.compile_template(bad)
 
@@ -239,3 +366,21 @@ def test_url_rules(spark):
     assert len(got) == len(urls) + 1
     assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got} == {i: plain(u) for i, u in enumerate(urls)}
     assert url_rules.judge(pages.where("false"), given).count() == 0 and url_rules.judge(pages, given.where("false")).where("verdict = 'allow'").count() == len(urls) + 1
+
+
+def test_many_rules_of_one_host(spark):
+    """Thousands of paths under one host, equal rules of both verdicts, very long urls and columns with the rules' names, against a scan of all rules."""
+    rng = random.Random(17)
+    paths = {"/" + "/".join(rng.choice("abc") * rng.randint(1, 3) for _ in range(rng.randint(1, 6))) for _ in range(3000)}
+    rules = [("a.com", p, rng.choice(["allow", "block"])) for p in sorted(paths)] + [("a.com", "/b", "allow"), ("a.com", "/b", "block"), ("www.a.com", "/bb", "allow")]
+    urls = ["https://" + rng.choice(["a.com", "www.a.com", "x.www.a.com", "b.com"]) + "/" + "/".join(rng.choice("abc") * rng.randint(1, 3) for _ in range(rng.randint(1, 7))) for _ in range(300)]
+    urls += ["https://a.com/" + "b/" * 100_000, "https://" + "a." * 20_000 + "com/b"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("host", F.lit("h")).withColumn("rule", F.lit(1)).withColumn("key", F.lit("k"))
+    got = url_rules.judge(pages, spark.createDataFrame(rules, "host string, path string, verdict string"), ranges=7).collect()
+
+    def plain(url):
+        host, path = url[8:].split("/", 1)[0], "/" + url[8:].split("/", 1)[1]
+        best = max(((len(h + p), len(h), v == "block", h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)), default=None)
+        return best[3:] if best else (None, "allow")
+
+    assert {r.page_id: (r.rule, r.verdict) for r in got} == {i: plain(u) for i, u in enumerate(urls)}
