@@ -1,5 +1,10 @@
 """Column functions: money, weeks, names and quantities. Column in, Column out; no Python workers."""
 
+import sys
+import unicodedata
+from functools import lru_cache
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, functions as F
 
 # Fixed values.
@@ -27,8 +32,10 @@ KEYWORD_RULES = (
     ("Cleaning Goods", ("dishwash", "disinfectant", "bleach", "toilet cleaner", "multipurpose cleaner", "surface spray")),
 )
 UNCATEGORISED = "Uncategorised"
-#: Latin letters with marks, and the letters they fold to; other scripts are left as they are.
-MARKED, PLAIN = "áàâãäåāăąçćčďéèêëēėęěíìîïīłñńňóòôõöøōőŕřśšşťúùûüūůűýÿžźż", "aaaaaaaaacccdeeeeeeeeiiiiilnnnooooooooorrssstuuuuuuuyyzzz"
+# How sizes and counts are written in names.
+MULTIPACK = r"(\d+)\s*[x×]\s*(\d+(?:\.\d+)?)\s*(g|kg|ml|l)\b"
+SIZE = r"(\d+(?:\.\d+)?)\s*(g|kg|ml|l)\b"
+COUNT_UNITS = "pk|pack|packs|each|ea|bags?|rolls?|sheets?|capsules?|tablets?|wipes|pods?|loads?|pairs?|serves?"
 
 
 def cents(price: str) -> Column:
@@ -88,6 +95,11 @@ def image_path(item: str) -> Column:
     return F.concat(F.substring(item, 1, 1), F.lit("/"), F.col(item), F.lit(".jpg"))
 
 
+def image_url(retailer: str, item: str, sharded: str = "", flat: str = "", flat_retailer: str = "woolworths") -> Column:
+    """An item's image by the retailer's layout: in a folder of the id's first character, or in one folder of large images."""
+    return F.when(F.col(retailer) == flat_retailer, F.concat(F.lit(f"{flat}/large/"), F.col(item), F.lit(".jpg"))).otherwise(F.concat(F.lit(sharded + "/"), image_path(item)))
+
+
 def sku_key(sku: str, name: str) -> Column:
     """The stock number, or a key made of the name."""
     return F.coalesce(sku, F.concat(F.lit("stockup:"), F.lower(F.regexp_replace(F.trim(name), r"\s+", " "))))
@@ -111,9 +123,50 @@ def search_query(name: str) -> Column:
     return F.trim(F.regexp_replace(q, r"^NEW\s+", ""))
 
 
+@lru_cache(None)
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """By Unicode's NFKD without combining marks: characters that become one character or none, and those that become several.
+
+    Only results with an ASCII character matter; all others become a space in the end.
+    """
+    one, several = {}, {}
+    for code in range(128, sys.maxunicode + 1):
+        c = chr(code)
+        if 0xD800 <= code < 0xE000:
+            continue
+        if unicodedata.combining(c):
+            one[c] = ""
+            continue
+        to = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if to != c and (not to or any(x.isascii() for x in to)):
+            (one if len(to) < 2 else several)[c] = to
+    return one, several
+
+
+def fold(text) -> Column:
+    """Compatibility forms and marks taken off letters and digits, as NFKD does; other characters are left."""
+    one, several = _folds()
+    to = sorted(one, key=lambda c: one[c] == "")  # those without a counterpart go
+    text = F.col(text) if isinstance(text, str) else text
+    plain = F.translate(text, "".join(to), "".join(one[c] for c in to))
+    known = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    spread = F.array_join(F.transform(F.split(plain, ""), lambda c: F.coalesce(F.element_at(known, c), c)), "")
+    any_several = plain.rlike("[" + "".join(several) + "]")
+    return F.when(~text.rlike("[^\\x00-\\x7F]"), text).when(any_several, spread).otherwise(plain)
+
+
+def unescape(text: str) -> Column:
+    """HTML's character references written out: named ones of HTML 4, decimal and hexadecimal ones; unknown ones stay."""
+    known = ", ".join(f"'{name}', {code}" for name, code in name2codepoint.items())
+    code = f"""CASE WHEN p RLIKE '^&#[xX][0-9a-fA-F]{{1,6}};$' THEN CAST(conv(substr(p, 4, length(p) - 4), 16, 10) AS INT)
+                    WHEN p RLIKE '^&#[0-9]{{1,7}};$' THEN CAST(substr(p, 3, length(p) - 3) AS INT)
+                    WHEN p RLIKE '^&[a-zA-Z0-9]+;$' THEN element_at(map({known}), substr(p, 2, length(p) - 2)) END"""
+    shown = f"transform(regexp_extract_all({text}, r'&#?[0-9a-zA-Z]+;|[^&]+|&', 0), p -> coalesce(transform(array({code}), c -> IF(c BETWEEN 1 AND 1114111, decode(unhex(lpad(hex(c), 8, '0')), 'UTF-32'), NULL))[0], p))"
+    return F.expr(f"IF(contains({text}, '&'), array_join({shown}, ''), {text})")
+
+
 def normal_name(name) -> Column:
-    folded = F.translate(F.lower(name), MARKED, PLAIN)
-    bare = F.regexp_replace(F.regexp_replace(folded, "&", " and "), "[^a-z0-9.]+", " ")
+    bare = F.regexp_replace(F.regexp_replace(fold(F.lower(name)), "&", " and "), "[^a-z0-9.]+", " ")
     return F.trim(F.regexp_replace(bare, " +", " "))
 
 
@@ -126,15 +179,16 @@ def index_tokens(words) -> Column:
     return F.filter(words, lambda t: ~t.isin(STOPWORDS) & ~t.rlike(r"^\d"))
 
 
-def search_tokens(text) -> Column:
-    """Words of two letters or more, accents folded."""
-    bare = F.regexp_replace(F.translate(F.lower(text), MARKED, PLAIN), r"[^a-z0-9\s]+", " ")
+def search_tokens(text, folded: bool = True) -> Column:
+    """Distinct words of two letters or more, accents folded unless told otherwise."""
+    text = F.col(text) if isinstance(text, str) else text
+    bare = F.regexp_replace(F.lower(F.regexp_replace(fold(text), "[^\\x00-\\x7F]", "") if folded else text), r"[^a-z0-9\s]+", " ")
     return F.array_distinct(F.filter(F.split(bare, r"\s+"), lambda t: F.length(t) > 1))
 
 
 def quantity_signature(normal: str) -> Column:
     """Totals by family as text, like "g:350.0"; "" if none. Multipacks count n times, kilograms and litres a thousand."""
-    many, one = r"(\d+)\s*[x×]\s*(\d+(?:\.\d+)?)\s*(g|kg|ml|l)\b", r"(\d+(?:\.\d+)?)\s*(g|kg|ml|l)\b"
+    many, one = MULTIPACK, SIZE
     rest = rf"regexp_replace({normal}, r'{many}', ' ')"
     part = lambda text, pattern, k: f"regexp_extract_all({text}, r'{pattern}', {k})"
     size = "CAST({q} AS DOUBLE) * IF({u} IN ('kg', 'l'), 1000D, 1D)"
@@ -147,8 +201,7 @@ def quantity_signature(normal: str) -> Column:
 
 def pack_counts(normal: str) -> Column:
     """Sorted pack counts as text."""
-    units = "pk|pack|packs|each|ea|bags?|rolls?|sheets?|capsules?|tablets?|wipes|pods?|loads?|pairs?|serves?"
-    return F.expr(f"array_join(transform(array_sort(transform(regexp_extract_all({normal}, r'(\\d+)\\s*(?:{units})\\b', 1), x -> CAST(x AS BIGINT))), x -> CAST(x AS STRING)), ' ')")
+    return F.expr(f"array_join(transform(array_sort(transform(regexp_extract_all({normal}, r'(\\d+)\\s*(?:{COUNT_UNITS})\\b', 1), x -> CAST(x AS BIGINT))), x -> CAST(x AS STRING)), ' ')")
 
 
 def shorten(name) -> Column:

@@ -58,7 +58,9 @@ BUNDLES = (
         Slot(("pumpkin soup", "minestrone", "tomato soup", "chicken soup", "vegetable soup", "soup"), "1 tub", True),
         Slot(("sourdough", "baguette", "ciabatta", "turkish bread", "bread roll", "dinner roll"), "1 loaf"), CHEESE)),
 )
-MAX_BUNDLES, MIN_ITEMS = 6, 2
+#: Words that make an offer part of a meal beside the slots' own.
+MEAL_WORDS = ("sauce", "noodle", "pasta", "rice", "curry", "soup", "beans", "tomato", "coconut", "stock", "gravy", "wrap", "tortilla", "cheese")
+MAX_BUNDLES, MIN_ITEMS, MENU = 6, 2, 45
 
 
 def is_junk(name: str) -> Column:
@@ -119,13 +121,50 @@ def compose(offers: DataFrame, bundles=BUNDLES, limit: int = MAX_BUNDLES) -> Dat
     return found.groupBy().applyInPandas(choose, f"bundle int, title string, slot int, product_id {kind}, label string")
 
 
-def validated(recipes: DataFrame, offers: DataFrame) -> DataFrame:
-    """(title, serves, items, cost_cents, regular_cents): ids resolved and distinct, two items at least, serves 1 to 12 else 4."""
-    items = recipes.where("title <> '' AND instructions <> ''").select("title", "serves", F.posexplode("ingredients").alias("pos", "i")).select("title", "serves", "pos", F.col("i.product_id").alias("product_id"), F.substring(F.trim(F.col("i.label")), 1, 40).alias("label"))
-    first = items.withColumn("r", F.row_number().over(Window.partitionBy("title", "product_id").orderBy("pos"))).where("r = 1")
-    sums = first.join(offers.select("product_id", "sale_cents", "regular_cents"), "product_id").groupBy("title", "serves").agg(
-        F.count("*").alias("items"), F.sum("sale_cents").alias("cost_cents"), F.sum("regular_cents").alias("regular_cents")
-    )
+def menu(offers: DataFrame, bundles=BUNDLES, limit: int = MENU) -> DataFrame:
+    """The cheapest offers that read like a meal's parts, as many as the feature lists."""
+    words = dict.fromkeys([k for b in bundles for slot in b.slots for k in slot.keys] + list(MEAL_WORDS))
+    return offers.where(F.lower("name").rlike("|".join(rf"\Q{w}\E" for w in words))).orderBy("sale_cents", "product_id").limit(limit)
+
+
+_DRAFTS = "struct<recipes: array<string>>"
+_DRAFT = "struct<title: string, serves: string, ingredients: array<string>, pantry: array<string>, instructions: string, tags: array<string>>"
+_ITEM = "struct<product_id: string, label: string>"
+
+
+def drafted(replies: DataFrame, body: str = "body") -> DataFrame:
+    """(reply, pos, title, serves, ingredients, pantry, instructions, tags) of the drafts in replies (reply, body) of a model.
+
+    Replies that are no JSON give none, entries that are no objects are left
+    out, and so are drafts whose servings are no number; missing lists are empty.
+    Titles keep 80 characters, pantries 6 entries of 40, tags 5 of 20.
+    """
+    each = replies.select("reply", F.posexplode(F.from_json(body, _DRAFTS)["recipes"]).alias("pos", "raw")).where(F.col("raw").startswith("{"))
+    r = each.select("reply", "pos", F.from_json("raw", _DRAFT).alias("r")).where("r IS NOT NULL").select("reply", "pos", "r.*")
+    listed = lambda c, n, size: F.slice(F.transform(F.coalesce(c, F.expr("CAST(array() AS ARRAY<STRING>)")), lambda x: F.substring(F.trim(F.coalesce(x, F.lit("None"))), 1, size)), 1, n)
+    items = F.transform(F.filter(F.coalesce("ingredients", F.expr("CAST(array() AS ARRAY<STRING>)")), lambda x: x.startswith("{")), lambda x: F.from_json(x, _ITEM))
+    serves = F.when(F.col("serves").isNull() | F.col("serves").isin("", "0"), 4).otherwise(F.col("serves").try_cast("double").cast("int"))
+    return r.select(
+        "reply", "pos", F.substring(F.trim(F.coalesce("title", F.lit(""))), 1, 80).alias("title"), serves.alias("serves"), items.alias("ingredients"),
+        listed("pantry", 6, 40).alias("pantry"), F.trim(F.coalesce("instructions", F.lit(""))).alias("instructions"), listed("tags", 5, 20).alias("tags"),
+    ).where("serves IS NOT NULL")
+
+
+def validated(recipes: DataFrame, offers: DataFrame, keys: tuple[str, ...] = ("title",)) -> DataFrame:
+    """(keys, title, serves, items, cost_cents, regular_cents, labels, pantry): ids resolved and distinct, two items at least, serves 1 to 12 else 4.
+
+    keys tell recipes apart. Labels keep 40 characters, in the order of the
+    ingredients; a pantry keeps 6 entries of 40. Without title, instructions or
+    ingredients a recipe is left out.
+    """
+    by = [k for k in dict.fromkeys([*keys, "title", "serves"])]
+    pantry = F.slice(F.transform(F.coalesce("pantry", F.expr("CAST(array() AS ARRAY<STRING>)")), lambda x: F.substring(F.trim(x), 1, 40)), 1, 6) if "pantry" in recipes.columns else F.expr("CAST(array() AS ARRAY<STRING>)")
+    items = recipes.where("title <> '' AND instructions <> ''").select(*by, pantry.alias("pantry"), F.posexplode("ingredients").alias("_pos", "i")).select(*by, "pantry", "_pos", F.col("i.product_id").alias("product_id"), F.substring(F.trim(F.coalesce("i.label", F.lit(""))), 1, 40).alias("label"))
+    first = items.groupBy(*by, "product_id").agg(F.min(F.struct("_pos", "label", "pantry")).alias("m")).select(*by, "product_id", "m.*")
+    sums = first.join(offers.select("product_id", "sale_cents", "regular_cents"), "product_id").groupBy(*by).agg(
+        F.count("*").alias("items"), F.sum("sale_cents").alias("cost_cents"), F.sum("regular_cents").alias("regular_cents"),
+        F.transform(F.array_sort(F.collect_list(F.struct("_pos", "label"))), lambda x: x["label"]).alias("labels"), F.first("pantry").alias("pantry"),
+    )
     return sums.where(F.col("items") >= MIN_ITEMS).withColumn("serves", F.when(F.col("serves").between(1, 12), F.col("serves")).otherwise(4))
 
 

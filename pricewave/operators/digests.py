@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from pricewave.functions.scalars import digest_text
+from pricewave.operators.merge import upsert
 
 
 def eligible(watch: DataFrame, specials: DataFrame, sent: DataFrame, week: str) -> DataFrame:
@@ -39,12 +40,28 @@ def audit(truth: DataFrame, ours: DataFrame) -> DataFrame:
 
 
 def corrections(specials: DataFrame, truth: DataFrame, week: str) -> DataFrame:
-    """Specials of the week set to half price where the catalogue says so; a missing was-price is twice the sale."""
+    """Specials of the week with the catalogue's half prices put in: changed where there is a row, else inserted.
+
+    truth is (id, is_half, sale_cents, was_cents), ids being those of products; a
+    missing was-price is twice the sale. A row's regular price never falls, the
+    discount is that of the catalogue's own prices, and an inserted row ends in
+    the week it starts, as its catalogue gives no more.
+    """
     day = F.lit(week).cast("date")
-    fix = truth.where("is_half AND sale_cents > 0").select(F.col("id").alias("product_id"), F.col("sale_cents").alias("t_sale"), F.coalesce("was_cents", 2 * F.col("sale_cents")).alias("t_was"))
-    s = specials.join(fix, "product_id", "left")
-    hit = F.col("t_sale").isNotNull() & (F.col("week_start") == day)
-    regular = F.when(hit, F.greatest("regular_cents", "t_was")).otherwise(F.col("regular_cents"))
-    sale = F.when(hit, F.col("t_sale")).otherwise(F.col("sale_cents"))
-    pct = F.when(hit, F.rint(100.0 * (regular - sale) / regular).cast("bigint")).otherwise(F.col("discount_pct"))
-    return s.withColumns({"regular_cents": regular, "sale_cents": sale, "discount_pct": pct, "is_half_price": F.col("is_half_price") | hit}).select(*specials.columns)
+    was = F.coalesce("was_cents", 2 * F.col("sale_cents"))
+    fix = truth.where("is_half AND sale_cents > 0").groupBy("id").agg(F.max(F.struct("sale_cents", was.alias("was"))).alias("m")).select(
+        F.col("id").alias("product_id"), day.alias("week_start"), day.alias("week_end"), F.col("m.was").alias("regular_cents"), F.col("m.sale_cents").alias("sale_cents"),
+        F.rint(100.0 * (F.col("m.was") - F.col("m.sale_cents")) / F.col("m.was")).cast("bigint").alias("discount_pct"), F.lit(True).alias("is_half_price"), F.lit("catalogue").alias("source"),
+    ).where("regular_cents > 0")
+    rules = {"regular_cents": F.greatest("o.regular_cents", "n.regular_cents"), "week_end": F.col("o.week_end")}
+    return upsert(specials, fix, ["product_id", "week_start"], rules)
+
+
+def latest_recall(audits: DataFrame, retailer: str) -> DataFrame:
+    """(recall_pct) of the retailer's latest audit; null without one."""
+    return audits.where(F.col("retailer") == retailer).agg(F.max_by("recall_pct", "measured_at").alias("recall_pct"))
+
+
+def audit_sample(matches: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """n pairs (a, b) for a manual audit: the least by a hash of the seed and the pair, so that a run can be repeated."""
+    return matches.orderBy(F.md5(F.concat_ws(":", F.lit(seed).cast("string"), "a", "b")), "a", "b").limit(n)

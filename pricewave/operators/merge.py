@@ -74,15 +74,18 @@ def upsert_catalogue(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFra
 
 
 def insert_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """old and those new rows whose key it lacks."""
-    return old.unionByName(new.join(old.select(*keys).distinct(), keys, "left_anti").select(*old.columns))
+    """old and those new rows whose key it lacks; of new rows that share a key one goes in."""
+    return old.unionByName(new.dropDuplicates(keys).join(old.select(*keys).distinct(), keys, "left_anti").select(*old.columns))
 
 
 def sync_week(specials: DataFrame, kept: DataFrame, week: str, source: str, retailers: list[str]) -> DataFrame:
-    """Without the rows of this week, source and these retailers whose product is not in kept."""
+    """Without the rows of this week, source and these retailers whose product is not in kept; an empty kept deletes nothing."""
+    if kept.isEmpty():
+        return specials
     scope = (F.col("week_start") == F.lit(week).cast("date")) & (F.col("source") == source) & F.col("retailer").isin(retailers)
-    gone = specials.where(scope).join(kept.select("product_id").distinct(), "product_id", "left_anti").select("product_id", "week_start", "source")
-    return specials.join(gone.distinct(), ["product_id", "week_start", "source"], "left_anti").select(*specials.columns)
+    ids = kept.select("product_id").distinct().withColumn("_kept", F.lit(True))
+    found = specials.join(ids, "product_id", "left")
+    return found.where(~F.coalesce(scope, F.lit(False)) | F.col("_kept").isNotNull()).select(*specials.columns)
 
 
 def sweep_sources(specials: DataFrame, week: str, retailer: str, written: str, partial: bool = False) -> DataFrame:

@@ -10,13 +10,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def price_points(spark, sf_dir, pooled: bool = False) -> DataFrame:
-    """(retailer, item, on_date, cents): unit prices of line items, the last order of a day counting.
+def price_points(spark, sf_dir, pooled: bool = False, as_of: str | None = AS_OF) -> DataFrame:
+    """(retailer, item, on_date, cents): unit prices of line items up to a day, the last order of a day counting.
 
-    The date filter reaches the scan, and the last order is a maximum over a
-    struct, so rows are combined before the shuffle.
+    Without as_of all line items count. The date filter reaches the scan, and
+    the last order is a maximum over a struct, so rows are combined before the
+    shuffle.
     """
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") < F.date_add(F.lit(AS_OF).cast("date"), 1).cast("timestamp"))
+    li = table(spark, sf_dir, "lineitem")
+    if as_of:
+        li = li.where(F.col("l_shipdate") < F.date_add(F.lit(as_of).cast("date"), 1).cast("timestamp"))
     retailer = F.lit("X") if pooled else F.when(F.col("l_linestatus") == "F", "A").otherwise("B")
     last = F.max(F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")).alias("m")
     days = li.groupBy(retailer.alias("retailer"), F.col("l_partkey").alias("item"), F.to_date("l_shipdate").alias("on_date")).agg(last)

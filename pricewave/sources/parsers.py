@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from pricewave.functions import scalars
+from pricewave.operators import pricing
 
 DUMP = StructType([
     StructField("id", StringType()), StructField("name", StringType()), StructField("category", StringType()),
@@ -24,10 +25,31 @@ def read_dump(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DUMP).option("multiLine", True).json(path).repartition(spark.sparkContext.defaultParallelism)
 
 
+def dump_items(bodies: DataFrame, body: str = "body") -> DataFrame:
+    """The items of dumps that are held as text."""
+    return bodies.select(F.explode(F.from_json(body, ArrayType(DUMP))).alias("i")).select("i.*")
+
+
+def usable_items(items: DataFrame) -> DataFrame:
+    """Items with an id, a name and at least one valid change point, names trimmed; adds hist, the change points in order."""
+    found = items.where("id IS NOT NULL AND trim(coalesce(name, '')) <> ''").withColumns({"name": F.trim("name"), "hist": pricing.parse_history()})
+    return found.where(F.size("hist") > 0)
+
+
+def parse_counts(items: DataFrame, products: DataFrame) -> DataFrame:
+    """One row for a run's log: products, half_now, half_ever, and how many items were skipped as marketplace ones."""
+    skipped = items.agg(F.count_if("marketplace").alias("n")).select(F.lit("marketplace").alias("name"), "n")
+    made = products.agg(F.count("*").alias("products"), F.count_if("is_half").alias("half_now"), F.count_if(F.size("events") > 0).alias("half_ever"))
+    return made.select(F.expr("stack(3, 'products', products, 'half_now', half_now, 'half_ever', half_ever) AS (name, n)")).unionByName(skipped)
+
+
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
     """(code, label) of a JSON object of category codes."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.explode(F.from_json("value", "map<string,string>")).alias("code", "label"))
+    return labels_of(spark.read.text(path, wholetext=True), "value")
+
+
+def labels_of(bodies: DataFrame, body: str = "body") -> DataFrame:
+    return bodies.select(F.explode(F.from_json(body, "map<string,string>")).alias("code", "label"))
 
 
 def discounted(sale: Column, regular: Column) -> Column:
@@ -47,6 +69,71 @@ def browse_specials(pages: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def collect_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of paged runs (run, page, names, total, failed) the products (run, page, pos, name) and the runs (run, items, status).
+
+    A run reads its pages in order until one is empty or fails, or until it has
+    as many distinct names, whatever the case, as its first page announces in
+    total. Of equal names the first counts. A failed page that was reached makes
+    the run partial, or failed if nothing was collected before it.
+    """
+    by_run = Window.partitionBy("run").orderBy("page")
+    bad = F.col("failed") | (F.size("names") <= 0)
+    seen = pages.withColumn("ended", F.max(bad.cast("int")).over(by_run.rowsBetween(Window.unboundedPreceding, Window.currentRow)) > 0).withColumn("announced", F.first("total").over(by_run))
+    rows = seen.where(~F.col("ended")).select("run", "page", "announced", F.posexplode("names").alias("pos", "name"))
+    firsts = rows.where("name IS NOT NULL").withColumn("r", F.row_number().over(Window.partitionBy("run", F.lower("name")).orderBy("page", "pos"))).where("r = 1").drop("r")
+    # How many names a run has before each page.
+    new = firsts.groupBy("run", "page").agg(F.count("*").alias("new"), F.first("announced").alias("announced"))
+    had = new.withColumn("had", F.coalesce(F.sum("new").over(by_run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    read = had.where(F.col("announced").isNull() | (F.col("had") < F.col("announced"))).select("run", "page", "new", "had", "announced")
+    items = firsts.join(read.select("run", "page"), ["run", "page"]).select("run", "page", "pos", "name")
+    sums = read.groupBy("run").agg(F.sum("new").alias("items"), F.max("announced").alias("announced"))
+    ends = seen.groupBy("run").agg(F.min_by("failed", F.when(F.col("ended"), F.col("page"))).alias("failed"))
+    short = F.col("announced").isNull() | (F.coalesce("items", F.lit(0)) < F.col("announced"))
+    stopped = F.coalesce(F.col("failed"), F.lit(False)) & short
+    status = F.when(stopped & F.col("items").isNotNull(), "partial").when(stopped, "failed").when(F.col("items").isNotNull(), "success").otherwise("no_data")
+    runs = ends.join(sums, "run", "left").select("run", F.coalesce("items", F.lit(0)).alias("items"), status.alias("status"))
+    return items, runs
+
+
+def remaining_pages(planned: DataFrame, done: DataFrame) -> DataFrame:
+    """What a resumed collection still has to read: planned (run, page) without done."""
+    return planned.join(done.select("run", "page"), ["run", "page"], "left_anti")
+
+
+# Titles and headings of report posts.
+REPORT_TITLES = (r"(?i)Catalogue\s+Half-Price\s+Report", r"(?i)1/?2\s*price.*\+\s*\d+\s+more")
+REPORT_HEADING = "Catalogue Half-Price Report"
+
+
+def report_link(html: str, prefix: str = "", titles: tuple[str, ...] = REPORT_TITLES) -> Column:
+    """The address of the first link to a /node/ page whose title matches; null without one. coalesce() a page and its fallback."""
+    links = F.regexp_extract_all(html, F.lit(r'(?is)<a\s[^>]*?href="[^"]*"[^>]*>.*?</a>'), F.lit(0))
+    parts = F.transform(links, lambda a: F.struct(F.regexp_extract(a, r'(?i)href="([^"]*)"', 1).alias("href"), F.trim(F.regexp_replace(F.regexp_replace(a, r"(?s)<[^>]*>", " "), r"\s+", " ")).alias("title")))
+    fits = lambda p: p["href"].contains("/node/") & p["title"].rlike("|".join(f"(?:{t})" for t in titles))
+    href = F.get(F.filter(parts, fits), F.lit(0))["href"]
+    return F.when(href.rlike("^https?://"), href).otherwise(F.concat(F.lit(prefix), href))
+
+
+def report_week(html: str, today: Column) -> Column:
+    """struct(week_start, week_end) from the date in the report's heading, else of the most recent Wednesday."""
+    heads = F.filter(F.regexp_extract_all(html, F.lit(r"(?is)<h5[^>]*>.*?</h5>"), F.lit(0)), lambda h: h.contains(REPORT_HEADING) & h.rlike(r"\d{4}-\d{2}-\d{2}"))
+    start = F.coalesce(F.regexp_extract(F.get(heads, F.lit(0)), r"(\d{4}-\d{2}-\d{2})", 1).try_cast("date"), scalars.week_start(today))
+    return F.struct(start.alias("week_start"), F.date_add(start, 6).alias("week_end"))
+
+
+_SEARCH = "Products array<struct<Products: array<struct<Name: string, Stockcode: string, UrlFriendlyName: string, LargeImageFile: string, MediumImageFile: string, SmallImageFile: string>>>>"
+
+
+def search_results(bodies: DataFrame, body: str = "body", site: str = "", keys: tuple[str, ...] = ("pid",)) -> DataFrame:
+    """(keys, pos, name, image_url, product_url): the products of a search API's tiles in order; the address is empty without number and slug."""
+    flat = F.flatten(F.transform(F.from_json(body, _SEARCH)["Products"], lambda t: F.coalesce(t["Products"], F.expr("CAST(array() AS ARRAY<STRUCT<Name: STRING, Stockcode: STRING, UrlFriendlyName: STRING, LargeImageFile: STRING, MediumImageFile: STRING, SmallImageFile: STRING>>)"))))
+    p = bodies.select(*keys, F.posexplode(flat).alias("pos", "p")).where("p IS NOT NULL")
+    full = lambda c: F.nullif(F.col(f"p.{c}"), F.lit(""))
+    address = F.concat_ws("/", F.lit(site), full("Stockcode"), full("UrlFriendlyName"))
+    return p.select(*keys, "pos", F.coalesce("p.Name", F.lit("")).alias("name"), F.coalesce(*[full(c) for c in ("LargeImageFile", "MediumImageFile", "SmallImageFile")]).alias("image_url"), F.when(full("Stockcode").isNotNull() & full("UrlFriendlyName").isNotNull(), address).otherwise("").alias("product_url"))
+
+
 def embedded_json(html: str, script_id: str = "__NEXT_DATA__", path: str = "$.props.pageProps.searchResults") -> Column:
     """The JSON at path in a page's script element; null without one."""
     body = F.regexp_extract(html, rf'(?s)<script[^>]*id="{script_id}"[^>]*>(.*?)</script>', 1)
@@ -76,10 +163,10 @@ def jsonp(text: str) -> Column:
 
 
 def catalogue_items(bodies: DataFrame, body: str = "body", position: str = "pos") -> DataFrame:
-    """One row per id: half-price readings first, then order; prices in cents, sku reduced to digits."""
+    """One row per id: half-price readings first, then order; prices in cents, sku reduced to digits, character references written out."""
     x = bodies.select(F.col(position).alias("p"), F.posexplode(F.from_json(jsonp(body), _CATALOGUE)["items"]).alias("i", "x"))
     price = F.get("x.prices", F.lit(0))
-    x = x.select("p", "i", F.regexp_replace("x.SKU", "[^0-9]", "").alias("id"), F.trim("x.itemName").alias("name"), F.coalesce(F.trim("x.description"), F.lit("")).alias("text"), F.coalesce(F.nullif(price["priceSale"], F.lit("")), price["priceReg"]).alias("sale"), F.regexp_extract(F.coalesce(price["priceOptionDesc"], F.lit("")), r"(?i)was\s*\$?([\d.]+)", 1).alias("was"))
+    x = x.select("p", "i", F.regexp_replace("x.SKU", "[^0-9]", "").alias("id"), scalars.unescape("trim(x.itemName)").alias("name"), F.trim(scalars.unescape("coalesce(x.description, '')")).alias("text"), F.coalesce(F.nullif(price["priceSale"], F.lit("")), price["priceReg"]).alias("sale"), F.regexp_extract(F.coalesce(price["priceOptionDesc"], F.lit("")), r"(?i)was\s*\$?([\d.]+)", 1).alias("was"))
     x = x.where("id <> '' AND name <> ''").withColumn("is_half", F.col("text").rlike(r"(?i)(1/2|half)\s*price"))
     best = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("is_half"), "p", "i")) == 1
     return x.withColumn("best", best).where("best").select("id", "name", "is_half", scalars.cents("sale").alias("sale_cents"), scalars.cents("was").alias("was_cents"), F.substring("text", 1, 40).alias("discount_desc"))
@@ -91,10 +178,24 @@ def running_sales(sales: DataFrame, today: str) -> DataFrame:
     return sales.where((F.try_to_date("start") <= day) & (day <= F.try_to_date("end")))
 
 
-def sitemap_links(docs: DataFrame, xml: str = "xml", pattern: str = r"/product/(\d+)/([a-z0-9-]+)") -> DataFrame:
-    """(id, slug) of the product addresses in sitemaps' <loc> elements."""
-    loc = docs.select(F.explode(F.regexp_extract_all(xml, F.lit(r"(?s)<loc>\s*(.*?)\s*</loc>"), F.lit(1))).alias("loc"))
-    return loc.where(F.col("loc").rlike(pattern)).select(F.regexp_extract("loc", pattern, 1).alias("id"), F.regexp_extract("loc", pattern, 2).alias("slug")).distinct()
+# Product addresses of the two shops' sitemaps, with the groups of id and slug.
+SITEMAP_PATTERNS = {"coles": (r"/product/([a-z0-9-]+?)-(\d+)/?$", 2, 1), "woolworths": (r"/shop/productdetails/(\d+)/([a-z0-9-]+)/?$", 1, 2)}
+
+
+def _locations(docs, xml):
+    return docs.select(F.explode(F.regexp_extract_all(xml, F.lit(r"<loc>(.*?)</loc>"), F.lit(1))).alias("loc"))
+
+
+def child_sitemaps(docs: DataFrame, xml: str = "xml", word: str = "product") -> DataFrame:
+    """(loc) of an index's sitemaps whose address holds the word."""
+    return _locations(docs, xml).where(F.lower("loc").contains(word))
+
+
+def sitemap_links(docs: DataFrame, retailer: str, xml: str = "xml") -> DataFrame:
+    """(id, slug) of the product addresses in sitemaps."""
+    pattern, of_id, of_slug = SITEMAP_PATTERNS[retailer]
+    loc = _locations(docs, xml).where(F.col("loc").rlike(pattern))
+    return loc.select(F.regexp_extract("loc", pattern, of_id).alias("id"), F.regexp_extract("loc", pattern, of_slug).alias("slug")).distinct()
 
 
 def read_sheet(spark: SparkSession, path: str, header: tuple[str, ...], limit: int = 5000) -> DataFrame:
@@ -105,10 +206,15 @@ def read_sheet(spark: SparkSession, path: str, header: tuple[str, ...], limit: i
     head = [x.strip().lower() if x else "" for x in (rows.where("line = 1").first() or [""] * len(header))[: len(header)]]
     if head != [h.lower() for h in header]:
         raise ValueError(f"unexpected header {head}")
+    return sheet_specials(rows.where("line > 1"), limit)
+
+
+def sheet_specials(rows: DataFrame, limit: int = 5000) -> DataFrame:
+    """Specials of a sheet's rows (line, nine named cells, _other set on rows of another length): the first up to limit, as the format has it."""
     sale, regular = scalars.dollars_to_cents("sale"), scalars.dollars_to_cents("regular")
     pct = F.coalesce(scalars.percent("percent"), F.rint(100.0 * (regular - sale) / regular).cast("int"))
     # An empty last cell is null like a missing one, but only a row of another length than nine is kept in _other.
-    good = rows.where("line > 1 AND (notes IS NOT NULL OR _other IS NULL)").where(discounted(sale, regular))
+    good = rows.where("notes IS NOT NULL OR _other IS NULL").where(discounted(sale, regular))
     return good.select("line", F.trim("name").alias("name"), "category", scalars.retailer_cell("retailer", exact=True).alias("retailer"), regular.alias("regular_cents"), sale.alias("sale_cents"), pct.alias("discount_pct"), scalars.hint("last").alias("hint"), (pct >= 50).alias("is_half_price")).where("retailer IS NOT NULL").orderBy("line").limit(limit)
 
 
@@ -171,6 +277,16 @@ def table_specials(pages: DataFrame, html: str = "html") -> DataFrame:
 def newest_specials(spark: SparkSession, glob: str, schema: StructType | None = None) -> DataFrame:
     """specials[] of the newest file by name."""
     runs = spark.read.option("multiLine", True).json(glob) if schema is None else spark.read.schema(schema).option("multiLine", True).json(glob)
-    runs = runs.withColumn("_file", F.col("_metadata.file_path"))
-    newest = runs.agg(F.max("_file").alias("_newest"))
-    return runs.join(F.broadcast(newest), F.col("_file") == F.col("_newest")).select(F.explode("specials").alias("s")).select("s.*")  # one row is broadcast
+    return newest_run(runs.withColumn("_file", F.col("_metadata.file_path")), "_file")
+
+
+def newest_run(runs: DataFrame, file: str = "file") -> DataFrame:
+    newest = runs.agg(F.max(file).alias("_newest"))
+    return runs.join(F.broadcast(newest), F.col(file) == F.col("_newest")).select(F.explode("specials").alias("s")).select("s.*")  # one row is broadcast
+
+
+def write_run(specials: DataFrame, folder: str, stamp: str) -> str:
+    """One run's specials as JSON lines under a name that sorts by time; newest_specials reads them by the last such name."""
+    path = f"{folder}/specials_{stamp}"
+    specials.write.mode("overwrite").json(path)
+    return path

@@ -1,8 +1,12 @@
 """Operators on literal cases and against plain loops."""
 
 import datetime as dt
+import gzip
+import html
+import json
 import random
 import re
+import unicodedata
 from difflib import SequenceMatcher
 
 import pytest
@@ -51,6 +55,25 @@ def test_events_and_prices(spark):
     assert not p["4"].is_half and (p["5"].is_half, p["5"].pct) == (False, 30)
 
 
+def test_folding_equals_unicode(spark):
+    """Names and search words against Python's NFKD, over every character up to U+2FFFF that is no surrogate."""
+    given = [f"a{chr(c)}b {chr(c)}" for c in range(32, 0x30000) if not 0xD800 <= c < 0xE000]
+    got = spark.createDataFrame([(t,) for t in given], "t string").repartition(4).select("t", scalars.normal_name(F.col("t")), scalars.search_tokens("t"), scalars.search_tokens("t", False)).collect()
+
+    def name(t):
+        t = "".join(c for c in unicodedata.normalize("NFKD", t.lower()) if not unicodedata.combining(c)).replace("&", " and ")
+        return re.sub(r"\s+", " ", re.sub(r"[^a-z0-9.]+", " ", t)).strip()
+
+    words = lambda t: {w for w in re.sub(r"[^a-z0-9\s]+", " ", t.lower()).split() if len(w) > 1}
+    assert [r for r in got if (r[1], set(r[2]), set(r[3])) != (name(r.t), words(unicodedata.normalize("NFKD", r.t).encode("ascii", "ignore").decode()), words(r.t))] == []
+
+
+def test_unescape(spark):
+    given = ["a &amp; b", "&lt;&#65;&#x1F600;&eacute;&nbsp;x", "&bogus; & x", "AT&T &quot;q&quot;", "", "no"]
+    got = spark.createDataFrame([(t,) for t in given], "t string").select("t", scalars.unescape("t").alias("u")).collect()
+    assert all(r.u == html.unescape(r.t) for r in got) and len(got) == len(given)
+
+
 def test_week_start(spark):
     days = [day("2026-06-17") + dt.timedelta(days=k) for k in (-1, 0, 6, 7)]
     got = [str(r[0]) for r in spark.createDataFrame([(d,) for d in days], "d date").select(scalars.week_start("d")).collect()]
@@ -227,6 +250,77 @@ def test_stream_of_drops(spark, tmp_path):
     assert [tuple(r) for r in spark.table("drops").collect()] == [("a", day("2026-01-08"), 500, 1000)]
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
-def test_queries_without_sql_run(spark, name):
-    assert registry.QUERIES[name](spark, "/root/testdata/sf0.001").count() >= 0
+def test_weekly_counts_and_once_per_key(spark, tmp_path):
+    kind = "device string, ts timestamp"
+    for n, rows in enumerate([["2026-06-16 23:59:00", "2026-06-17 00:00:00", "2026-06-17 00:00:00"], ["2026-06-23 12:00:00", "2026-06-24 01:00:00"], ["2026-07-20 00:00:00"], ["2026-07-21 00:00:00"], ["2026-08-20 00:00:00"]]):
+        spark.createDataFrame([("a" if k else "b", dt.datetime.fromisoformat(r + "+00:00")) for k, r in enumerate(rows)], kind).coalesce(1).write.parquet(str(tmp_path / "in" / str(n)))
+    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    for name, frame in (("weeks", changes.weekly(stream)), ("once", changes.once_per_key(stream, ["device"]))):
+        run = frame.writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        assert run.awaitTermination(120)
+    weeks = {str(r.week_start): r.n for r in spark.table("weeks").collect()}
+    assert {w: n for w, n in weeks.items() if w < "2026-07"} == {"2026-06-10": 1, "2026-06-17": 3, "2026-06-24": 1} and weeks.get("2026-07-15", 2) == 2
+    once = [(r.device, r.ts.day, r.ts.month) for r in spark.table("once").orderBy("ts").collect()]
+    assert len(once) == 3 and {d for d, _, _ in once[:2]} == {"a", "b"} and once[2][2] == 8
+
+
+def test_dump_and_labels_from_files(spark, tmp_path):
+    items = [{"id": "1", "name": " Tea ", "category": "9", "priceHistory": [{"date": "2026-06-10", "price": 3.5}, {"date": "bad", "price": 1}]}, {"id": None, "name": "x", "priceHistory": [{"date": "2026-06-10", "price": "2"}]}, {"id": "3", "name": "No points", "priceHistory": None}]
+    with gzip.open(tmp_path / "dump.json.gz", "wt") as f:
+        json.dump(items, f)
+    (tmp_path / "labels.json").write_text(json.dumps({"9": "Drinks", "10": "Other"}))
+    dump = parsers.read_dump(spark, str(tmp_path / "dump.json.gz"))
+    assert [(r.id, r.name, [p.cents for p in r.hist]) for r in parsers.usable_items(dump).collect()] == [("1", "Tea", [350])]
+    assert {tuple(r) for r in parsers.read_labels(spark, str(tmp_path / "labels.json")).collect()} == {("9", "Drinks"), ("10", "Other")}
+    with pytest.raises(ValueError):
+        guards.enough_items(dump, 10)
+
+
+def test_runs_are_written_and_read_again(spark, tmp_path):
+    for stamp, rows in (("20260610", [(1, "a")]), ("20260617", [(2, "b"), (3, "c")])):
+        parsers.write_run(spark.createDataFrame(rows, "id long, name string"), str(tmp_path), stamp)
+    (tmp_path / "one").mkdir()
+    for day_, ids in (("0610", [1]), ("0617", [2, 3])):
+        (tmp_path / "one" / f"specials_{day_}.json").write_text(json.dumps({"specials": [{"id": i} for i in ids]}, indent=2))
+    assert {r.id for r in parsers.newest_specials(spark, str(tmp_path / "one" / "*.json")).collect()} == {2, 3}
+    assert {tuple(r) for r in spark.read.json(str(tmp_path / "specials_20260617")).select("id", "name").collect()} == {(2, "b"), (3, "c")}
+
+
+def test_sync_keeps_other_retailers_and_empty_pulls(spark):
+    rows = [(1, "A", "live"), (1, "B", "live"), (2, "A", "live"), (2, "B", "live"), (3, "A", "dump")]
+    s = spark.createDataFrame(rows, "product_id long, retailer string, source string").withColumn("week_start", F.lit(TODAY).cast("date"))
+    left = lambda kept: sorted(tuple(r)[:3] for r in merge.sync_week(s, spark.createDataFrame(kept, "product_id long"), TODAY, "live", ["A"]).collect())
+    assert left([(2,)]) == sorted(set(rows) - {(1, "A", "live")}) and left([]) == sorted(rows)
+
+
+def test_purge_confirmed(spark):
+    t = spark.createDataFrame([(1,), (2,), (2,)], "product_id long")
+    gone = spark.createDataFrame([(2,)], "product_id long")
+    assert merge.purge({"t": t}, gone)["t"].first().rows == 2 and [r.product_id for r in merge.purge({"t": t}, gone, True)["t"].collect()] == [1]
+
+
+def test_exit_and_partial_sweeps(spark):
+    df = spark.createDataFrame([(0,), (-1,), (5,)], "n int")
+    assert [r[0] for r in df.select(guards.exit_code("n")).collect()] == [1, 0, 0]
+    s = spark.createDataFrame([("A", "dump")], "retailer string, source string").withColumn("week_start", F.lit(TODAY).cast("date"))
+    assert merge.sweep_sources(s, TODAY, "A", "live").count() == 0 and merge.sweep_sources(s, TODAY, "A", "live", partial=True).count() == 1
+
+
+def test_invariants_of_empty_tables(spark):
+    kinds = {
+        "specials": "product_id long, retailer string, week_start date, is_half_price boolean, sale_cents long, regular_cents long", "products": "retailer string, sku string, category string", "runs": "source string, status string, run_at timestamp",
+        "predictions": "computed_at timestamp", "accuracy": "computed_at timestamp", "links": "kind string", "audits": "retailer string, source string, recall_pct double, measured_at timestamp", "bundles": "week_start date, generated_at timestamp, ingredients array<struct<product_id: long>>",
+    }
+    got = {r.name: (r.value, r.passed) for r in guards.standard_checks({k: spark.createDataFrame([], v) for k, v in kinds.items()}, TODAY + " 00:00:00").collect()}
+    assert len(got) == 20 and got["half_ratio"] == (1.0, True) and got["recall_floor"] == (100.0, True) and got["audit_fresh"] == (0.0, True)
+    assert got["predictions_fresh"] == (999.0, False) and got["bundles_fresh_when_live"] == (99.0, True) and got["week_is_current"][1] is False and got["heroes_half_price"] == (0.0, True)
+
+
+def test_match_full_equals_all_pairs(spark):
+    """The one query without SQL, over the driver's names."""
+    from pricewave.plans.adapter import catalogue
+
+    sf = "/root/testdata/sf0.01"
+    want = plain_matches([(r.pid, r.name, r.cents) for r in catalogue(spark, sf).collect()])
+    assert set(registry.QUERIES) - set(registry.ORACLES) == {"match_full"}
+    assert {(r.a, r.b): round(r.score, 9) for r in registry.QUERIES["match_full"](spark, sf).collect()} == want and len(want) > 20
