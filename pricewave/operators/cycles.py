@@ -18,19 +18,26 @@ def sale_dates(entries: str = "entries") -> Column:
     )
 
 
-def running(dates: str = "dates") -> Column:
-    """For each sorted date: struct(d, last kept date, n, s, q) of the prefix up to and with it."""
-    state = "STRUCT<last: DATE, n: BIGINT, s: BIGINT, q: BIGINT>"
-    gap = f"datediff(d, element_at(acc, -1).last)"
+_STATE = "STRUCT<last: DATE, n: BIGINT, s: BIGINT, q: BIGINT>"
+
+
+def _step(last: str) -> str:
+    """The state after date d, last being the state before it: null for the first date."""
+    gap = f"datediff(d, {last}.last)"
     weeks = f"CAST(rint({gap} / 7D) AS BIGINT)"
-    last = "element_at(acc, -1)"
     counted = f"IF({weeks} >= {MIN_WEEKS}, 1L, 0L)"
     kept = f"named_struct('last', d, 'n', {last}.n + {counted}, 's', {last}.s + {counted} * {weeks}, 'q', {last}.q + {counted} * {weeks} * {weeks})"
-    return F.expr(
-        f"""aggregate({dates}, CAST(array() AS ARRAY<{state}>), (acc, d) -> concat(acc, array(CASE
-              WHEN size(acc) = 0 THEN named_struct('last', d, 'n', 0L, 's', 0L, 'q', 0L)
-              WHEN {gap} < {NEAR_DAYS} THEN {last} ELSE {kept} END)))"""
-    )
+    return f"CASE WHEN {last} IS NULL THEN named_struct('last', d, 'n', 0L, 's', 0L, 'q', 0L) WHEN {gap} < {NEAR_DAYS} THEN {last} ELSE {kept} END"
+
+
+def running(dates: str = "dates") -> Column:
+    """For each sorted date: struct(last kept date, n, s, q) of the prefix up to and with it."""
+    return F.expr(f"aggregate({dates}, CAST(array() AS ARRAY<{_STATE}>), (acc, d) -> concat(acc, array({_step('try_element_at(acc, -1)')})))")
+
+
+def final(dates: str = "dates") -> Column:
+    """The last of running(), without the others."""
+    return F.expr(f"aggregate({dates}, CAST(NULL AS {_STATE}), (acc, d) -> {_step('acc')})")
 
 
 def intervals(dates: str = "dates") -> Column:
@@ -71,7 +78,7 @@ def rationale(today: str) -> Column:
 def series(sales: DataFrame, *keys: str) -> DataFrame:
     """Sales (keys, week_start, hint_weeks) to one row per key: dates, intervals' n, s, q, and the last observed sale."""
     grouped = sales.groupBy(*keys).agg(F.collect_list(F.struct("week_start", "hint_weeks")).alias("entries"), F.max("week_start").alias("last_sale"))
-    return grouped.withColumn("dates", sale_dates()).withColumn("state", F.element_at(running(), -1)).select(*keys, "dates", "last_sale", "state.n", "state.s", "state.q")
+    return grouped.withColumn("dates", sale_dates()).withColumn("state", final()).select(*keys, "dates", "last_sale", "state.n", "state.s", "state.q")
 
 
 def predictions(sales: DataFrame, today: str, min_cycles: int = 1, keys=("retailer", "name")) -> DataFrame:

@@ -73,6 +73,17 @@ def upsert_catalogue(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFra
     return upsert(old, new, keys, rules)
 
 
+def ingest_retailer(stored: DataFrame, parsed: DataFrame) -> DataFrame:
+    """A retailer's whole catalogue put into the stored products (sku, name, category, regular_price_cents, image_url).
+
+    parsed is what pricing.products gives of a dump's usable items, with item,
+    name, category and image_url; its regular price is the one derived from the
+    history. Of repeated items one counts.
+    """
+    rows = parsed.select(F.col("item").cast("string").alias("sku"), "name", "category", F.col("regular").alias("regular_price_cents"), "image_url").dropDuplicates(["sku"])
+    return upsert_catalogue(stored, rows, ["sku"])
+
+
 def insert_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """old and those new rows whose key it lacks; of new rows that share a key one goes in."""
     return old.unionByName(new.dropDuplicates(keys).join(old.select(*keys).distinct(), keys, "left_anti").select(*old.columns))

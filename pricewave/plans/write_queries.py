@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pricewave.operators import bundles, cycles, digests, merge, writes
+from pricewave.operators import bundles, cycles, digests, merge, pricing, writes
 from pricewave.plans.adapter import table
 from pricewave.plans.book import query
 
@@ -216,6 +216,21 @@ def hinted_dates(spark, sf_dir):
     return s.select("item", F.size("dates").cast("bigint").alias("n"), F.get("dates", F.lit(0)).alias("first"), F.element_at("dates", -1).alias("last"), days.alias("days"))
 
 
+@query("""WITH h AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS d, max(CAST(round_even(o_totalprice * 100, 0) AS BIGINT)) AS c FROM orders GROUP BY ALL),
+n AS (SELECT k, coalesce(max(c) FILTER (d >= DATE '2001-06-30' - 300), max(c)) AS regular FROM h WHERE k % 3 <> 0 GROUP BY k), o AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 2 = 0)
+SELECT CAST(coalesce(o.k, n.k) AS VARCHAR) AS sku, CASE WHEN o.k IS NULL THEN 'new ' || n.k ELSE 'old ' || o.k END AS name, CASE WHEN o.k IS NULL THEN CASE WHEN n.k % 5 = 0 THEN 'Uncategorised' ELSE 'Tea' END WHEN n.k IS NOT NULL AND n.k % 5 <> 0 THEN 'Tea' ELSE 'Old' END AS category,
+CASE WHEN o.k IS NULL THEN n.regular ELSE 1 END AS regular_price_cents, CASE WHEN n.k IS NOT NULL THEN 'img' END AS image_url FROM o FULL JOIN n ON o.k = n.k""")
+def ingest_retailer(spark, sf_dir):
+    """A parsed catalogue put into stored products, names and prices of known ones staying."""
+    o = table(spark, sf_dir, "orders").where("o_custkey % 3 <> 0")
+    day = o.groupBy(F.col("o_custkey").alias("item"), F.to_date("o_orderdate").alias("on_date")).agg(F.max(F.rint(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
+    items = pricing.history(day, "item").withColumn("retailer", F.lit("A"))
+    k = F.col("item").cast("string")
+    parsed = pricing.products(items, "2001-06-30").withColumns({"name": F.concat(F.lit("new "), k), "category": F.when(F.col("item") % 5 == 0, "Uncategorised").otherwise("Tea"), "image_url": F.lit("img")})
+    stored = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("sku"), F.concat(F.lit("old "), F.col("c_custkey").cast("string")).alias("name"), F.lit("Old").alias("category"), F.lit(1).cast("bigint").alias("regular_price_cents"), F.lit(None).cast("string").alias("image_url"))
+    return merge.ingest_retailer(stored, parsed)
+
+
 _DRAFTS_SQL = """d AS (SELECT o_custkey AS reply, o_orderkey AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos FROM orders WHERE o_custkey % 10 <> 0),
 g AS (SELECT reply, CAST(pos AS INT) AS pos, k, CASE WHEN k % 6 = 0 THEN '' ELSE left('Dinner of a long name ' || k || repeat(' and more', 12), 80) END AS title, CASE k % 5 WHEN 0 THEN 4 WHEN 1 THEN 4 WHEN 2 THEN 40 ELSE CASE WHEN k % 12 = 0 THEN 4 ELSE CAST(k % 12 AS INT) END END AS serves FROM d WHERE k % 7 <> 0 AND k % 11 <> 0)"""
 
