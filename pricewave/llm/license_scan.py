@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, functions as F
 from pricewave.llm.common import cut
 
 _TERM = re.compile(r"[a-z0-9]+")
-_WORDY = re.compile(r"[A-Za-z0-9]")
-#: A version or clause number with what it counts, so that "version 2" and "version 3" are terms of their own.
-_VERSION = re.compile(r"(?:\bv(?:ersion)?[. ]*|gpl[- v]*|(?:apache|mpl|zero)[- ]|\bcc[-a-z0 ]*)(\d)(?:\.(\d))?(?![\d])|(\d)[- ]clause")
+#: A number of one digit, with what comes before it where it is a version: "version 2" and "version 3" are terms of their own.
+_NUMBER = re.compile(r"(?<!\d)(\d)(?:\.(\d))?(?!\d)")
+_BEFORE = re.compile(r"(?:\bv(?:ersion)?[. ]*|gpl[- v]*|(?:apache|mpl|zero)[- ]|\bcc[-a-z0 ]*)$")
 #: How a comment line starts; the signs are those of common languages.
 _COMMENT = re.compile(r"\s*(#|//|/?\*|--|;|%|\"\"\")")
 
@@ -90,10 +90,20 @@ TEMPLATES = tuple(_templates())
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)([.\-_][^/]*)?$"
 
 
+def _versions(low: str) -> list[str]:
+    out = []
+    for m in _NUMBER.finditer(low):
+        if low.startswith(("-clause", " clause"), m.end()):
+            out.append(f"@clause {m[1]}")
+        elif _BEFORE.search(low[max(0, m.start() - 24) : m.start()]):
+            out.append(f"@{m[1]}.{m[2] or 0}")
+    return out
+
+
 def terms(text: str) -> list[str]:
     """Runs of letters and digits in lower case, and versions and clause numbers as terms of their own."""
     low = text.lower()
-    return _TERM.findall(low) + [f"@clause {c}" if c else f"@{a}.{b or 0}" for a, b, c in _VERSION.findall(low)]
+    return _TERM.findall(low) + _versions(low)
 
 
 class Index:
@@ -110,28 +120,32 @@ class Index:
             for t, n in tf.items():
                 self.postings[t].append((k, n * self.idf[t] / norm))
 
-    def scores(self, unit: str, threshold: float = 0.0):
-        """({template: cosine}, length of the unit); None if no cosine can reach the threshold."""
-        tf = Counter(terms(unit))
-        known = [(t, n * self.idf[t]) for t, n in tf.items() if t in self.idf]
-        held = sum(x * x for _, x in known)
-        norm = math.sqrt(held + sum((n * self.unseen) ** 2 for t, n in tf.items() if t not in self.idf))
-        # Templates have only known terms and unit length, so a cosine is at most the share of those terms.
-        if not known or math.sqrt(held) < threshold * norm:
+    def scores(self, found: list[str], threshold: float = 0.0):
+        """({template: cosine}, length) of a unit's terms; None if no cosine can reach the threshold."""
+        known = [t for t in found if t in self.idf]
+        if not known:
+            return None
+        weights = {t: n * self.idf[t] for t, n in Counter(known).items()}
+        held = sum(x * x for x in weights.values())
+        # Templates have only known terms and unit length, so a cosine is at most the share of those terms; each other term counts once at least.
+        if held < threshold * threshold * (held + self.unseen**2 * (len(found) - len(known))):
+            return None
+        norm = math.sqrt(held + sum((n * self.unseen) ** 2 for n in Counter(t for t in found if t not in self.idf).values()))
+        if math.sqrt(held) < threshold * norm:
             return None
         scores: dict = {}
-        for t, x in known:
+        for t, x in weights.items():
             for k, w in self.postings[t]:
                 scores[k] = scores.get(k, 0.0) + x * w
         return {k: v / (norm or 1.0) for k, v in scores.items()}, norm
 
-    def best(self, unit: str, threshold: float = 0.0):
-        """(weight, score, licence) of the most similar template, the earlier of equals; None below the threshold, or if it is no licence.
+    def best(self, unit: str | list[str], threshold: float = 0.0):
+        """(weight, score, licence) of the template most similar to a text or its terms, the earlier of equals; None below the threshold, or if it is no licence.
 
         weight is the part of the unit's length that the template explains. Where
         another licence of the same family comes within MARGIN, the family is given.
         """
-        found = self.scores(unit, threshold)
+        found = self.scores(terms(unit) if isinstance(unit, str) else unit, threshold)
         if not found:
             return None
         scores, norm = found
@@ -145,23 +159,25 @@ class Index:
         return score * norm, score, name
 
 
-def _units(text: str):
-    """A file's units: each line, each block of several lines (a paragraph, or a run of comment lines), and the whole text."""
-    lines = [x for x in text.split("\n") if x.strip()]
-    if len(lines) < 2:
-        return lines
-    blocks, block, was = [], [], None
-    for line in [*text.split("\n"), ""]:
-        mark = bool(_COMMENT.match(line))
-        blank = not _WORDY.search(line)
-        if blank or mark != was:
-            if 1 < len(block) < len(lines):
-                blocks.append("\n".join(block))
+def _units(text: str) -> list[list[str]]:
+    """The terms of a file's units: each line, each block of several lines (a paragraph, or a run of comment lines), and the whole text."""
+    low = text.lower()
+    lines = [(x, _TERM.findall(x)) for x in low.split("\n")]
+    full = [(x, found) for x, found in lines if x.strip()]
+    units = [found + _versions(x) for x, found in full]
+    if len(full) < 2:
+        return units
+    block, was = [], None
+    for x, found in [*lines, ("", [])]:
+        mark = bool(_COMMENT.match(x))
+        if not found or mark != was:
+            if 1 < len(block) < len(full):
+                units.append([t for _, each in block for t in each] + _versions("\n".join(line for line, _ in block)))
             block = []
-        if not blank:
-            block.append(line)
+        if found:
+            block.append((x, found))
             was = mark
-    return [*lines, *blocks, text]
+    return [*units, [t for _, each in full for t in each] + _versions(low)]
 
 
 def _frequencies(vocabulary):
@@ -173,7 +189,7 @@ def _frequencies(vocabulary):
             for text in batch.column("text").to_pylist():
                 for unit in _units(text):
                     count[""] += 1
-                    count.update(vocabulary.intersection(terms(unit)))
+                    count.update(vocabulary.intersection(unit))
         yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], schema=schema)
 
     return run
