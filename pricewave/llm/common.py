@@ -1,6 +1,7 @@
 """Helpers that the text operators share."""
 
 import tempfile
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -66,6 +67,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it again; compressed, unlike a checkpoint, and read by column."""
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def arrow_rows(make, schema: pa.Schema):
     """mapInArrow function from make(batch) -> columns (a list in the schema's order)."""
 

@@ -1,18 +1,22 @@
 """The queries opN_<name> over the driver's tables, and DuckDB SQL where SQL can express them."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricewave.llm import chat_template, decontaminate, exact_dedup, license_scan, line_dedup, pack_dp, quality_fm, simhash_neardup, substring_dedup, url_rules
+from pricewave.llm import chat_repair, chat_template, decontaminate, exact_dedup, license_scan, line_dedup, pack_dp, quality_fm, simhash_neardup
+from pricewave.llm import substring_dedup, token_files, url_rules
+from pricewave.llm.common import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_license_scan(spark, sf_dir):
@@ -72,7 +76,24 @@ def op10_url_filter(spark, sf_dir):
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_simhash_neardup, op3_quality_fm, op4_decontaminate, op5_line_dedup, op6_exact_dedup, op7_pack_sequences, op8_chat_format, op9_substring_dedup, op10_url_filter)}
+def op12_token_files(spark, sf_dir):
+    """Files are written with the metadata that documents has, in the shared folder, and read again."""
+    folder = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    token_files.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer_path("word_bpe_49k.json"), end_id=2, metadata=("lang", "source"), by_word=True)
+    return token_files.checksums(token_files.read_tokens(spark, folder))
+
+
+def op13_chat_repair(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    found = chat_repair.digests(chat_repair.repair(chat_repair.damage(turns)))
+    all_ = turns.select("conv_id").distinct()
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in chat_repair.REPORT]
+    joined = all_.join(found, all_["conv_id"].eqNullSafe(found["conv_id"]), "left")
+    return joined.select(all_["conv_id"], *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_simhash_neardup, op3_quality_fm, op4_decontaminate, op5_line_dedup, op6_exact_dedup, op7_pack_sequences, op8_chat_format, op9_substring_dedup, op10_url_filter, op12_token_files, op13_chat_repair)}
 
 _LINES = r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
