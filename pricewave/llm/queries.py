@@ -4,8 +4,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricewave.llm import chat_repair, chat_template, decontaminate, exact_dedup, license_scan, line_dedup, pack_dp, quality_fm, simhash_neardup
-from pricewave.llm import substring_dedup, token_files, url_rules
+from pricewave.llm import chat_repair, chat_template, decontaminate, exact_dedup, license_scan, line_dedup, pack_dp, quality_fm
+from pricewave.llm import ranked_search, simhash_neardup, substring_dedup, token_files, url_rules
 from pricewave.llm.common import shared_folder
 
 
@@ -76,6 +76,10 @@ def op10_url_filter(spark, sf_dir):
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_ranked_search(spark, sf_dir):
+    return ranked_search.search(ranked_search.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 def op12_token_files(spark, sf_dir):
     """Files are written with the metadata that documents has, in the shared folder, and read again."""
     folder = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
@@ -93,7 +97,7 @@ def op13_chat_repair(spark, sf_dir):
     return joined.select(all_["conv_id"], *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_simhash_neardup, op3_quality_fm, op4_decontaminate, op5_line_dedup, op6_exact_dedup, op7_pack_sequences, op8_chat_format, op9_substring_dedup, op10_url_filter, op12_token_files, op13_chat_repair)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_simhash_neardup, op3_quality_fm, op4_decontaminate, op5_line_dedup, op6_exact_dedup, op7_pack_sequences, op8_chat_format, op9_substring_dedup, op10_url_filter, op11_ranked_search, op12_token_files, op13_chat_repair)}
 
 _LINES = r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
@@ -145,4 +149,16 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM c GROUP BY conv_id
 """
 
-ORACLES = {"op5_line_dedup": _LINES, "op6_exact_dedup": _EXACT, "op8_chat_format": _TURNS, "op9_substring_dedup": _REPEATS, "op10_url_filter": _URLS}
+_RANKED = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+c AS (SELECT count(*)::BIGINT AS n_docs, sum(len(ts))::BIGINT AS total FROM d WHERE len(ts) > 0),
+tf AS (SELECT doc_id, len(ts) AS n, t, count(*) AS tf FROM (SELECT doc_id, ts, unnest(ts) AS t FROM d) GROUP BY ALL),
+b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, c GROUP BY t, n_docs),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // total)))) AS BIGINT) AS score
+      FROM b JOIN tf USING (t) JOIN w USING (t), c GROUP BY item_id, doc_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+ORACLES = {"op5_line_dedup": _LINES, "op6_exact_dedup": _EXACT, "op8_chat_format": _TURNS, "op9_substring_dedup": _REPEATS, "op10_url_filter": _URLS, "op11_ranked_search": _RANKED}
