@@ -309,13 +309,18 @@ def _same(a: DataFrame, b: DataFrame, *names: str) -> Column:
     return functools.reduce(lambda x, y: x & y, [a[n].eqNullSafe(b[n]) for n in names])
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows in order over the partitions; what is sampled for the ranges holds the texts' beginnings only."""
+    ranges = rows.repartitionByRange(partitions(rows), "conv_id", "turn", "role", F.left("text", F.lit(32)))
+    return ranges.sortWithinPartitions("conv_id", "turn", "role", "text")
+
+
 def _long(rows: DataFrame, keys: DataFrame, block_rows: int, block_chars: int) -> DataFrame:
     """The pieces of the conversations named by keys, each conversation being chained from its blocks."""
     rows = rows.join(keys, _same(rows, keys, "conv_id"), "left_semi")
     kind = rows.schema["conv_id"].dataType.simpleString()
-    order = ["conv_id", "turn", "role", F.xxhash64("text")]
     marked = "conv_id {0}, turn long, role string, text string, part long, block long, place long, same boolean".format(kind)
-    dealt = rows.repartitionByRange(partitions(rows), *order).sortWithinPartitions(*order, "text")
+    dealt = _dealt(rows)
     stamped = stored(dealt.mapInArrow(_stamp(dealt.columns, block_rows, block_chars), marked).withColumns({"h": F.xxhash64("role", "text"), "g": F.xxhash64(F.lit(1), "role", "text")}))
     # A row is a duplicate if its role and text have an earlier turn, or follow themselves within one; turns without a number are the earliest.
     early = F.coalesce(F.col("turn"), F.lit(-(1 << 63)))
@@ -344,7 +349,7 @@ def repair(turns: DataFrame, block_rows: int = BLOCK_ROWS, block_chars: int = BL
     row's first fault counts: blank, duplicate (role and text seen earlier in the
     conversation), truncated (the last character that is not white space is none
     of ``.!?``). Keep costs 0, Rerole 3, Delete 4 (blank and duplicate rows must
-    go), Insert 3, and a truncated row that stays 3 more. Of equally cheap audits
+    go), Insert 3, and a truncated row that stays 3 more. An empty role has no initial and can't be kept. Of equally cheap audits
     the least in ASCII order is taken.
 
     Output: conv_id, piece, pieces, gaps, blank, duplicate, truncated, illegal,
@@ -361,8 +366,7 @@ def repair(turns: DataFrame, block_rows: int = BLOCK_ROWS, block_chars: int = BL
     space = lambda c: F.coalesce(F.col(c), F.lit(" ")).alias(c)
     rows = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), space("role"), space("text"))
     kind = rows.schema["conv_id"].dataType.simpleString()
-    order = ["conv_id", "turn", "role", F.xxhash64("text")]
-    dealt = rows.repartitionByRange(partitions(rows), *order).sortWithinPartitions("conv_id", "turn", "role", "text")
+    dealt = _dealt(rows)
     out = f"conv_id {kind}, edge boolean, big boolean, {', '.join(f'{c} long' for c in REPORT)}, audit string, turns {TURNS}"
     found = stored(dealt.mapInArrow(_whole(dealt.columns, block_rows, block_chars), out))
     open_ = cut(found.where("edge OR big").groupBy("conv_id").agg(F.count("*").alias("n"), F.max("big").alias("big")).where("big OR n > 1").select("conv_id"))
