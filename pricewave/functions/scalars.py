@@ -38,9 +38,14 @@ SIZE = r"(\d+(?:\.\d+)?)\s*(g|kg|ml|l)\b"
 COUNT_UNITS = "pk|pack|packs|each|ea|bags?|rolls?|sheets?|capsules?|tablets?|wipes|pods?|loads?|pairs?|serves?"
 
 
-def cents(price: str) -> Column:
+def strip(text) -> Column:
+    """Without white space at both ends, that of any script."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
+def cents(price: str | Column) -> Column:
     """Price to whole cents, half to even; null where unparsable, not finite or not positive."""
-    c = F.rint(F.col(price).try_cast("double") * 100)
+    c = F.rint((F.col(price) if isinstance(price, str) else price).try_cast("double") * 100)
     return F.when((c > 0) & (c < 9e18), c.cast("bigint"))
 
 
@@ -69,7 +74,7 @@ def hint(text: str) -> Column:
 def retailer_cell(text: str, exact: bool = False) -> Column:
     t = F.lower(F.trim(text))
     if exact:
-        return F.when(t == "coles", "coles").when(t.isin("woolworths", "ww"), "woolworths")
+        return F.when(t == "coles", "coles").when(t.isin("woolworths", "woolies"), "woolworths")
     return F.when(t.contains("coles"), "coles").when(t.contains("woolworth") | (t == "ww"), "woolworths")
 
 

@@ -5,6 +5,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pricewave.functions import scalars
+from pricewave.sources import variants
+
 # Words that rule a name out, decoys of ingredient slots, and the bundles' slots in order.
 JUNK = (
     "month", "baby", "infant", "toddler", " cat ", "cat ", " dog", "puppy", "kitten", " pet ", "treat", "wipe", "sponge", "deodorant", "shampoo",
@@ -127,26 +130,42 @@ def menu(offers: DataFrame, bundles=BUNDLES, limit: int = MENU) -> DataFrame:
     return offers.where(F.lower("name").rlike("|".join(rf"\Q{w}\E" for w in words))).orderBy("sale_cents", "product_id").limit(limit)
 
 
-_DRAFTS = "struct<recipes: array<string>>"
-_DRAFT = "struct<title: string, serves: string, ingredients: array<string>, pantry: array<string>, instructions: string, tags: array<string>>"
-_ITEM = "struct<product_id: string, label: string>"
+def _entries(value: Column, n: int, size: int) -> Column:
+    """The first n entries of a list as texts of that size; the characters of a text, the names in an object, none of nothing."""
+    each = F.when(variants.is_list(value), F.transform(variants.elements(value), variants.written))
+    each = each.when(variants.is_text(value), F.filter(F.split(variants.text(value), ""), lambda c: c != ""))
+    each = each.when(variants.is_object(value), F.map_keys(F.try_variant_get(value, "$", "map<string, variant>")))
+    return F.slice(F.transform(F.coalesce(each, F.array().cast("array<string>")), lambda x: F.left(scalars.strip(x), F.lit(size))), 1, n)
 
 
 def drafted(replies: DataFrame, body: str = "body") -> DataFrame:
     """(reply, pos, title, serves, ingredients, pantry, instructions, tags) of the drafts in replies (reply, body) of a model.
 
-    Replies that are no JSON give none, entries that are no objects are left
-    out, and so are drafts whose servings are no number; missing lists are empty.
-    Titles keep 80 characters, pantries 6 entries of 40, tags 5 of 20.
+    Replies that are no JSON give none, and entries that are no objects are left
+    out. Servings are whole numbers, fractions cut off; a text must hold a whole
+    number, and nothing or zero is 4. A draft with other servings, or with a
+    number in place of a list, is left out; missing lists are empty. Titles keep 80 characters,
+    pantries 6 entries of 40, tags 5 of 20. A null that stands for a text reads "None".
     """
-    each = replies.select("reply", F.posexplode(F.from_json(body, _DRAFTS)["recipes"]).alias("pos", "raw")).where(F.col("raw").startswith("{"))
-    r = each.select("reply", "pos", F.from_json("raw", _DRAFT).alias("r")).where("r IS NOT NULL").select("reply", "pos", "r.*")
-    listed = lambda c, n, size: F.slice(F.transform(F.coalesce(c, F.expr("CAST(array() AS ARRAY<STRING>)")), lambda x: F.substring(F.trim(F.coalesce(x, F.lit("None"))), 1, size)), 1, n)
-    items = F.transform(F.filter(F.coalesce("ingredients", F.expr("CAST(array() AS ARRAY<STRING>)")), lambda x: x.startswith("{")), lambda x: F.from_json(x, _ITEM))
-    serves = F.when(F.col("serves").isNull() | F.col("serves").isin("", "0"), 4).otherwise(F.col("serves").try_cast("double").cast("int"))
-    return r.select(
-        "reply", "pos", F.substring(F.trim(F.coalesce("title", F.lit(""))), 1, 80).alias("title"), serves.alias("serves"), items.alias("ingredients"),
-        listed("pantry", 6, 40).alias("pantry"), F.trim(F.coalesce("instructions", F.lit(""))).alias("instructions"), listed("tags", 5, 20).alias("tags"),
+    listed = variants.elements(variants.member(variants.parsed(body), "recipes"))
+    each = replies.select("reply", F.posexplode(listed).alias("pos", "r")).where(variants.is_object(F.col("r")))
+    m = lambda c: variants.member(F.col("r"), c)
+    said = lambda c: F.when(variants.kind(m(c)).isNull(), "").otherwise(scalars.strip(variants.written(m(c))))
+    whole = scalars.strip(variants.text(m("serves")))
+    serves = (
+        F.when(variants.kind(m("serves")).isNull() | ~variants.filled(m("serves")), 4)
+        .when(variants.is_number(m("serves")), variants.number(m("serves")).try_cast("int"))
+        .when(variants.is_text(m("serves")) & whole.rlike(r"^[+-]?\d+$"), whole.try_cast("int"))
+        .when(variants.kind(m("serves")) == "BOOLEAN", 1)
+    )
+    no_list = lambda c: variants.filled(m(c)) & (variants.is_number(m(c)) | (variants.kind(m(c)) == "BOOLEAN"))
+    objects = F.filter(F.coalesce(variants.elements(m("ingredients")), F.expr("CAST(array() AS ARRAY<VARIANT>)")), variants.is_object)
+    text = lambda v, c: variants.text(variants.member(v, c)).alias(c)
+    items = F.transform(objects, lambda v: F.struct(text(v, "product_id"), text(v, "label")))
+    good = each.where(~(F.coalesce(no_list("ingredients"), F.lit(False)) | F.coalesce(no_list("pantry"), F.lit(False)) | F.coalesce(no_list("tags"), F.lit(False))))
+    return good.select(
+        "reply", "pos", F.left(said("title"), F.lit(80)).alias("title"), serves.alias("serves"), items.alias("ingredients"), _entries(m("pantry"), 6, 40).alias("pantry"),
+        said("instructions").alias("instructions"), _entries(m("tags"), 5, 20).alias("tags"),
     ).where("serves IS NOT NULL")
 
 

@@ -6,7 +6,7 @@ from pricewave.functions import scalars
 from pricewave.operators import digests, matching, pricing, writes
 from pricewave.plans.adapter import AS_OF, WEEK, table
 from pricewave.plans.book import query
-from pricewave.sources import parsers
+from pricewave.sources import parsers, tables
 
 _CENTS = "CAST(rint(p_retailprice * 100) AS BIGINT)"
 _CENTS_SQL = "CAST(round_even(p_retailprice * 100, 0) AS BIGINT)"
@@ -32,7 +32,7 @@ def dump_items(spark, sf_dir):
         F.when(F.col("o_orderkey") % 13 == 0, "n/a").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date"), F.when(F.col("o_orderkey") % 17 == 0, "dear").otherwise(F.col("o_totalprice").cast("string")).alias("price")
     )
     items = o.groupBy("o_custkey").agg(F.collect_list(point).alias("priceHistory")).select(
-        F.when(F.col("o_custkey") % 11 != 0, F.col("o_custkey").cast("string")).alias("id"), F.when(F.col("o_custkey") % 7 == 0, "  ").otherwise(F.concat(F.lit(" Cust "), F.col("o_custkey").cast("string"), F.lit(" "))).alias("name"), F.lit("779").alias("category"), "priceHistory", (F.col("o_custkey") % 16).alias("part")
+        F.when(F.col("o_custkey") % 11 != 0, F.col("o_custkey").cast("string")).alias("id"), F.when(F.col("o_custkey") % 7 == 0, "  ").otherwise(F.concat(F.lit(" Cust "), F.col("o_custkey").cast("string"), F.lit(" "))).alias("name"), F.lit("779").alias("category"), "priceHistory", F.floor(F.col("o_custkey") / 100).alias("part")
     )
     bodies = items.groupBy("part").agg(F.to_json(F.collect_list(F.struct("id", "name", "category", "priceHistory"))).alias("body"))
     found = parsers.usable_items(parsers.dump_items(bodies))
@@ -46,16 +46,22 @@ def category_dimension(spark, sf_dir):
     return parsers.labels_of(n.groupBy("n_regionkey").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("n_nationkey").cast("string"), "n_name")))).alias("body")))
 
 
-@query(f"""WITH {_SALES_SQL} SELECT p_name || ' ' || p_partkey AS name, CASE WHEN p_partkey % 5 = 0 THEN 'Uncategorised' ELSE p_type END AS category, regular AS regular_cents, sale AS sale_cents, pct AS discount_pct, pct >= 50 AS is_half_price,
-CASE p_partkey % 3 WHEN 0 THEN 'L' || p_partkey WHEN 1 THEN 'S' || p_partkey END AS image_url, CAST(p_partkey AS VARCHAR) AS sku FROM s WHERE p_partkey % 19 <> 0""")
+@query(f"""WITH {_SALES_SQL}
+SELECT p_name || ' ' || p_partkey AS name, CASE WHEN p_partkey % 5 = 0 THEN 'Uncategorised' ELSE p_type END AS category, regular AS regular_cents, sale AS sale_cents,
+       pct AS discount_pct, pct >= 50 AS is_half_price, CASE p_partkey % 3 WHEN 0 THEN 'L' || p_partkey WHEN 1 THEN 'S' || p_partkey END AS image_url,
+       CASE WHEN p_partkey % 29 <> 0 THEN 'woolworths:' || p_partkey END AS sku FROM s WHERE p_partkey % 19 <> 0 AND p_partkey % 31 <> 0""")
 def browse_rows(spark, sf_dir):
-    key = F.col("p_partkey").cast("string")
+    """Bundles of products, some without a name, a price or a stock number."""
+    k, key = F.col("p_partkey"), F.col("p_partkey").cast("string")
     tile = F.struct(
-        F.when(F.col("p_partkey") % 19 == 0, "  ").otherwise(F.concat(F.lit(" "), F.concat_ws(" ", "p_name", key))).alias("Name"), (F.col("sale") / 100.0).alias("Price"), (F.col("regular") / 100.0).alias("WasPrice"), key.alias("Stockcode"),
-        F.when(F.col("p_partkey") % 5 == 0, " ").otherwise(F.col("p_type")).alias("Department"), F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("L"), key)).otherwise("").alias("LargeImageFile"), F.when(F.col("p_partkey") % 3 == 1, F.concat(F.lit("S"), key)).alias("SmallImageFile"),
+        F.when(k % 19 == 0, "  ").otherwise(F.concat(F.lit(" "), F.concat_ws(" ", "p_name", key))).alias("Name"),
+        F.when(k % 31 != 0, F.col("sale") / 100.0).alias("Price"), (F.col("regular") / 100.0).cast("string").alias("WasPrice"), F.when(k % 29 != 0, k).alias("Stockcode"),
+        F.when(k % 5 == 0, " ").otherwise(F.col("p_type")).alias("Department"), F.when(k % 3 == 0, F.concat(F.lit("L"), key)).otherwise("").alias("LargeImageFile"),
+        F.when(k % 3 == 1, F.concat(F.lit("S"), key)).alias("SmallImageFile"),
     )
-    bundle = _offers(spark, sf_dir).groupBy("p_size", "p_brand").agg(F.struct(F.collect_list(tile).alias("Products")).alias("b"))
-    return parsers.browse_specials(bundle.groupBy("p_size").agg(F.to_json(F.struct(F.collect_list("b").alias("Bundles"))).alias("body")))
+    page = F.floor(k / 400).alias("page")
+    bundle = _offers(spark, sf_dir).groupBy(page, "p_brand").agg(F.struct(F.collect_list(tile).alias("Products")).alias("b"))
+    return parsers.browse_specials(bundle.groupBy("page").agg(F.to_json(F.struct(F.collect_list("b").alias("Bundles"))).alias("body")))
 
 
 _RUNS_SQL = """WITH o AS (SELECT o_custkey % 200 AS run, o_orderkey % 10 AS page, row_number() OVER (PARTITION BY o_custkey % 200, o_orderkey % 10 ORDER BY o_orderkey) - 1 AS pos, CASE WHEN o_orderkey % 3 = 0 THEN 'ITEM ' ELSE 'Item ' END || (o_orderkey // 10 % 37) AS name FROM orders),
@@ -94,23 +100,33 @@ def resumed_pages(spark, sf_dir):
     return parsers.remaining_pages(pages.select("run", "page").distinct(), pages.where("o_orderstatus = 'F'"))
 
 
-@query(f"""WITH {_SALES_SQL} SELECT CASE WHEN p_partkey % 3 = 0 THEN p_name || ' ' || p_partkey ELSE p_brand || ' ' || p_name || ' ' || p_partkey END AS name, regular AS regular_cents, sale AS sale_cents, CASE WHEN p_partkey % 6 = 1 THEN 33 ELSE pct END AS discount_pct, CASE WHEN p_partkey % 6 = 1 THEN false ELSE pct >= 50 END AS is_half_price,
-'https://img' || CASE WHEN p_partkey % 4 = 1 THEN '/u/' || p_partkey ELSE '/' || left(CAST(p_partkey AS VARCHAR), 1) || '/' || p_partkey || '.jpg' END AS image_url, CAST(p_partkey AS VARCHAR) AS sku FROM s WHERE p_partkey % 10 <> 7""")
+@query(f"""WITH {_SALES_SQL}
+SELECT CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN lower(p_brand) || ' ' ELSE p_brand || ' ' END || p_name || ' ' || p_partkey AS name,
+       regular AS regular_cents, sale AS sale_cents, CASE WHEN p_partkey % 6 = 1 THEN 33 ELSE pct END AS discount_pct,
+       CASE WHEN p_partkey % 6 = 1 THEN false ELSE pct >= 50 END AS is_half_price,
+       'https://img' || CASE WHEN p_partkey % 4 = 1 THEN '/u/' || p_partkey ELSE '/' || left(CAST(p_partkey AS VARCHAR), 1) || '/' || p_partkey || '.jpg' END AS image_url,
+       CAST(p_partkey AS VARCHAR) AS sku
+FROM s WHERE p_partkey % 10 <> 7""")
 def embedded_listing(spark, sf_dir):
-    """Pages with the listing's JSON in a script element."""
-    key = F.col("p_partkey").cast("string")
+    """Pages with the listing's JSON in a script element; saved percentages as numbers, texts, fractions and nulls, prices as numbers and texts."""
+    k, key = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    said = lambda c: F.to_json(F.struct(c.alias("x"))).substr(F.lit(6), F.lit(1 << 20))  # noqa: E731  the value and the closing brace
+    json = lambda c: F.regexp_replace(said(c), r"\}$", "")
+    money = lambda c: F.when(k % 5 == 0, F.concat(F.lit('"'), (F.col(c) / 100.0).cast("string"), F.lit('"'))).otherwise((F.col(c) / 100.0).cast("string"))
     named = F.concat_ws(" ", "p_name", key)
-    product = F.struct(
-        F.when(F.col("p_partkey") % 10 == 7, "AD").otherwise("PRODUCT").alias("_type"), key.alias("id"), F.when(F.col("p_partkey") % 3 == 1, F.concat_ws(" ", F.lower("p_brand"), named)).otherwise(named).alias("name"), F.when(F.col("p_partkey") % 3 != 0, F.col("p_brand")).alias("brand"),
-        F.struct((F.col("sale") / 100.0).alias("now"), (F.col("regular") / 100.0).alias("was"), F.when(F.col("p_partkey") % 6 == 1, "33").when(F.col("p_partkey") % 6 == 2, "half").alias("savePercent")).alias("pricing"),
-        F.when(F.col("p_partkey") % 4 == 1, F.array(F.struct(F.concat(F.lit("/u/"), key).alias("uri")))).alias("imageUris"),
+    brand = F.when(k % 3 != 0, F.concat(F.lit(',"brand":'), json(F.col("p_brand")))).otherwise("")
+    saved = F.element_at(F.array(*map(F.lit, ("", ',"savePercent":33', ',"savePercent":"33"', ',"savePercent":null', ',"savePercent":33.5', ',"savePercent":"half"'))), (k % 6 + 1).cast("int"))
+    product = F.concat(
+        F.lit('{"_type":'), F.when(k % 10 == 7, '"AD"').otherwise('"PRODUCT"'), F.lit(',"id":'), F.when(k % 2 == 0, key).otherwise(F.concat(F.lit('"'), key, F.lit('"'))),
+        F.lit(',"name":'), json(F.when(k % 3 == 1, F.concat_ws(" ", F.lower("p_brand"), named)).otherwise(F.concat(F.lit("  "), named))), brand,
+        F.lit(',"pricing":{"now":'), money("sale"), F.lit(',"was":'), money("regular"), saved, F.lit("}"),
+        F.when(k % 4 == 1, F.concat(F.lit(',"imageUris":[{"uri":"/u/'), key, F.lit('"}]'))).when(k % 4 == 2, ',"imageUris":[]').otherwise(""), F.lit("}"),
     )
-    body = F.to_json(F.struct(F.struct(F.struct(F.struct(F.collect_list(product).alias("results")).alias("searchResults")).alias("pageProps")).alias("props")))
+    body = F.concat(F.lit('{"props":{"pageProps":{"searchResults":{"results":['), F.array_join(F.collect_list(product), ","), F.lit("]}}}}"))
     html = F.concat(F.lit('<html><script>var a = 1;</script><script type="application/json" id="__NEXT_DATA__">'), body, F.lit("</script></html>"))
-    pages = _offers(spark, sf_dir).groupBy("p_size").agg(html.alias("html")).select(parsers.embedded_json("html", path="$.props.pageProps.searchResults.results").alias("results"))
-    found = parsers.listing_specials(pages, cdn="https://img")
-    brand = F.regexp_replace("name", r"^brand#", "Brand#")
-    return found.withColumn("name", brand)
+    pages = _offers(spark, sf_dir).groupBy(F.floor(k / 200)).agg(html.alias("html"))
+    found = pages.select(parsers.embedded_json("html", path="$.props.pageProps.searchResults.results").alias("results"))
+    return parsers.listing_specials(found, cdn="https://img")
 
 
 @query("""SELECT n_nationkey AS k, CASE WHEN n_nationkey % 5 = 0 THEN 'https://x.org/node/1' || n_nationkey WHEN n_nationkey % 5 = 1 THEN 'https://site.org/node/2' || n_nationkey WHEN n_nationkey % 5 = 2 THEN 'https://site.org/node/3' || n_nationkey END AS link,
@@ -130,61 +146,112 @@ def report_posts(spark, sf_dir):
     return pages.select(F.col("n_nationkey").alias("k"), F.coalesce(parsers.report_link("user", "https://site.org"), parsers.report_link("search", "https://site.org")).alias("link"), week["week_start"].alias("week_start"), week["week_end"].alias("week_end"))
 
 
-_SHEET = f"""WITH {_SALES_SQL}, q AS (SELECT *, CASE p_partkey % 5 WHEN 0 THEN 'coles' WHEN 1 THEN 'woolworths' WHEN 2 THEN 'woolworths' WHEN 3 THEN NULL ELSE 'coles' END AS retailer FROM s)"""
+_SHEETS_SQL = f"""p AS (SELECT *, {_CENTS_SQL} AS regular, CAST(round_even(p_retailprice * 100 * {_SHARE_SQL}, 0) AS BIGINT) AS sale FROM part),
+l AS (SELECT *, 's' || p_partkey // 700 AS file, row_number() OVER (PARTITION BY p_partkey // 700 ORDER BY p_partkey) + 1 AS line,
+      CASE p_partkey % 5 WHEN 0 THEN 'coles' WHEN 1 THEN 'woolworths' WHEN 2 THEN 'woolworths' WHEN 4 THEN 'coles' END AS retailer FROM p),
+g AS (SELECT * FROM l WHERE p_partkey // 700 % 4 <> 3 AND retailer IS NOT NULL AND p_partkey % 9 <> 0 AND p_partkey % 8 <> 1 AND p_partkey % 19 <> 0 AND sale < regular)"""
 
 
-def _cells(spark, sf_dir):
-    """Parts as a sheet's cells of text."""
-    dollars = lambda c: F.concat(F.lit("$"), F.format_number(F.col(c) / 100.0, 2))
-    last = F.when(F.col("p_partkey") % 3 == 0, F.concat((F.col("p_partkey") % 9 + 1).cast("string"), F.lit(" weeks ago @ CL"))).when(F.col("p_partkey") % 3 == 1, F.concat(F.lit(" 1 week ago @ ww "))).otherwise("never")
-    shop = F.element_at(F.array(*map(F.lit, ("Coles", "Woolworths", " WW", "Aldi", "COLES "))), (F.col("p_partkey") % 5 + 1).cast("int"))
-    percent = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(" "), F.rint(100.0 * (F.col("regular") - F.col("sale")) / F.col("regular")).cast("int").cast("string"), F.lit("% ")))
-    return _offers(spark, sf_dir).select(F.col("p_partkey").alias("line"), F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")).alias("name"), F.col("p_type").alias("category"), shop.alias("retailer"), dollars("regular").alias("regular"), dollars("sale").alias("sale"), percent.alias("percent"), last.alias("last"), F.lit("w").alias("week"), F.lit("n").alias("notes"), F.lit(None).cast("string").alias("_other"))
-
-
-@query(_SHEET + """ SELECT p_partkey AS line, p_name AS name, p_type AS category, retailer, regular AS regular_cents, sale AS sale_cents, pct AS discount_pct, CASE p_partkey % 3 WHEN 0 THEN CAST(p_partkey % 9 + 1 AS INT) WHEN 1 THEN 1 END AS weeks,
-CASE p_partkey % 3 WHEN 0 THEN 'coles' WHEN 1 THEN 'woolworths' END AS hinted, pct >= 50 AS is_half_price FROM q WHERE retailer IS NOT NULL ORDER BY p_partkey LIMIT 5000""")
+def _sheets(spark, sf_dir) -> DataFrame:
+    """Sheets of 700 parts each, in the order of the file's cells; every fourth has another header."""
+    k = F.col("p_partkey")
+    quoted = lambda c: F.concat(F.lit('"'), F.regexp_replace(c, '"', '""'), F.lit('"'))
+    dollars = lambda c: quoted(F.concat(F.lit(" $ "), F.format_number(F.col(c) / 100.0, 2), F.lit(" ")))
+    shop = F.element_at(F.array(*map(F.lit, ("Coles", "Woolworths", " Woolies ", "Aldi", "COLES "))), (k % 5 + 1).cast("int"))
+    name = F.when(k % 19 == 0, " ").otherwise(F.concat(F.lit(" "), F.col("p_name"), F.lit(', "big"\nnumber '), k.cast("string"), F.lit(" ")))
+    pct = F.when(k % 8 == 1, "").otherwise(F.concat(F.lit(" "), (k % 90).cast("string"), F.lit(".25% ")))
+    last = F.when(k % 3 == 0, F.concat((k % 9 + 1).cast("string"), F.lit(" weeks ago @ CL"))).when(k % 3 == 1, " 1 week ago @ ww ").otherwise("—")
+    cells = [shop, quoted(name), F.when(k % 6 == 0, " ").otherwise(F.col("p_type")), dollars("regular"), F.lit("each"), dollars("sale"), pct, F.lit("")]
+    row = F.concat(F.array_join(F.array(*cells), ","), F.when(k % 9 == 0, "").otherwise(F.concat(F.lit(","), last)))
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", row.alias("r")))), lambda x: x["r"])
+    head = F.when(F.col("part") % 4 == 3, "Shop,Name,Category").otherwise(" Retailer,Name ,Category,Regular,Unit,Sale,Off,Unit,Last")
+    made = _offers(spark, sf_dir).groupBy(F.floor(k / 700).alias("part")).agg(rows.alias("rows"))
+    body = F.concat(F.lit("All offers of the week\n"), head, F.lit("\n"), F.array_join("rows", "\n"), F.lit("\n"))
+    return tables.sheet_lines(made.select(F.concat(F.lit("s"), F.col("part").cast("string")).alias("file"), body.alias("body")))
+
+
+@query(f"""WITH {_SHEETS_SQL}
+SELECT file, CAST(line AS INT) AS line, retailer, p_name || ', "big"' || chr(10) || 'number ' || p_partkey AS name,
+       CASE WHEN p_partkey % 6 = 0 THEN 'Uncategorised' ELSE p_type END AS category, regular AS regular_cents, sale AS sale_cents,
+       CAST(p_partkey % 90 AS INT) AS discount_pct, p_partkey % 90 >= 50 AS is_half_price,
+       CASE p_partkey % 3 WHEN 0 THEN (p_partkey % 9 + 1) || ' weeks ago @ CL' WHEN 1 THEN ' 1 week ago @ ww ' ELSE '—' END AS last_raw,
+       CASE p_partkey % 3 WHEN 0 THEN CAST(p_partkey % 9 + 1 AS INT) WHEN 1 THEN 1 END AS last_weeks,
+       CASE p_partkey % 3 WHEN 0 THEN 'coles' WHEN 1 THEN 'woolworths' END AS last_retailer FROM g""")
 def sheet_rows(spark, sf_dir):
-    """A sheet's specials, five thousand at most as its format has it."""
-    found = parsers.sheet_specials(_cells(spark, sf_dir))
-    return found.select("line", "name", "category", "retailer", "regular_cents", "sale_cents", "discount_pct", F.col("hint.weeks").alias("weeks"), F.col("hint.retailer").alias("hinted"), "is_half_price")
-
-
-@query(f"""WITH {_SALES_SQL}, q AS (SELECT *, CASE WHEN p_partkey % 2 = 0 THEN 'coles' ELSE 'woolworths' END AS retailer, 'Group ' || p_size AS category FROM p WHERE sale < regular)
-SELECT category, p_name || ' ' || p_partkey AS name, retailer, sale AS sale_cents, regular AS regular_cents, CAST(p_partkey % 90 AS INT) AS discount_pct, p_partkey % 90 >= 50 AS is_half_price FROM q""")
+    """The specials of sheets, five thousand of a sheet at most as its format has it."""
+    return tables.sheet_specials(_sheets(spark, sf_dir))
+
+
+@query(f"""WITH {_SHEETS_SQL}, n AS (SELECT file, count(*) AS items FROM g GROUP BY file)
+SELECT DISTINCT file, CASE WHEN p_partkey // 700 % 4 = 3 THEN 'failed' WHEN items > 0 THEN 'success' ELSE 'no_data' END AS status, coalesce(items, 0) AS items
+FROM l LEFT JOIN n USING (file)""")
+def sheet_status(spark, sf_dir):
+    """How the reading of each sheet ended; a sheet with another header fails without stopping the others."""
+    lines = _sheets(spark, sf_dir)
+    return tables.sheet_runs(lines, tables.sheet_specials(lines))
+
+
+@query(f"""WITH p AS (SELECT *, {_CENTS_SQL} AS regular, CAST(round_even(p_retailprice * 100 * {_SHARE_SQL}, 0) AS BIGINT) AS sale, p_partkey // 300 AS own FROM part),
+q AS (SELECT *, p_partkey % 4 = 1 AND own > 0 AS early FROM p WHERE p_partkey % 7 <> 0 AND p_partkey % 11 <> 0 AND p_partkey % 13 <> 0 AND p_partkey % 17 <> 0)
+SELECT CASE WHEN early THEN own - 1 ELSE own END AS page, CASE WHEN p_partkey % 2 = 0 THEN 'coles' ELSE 'woolworths' END AS retailer, p_name || ' & ' || p_partkey AS name,
+       CASE WHEN early THEN 'Group 8' WHEN p_size % 5 = 0 THEN 'Uncategorised' ELSE 'Group ' || p_size % 5 END AS category, regular AS regular_cents, sale AS sale_cents,
+       CAST(p_partkey % 90 AS INT) AS discount_pct, p_partkey % 90 >= 50 AS is_half_price,
+       CASE p_partkey % 3 WHEN 0 THEN '8 weeks ago @ CL' WHEN 1 THEN '—' ELSE '' END AS last_raw, CASE WHEN p_partkey % 3 = 0 THEN 8 END AS last_weeks,
+       CASE WHEN p_partkey % 3 = 0 THEN 'coles' END AS last_retailer FROM q""")
 def html_table_rows(spark, sf_dir):
-    """Tables under headings, each group's category carried on to its rows; repeated rows count once."""
-    p = _offers(spark, sf_dir).where("sale < regular")
+    """A report over several pages: its own heading is no category, rows of other shapes are left out, and of a row on two pages the earlier page's counts."""
+    k, own = F.col("p_partkey"), F.floor(F.col("p_partkey") / 300)
     shown = lambda c: F.concat(F.lit("$"), F.format_number(F.col(c) / 100.0, 2))
-    cells = [F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")), F.when(F.col("p_partkey") % 2 == 0, "Coles online").otherwise("WW"), shown("sale"), shown("regular"), F.concat((F.col("p_partkey") % 90).cast("string"), F.lit("%")), F.lit("8 weeks ago @ CL")]
-    row = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells], F.lit("</tr>"))
-    part = F.concat(F.lit("<h5>Group "), F.col("p_size").cast("string"), F.lit("</h5><table class='data'><tr><td>a</td></tr>"), F.array_join(F.collect_list(row), ""), F.array_join(F.collect_list(row), ""), F.lit("</table><table><tr><td>x</td></tr></table>"))
-    pages = p.groupBy("p_size").agg(part.alias("part")).groupBy((F.col("p_size") % 4).alias("page")).agg(F.concat(F.lit("<html>"), F.array_join(F.collect_list("part"), "<p>next</p>")).alias("html"))
-    return parsers.table_specials(pages).drop("row", "hint")
+    shop = F.when(k % 11 == 0, "Aldi").when(k % 2 == 0, "<b>Coles</b> online").otherwise(" WW ")
+    cells = [
+        shop, F.concat(F.col("p_name"), F.lit(" &amp; <i>"), k.cast("string"), F.lit("</i>")), shown("regular"), F.lit("$1 / 100g"), F.when(k % 13 == 0, "n/a").otherwise(shown("sale")),
+        F.concat((k % 90).cast("string"), F.when(k % 17 == 0, ".5%").otherwise("% ")), F.when(k % 3 == 0, "8 weeks ago @ CL").when(k % 3 == 1, "—"),
+    ]
+    row = F.concat(F.lit("<tr>"), F.array_join(F.transform(F.slice(F.array_compact(F.array(*cells)), F.lit(1), F.when(k % 7 == 0, 5).otherwise(7)), lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))), ""), F.lit("</tr>"))
+    place = lambda at, sec: F.struct(at.alias("page"), sec.alias("sec"))
+    places = F.array(place(own, F.col("p_size") % 5), F.when(k % 4 == 0, place(own + 1, F.lit(9))), F.when((k % 4 == 1) & (own > 0), place(own - 1, F.lit(8))))
+    each = _offers(spark, sf_dir).select("p_partkey", row.alias("r"), F.explode(F.array_compact(places)).alias("at")).select("p_partkey", "r", "at.*")
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "r"))), lambda x: x["r"]), "")
+    sections = each.groupBy("page", "sec").agg(F.concat(F.lit("<table class='wide data'><thead><tr><th>Shop</th></tr></thead><tbody>"), rows, F.lit("</tbody></table>")).alias("t"))
+    named = F.concat(F.when(F.col("sec") > 0, F.concat(F.lit("<h5>Group <b>"), F.col("sec").cast("string"), F.lit("</b></h5>"))).otherwise(""), F.col("t"), F.lit("<table><tr><td>x</td></tr></table>"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sec", named.alias("h")))), lambda x: x["h"]), "<p>next</p>")
+    pages = sections.groupBy("page").agg(F.concat(F.lit("<h5>Catalogue Half-Price Report — 2001-06-13</h5>"), whole).alias("html"))
+    return tables.table_specials(pages).drop("pos")
 
 
 @query(f"""WITH {_SALES_SQL}, x AS (SELECT p_partkey AS k, p_name || ' & ' || p_partkey AS name, p_partkey % 6 = 0 AS half, sale, regular FROM p WHERE p_partkey % 23 <> 0)
-SELECT CAST(k AS VARCHAR) AS id, name, half AS is_half, sale AS sale_cents, CASE WHEN k % 2 = 0 THEN regular END AS was_cents, left(CASE WHEN half THEN '1/2 Price — ' ELSE 'Special: ' END || name || ' of the week, while stocks last everywhere', 40) AS discount_desc FROM x""")
+SELECT CAST(k AS VARCHAR) AS id, name, half AS is_half, sale AS sale_cents, CASE WHEN k % 4 < 3 THEN regular END AS was_cents,
+       left(CASE WHEN half THEN '1/2 Price — ' ELSE 'Special: ' END || name || ' of the week, while stocks last everywhere', 40) AS discount_desc FROM x""")
 def callback_catalogue(spark, sf_dir):
-    """Catalogues wrapped in a callback, with character references; of an item read twice the half-price reading counts."""
-    p = _offers(spark, sf_dir)
-    key = F.col("p_partkey").cast("string")
+    """Catalogues in and out of a callback, items in and out of a wrapping object, with character references; of an item read twice the half-price reading counts."""
+    k, key = F.col("p_partkey"), F.col("p_partkey").cast("string")
     name = F.concat(F.lit(" "), F.col("p_name"), F.lit(" &amp; "), key)
-    half = F.col("p_partkey") % 6 == 0
+    half = k % 6 == 0
     says = lambda h: F.concat(F.when(h, "1/2 Price &mdash; ").otherwise("Special: "), F.trim(name), F.lit(" of the week, while stocks last everywhere"))
-    price = F.struct(F.when(F.col("p_partkey") % 3 == 0, "").otherwise((F.col("sale") / 100.0).cast("string")).alias("priceSale"), (F.col("sale") / 100.0).cast("string").alias("priceReg"), F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("Was $"), F.format_string("%.2f", F.col("regular") / 100.0))).otherwise("each").alias("priceOptionDesc"))
-    item = lambda h: F.struct(F.when(F.col("p_partkey") % 23 == 0, "P").otherwise(F.concat(key, F.lit("P"))).alias("SKU"), name.alias("itemName"), says(h).alias("description"), F.array(price).alias("prices"))
-    body = F.concat(F.lit("cb_1("), F.to_json(F.struct(F.flatten(F.collect_list(F.array(item(F.lit(False)), item(half)))).alias("items"))), F.lit(");\n"))
-    bodies = p.groupBy((F.col("p_partkey") % 12).alias("pos")).agg(body.alias("body"))
-    found = parsers.catalogue_items(bodies)
-    return found
+    was = F.format_string("%.2f", F.col("regular") / 100.0)
+    option = F.when(k % 4 == 0, F.concat(F.lit("Was $"), was, F.lit("."))).when(k % 4 == 1, F.concat(F.lit("was $ "), was, F.lit(" each"))).when(k % 4 == 2, F.concat(F.lit("each, WAS"), was)).otherwise("each")
+    sale = (F.col("sale") / 100.0).cast("string")
+    first = F.element_at(F.array(F.lit('"priceSale":""'), F.concat(F.lit('"priceSale":"'), sale, F.lit('"')), F.concat(F.lit('"priceSale":'), sale), F.lit('"priceSale":0'), F.lit('"priceSale":null')), (k % 5 + 1).cast("int"))
+    rest = F.concat(F.lit(',"priceReg":"'), sale, F.lit('","priceOptionDesc":"'), option, F.lit('"}]}'))
+    code = F.when(k % 23 == 0, "P").otherwise(F.concat(key, F.lit("P")))
+    plain = lambda h: F.regexp_replace(F.to_json(F.struct(code.alias("SKU"), name.alias("itemName"), says(h).alias("description"))), r"\}$", "")
+    item = lambda h: F.concat(plain(h), F.lit(',"prices":[{'), first, rest)
+    wrapped = lambda j: F.when(k % 2 == 0, F.concat(F.lit('{"items":'), j, F.lit("}"))).otherwise(j)
+    listed = F.array_join(F.flatten(F.collect_list(F.array(wrapped(item(F.lit(False))), wrapped(item(half))))), ",")
+    made = _offers(spark, sf_dir).groupBy(F.floor(k / 300).alias("pos")).agg(F.concat(F.lit('{"items":['), listed, F.lit("]}")).alias("json"))
+    body = F.when(F.col("pos") % 3 == 0, F.col("json")).otherwise(F.concat(F.lit("cb_1("), F.col("json"), F.lit(") ;\n")))
+    return parsers.catalogue_items(made.select("pos", body.alias("body")))
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey % 9 <> 0 AND CAST(o_orderdate AS DATE) <= DATE '1998-06-30' AND CAST(o_orderdate AS DATE) + 300 >= DATE '1998-06-30'")
 def running_catalogues(spark, sf_dir):
-    day = F.to_date("o_orderdate")
-    sales = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 9 == 0, "soon").otherwise(day.cast("string")).alias("start"), F.date_add(day, 300).cast("string").alias("end"))
-    return parsers.running_sales(sales, "1998-06-30").select("o_orderkey")
+    """Callbacks that list catalogues, every second one wrapped; malformed dates leave a catalogue out."""
+    k, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    start = F.when(k % 9 == 0, "soon").otherwise(day.cast("string"))
+    sale = F.to_json(F.struct(k.alias("saleId"), start.alias("startDate"), F.date_add(day, 300).cast("string").alias("endDate")))
+    wrapped = F.when(k % 2 == 0, F.concat(F.lit('{"items":'), sale, F.lit("}"))).otherwise(sale)
+    bodies = table(spark, sf_dir, "orders").groupBy(F.floor(k / 1000)).agg(F.concat(F.lit('cb({"items":['), F.array_join(F.collect_list(wrapped), ","), F.lit("]});")).alias("body"))
+    return parsers.running_sales(parsers.sale_rows(bodies), "1998-06-30").select(F.col("id").cast("bigint").alias("o_orderkey"))
 
 
 @query("""SELECT 'coles' AS retailer, CAST(p_partkey AS VARCHAR) AS id, replace(p_name, ' ', '-') AS slug FROM part WHERE p_partkey % 2 = 0
@@ -209,9 +276,10 @@ def _searched(spark, sf_dir):
     """What a search gives for every third name: six names further on, in tiles of two."""
     p = table(spark, sf_dir, "part")
     named = p.select(F.col("p_partkey").alias("k"), F.concat_ws(" ", "p_name", "p_type", F.concat(F.col("p_size").cast("string"), F.lit("g"))).alias("name"))
-    count = p.agg(F.count("*").alias("c")).first()["c"]
+    count = F.broadcast(p.agg(F.count("*").alias("c")))  # one row
     asked = named.where("k % 3 = 0")
-    wanted = asked.select(F.col("k").alias("pid"), F.explode(F.expr("sequence(0, 5)")).alias("d")).withColumn("k", (F.col("pid") + 7 * F.col("d") + 1) % count)
+    wanted = asked.crossJoin(count).select(F.col("k").alias("pid"), "c", F.explode(F.expr("sequence(0, 5)")).alias("d"))
+    wanted = wanted.withColumn("k", (F.col("pid") + 7 * F.col("d") + 1) % F.col("c")).drop("c")
     product = F.struct(F.col("name").alias("Name"), F.col("k").cast("string").alias("Stockcode"), F.when(F.col("k") % 2 == 0, "slug").otherwise("").alias("UrlFriendlyName"), F.lit("").alias("LargeImageFile"), F.concat(F.lit("m"), F.col("k").cast("string")).alias("MediumImageFile"))
     got = wanted.join(named, "k").groupBy("pid").agg(F.transform(F.array_sort(F.collect_list(F.struct("d", product.alias("p")))), lambda x: x["p"]).alias("ps"))
     tiles = F.array(*[F.struct(F.slice("ps", s, 2).alias("Products")) for s in (1, 3, 5)])
@@ -242,7 +310,8 @@ def newest_scrape(spark, sf_dir):
 
 @query("""SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 < 2 THEN CAST(round_even(o_totalprice * 100, 0) AS BIGINT) END AS cents, CASE WHEN o_orderkey % 4 <> 3 THEN CAST(round_even(o_totalprice * 100, 0) AS BIGINT) END AS amount,
 CAST(o_custkey % 100 AS INT) AS percent, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey % 30 AS INT) END AS weeks, CASE WHEN o_orderkey % 3 = 0 THEN 'woolworths' END AS hinted,
-CASE o_orderkey % 4 WHEN 0 THEN 'coles' WHEN 1 THEN 'woolworths' WHEN 2 THEN 'woolworths' END AS retailer, CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'woolworths' WHEN 2 THEN NULL END AS exact_retailer FROM orders""")
+CASE o_orderkey % 6 WHEN 0 THEN 'coles' WHEN 1 THEN 'woolworths' WHEN 2 THEN 'woolworths' WHEN 5 THEN 'coles' END AS retailer,
+CASE o_orderkey % 6 WHEN 4 THEN 'woolworths' WHEN 5 THEN 'coles' END AS exact_retailer FROM orders""")
 def money_cells(spark, sf_dir):
     """Prices, percentages, hints and retailers as texts of different care."""
     o = table(spark, sf_dir, "orders")
@@ -253,7 +322,7 @@ def money_cells(spark, sf_dir):
         F.element_at(F.array(F.concat(F.lit("$"), F.format_number("o_totalprice", 2)), F.concat(F.lit("now $ "), fixed, F.lit(" ea")), fixed, F.lit("free")), (k % 4 + 1).cast("int")).alias("dollars"),
         F.concat(F.lit(" "), (F.col("o_custkey") % 100).cast("string"), F.lit("% ")).alias("pct"),
         F.when(k % 3 == 0, F.concat((F.col("o_custkey") % 30).cast("string"), F.lit(" Weeks  ago @ WW (approx)"))).when(k % 3 == 1, "about 3 weeks ago @ CL").alias("last"),
-        F.element_at(F.array(*map(F.lit, ("Coles Express", " ww", "The Woolworths", "Aldi"))), (k % 4 + 1).cast("int")).alias("shop"),
+        F.element_at(F.array(*map(F.lit, ("Coles Express", " ww", "The Woolworths", "Aldi", "Woolies ", " COLES"))), (k % 6 + 1).cast("int")).alias("shop"),
     )
     h = scalars.hint("last")
     return x.select("k", scalars.cents("price").alias("cents"), scalars.dollars_to_cents("dollars").alias("amount"), scalars.percent("pct", strict=True).alias("percent"), h["weeks"].alias("weeks"), h["retailer"].alias("hinted"), scalars.retailer_cell("shop").alias("retailer"), scalars.retailer_cell("shop", exact=True).alias("exact_retailer"))
@@ -272,8 +341,7 @@ def text_keys(spark, sf_dir):
         F.element_at(F.array(*map(F.lit, ("http://y/z", "//y/z", "/z", "z"))), (k % 4 + 1).cast("int")).alias("href"),
         F.concat(F.lit("ＴＨＥ Café™ "), F.regexp_replace("p_name", " ", " & ")).alias("marked"),
     )
-    folded = F.regexp_replace(scalars.normal_name(F.col("marked")), "^the cafe ", "the cafe ")
-    return x.select("k", scalars.sku_key("sku", "name").alias("sku"), scalars.search_query("long").alias("query"), scalars.image_url("retailer", "id", "https://a", "https://b").alias("image"), scalars.absolute_url("href", "https://x.org").alias("url"), folded.alias("folded"))
+    return x.select("k", scalars.sku_key("sku", "name").alias("sku"), scalars.search_query("long").alias("query"), scalars.image_url("retailer", "id", "https://a", "https://b").alias("image"), scalars.absolute_url("href", "https://x.org").alias("url"), scalars.normal_name(F.col("marked")).alias("folded"))
 
 
 _WORDS_SQL = "array_to_string(list_sort(list_distinct(list_filter(string_split(replace(lower(p_name), 'ring', '{}'), ' '), lambda w: length(w) > 1))), ' ')"

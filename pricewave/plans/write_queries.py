@@ -232,7 +232,8 @@ def ingest_retailer(spark, sf_dir):
 
 
 _DRAFTS_SQL = """d AS (SELECT o_custkey AS reply, o_orderkey AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos FROM orders WHERE o_custkey % 10 <> 0),
-g AS (SELECT reply, CAST(pos AS INT) AS pos, k, CASE WHEN k % 6 = 0 THEN '' ELSE left('Dinner of a long name ' || k || repeat(' and more', 12), 80) END AS title, CASE k % 5 WHEN 0 THEN 4 WHEN 1 THEN 4 WHEN 2 THEN 40 ELSE CASE WHEN k % 12 = 0 THEN 4 ELSE CAST(k % 12 AS INT) END END AS serves FROM d WHERE k % 7 <> 0 AND k % 11 <> 0)"""
+g AS (SELECT reply, CAST(pos AS INT) AS pos, k, CASE WHEN k % 6 = 0 THEN '' ELSE left('Dinner of a long name ' || k || repeat(' and more', 12), 80) END AS title, 
+      CASE k % 5 WHEN 0 THEN 4 WHEN 1 THEN 0 WHEN 2 THEN 40 ELSE CAST(k % 12 AS INT) END AS serves FROM d WHERE k % 7 <> 0 AND k % 11 <> 0 AND (k % 13 <> 0 OR k % 5 = 0))"""
 
 
 def _drafts(spark, sf_dir):
@@ -243,6 +244,8 @@ def _drafts(spark, sf_dir):
     serves = F.element_at(F.array(F.lit(None).cast("string"), F.lit("0"), F.lit("40"), (k % 12).cast("string"), (k % 12).cast("string")), (k % 5 + 1).cast("int"))
     listed = lambda n, text: F.array_repeat(F.lit(text), n)
     draft = F.to_json(F.struct(title.alias("title"), F.when(k % 11 == 0, "some").otherwise(serves).alias("serves"), F.when(k % 3 != 0, F.array(item(0), item(1), item(1), item(60))).alias("ingredients"), listed(9, " pepper and " + "salt " * 20).alias("pantry"), F.lit(" cook ").alias("instructions"), listed(7, "quick " * 9).alias("tags")))
+    # Servings as texts, as fractions and, where no draft is to come of it, as texts of fractions.
+    draft = F.when(k % 13 == 0, F.regexp_replace(draft, r'"serves":"(\d+)"', r'"serves":"$1.5"')).when(k % 2 == 0, F.regexp_replace(draft, r'"serves":"(\d+)"', r'"serves":$1.5')).otherwise(draft)
     body = F.concat(F.lit('{"recipes": ['), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", F.when(k % 7 == 0, '"words"').otherwise(draft).alias("d")))), lambda x: x["d"]), ","), F.lit("]}"))
     replies = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("reply")).agg(body.alias("b"))
     return bundles.drafted(replies.select("reply", F.when(F.col("reply") % 10 == 0, "no json").otherwise(F.col("b")).alias("body")))

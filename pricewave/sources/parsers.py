@@ -1,23 +1,19 @@
 """Readers of price dumps and catalogue pages, from files or text columns."""
 
-from html.parser import HTMLParser
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from pricewave.functions import scalars
 from pricewave.operators import pricing
+from pricewave.sources import variants
+from pricewave.sources.tables import REPORT_HEADING
 
 DUMP = StructType([
     StructField("id", StringType()), StructField("name", StringType()), StructField("category", StringType()),
     StructField("priceHistory", ArrayType(StructType([StructField("date", StringType()), StructField("price", StringType())]))),
 ])
-_TILE = StructType([
-    StructField("Name", StringType()), StructField("Price", DoubleType()), StructField("WasPrice", DoubleType()), StructField("Stockcode", StringType()),
-    StructField("Department", StringType()), StructField("LargeImageFile", StringType()), StructField("MediumImageFile", StringType()), StructField("SmallImageFile", StringType()),
-])
-_BUNDLES = StructType([StructField("Bundles", ArrayType(StructType([StructField("Products", ArrayType(_TILE))])))])
-_CATALOGUE = "items array<struct<SKU: string, itemName: string, description: string, prices: array<struct<priceSale: string, priceReg: string, priceOptionDesc: string>>>>"
 
 
 def read_dump(spark: SparkSession, path: str) -> DataFrame:
@@ -56,16 +52,24 @@ def discounted(sale: Column, regular: Column) -> Column:
     return (regular > 0) & (sale > 0) & (sale < regular)
 
 
-def browse_specials(pages: DataFrame, body: str = "body") -> DataFrame:
-    """Rows of a browse API's Bundles[].Products[]: name, category, prices, discount, image, sku."""
-    tile = pages.select(F.explode(F.from_json(body, _BUNDLES)["Bundles"]).alias("b")).select(F.explode("b.Products").alias("p")).select("p.*")
-    sale, regular = F.rint(F.col("Price") * 100).cast("bigint"), F.rint(F.col("WasPrice") * 100).cast("bigint")
-    pct = F.rint(100.0 * (regular - sale) / regular).cast("int")
-    image = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("LargeImageFile", "MediumImageFile", "SmallImageFile")])
-    category = F.coalesce(F.nullif(F.trim("Department"), F.lit("")), F.lit(scalars.UNCATEGORISED))
-    return tile.where((F.trim("Name") != "") & discounted(sale, regular)).select(
-        F.trim("Name").alias("name"), category.alias("category"), regular.alias("regular_cents"), sale.alias("sale_cents"), pct.alias("discount_pct"),
-        (pct >= 50).alias("is_half_price"), image.alias("image_url"), F.col("Stockcode").alias("sku"),
+def browse_specials(pages: DataFrame, body: str = "body", retailer: str = "woolworths") -> DataFrame:
+    """Rows of a browse API's Bundles[].Products[]: name, category, prices, discount, image, sku (with the retailer before the stock number).
+
+    Prices are numbers or texts of numbers; a product without a name or both prices, or without a real discount, is left out.
+    """
+    m = lambda c: variants.member(F.col("p"), c)
+    bundles = pages.select(F.explode(variants.elements(variants.member(variants.parsed(body), "Bundles"))).alias("b"))
+    tile = bundles.select(F.explode(variants.elements(variants.member(F.col("b"), "Products"))).alias("p")).where(variants.is_object(F.col("p")))
+    cents = lambda c: F.rint(variants.number(m(c)) * 100).try_cast("bigint")
+    image = F.coalesce(*[F.nullif(variants.text(m(c)), F.lit("")) for c in ("LargeImageFile", "MediumImageFile", "SmallImageFile")])
+    rows = tile.select(
+        scalars.strip(variants.text(m("Name"))).alias("name"), F.nullif(scalars.strip(variants.text(m("Department"))), F.lit("")).alias("department"),
+        cents("WasPrice").alias("regular"), cents("Price").alias("sale"), image.alias("image_url"), variants.text(m("Stockcode")).alias("code"),
+    )
+    pct = F.rint(100.0 * (F.col("regular") - F.col("sale")) / F.col("regular")).cast("int")
+    return rows.where((F.col("name") != "") & discounted(F.col("sale"), F.col("regular"))).select(
+        "name", F.coalesce("department", F.lit(scalars.UNCATEGORISED)).alias("category"), F.col("regular").alias("regular_cents"), F.col("sale").alias("sale_cents"),
+        pct.alias("discount_pct"), (pct >= 50).alias("is_half_price"), "image_url", F.concat(F.lit(f"{retailer}:"), F.col("code")).alias("sku"),
     )
 
 
@@ -101,9 +105,8 @@ def remaining_pages(planned: DataFrame, done: DataFrame) -> DataFrame:
     return planned.join(done.select("run", "page"), ["run", "page"], "left_anti")
 
 
-# Titles and headings of report posts.
+# Titles of report posts.
 REPORT_TITLES = (r"(?i)Catalogue\s+Half-Price\s+Report", r"(?i)1/?2\s*price.*\+\s*\d+\s+more")
-REPORT_HEADING = "Catalogue Half-Price Report"
 
 
 def report_link(html: str, prefix: str = "", titles: tuple[str, ...] = REPORT_TITLES) -> Column:
@@ -140,36 +143,78 @@ def embedded_json(html: str, script_id: str = "__NEXT_DATA__", path: str = "$.pr
     return F.get_json_object(F.nullif(body, F.lit("")), path)
 
 
-_LISTING = "array<struct<_type: string, id: string, name: string, brand: string, pricing: struct<now: double, was: double, savePercent: string>, imageUris: array<struct<uri: string>>>>"
-
-
 def listing_specials(pages: DataFrame, results: str = "results", cdn: str = "") -> DataFrame:
-    """Rows of a listing's results array: products only, brand put first unless the name starts with it."""
-    p = pages.select(F.explode(F.from_json(results, _LISTING)).alias("p")).select("p.*").where("_type = 'PRODUCT'")
-    sale, regular = F.rint(F.col("pricing.now") * 100).cast("bigint"), F.rint(F.col("pricing.was") * 100).cast("bigint")
-    name, brand = F.trim("name"), F.trim(F.coalesce("brand", F.lit("")))
-    full = F.when((brand != "") & ~F.startswith(F.lower(name), F.lower(brand)), F.concat_ws(" ", brand, name)).otherwise(name)
-    pct = F.coalesce(F.when(F.col("pricing.savePercent").rlike(r"^-?\d+$"), F.col("pricing.savePercent").cast("int")), F.rint(100.0 * (regular - sale) / regular).cast("int"))
-    uri = F.get("imageUris", F.lit(0))["uri"]
-    image = F.concat(F.lit(cdn), F.when(uri != "", uri).otherwise(F.concat(F.lit("/"), scalars.image_path("id"))))
-    return p.where((name != "") & F.col("id").isNotNull() & discounted(sale, regular)).select(
-        full.alias("name"), regular.alias("regular_cents"), sale.alias("sale_cents"), pct.alias("discount_pct"), (pct >= 50).alias("is_half_price"), image.alias("image_url"), F.col("id").alias("sku")
-    )
+    """Rows of a listing's results array: products only, brand put first unless the name starts with it.
+
+    Prices are numbers or texts of numbers. savePercent counts where it is a
+    whole number; a text, a fraction or none at all leaves the discount to be computed.
+    """
+    p = pages.select(F.explode(variants.elements(variants.parsed(results))).alias("p"))
+    m = lambda *path: functools.reduce(variants.member, path, F.col("p"))
+    cents = lambda v: F.rint(variants.number(v) * 100).try_cast("bigint")
+    named = lambda c: scalars.strip(F.coalesce(variants.text(m(c)), F.lit("")))
+    uri = variants.text(variants.member(F.get(variants.elements(m("imageUris")), F.lit(0)), "uri"))
+    saved = m("pricing", "savePercent")
+    rows = p.where(variants.text(m("_type")) == "PRODUCT").select(
+        variants.text(m("id")).alias("id"), named("name").alias("bare"), named("brand").alias("brand"), cents(m("pricing", "now")).alias("sale"), cents(m("pricing", "was")).alias("regular"),
+        F.when(variants.is_whole(saved), variants.text(saved).cast("int")).alias("saved"), F.nullif(uri, F.lit("")).alias("uri"),
+    )
+    full = F.when((F.col("brand") != "") & ~F.startswith(F.lower("bare"), F.lower("brand")), F.concat_ws(" ", "brand", "bare")).otherwise(F.col("bare"))
+    pct = F.coalesce("saved", F.rint(100.0 * (F.col("regular") - F.col("sale")) / F.col("regular")).cast("int"))
+    image = F.concat(F.lit(cdn), F.coalesce("uri", F.concat(F.lit("/"), scalars.image_path("id"))))
+    return rows.where((F.col("bare") != "") & F.col("id").isNotNull() & discounted(F.col("sale"), F.col("regular"))).select(
+        full.alias("name"), F.col("regular").alias("regular_cents"), F.col("sale").alias("sale_cents"), pct.alias("discount_pct"), (pct >= 50).alias("is_half_price"),
+        image.alias("image_url"), F.col("id").alias("sku"),
+    )
 
 
 def jsonp(text: str) -> Column:
-    """The JSON inside a callback's parentheses."""
-    return F.nullif(F.regexp_extract(text, r"(?s)\((.*)\)\s*;?\s*$", 1), F.lit(""))
+    """The JSON inside a callback's parentheses; a text without them is the JSON itself."""
+    inner = F.regexp_extract(text, r"(?s)\((.*)\)\s*;?\s*$", 1)
+    return F.when(F.col(text).rlike(r"(?s)\((.*)\)\s*;?\s*$"), inner).otherwise(F.col(text))
+
+
+# How a catalogue says half price and names the price before.
+HALF_PRICE = r"(?i)1/2\s*price|half\s*price"
+WAS_PRICE = r"(?i)was\s*\$?\s*([0-9]+(?:\.[0-9]+)?)"
+
+
+def _wrapped(bodies: DataFrame, body: str, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, i, x): the items of callbacks in order, each in or out of a wrapping object, as VARIANTs."""
+    listed = variants.elements(variants.member(variants.parsed(jsonp(body)), "items"))
+    return bodies.select(*keys, F.posexplode(listed).alias("i", "w")).select(*keys, "i", variants.unwrapped(F.col("w")).alias("x"))
+
+
+def sale_rows(bodies: DataFrame, body: str = "body") -> DataFrame:
+    """(id, start, end) of the catalogues that callbacks list; those without all three are left out."""
+    x = F.col("x")
+    named = {n: variants.text(variants.member(x, c)) for n, c in (("id", "saleId"), ("start", "startDate"), ("end", "endDate"))}
+    return _wrapped(bodies, body, ()).select(*[c.alias(n) for n, c in named.items()]).where("id <> '' AND start <> '' AND end <> ''")
 
 
 def catalogue_items(bodies: DataFrame, body: str = "body", position: str = "pos") -> DataFrame:
-    """One row per id: half-price readings first, then order; prices in cents, sku reduced to digits, character references written out."""
-    x = bodies.select(F.col(position).alias("p"), F.posexplode(F.from_json(jsonp(body), _CATALOGUE)["items"]).alias("i", "x"))
-    price = F.get("x.prices", F.lit(0))
-    x = x.select("p", "i", F.regexp_replace("x.SKU", "[^0-9]", "").alias("id"), scalars.unescape("trim(x.itemName)").alias("name"), F.trim(scalars.unescape("coalesce(x.description, '')")).alias("text"), F.coalesce(F.nullif(price["priceSale"], F.lit("")), price["priceReg"]).alias("sale"), F.regexp_extract(F.coalesce(price["priceOptionDesc"], F.lit("")), r"(?i)was\s*\$?([\d.]+)", 1).alias("was"))
-    x = x.where("id <> '' AND name <> ''").withColumn("is_half", F.col("text").rlike(r"(?i)(1/2|half)\s*price"))
-    best = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("is_half"), "p", "i")) == 1
-    return x.withColumn("best", best).where("best").select("id", "name", "is_half", scalars.cents("sale").alias("sale_cents"), scalars.cents("was").alias("was_cents"), F.substring("text", 1, 40).alias("discount_desc"))
+    """One row per id of the catalogues in callbacks: half-price readings first, then order.
+
+    Ids are the digits of the stock number; items without one or without a name
+    are left out. Character references are written out. The sale price is
+    priceSale or, where that is missing, empty or 0, priceReg of the first price;
+    the price before stands in its description.
+    """
+    x = F.col("x")
+    price = F.get(variants.elements(variants.member(x, "prices")), F.lit(0))
+    plain = lambda c: F.coalesce(variants.text(variants.member(x, c)), F.lit(""))
+    sale = F.when(variants.filled(variants.member(price, "priceSale")), variants.member(price, "priceSale")).otherwise(variants.member(price, "priceReg"))
+    was = F.regexp_extract(F.coalesce(variants.text(variants.member(price, "priceOptionDesc")), F.lit("")), WAS_PRICE, 1)
+    rows = _wrapped(bodies.withColumn("p", F.col(position)), body, ("p",)).select(
+        "p", "i", F.regexp_replace(plain("SKU"), "[^0-9]", "").alias("id"), scalars.strip(plain("itemName")).alias("raw"), plain("description").alias("says"),
+        variants.number(sale).alias("sale"), was.alias("was"),
+    )
+    rows = rows.withColumns({"name": scalars.unescape("raw"), "text": scalars.strip(scalars.unescape("says"))}).where("id <> '' AND name <> ''")
+    rows = rows.withColumn("is_half", F.col("text").rlike(HALF_PRICE))
+    best = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("is_half"), "p", "i"))
+    return rows.withColumn("_best", best).where("_best = 1").select(
+        "id", "name", "is_half", scalars.cents("sale").alias("sale_cents"), scalars.cents("was").alias("was_cents"), F.substring("text", 1, 40).alias("discount_desc")
+    )
 
 
 def running_sales(sales: DataFrame, today: str) -> DataFrame:
@@ -198,82 +243,6 @@ def sitemap_links(docs: DataFrame, retailer: str, xml: str = "xml") -> DataFrame
     return loc.select(F.regexp_extract("loc", pattern, of_id).alias("id"), F.regexp_extract("loc", pattern, of_slug).alias("slug")).distinct()
 
 
-def read_sheet(spark: SparkSession, path: str, header: tuple[str, ...], limit: int = 5000) -> DataFrame:
-    """A CSV sheet: a banner row, a header whose first cells must be as given, then rows of nine cells or more; the first rows up to limit, as the sheet's format has it."""
-    names = ("name", "category", "retailer", "regular", "sale", "percent", "last", "week", "notes")
-    schema = StructType([StructField(n, StringType()) for n in (*names, "_other")])
-    rows = spark.read.schema(schema).options(mode="PERMISSIVE", columnNameOfCorruptRecord="_other", columnPruning=False).csv(path).withColumn("line", F.monotonically_increasing_id())
-    head = [x.strip().lower() if x else "" for x in (rows.where("line = 1").first() or [""] * len(header))[: len(header)]]
-    if head != [h.lower() for h in header]:
-        raise ValueError(f"unexpected header {head}")
-    return sheet_specials(rows.where("line > 1"), limit)
-
-
-def sheet_specials(rows: DataFrame, limit: int = 5000) -> DataFrame:
-    """Specials of a sheet's rows (line, nine named cells, _other set on rows of another length): the first up to limit, as the format has it."""
-    sale, regular = scalars.dollars_to_cents("sale"), scalars.dollars_to_cents("regular")
-    pct = F.coalesce(scalars.percent("percent"), F.rint(100.0 * (regular - sale) / regular).cast("int"))
-    # An empty last cell is null like a missing one, but only a row of another length than nine is kept in _other.
-    good = rows.where("notes IS NOT NULL OR _other IS NULL").where(discounted(sale, regular))
-    return good.select("line", F.trim("name").alias("name"), "category", scalars.retailer_cell("retailer", exact=True).alias("retailer"), regular.alias("regular_cents"), sale.alias("sale_cents"), pct.alias("discount_pct"), scalars.hint("last").alias("hint"), (pct >= 50).alias("is_half_price")).where("retailer IS NOT NULL").orderBy("line").limit(limit)
-
-
-class _Rows(HTMLParser):
-    """Headings and cells of tables of class data, in document order."""
-
-    def __init__(self):
-        super().__init__()
-        self.rows, self.cells, self.text, self.head, self.data = [], None, None, "", False
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "table":
-            self.data = "data" in (dict(attrs).get("class") or "").split()
-        elif tag in ("h5", "td", "th"):
-            self.text = []
-        elif tag == "tr":
-            self.cells = []
-
-    def handle_data(self, data):
-        if self.text is not None:
-            self.text.append(data)
-
-    def handle_endtag(self, tag):
-        if tag in ("h5", "td", "th") and self.text is not None:
-            text, self.text = "".join(self.text).strip(), None
-            if tag == "h5":
-                self.head = text
-            elif self.cells is not None:
-                self.cells.append(text)
-        elif tag == "tr" and self.data and self.cells is not None and len(self.cells) >= 6:
-            self.rows.append((self.head, *self.cells[:6]))
-        elif tag == "table":
-            self.data = False
-
-
-def table_rows(pages: DataFrame, html: str = "html") -> DataFrame:
-    """(row, heading, c0..c5) of the data tables in pages; the heading is the last before the row. HTML needs a parser, so rows come from Python."""
-    def parse(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            out = []
-            for page in pdf["html"]:
-                p = _Rows()
-                p.feed(page or "")
-                out += [(i, *r) for i, r in enumerate(p.rows)]
-            yield pd.DataFrame(out, columns=["row", "heading", *[f"c{k}" for k in range(6)]])
-
-    return pages.select(F.col(html).alias("html")).mapInPandas(parse, "row long, heading string, " + ", ".join(f"c{k} string" for k in range(6)))
-
-
-def table_specials(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Specials of such tables with cells name, retailer, sale, regular, percent, last sale; the first of repeated rows."""
-    r = table_rows(pages, html).select("row", F.col("heading").alias("category"), F.col("c0").alias("name"), scalars.retailer_cell("c1").alias("retailer"), scalars.dollars_to_cents("c2").alias("sale_cents"), scalars.dollars_to_cents("c3").alias("regular_cents"), scalars.percent("c4", strict=True).alias("discount_pct"), scalars.hint("c5").alias("hint"))
-    r = r.where("retailer IS NOT NULL AND sale_cents IS NOT NULL AND regular_cents IS NOT NULL").withColumn("is_half_price", F.col("discount_pct") >= 50)
-    first = F.row_number().over(Window.partitionBy("retailer", "name", "sale_cents").orderBy("row")) == 1
-    return r.withColumn("first", first).where("first").drop("first")
-
-
 def newest_specials(spark: SparkSession, glob: str, schema: StructType | None = None) -> DataFrame:
     """specials[] of the newest file by name."""
     runs = spark.read.option("multiLine", True).json(glob) if schema is None else spark.read.schema(schema).option("multiLine", True).json(glob)

@@ -226,20 +226,6 @@ def test_audit_of_nothing_is_null(spark):
     assert (row.recall_pct, row.precision_pct, row.price_pct) == (None, None, None)
 
 
-def test_sheet(spark, tmp_path):
-    lines = ["banner", "Name,Category,Retailer", 'Tea,Drinks,Coles,"$4.00",$2.00,50%,8 weeks ago @ CL,w,', "Milk,Dairy,Woolworths,$4.00,$3.00,,,w,note", "Short,Dairy,Coles,$4.00,$3.00", "Dear,Dairy,Coles,$3.00,$4.00,,,w,n"]
-    (tmp_path / "s.csv").write_text("\n".join(lines))
-    got = parsers.read_sheet(spark, str(tmp_path / "s.csv"), ("name", "category", "retailer")).collect()
-    assert [(r.name, r.retailer, r.discount_pct, r.is_half_price, r.hint.weeks) for r in got] == [("Tea", "coles", 50, True, 8), ("Milk", "woolworths", 25, False, None)]
-
-
-def test_tables_in_pages(spark):
-    cell = lambda *x: "<tr>" + "".join(f"<td>{c}</td>" for c in x) + "</tr>"
-    html = "<h5>Tea</h5><table class='data'>" + cell("A", "Coles", "$2.00", "$4.00", "50%", "8 weeks ago @ WW") * 2 + cell("B", "x") + "</table><table>" + cell("C", "Coles", "$2", "$4", "50%", "") + "</table>"
-    got = parsers.table_specials(spark.createDataFrame([(html,), (None,), ("",)], "html string")).collect()
-    assert [(r.category, r.name, r.sale_cents, r.regular_cents, r.is_half_price, r.hint.retailer) for r in got] == [("Tea", "A", 200, 400, True, "woolworths")]
-
-
 def test_stream_of_drops(spark, tmp_path):
     kind = "item string, on_date date, cents long"
     for n, rows in enumerate([[("a", day("2026-01-01"), 1000), ("b", day("2026-01-01"), 500)], [("a", day("2026-01-08"), 500), ("b", day("2026-01-08"), 400)]]):
