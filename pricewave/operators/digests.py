@@ -40,23 +40,36 @@ def audit(truth: DataFrame, ours: DataFrame) -> DataFrame:
 
 
 def corrections(specials: DataFrame, truth: DataFrame, week: str) -> DataFrame:
-    """Specials of the week with the catalogue's half prices put in: changed where there is a row, else inserted.
+    """Specials of the week with the half prices put in that they miss: changed where there is a row that is none, else inserted.
 
-    truth is (id, is_half, sale_cents, was_cents), ids being those of products; a
+    truth is (id, is_half, sale_cents, was_cents), ids being those of products,
+    each once. A row of the week that is at half price already stays as it is. A
     missing was-price is twice the sale. A row's regular price never falls, the
     discount is that of the catalogue's own prices, and an inserted row ends in
     the week it starts, as its catalogue gives no more.
     """
     day = F.lit(week).cast("date")
-    was = F.coalesce("was_cents", 2 * F.col("sale_cents"))
-    fix = truth.where("is_half AND sale_cents > 0").groupBy("id").agg(F.max(F.struct("sale_cents", was.alias("was"))).alias("m")).select(
-        F.col("id").alias("product_id"), day.alias("week_start"), day.alias("week_end"), F.col("m.was").alias("regular_cents"), F.col("m.sale_cents").alias("sale_cents"),
-        F.rint(100.0 * (F.col("m.was") - F.col("m.sale_cents")) / F.col("m.was")).cast("bigint").alias("discount_pct"), F.lit(True).alias("is_half_price"), F.lit("catalogue").alias("source"),
-    ).where("regular_cents > 0")
+    was = F.when(F.coalesce("was_cents", F.lit(0)) != 0, F.col("was_cents")).otherwise(2 * F.col("sale_cents"))
+    flagged = specials.where((F.col("week_start") == day) & F.col("is_half_price")).select(F.col("product_id").alias("id"))
+    missed = truth.where("is_half AND sale_cents > 0").withColumn("was", was).where("was > 0").join(flagged, "id", "left_anti")
+    fix = missed.select(
+        F.col("id").alias("product_id"), day.alias("week_start"), day.alias("week_end"), F.col("was").alias("regular_cents"), "sale_cents",
+        F.rint(100.0 * (F.col("was") - F.col("sale_cents")) / F.col("was")).cast("bigint").alias("discount_pct"), F.lit(True).alias("is_half_price"), F.lit("catalogue").alias("source"),
+    )
     rules = {"regular_cents": F.greatest("o.regular_cents", "n.regular_cents"), "week_end": F.col("o.week_end")}
     return upsert(specials, fix, ["product_id", "week_start"], rules)
 
 
+def audit_entry(measures: DataFrame, retailer: str, week: str, source: str, sales: list[str], measured_at: str) -> DataFrame:
+    """The row that an audit adds to its table, from the one row of audit(): counts, rates and a note."""
+    c = lambda n: F.col(n).cast("string")
+    note = F.concat(F.lit("missed="), c("missed"), F.lit(" not_stocked="), c("not_stocked"), F.lit(" false_pos="), c("false_pos"), F.lit(" sales=" + ",".join(sales)))
+    return measures.select(
+        F.lit(retailer).alias("retailer"), F.lit(week).cast("date").alias("week_start"), F.lit(source).alias("source"), F.col("catalogue_half").alias("ground_truth_half"), "matched",
+        F.col("flagged").alias("we_flag_half"), "recall_pct", "precision_pct", F.col("price_pct").alias("price_exact_pct"), note.alias("sample_note"), F.lit(measured_at).cast("timestamp").alias("measured_at"),
+    )
+
+
 def latest_recall(audits: DataFrame, retailer: str) -> DataFrame:
     """(recall_pct) of the retailer's latest audit; null without one."""
     return audits.where(F.col("retailer") == retailer).agg(F.max_by("recall_pct", "measured_at").alias("recall_pct"))

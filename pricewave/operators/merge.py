@@ -4,27 +4,35 @@ Each takes the stored table and new rows and returns the table that replaces it:
 a full outer join on the key with a rule per column, or an anti-join and a union.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 UNCATEGORISED = "Uncategorised"
 
 
 def last_wins(rows: DataFrame, keys: list[str], position: str) -> DataFrame:
     """One row per key: that of the largest position."""
-    return _one(rows, keys, [F.desc(position)])
+    return _one(rows, keys, F.max_by, F.struct(position))
 
 
 def first_wins(rows: DataFrame, keys: list[str], position: str) -> DataFrame:
-    return _one(rows, keys, [F.asc(position)])
+    return _one(rows, keys, F.min_by, F.struct(position))
 
 
 def prefer_flag(rows: DataFrame, keys: list[str], flag: str, position: str) -> DataFrame:
     """One row per key: the first with the flag, else the first."""
-    return _one(rows, keys, [F.desc(flag), F.asc(position)])
+    return _one(rows, keys, F.min_by, F.struct(~F.coalesce(F.col(flag), F.lit(False)), F.col(position)))
 
 
-def _one(rows, keys, order):
-    return rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rank = 1").drop("_rank")
+def least_row(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key where nothing says which came first: the least by all its columns, so that runs agree."""
+    return _one(rows, keys, F.min_by, F.struct(*rows.columns))
+
+
+def _one(rows, keys, pick, order):
+    """Rows are combined before the shuffle: a key's rows never meet in one task."""
+    rest = [c for c in rows.columns if c not in keys]
+    picked = rows.groupBy(*keys).agg(pick(F.struct(*rest), order).alias("_row")) if rest else rows.distinct()
+    return picked.select(*keys, "_row.*").select(*rows.columns) if rest else picked
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], rules: dict[str, Column] | None = None) -> DataFrame:
@@ -64,29 +72,39 @@ def product_rules(category: str = "new", now: str | None = None) -> dict[str, Co
     return rules
 
 
-def upsert_catalogue(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Products from a catalogue: names and regular prices stay as they are."""
-    rules = product_rules()
-    rules |= {c: F.col(f"o.{c}") for c in ("name", "regular_price_cents") if c in old.columns}
-    if "source_product_url" in old.columns:
+def catalogue_rules(columns: list[str]) -> dict[str, Column]:
+    """Rules for products from a catalogue: names and regular prices stay as they are."""
+    rules = {c: r for c, r in product_rules().items() if c in columns}
+    rules |= {c: F.col(f"o.{c}") for c in ("name", "regular_price_cents") if c in columns}
+    if "source_product_url" in columns:
         rules["source_product_url"] = F.coalesce(F.col("o.source_product_url"), F.col("n.source_product_url"))
-    return upsert(old, new, keys, rules)
+    return rules
 
 
-def ingest_retailer(stored: DataFrame, parsed: DataFrame) -> DataFrame:
+def upsert_catalogue(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    return upsert(old, new, keys, catalogue_rules(old.columns))
+
+
+def ingest_retailer(stored: DataFrame, parsed: DataFrame, position: str = "pos") -> DataFrame:
     """A retailer's whole catalogue put into the stored products (sku, name, category, regular_price_cents, image_url).
 
     parsed is what pricing.products gives of a dump's usable items, with item,
-    name, category and image_url; its regular price is the one derived from the
-    history. Of repeated items one counts.
+    name, category, image_url and its position in the dump; its regular price is
+    the one derived from the history. Of repeated items the last counts.
     """
-    rows = parsed.select(F.col("item").cast("string").alias("sku"), "name", "category", F.col("regular").alias("regular_price_cents"), "image_url").dropDuplicates(["sku"])
-    return upsert_catalogue(stored, rows, ["sku"])
+    rows = parsed.select(F.col("item").cast("string").alias("sku"), "name", "category", F.col("regular").alias("regular_price_cents"), "image_url", F.col(position).alias("_pos"))
+    return upsert_catalogue(stored, last_wins(rows, ["sku"], "_pos").drop("_pos"), ["sku"])
+
+
+def upsert_specials(old: DataFrame, new: DataFrame, keys: list[str] = ["product_id", "week_start"], position: str = "pos", keep_source: bool = False) -> DataFrame:
+    """Specials with a pull's rows put in, the last of a key by position counting; with keep_source, a row that is there keeps its source, as when rows come one by one."""
+    return upsert(old, last_wins(new, keys, position).drop(position), keys, {"source": F.col("o.source")} if keep_source else None)
 
 
-def insert_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """old and those new rows whose key it lacks; of new rows that share a key one goes in."""
-    return old.unionByName(new.dropDuplicates(keys).join(old.select(*keys).distinct(), keys, "left_anti").select(*old.columns))
+def insert_absent(old: DataFrame, new: DataFrame, keys: list[str], position: str | None = None) -> DataFrame:
+    """old and those new rows whose key it lacks; of new rows that share a key the first by position goes in, or without a position the least."""
+    one = least_row(new, keys) if position is None else first_wins(new, keys, position)
+    return old.unionByName(one.join(old.select(*keys).distinct(), keys, "left_anti").select(*old.columns))
 
 
 def sync_week(specials: DataFrame, kept: DataFrame, week: str, source: str, retailers: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pricewave.operators.merge import insert_absent, upsert
+from pricewave.operators.merge import insert_absent, last_wins, upsert
 
 DIGEST_KEYS = ["device_id", "week_start", "alert_type"]
 MAX_DETAIL = 500
@@ -14,11 +14,13 @@ def with_product_ids(rows: DataFrame, products: DataFrame) -> DataFrame:
     return rows.join(products.select("retailer", "sku", "product_id"), ["retailer", "sku"])
 
 
-def upsert_observations(old: DataFrame, specials: DataFrame, products: DataFrame) -> DataFrame:
-    """Price observations on the day a special starts, by product, day and source; a later pull of the same takes its place."""
-    found = with_product_ids(specials, products).select("product_id", F.col("sale_cents").alias("price_cents"), F.lit(True).alias("is_special"), "discount_pct", F.col("week_start").alias("observed_at"), "source")
-    last = found.groupBy("product_id", "observed_at", "source").agg(F.max(F.struct("price_cents", "is_special", "discount_pct")).alias("m")).select("product_id", "m.*", "observed_at", "source")
-    return upsert(old, last, ["product_id", "observed_at", "source"])
+def upsert_observations(old: DataFrame, specials: DataFrame, products: DataFrame, position: str = "pos") -> DataFrame:
+    """Price observations on the day a special starts, by product, day and source; of rows that share these the last by position counts, over what is stored too."""
+    keys = ["product_id", "observed_at", "source"]
+    found = with_product_ids(specials, products).select(
+        "product_id", F.col("sale_cents").alias("price_cents"), F.lit(True).alias("is_special"), "discount_pct", F.col("week_start").alias("observed_at"), "source", F.col(position).alias("_pos")
+    )
+    return upsert(old, last_wins(found, keys, "_pos").drop("_pos"), keys)
 
 
 def predicted_products(predictions: DataFrame, products: DataFrame) -> DataFrame:

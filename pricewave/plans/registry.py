@@ -384,4 +384,4 @@ def overlap_best_match(spark, sf_dir):
     return matching.best_slugs(c.where("pid % 2 = 0").select("pid", "name"), c.where("pid % 2 = 1").select(F.col("pid").alias("entry"), scalars.slug("name").alias("slug")))
 
 
-from pricewave.plans import check_queries, source_queries, write_queries  # noqa: E402, F401
+from pricewave.plans import check_queries, source_queries, upkeep_queries, write_queries  # noqa: E402, F401

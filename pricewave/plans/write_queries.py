@@ -24,7 +24,7 @@ def _pulled(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2")
     by = [F.when(F.col("l_partkey") % 2 == 0, "A").otherwise("B").alias("retailer"), F.concat(F.lit("k"), F.floor(F.col("l_partkey") / 2).cast("string")).alias("sku"), F.to_date("l_shipdate").alias("week_start")]
     found = li.groupBy(*by).agg(F.max(F.rint(F.col("l_extendedprice") * 100).cast("bigint")).alias("sale_cents"))
-    return found.select("*", F.lit(50).cast("bigint").alias("discount_pct"), F.lit("dump").alias("source"))
+    return found.select("*", F.lit(50).cast("bigint").alias("discount_pct"), F.lit("dump").alias("source"), F.lit(0).alias("pos"))
 
 
 @query(f"WITH {_PRODUCTS_SQL}, {_PULLED_SQL} SELECT product_id, week_start, sale_cents FROM pu JOIN pr USING (retailer, sku)")
@@ -93,19 +93,30 @@ def replace_scope(spark, sf_dir):
     return merge.replace_scope(o, new, F.col("o_orderstatus") == "P")
 
 
-_HALF_SQL = """sp AS (SELECT l_partkey AS product_id, CAST(l_shipdate AS DATE) AS week_start, CAST(count(*) * 500 AS BIGINT) AS regular_cents, CAST(count(*) * 300 AS BIGINT) AS sale_cents FROM lineitem GROUP BY ALL),
-t AS (SELECT p_partkey AS id, p_partkey % 3 = 0 AS is_half, CASE WHEN p_partkey % 6 <> 0 THEN CAST(p_size * 20 AS BIGINT) END AS was_cents, CAST(p_size * 10 AS BIGINT) AS sale_cents FROM part)"""
+_HALF_SQL = f"""sp AS (SELECT l_partkey AS product_id, CAST(l_shipdate AS DATE) AS week_start, CAST(count(*) * 500 AS BIGINT) AS regular_cents, CAST(count(*) * 300 AS BIGINT) AS sale_cents,
+  l_partkey % 2 = 1 AS flagged FROM lineitem GROUP BY ALL),
+t AS (SELECT p_partkey AS id, p_partkey % 3 = 0 AS is_half, CASE WHEN p_partkey % 6 <> 0 THEN CAST(p_size * 20 AS BIGINT) END AS was_cents, CAST(p_size * 10 AS BIGINT) AS sale_cents FROM part),
+n AS (SELECT id AS product_id, DATE '{WEEK}' AS week_start, coalesce(was_cents, 2 * sale_cents) AS was, sale_cents AS sale FROM t
+      WHERE is_half AND sale_cents > 0 AND id NOT IN (SELECT product_id FROM sp WHERE flagged AND week_start = DATE '{WEEK}'))"""
 
 
-@query(f"""WITH {_HALF_SQL}, n AS (SELECT id AS product_id, DATE '{WEEK}' AS week_start, coalesce(was_cents, 2 * sale_cents) AS was, sale_cents AS sale FROM t WHERE is_half AND sale_cents > 0)
-SELECT product_id, week_start, CASE WHEN sp.sale_cents IS NOT NULL THEN week_start + 6 ELSE week_start END AS week_end, CASE WHEN n.was IS NULL THEN regular_cents WHEN sp.sale_cents IS NULL THEN n.was ELSE greatest(regular_cents, n.was) END AS regular_cents, coalesce(n.sale, sp.sale_cents) AS sale_cents,
-CASE WHEN n.was IS NULL THEN 40 ELSE CAST(round_even(100e0 * (n.was - n.sale) / n.was, 0) AS BIGINT) END AS discount_pct, n.was IS NOT NULL AS is_half_price, CASE WHEN n.was IS NULL THEN 'dump' ELSE 'catalogue' END AS source FROM sp FULL JOIN n USING (product_id, week_start)""")
+@query(f"""WITH {_HALF_SQL}
+SELECT product_id, week_start, CASE WHEN sp.sale_cents IS NOT NULL THEN week_start + 6 ELSE week_start END AS week_end,
+       CASE WHEN n.was IS NULL THEN regular_cents WHEN sp.sale_cents IS NULL THEN n.was ELSE greatest(regular_cents, n.was) END AS regular_cents, coalesce(n.sale, sp.sale_cents) AS sale_cents,
+       CASE WHEN n.was IS NULL THEN 40 ELSE CAST(round_even(100e0 * (n.was - n.sale) / n.was, 0) AS BIGINT) END AS discount_pct, n.was IS NOT NULL OR flagged AS is_half_price,
+       CASE WHEN n.was IS NULL THEN 'dump' ELSE 'catalogue' END AS source FROM sp FULL JOIN n USING (product_id, week_start)""")
 def audit_corrections(spark, sf_dir):
-    """Half prices of a catalogue put into one week, of products with and without a row there."""
-    s = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("product_id"), F.to_date("l_shipdate").alias("week_start")).agg(F.count("*").alias("n"))
-    s = s.select("product_id", "week_start", F.date_add("week_start", 6).alias("week_end"), (500 * F.col("n")).alias("regular_cents"), (300 * F.col("n")).alias("sale_cents"), F.lit(40).cast("bigint").alias("discount_pct"), F.lit(False).alias("is_half_price"), F.lit("dump").alias("source"))
-    p = table(spark, sf_dir, "part")
-    truth = p.select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % 3 == 0).alias("is_half"), (10 * F.col("p_size")).cast("bigint").alias("sale_cents"), F.when(F.col("p_partkey") % 6 != 0, (20 * F.col("p_size")).cast("bigint")).alias("was_cents"))
+    """Half prices of a catalogue put into one week: of products without a row there, with a row that is no half price, and, to no effect, with one that is."""
+    by = [F.col("l_partkey").alias("product_id"), F.to_date("l_shipdate").alias("week_start")]
+    s = table(spark, sf_dir, "lineitem").groupBy(*by).agg(F.count("*").alias("n"))
+    s = s.select(
+        "product_id", "week_start", F.date_add("week_start", 6).alias("week_end"), (500 * F.col("n")).alias("regular_cents"), (300 * F.col("n")).alias("sale_cents"),
+        F.lit(40).cast("bigint").alias("discount_pct"), (F.col("product_id") % 2 == 1).alias("is_half_price"), F.lit("dump").alias("source"),
+    )
+    k = F.col("p_partkey")
+    truth = table(spark, sf_dir, "part").select(
+        k.alias("id"), (k % 3 == 0).alias("is_half"), (10 * F.col("p_size")).cast("bigint").alias("sale_cents"), F.when(k % 6 != 0, (20 * F.col("p_size")).cast("bigint")).alias("was_cents")
+    )
     return digests.corrections(s, truth, WEEK)
 
 
@@ -227,6 +238,9 @@ def ingest_retailer(spark, sf_dir):
     items = pricing.history(day, "item").withColumn("retailer", F.lit("A"))
     k = F.col("item").cast("string")
     parsed = pricing.products(items, "2001-06-30").withColumns({"name": F.concat(F.lit("new "), k), "category": F.when(F.col("item") % 5 == 0, "Uncategorised").otherwise("Tea"), "image_url": F.lit("img")})
+    # Every item comes twice; the last one counts.
+    first = parsed.withColumns({"pos": F.lit(1), "name": F.lit("first"), "category": F.lit("First"), "regular": F.lit(5).cast("bigint"), "image_url": F.lit("zzz")})
+    parsed = first.unionByName(parsed.withColumn("pos", F.lit(2)))
     stored = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("sku"), F.concat(F.lit("old "), F.col("c_custkey").cast("string")).alias("name"), F.lit("Old").alias("category"), F.lit(1).cast("bigint").alias("regular_price_cents"), F.lit(None).cast("string").alias("image_url"))
     return merge.ingest_retailer(stored, parsed)
 
