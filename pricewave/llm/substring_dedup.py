@@ -16,7 +16,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pricewave.llm.common import cut, partitions, texts
+from pricewave.llm.common import cut, partitions, row_key, texts
 
 #: Odd multipliers of the polynomial word hashes, modulo 2**64.
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -73,10 +73,8 @@ def anchors(ws: list[bytes], window: int, gram: int):
     return g[q], context, q, lo, hi
 
 
-_OCC = pa.schema([("doc_id", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("a", pa.int64()), ("c", pa.int64())])
-
-
-_OCC_SQL = "doc_id long, lo int, n int, a long, c long"
+_OCC = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("a", pa.int64()), ("c", pa.int64())])
+_OCC_SQL = "doc_id long, tag long, lo int, n int, a long, c long"
 
 
 def _texts(batch):
@@ -87,38 +85,41 @@ def _occurrences(window, gram):
     def run(batches):
         for batch in batches:
             held: list[tuple] = []
-            for doc, raw in zip(batch.column("doc_id").to_pylist(), _texts(batch)):
+            for doc, tag, raw in zip(batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist(), _texts(batch)):
                 found = doc is not None and anchors(raw.split(), window, gram)
                 if found:
                     a, c, _, lo, hi = found
-                    held.append((np.full(len(a), doc, np.int64), lo.astype(np.int32), (hi - lo + 1).astype(np.int32), a.view(np.int64), c.view(np.int64)))
+                    held.append((np.full(len(a), doc, np.int64), np.full(len(a), tag, np.int64), lo.astype(np.int32), (hi - lo + 1).astype(np.int32), a.view(np.int64), c.view(np.int64)))
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], schema=_OCC)
 
     return run
 
 
+_BODY_SQL = "doc_id long, tag long, body binary"
+
+
 def _packed(batches):
     """Texts leave as compressed bytes, so that moving them to their spans costs a third."""
     pack = zstandard.ZstdCompressor(level=1)
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([pack.compress(t) for t in _texts(batch)], pa.binary())], names=["doc_id", "body"])
+        bodies = pa.array([pack.compress(t) for t in _texts(batch)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), bodies], names=["doc_id", "tag", "body"])
 
 
 def _windows(window):
     """Hashes of the windows asked for: two 64-bit values each."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("w", pa.int64()), ("x", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("start", pa.int32()), ("w", pa.int64()), ("x", pa.int64())])
 
     def run(batches):
         for batch in batches:
             unpack, held = zstandard.ZstdDecompressor(), []
-            for doc, body, spans in zip(batch.column("doc_id").to_pylist(), batch.column("body"), batch.column("spans").to_pylist()):
+            for doc, tag, body, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tag")), batch.column("body"), batch.column("spans").to_pylist()):
                 hs = Hashes(unpack.decompress(body.as_buffer().to_pybytes()).split())
                 at = np.unique(np.concatenate([np.arange(s["lo"], s["lo"] + s["n"]) for s in spans]))
-                at = at[at + window <= hs.n]  # rows that repeat a doc_id may be shorter
                 w = hs.ranges(at, at + window)
                 mid = _mix(hs.ranges(at, at + window // 2) + _B) ^ w
-                held.append((np.full(len(at), doc, np.int64), at.astype(np.int32), w.view(np.int64), mid.view(np.int64)))
+                held.append((np.full(len(at), doc, np.int64), np.full(len(at), tag, np.int64), at.astype(np.int32), w.view(np.int64), mid.view(np.int64)))
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], schema=schema)
 
@@ -129,6 +130,13 @@ def _windows(window):
 SAMPLE = 32
 
 
+def _tagged(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(doc_id, text, tag) and the columns that tell rows apart: the doc_id alone, or with a hash of the text where a doc_id comes with several texts."""
+    rows = texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("tag"))
+    several = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg((F.min("tag") < F.max("tag")).alias("s")).where("s")
+    return rows, ["doc_id"] if several.isEmpty() else ["doc_id", "tag"]
+
+
 def _hot(rows: DataFrame, window: int, gram: int, spread: int) -> DataFrame:
     """(a, hot) of anchors frequent enough to fill a task, estimated from a sample; it decides only how rows are dealt out.
 
@@ -141,13 +149,17 @@ def _hot(rows: DataFrame, window: int, gram: int, spread: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, window: int = 20, gram: int = 5) -> DataFrame:
-    """(doc_id, lo, hi): word ranges, not yet merged, covered by windows whose words also start earlier."""
-    rows = texts(docs)
-    occ = rows.mapInArrow(_occurrences(window, gram), _OCC_SQL)
-    spread = partitions(docs)
+    """(doc_id, lo, hi), and tag where doc_ids come with several texts: word ranges, not yet merged, covered by windows whose words also start earlier."""
+    return _repeats(*_tagged(docs), window, gram)
+
+
+def _repeats(rows: DataFrame, keys: list[str], window: int, gram: int) -> DataFrame:
+    columns = [*keys, "lo", "n", "a", "c"]
+    occ = rows.mapInArrow(_occurrences(window, gram), _OCC_SQL).select(*columns)
+    spread = partitions(rows)
     route = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "lo"), F.lit(spread))).otherwise(0)
-    by_anchor = Window.partitionBy("a", "route").orderBy("c", "doc_id", "lo")
-    by_class = Window.partitionBy("a", "route", "c").orderBy("doc_id", "lo")
+    by_anchor = Window.partitionBy("a", "route").orderBy("c", *keys, "lo")
+    by_class = Window.partitionBy("a", "route", "c").orderBy(*keys, "lo")
     whole = by_anchor.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     told = cut(
         occ.join(F.broadcast(_hot(rows, window, gram, spread)), "a", "left")
@@ -157,22 +169,26 @@ def repeats(docs: DataFrame, window: int = 20, gram: int = 5) -> DataFrame:
         .withColumn("head", F.rank().over(by_class) == 1)
         .withColumn("several", F.min("c").over(whole) < F.max("c").over(whole))
         .where("several or hot or not head")
-        .select("doc_id", "lo", "n", "a", "c", "head", "hot")
+        .select(*columns, "head", "hot")
     )
     # Each share of a hot anchor has named its own firsts; the first of those is the class's.
     firsts = told.where("hot and head")
-    classes = cut(firsts.groupBy("a", "c").agg(F.min(F.struct("doc_id", "lo")).alias("first")))
+    place = F.struct(*keys, "lo")
+    classes = cut(firsts.groupBy("a", "c").agg(F.min(place).alias("first")))
     plural = classes.groupBy("a").agg((F.min("c") < F.max("c")).alias("several"))  # a row per hot anchor, of which there are 2 * spread at most
-    again = firsts.join(classes, ["a", "c"]).join(F.broadcast(plural), "a").withColumn("head", F.struct("doc_id", "lo") == F.col("first"))
-    told = told.where("not (hot and head)").select("doc_id", "lo", "n", "head").union(again.where("several or not head").select("doc_id", "lo", "n", "head"))
-    covered = told.where("not head").select("doc_id", "lo", (F.col("lo") + F.col("n") - 1 + window).alias("hi"))
-    open_ = told.where("head").groupBy("doc_id").agg(F.collect_set(F.struct("lo", "n")).alias("spans"))
-    bodies = rows.where("doc_id is not null").mapInArrow(_packed, "doc_id long, body binary")
-    wins = cut(bodies.join(open_, "doc_id").mapInArrow(_windows(window), "doc_id long, start int, w long, x long"))
+    again = firsts.join(classes, ["a", "c"]).join(F.broadcast(plural), "a").withColumn("head", place == F.col("first"))
+    kept = [*keys, "lo", "n", "head"]
+    told = told.where("not (hot and head)").select(*kept).union(again.where("several or not head").select(*kept))
+    covered = told.where("not head").select(*keys, "lo", (F.col("lo") + F.col("n") - 1 + window).alias("hi"))
+    open_ = told.where("head").groupBy(*keys).agg(F.collect_set(F.struct("lo", "n")).alias("spans"))
+    bodies = rows.where("doc_id is not null").mapInArrow(_packed, _BODY_SQL)
+    if keys == ["doc_id"]:
+        bodies = bodies.select("doc_id", F.lit(0).cast("long").alias("tag"), "body")
+    wins = cut(bodies.join(open_, keys).mapInArrow(_windows(window), "doc_id long, tag long, start int, w long, x long").select(*keys, "start", "w", "x"))
     # Written, so that the join can split a window that stands in many contexts.
-    early = cut(wins.groupBy("w", "x").agg(F.min(F.struct("doc_id", "start")).alias("m"), F.count("*").alias("k")).where("k > 1"))
-    late = wins.join(early, ["w", "x"]).where(F.struct("doc_id", "start") > F.col("m"))
-    return covered.union(late.select("doc_id", F.col("start").alias("lo"), (F.col("start") + window).alias("hi")))
+    early = cut(wins.groupBy("w", "x").agg(F.min(F.struct(*keys, "start")).alias("m"), F.count("*").alias("k")).where("k > 1"))
+    late = wins.join(early, ["w", "x"]).where(F.struct(*keys, "start") > F.col("m"))
+    return covered.union(late.select(*keys, F.col("start").alias("lo"), (F.col("start") + window).alias("hi")))
 
 
 def _kept():
@@ -205,11 +221,11 @@ def drop_repeats(docs: DataFrame, window: int = 20, gram: int = 5) -> DataFrame:
     smaller doc_id or earlier in the same document; windows are judged on the
     input. Null and empty texts, and texts shorter than a window, lose nothing.
     Rows that repeat a doc_id and text lose the same words, equal starts not
-    being earlier; doc_ids must be whole numbers, and rows without one are kept
-    whole and make no others go. An empty table gives no rows.
+    being earlier; of rows that repeat a doc_id with other texts each loses its own
+    words, and the texts' hashes say which is the earlier. doc_ids must be whole numbers, and rows
+    without one are kept whole and make no others go. An empty table gives no rows.
     """
-    spans = repeats(docs, window, gram).groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
-    rows = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    bodies = rows.mapInArrow(_packed, "doc_id long, body binary")
-    joined = bodies.join(spans, "doc_id", "left").select("doc_id", "body", "spans")
+    rows, keys = _tagged(docs)
+    spans = _repeats(rows, keys, window, gram).groupBy(*keys).agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    joined = rows.mapInArrow(_packed, _BODY_SQL).select(*keys, "body").join(spans, keys, "left").select("doc_id", "body", "spans")
     return joined.mapInArrow(_kept(), "doc_id long, kept string, n_words long, n_removed long, kept_sha256 string")

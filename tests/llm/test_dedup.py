@@ -196,6 +196,20 @@ def test_repeats(corpus, monkeypatch, sample):
     assert sum(map(len, gone.values())) > 500
 
 
+def test_repeats_of_ids_with_other_texts(spark):
+    """Rows that share a doc_id are told apart: a text unlike all others loses nothing, and a shared passage stays in one of them."""
+    rng = random.Random(11)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    a, b, shared = text(50), text(40), text(30)
+    given = [(1, a), (2, a), (2, b), (3, text(25) + " " + shared), (3, shared + " " + text(25)), (None, shared), (4, shared), (4, shared)]
+    docs = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in given], "doc_id long, text string, tag int, lo int, spans int").repartition(3)
+    got = substring_dedup.drop_repeats(docs).collect()
+    assert len(got) == len(given)
+    removed = sorted(((r.doc_id or 0), r.n_words, r.n_removed) for r in got)
+    assert removed == [(0, 30, 0), (1, 50, 0), (2, 40, 0), (2, 50, 50), (3, 55, 0), (3, 55, 30), (4, 30, 30), (4, 30, 30)]
+    assert next(r.kept for r in got if r.n_words == 40) == b
+
+
 def test_repeated_rows_and_null_ids(corpus):
     twice = corpus.union(corpus.where("doc_id < 3")).union(corpus.where("doc_id = 0").withColumn("doc_id", F.lit(None).cast("long")))
     n = twice.count()
