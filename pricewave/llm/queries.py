@@ -161,4 +161,48 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
 """
 
-ORACLES = {"op5_line_dedup": _LINES, "op6_exact_dedup": _EXACT, "op8_chat_format": _TURNS, "op9_substring_dedup": _REPEATS, "op10_url_filter": _URLS, "op11_ranked_search": _RANKED}
+#: DuckDB has no crc32: `h` takes it bit by bit. `p` holds for each row and state the cheapest and least audit, as a plain string.
+_REPAIRED = r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+h AS (SELECT *, xor(4294967295, list_reduce(list_transform(string_split(key, ''), lambda c: CAST(ascii(c) AS BIGINT)),
+         lambda a, b: list_reduce(range(8), lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END), xor(a, b)), 4294967295)) % 20 AS fault FROM t),
+d AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+             CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE fault <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos FROM d),
+f AS (SELECT *, role[1] AS initial, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY pos) AS before,
+             CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 2
+                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS kind FROM o),
+step(f, t, i, cost, code) AS (VALUES (0, 2, '', 3, 'I'), (0, 3, '', 6, 'II'), (1, 2, '', 3, 'I'), (1, 3, '', 6, 'II'), (2, 3, '', 3, 'I'), (2, 2, '', 6, 'II'),
+                                     (3, 2, '', 3, 'I'), (3, 3, '', 6, 'II'), (0, 0, '', 0, ''), (1, 1, '', 0, ''), (2, 2, '', 0, ''), (3, 3, '', 0, '')),
+edit(f, t, i, cost, code) AS (VALUES (0, 1, 's', 0, 'K'), (0, 2, 'u', 0, 'K'), (1, 2, 'u', 0, 'K'), (2, 3, 'a', 0, 'K'), (3, 2, 'u', 0, 'K'),
+                                     (0, 2, '', 3, 'R'), (1, 2, '', 3, 'R'), (2, 3, '', 3, 'R'), (3, 2, '', 3, 'R'),
+                                     (0, 0, '', 4, 'D'), (1, 1, '', 4, 'D'), (2, 2, '', 4, 'D'), (3, 3, '', 4, 'D')),
+move AS (SELECT step.f, edit.t, edit.i, step.cost + edit.cost AS cost, step.code || edit.code AS code FROM step JOIN edit ON step.t = edit.f),
+p(conv_id, pos, st, best) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, {'c': 0, 'a': ''} FROM f
+  UNION ALL
+  SELECT p.conv_id, p.pos + 1, move.t, min({'c': best.c + cost + CASE WHEN kind = 3 AND code NOT LIKE '%D' THEN 3 ELSE 0 END, 'a': best.a || code})
+  FROM p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.pos = p.pos + 1
+  JOIN move ON move.f = st AND (i = '' OR i = initial) AND (kind NOT IN (1, 2) OR code LIKE '%D') GROUP BY ALL),
+e AS (SELECT conv_id, count(*) AS n, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps,
+             count(*) FILTER (WHERE kind = 1) AS blank, count(*) FILTER (WHERE kind = 2) AS duplicate, count(*) FILTER (WHERE kind = 3) AS truncated,
+             count(*) FILTER (WHERE pos > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+b AS (SELECT e.*, min({'c': best.c + step.cost, 'a': best.a || step.code}) AS best FROM p JOIN e ON e.conv_id IS NOT DISTINCT FROM p.conv_id AND pos = n
+      JOIN step ON step.f = st AND step.t IN (0, 3) GROUP BY ALL),
+c AS (SELECT conv_id, best.a AS audit, unnest(string_split(best.a, '')) AS ch, generate_subscripts(string_split(best.a, ''), 1) AS nr FROM b),
+x AS (SELECT *, count(*) FILTER (WHERE ch <> 'I') OVER w AS pos, count(*) FILTER (WHERE ch <> 'D') OVER w AS nth FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY nr)),
+y AS (SELECT x.*, role, text, initial, bool_or(ch = 'K' AND nth = 1 AND initial = 's') OVER (PARTITION BY x.conv_id) AS headed
+      FROM x LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM x.conv_id AND f.pos = x.pos AND ch <> 'I'),
+z AS (SELECT conv_id, string_agg(CASE WHEN ch = 'K' THEN role WHEN (nth % 2 = 1) <> coalesce(headed, false) THEN 'user' ELSE 'assistant' END || ':'
+                                 || CASE WHEN ch = 'I' THEN '' ELSE text END, chr(10) ORDER BY nr) AS lines FROM y WHERE ch <> 'D' GROUP BY conv_id),
+q AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT q.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM q LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM q.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM q.conv_id
+"""
+
+ORACLES = {"op5_line_dedup": _LINES, "op6_exact_dedup": _EXACT, "op8_chat_format": _TURNS, "op9_substring_dedup": _REPEATS, "op10_url_filter": _URLS, "op11_ranked_search": _RANKED, "op13_chat_repair": _REPAIRED}

@@ -17,10 +17,16 @@ from pricewave.llm.common import partitions
 
 #: Bytes of a row group and of a page, and rows of a page at most: a page is the least that a selective read decodes.
 GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 64 << 10, 500
-#: Words whose ids a Python worker remembers at a time.
-WORDS_HELD = 1 << 19
-#: Ids in one Arrow batch, about.
-BATCH_IDS = 1 << 20
+#: Words whose ids a Python worker remembers: those of the last two generations of so many new ones.
+GENERATION = 1 << 18
+#: Characters, about, of the texts that are encoded together and make an Arrow batch.
+BATCH_CHARS = 4 << 20
+
+#: What stands between words that are encoded together; words with it are encoded alone.
+_MARK = b"\x01"
+#: ASCII marks that never join a letter or digit before them; the apostrophe may.
+_TAILS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
+_ALNUM = frozenset(b for b in range(128) if chr(b).isalnum())
 
 _LOADED: dict = {}
 
@@ -29,54 +35,72 @@ class Encoder:
     """ids(texts) by a tokenizers file, added special tokens not being put in.
 
     With by_word, words (runs outside ASCII white space) are encoded apart and
-    remembered; it gives the same ids for files that drop white space and cut
-    at it. Words not yet seen are encoded many at a time, with one of the file's
-    added tokens between them.
+    remembered. That gives the same ids for files that drop white space and cut
+    at it. Words not yet seen are encoded many at a time, with a control
+    character between them, and without the ASCII marks that follow their last
+    letter or digit: the file cuts there, so word and marks are looked up apart.
     """
 
     def __init__(self, path: str, by_word: bool) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task, as Spark counts them
-        self.tokenizer, self.by_word, self.seen = Tokenizer.from_file(path), by_word, {}
-        self.added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        plain = [t for t in self.tokenizer.get_added_tokens_decoder().values() if not (t.single_word or t.lstrip or t.rstrip or t.normalized)]
-        self.mark = plain[-1].content if plain else None
+        self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.mark = self.tokenizer.encode(_MARK.decode(), add_special_tokens=False).ids
+        self.seen, self.before, self.parts = {}, {}, {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: list[bytes]) -> None:
+    def together(self, parts: list[bytes]) -> None:
+        """Remember the ids of parts of words."""
+        for k in range(0, len(parts), 5000):
+            some = parts[k : k + 5000]
+            ids = np.array(self.tokenizer.encode_batch_fast([(b"\n" + _MARK + b"\n").join(some).decode("utf-8", "replace")], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (np.flatnonzero(ids == self.mark[0]) * 4).tolist()
+            raw = ids.tobytes()
+            for part, a, b in zip(some, [0, *(c + 4 for c in cuts)], [*cuts, len(raw)]):
+                self.parts[part] = raw[a:b]
+
+    def learn(self, words: set[bytes]) -> None:
         """Remember the ids of new words."""
-        if len(self.seen) + len(words) > WORDS_HELD:
-            self.seen.clear()
-        texts = [w.decode("utf-8", "replace") for w in words]
-        together = []
-        for word, text in zip(words, texts):
-            if self.mark is None or any(t in text for t in self.added):
-                self.seen[word] = self.whole(text)
+        seen, before, new, cut, odd = self.seen, self.before, set(), [], []
+        for word in words:
+            if word in before:
+                seen[word] = before[word]
+            elif _MARK in word or len(self.mark) != 1 or any(t in word for t in self.added):
+                odd.append(word)
             else:
-                together.append((word, text))
-        for k in range(0, len(together), 2000):
-            some = together[k : k + 2000]
-            ids = np.array(self.tokenizer.encode(self.mark.join(t for _, t in some), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == self.added[self.mark]) * 4
-            raw = ids.tobytes()
-            for (word, _), a, b in zip(some, [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(raw)]):
-                self.seen[word] = raw[a:b]
-
-    def ids(self, text: str) -> np.ndarray:
-        if not self.by_word:
-            return np.frombuffer(self.whole(text), "<u4")
-        words = text.encode("utf-8", "replace").split()
-        seen = self.seen
-        try:
-            return np.frombuffer(b"".join([seen[w] for w in words]), "<u4")
-        except KeyError:
-            found = {w: seen.get(w) for w in set(words)}
-            self.learn([w for w, i in found.items() if i is None])
-            found.update((w, self.seen[w]) for w, i in found.items() if i is None)
-            return np.frombuffer(b"".join([found[w] for w in words]), "<u4")
+                core = word.rstrip(_TAILS)
+                if len(core) == len(word) or not core or core[-1] not in _ALNUM:
+                    core = word
+                cut.append((word, core, word[len(core) :]))
+                new.add(core)
+                new.add(word[len(core) :])
+        for word in odd:
+            seen[word] = self.whole(word.decode("utf-8", "replace"))
+        new.discard(b"")
+        parts = self.parts
+        self.together([p for p in new if p not in parts])
+        parts[b""] = b""
+        for word, core, tail in cut:
+            seen[word] = parts[core] + parts[tail]
+
+    def ids(self, texts: list[str], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, one text after another, and end after each; their number in each text)."""
+        if self.by_word:
+            split = [t.encode("utf-8", "replace").split() for t in texts]
+            if len(self.seen) > GENERATION:
+                self.seen, self.before = {}, self.seen
+            if len(self.parts) > GENERATION:
+                self.parts = {}
+            self.learn(set().union(*split) - self.seen.keys())
+            get = self.seen.__getitem__
+            raw = [b"".join(map(get, words)) + end for words in split]
+        else:
+            raw = [self.whole(t) + end for t in texts]
+        return np.frombuffer(b"".join(raw), "<u4"), np.array([len(r) // 4 for r in raw], np.int64)
 
 
 def encoder(path: str, by_word: bool) -> Encoder:
@@ -86,7 +110,7 @@ def encoder(path: str, by_word: bool) -> Encoder:
 
 
 def _tokenise(path: str, end_id: int | None, by_word: bool):
-    end = np.array([] if end_id is None else [end_id], "<u4")
+    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         from pyspark import TaskContext
@@ -96,15 +120,13 @@ def _tokenise(path: str, end_id: int | None, by_word: bool):
         for batch in batches:
             texts, first = batch.column("text"), 0
             while first < batch.num_rows:
-                found, total, last = [], 0, first
-                while last < batch.num_rows and total < BATCH_IDS:
-                    found.append(np.concatenate([enc.ids(texts[last].as_py() or ""), end]))
-                    total += len(found[-1])
-                    last += 1
-                counts = np.array([len(x) for x in found], np.int64)
+                some, chars = [], 0
+                while first + len(some) < batch.num_rows and chars < BATCH_CHARS:
+                    some.append(texts[first + len(some)].as_py())
+                    chars += len(some[-1])
+                flat, counts = enc.ids(some, end)
                 before = np.concatenate([[0], np.cumsum(counts)])
-                ids = pa.ListArray.from_arrays(pa.array(before.astype(np.int32)), pa.array(np.concatenate(found).view("<i4")))
-                n = last - first
+                n = len(some)
                 columns = {
                     "part": pa.array(np.full(n, part, np.int32)),
                     "place": pa.array(np.arange(place, place + n)),
@@ -112,10 +134,10 @@ def _tokenise(path: str, end_id: int | None, by_word: bool):
                     "offset": pa.array(offset + before[:-1]),
                     "n_tokens": pa.array(counts),
                     "meta": batch.column("meta").slice(first, n),
-                    "tokens": ids,
+                    "tokens": pa.ListArray.from_arrays(pa.array(before.astype(np.int32)), pa.array(flat.view("<i4"))),
                 }
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-                place, offset, first = place + n, offset + total, last
+                place, offset, first = place + n, offset + int(before[-1]), first + n
 
     return run
 

@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -91,14 +92,13 @@ def test_ranked_search_opens_few_ranges(spark):
     rng = random.Random(5)
     texts = [" ".join(rng.choice("abcdefgh") for _ in range(20)) for _ in range(4000)]
     texts[1234] += " rare words"
-    row = ranked_search._segment(0, list(range(4000)), [len(t.split()) for t in texts], [ranked_search.Counter(ranked_search.terms(t)) for t in texts], 4000, 80002)
-    import pyarrow as pa
-
-    batch = pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in ranked_search._SCHEMA], schema=ranked_search._SCHEMA)
-    held = ranked_search._Items(pa.table({"item": [1, 1], "item_id": [1, 1], "term": pa.array([b"rare", b"words"], pa.binary()), "weight": [9000, 9000]}))
-    tree, best, opened = ranked_search._opened(batch, 0, held), ranked_search._Best(10, 1), [0]
+    row = ranked_search._segment(list(range(4000)), [len(t.split()) for t in texts], [ranked_search.Counter(ranked_search.terms(t)) for t in texts], 4000, 80002)
+    batch = pa.RecordBatch.from_pydict({"top": [ranked_search._packed(row, ranked_search._TOP)], "rest": [ranked_search._packed(row, ranked_search._REST)]})
+    held = ranked_search._Items(pa.table({"item": [1] * 3, "item_id": [1] * 3, "term": pa.array([b"rare", b"words", b"a"], pa.binary())}))
+    held.weigh({0: 1, 1: 1, 2: 3700}, 4000)
+    tree, best, opened = ranked_search._Tree(batch, 0, held.words), ranked_search._Best(1, 1), [0]
     places, weights = held.here(tree, 0)
-    ranked_search._search(tree, places, weights, batch.column("doc_ids")[0].values, best, opened)
+    ranked_search._search(tree, places, weights, best, opened)
     assert [-d for _, d in best.held] == [1234] and opened == [ranked_search.LEVELS]
 
 
