@@ -35,10 +35,11 @@ def digest_proceeds(db_max: str, expected: str, forced: str) -> Column:
     return F.col(db_max).isNotNull() & (F.col(forced) | (F.col(db_max) == F.col(expected)))
 
 
-def trickle_complete(got: str, total: str) -> Column:
+def trickle_complete(got, total) -> Column:
     """Nearly all was collected; never without a total."""
-    known = F.coalesce(F.col(total), F.lit(0)) > 0
-    return known & ((F.col(got) >= 0.9 * F.col(total)) | (F.col(got) >= F.col(total) - 40))
+    got, total = (F.col(c) if isinstance(c, str) else c for c in (got, total))
+    known = F.coalesce(total, F.lit(0)) > 0
+    return known & ((got >= 0.9 * total) | (got >= total - 40))
 
 
 def trickle_writes(got: str, total: str, forced: str) -> Column:

@@ -196,7 +196,7 @@ def match_candidates(spark, sf_dir):
 @query(_GATED + " SELECT a, b, jaccard FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY jaccard DESC, b) AS ra, row_number() OVER (PARTITION BY b ORDER BY jaccard DESC, a) AS rb FROM k) WHERE ra = 1 AND rb = 1")
 def match_jaccard_best(spark, sf_dir):
     a, b = _sides(spark, sf_dir)
-    return matching.mutual_best(matching.gated(matching.candidates(a, b, early=True), a, b).select("a", "b", "jaccard"), "jaccard")
+    return matching.mutual_best(matching.gated_matches(a, b).select("a", "b", "jaccard"), "jaccard")
 
 
 @query()

@@ -226,16 +226,6 @@ def test_audit_of_nothing_is_null(spark):
     assert (row.recall_pct, row.precision_pct, row.price_pct) == (None, None, None)
 
 
-def test_stream_of_drops(spark, tmp_path):
-    kind = "item string, on_date date, cents long"
-    for n, rows in enumerate([[("a", day("2026-01-01"), 1000), ("b", day("2026-01-01"), 500)], [("a", day("2026-01-08"), 500), ("b", day("2026-01-08"), 400)]]):
-        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / str(n)))
-    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
-    run = changes.half_price_drops(stream).writeStream.format("memory").queryName("drops").outputMode("append").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
-    assert run.awaitTermination(120)
-    assert [tuple(r) for r in spark.table("drops").collect()] == [("a", day("2026-01-08"), 500, 1000)]
-
-
 def test_weekly_counts_and_once_per_key(spark, tmp_path):
     kind = "device string, ts timestamp"
     for n, rows in enumerate([["2026-06-16 23:59:00", "2026-06-17 00:00:00", "2026-06-17 00:00:00"], ["2026-06-23 12:00:00", "2026-06-24 01:00:00"], ["2026-07-20 00:00:00"], ["2026-07-21 00:00:00"], ["2026-08-20 00:00:00"]]):
