@@ -36,9 +36,10 @@ class Encoder:
 
     With by_word, words (runs outside ASCII white space) are encoded apart and
     remembered. That gives the same ids for files that drop white space and cut
-    at it. Words not yet seen are encoded many at a time, with a control
-    character between them, and without the ASCII marks that follow their last
-    letter or digit: the file cuts there, so word and marks are looked up apart.
+    at it. Words not yet seen are encoded many at a time, and without the ASCII
+    marks that follow their last letter or digit: the file cuts there, so word
+    and marks are looked up apart. Words of letters alone are told apart in the
+    result by the ids that end a word, others by a control character between them.
     """
 
     def __init__(self, path: str, by_word: bool) -> None:
@@ -48,44 +49,65 @@ class Encoder:
         self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.mark = self.tokenizer.encode(_MARK.decode(), add_special_tokens=False).ids
-        self.seen, self.before, self.parts = {}, {}, {}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items() if suffix else ():
+            self.ends[i] = token.endswith(suffix)
+        self.seen, self.before = {}, {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def together(self, parts: list[bytes]) -> None:
-        """Remember the ids of parts of words."""
-        for k in range(0, len(parts), 5000):
-            some = parts[k : k + 5000]
-            ids = np.array(self.tokenizer.encode_batch_fast([(b"\n" + _MARK + b"\n").join(some).decode("utf-8", "replace")], add_special_tokens=False)[0].ids, "<u4")
-            cuts = (np.flatnonzero(ids == self.mark[0]) * 4).tolist()
-            raw = ids.tobytes()
-            for part, a, b in zip(some, [0, *(c + 4 for c in cuts)], [*cuts, len(raw)]):
-                self.parts[part] = raw[a:b]
+    def together(self, words: list[bytes]) -> None:
+        """Remember the ids of words, none of which holds the mark or an added token."""
+        texts = b"\n".join(words).decode("utf-8", "replace").split("\n")
+        alone = [t.isalpha() and "\u0130" not in t for t in texts]  # the one letter whose lower case holds a mark
+        for letters in (True, False):
+            these = [(w, t) for w, t, a in zip(words, texts, alone) if a == letters]
+            for k in range(0, len(these), 5000):
+                some = these[k : k + 5000]
+                between = "\n" if letters else f"\n{_MARK.decode()}\n"
+                ids = np.array(self.tokenizer.encode_batch_fast([between.join(t for _, t in some)], add_special_tokens=False)[0].ids, "<u4")
+                raw = ids.tobytes()
+                if letters:
+                    cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+                    if len(cuts) != len(some):
+                        raise ValueError("this file does not end each word of letters by a token of its own")
+                    places = zip([0, *cuts], cuts)
+                else:
+                    cuts = (np.flatnonzero(ids == self.mark[0]) * 4).tolist()
+                    places = zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])
+                self.seen.update((w, raw[a:b]) for (w, _), (a, b) in zip(some, places))
 
     def learn(self, words: set[bytes]) -> None:
         """Remember the ids of new words."""
-        seen, before, new, cut, odd = self.seen, self.before, set(), [], []
-        for word in words:
-            if word in before:
-                seen[word] = before[word]
-            elif _MARK in word or len(self.mark) != 1 or any(t in word for t in self.added):
-                odd.append(word)
-            else:
-                core = word.rstrip(_TAILS)
-                if len(core) == len(word) or not core or core[-1] not in _ALNUM:
-                    core = word
-                cut.append((word, core, word[len(core) :]))
-                new.add(core)
-                new.add(word[len(core) :])
+        seen, before = self.seen, self.before
+        back = words & before.keys()
+        seen.update((w, before[w]) for w in back)
+        words = words - back
+        blob = b"\n".join(words)
+        odd = set()
+        if _MARK in blob or len(self.mark) != 1 or not self.ends.any():
+            odd = {w for w in words if _MARK in w} if len(self.mark) == 1 and self.ends.any() else words
+        if any(t in blob for t in self.added):
+            odd = odd | {w for w in words if any(t in w for t in self.added)}
         for word in odd:
             seen[word] = self.whole(word.decode("utf-8", "replace"))
-        new.discard(b"")
-        parts = self.parts
-        self.together([p for p in new if p not in parts])
-        parts[b""] = b""
+        new, cut = set(), []
+        for word in words - odd:
+            if word[-1] in _TAILS:
+                core = word.rstrip(_TAILS)
+                if core and core[-1] in _ALNUM:
+                    tail = word[len(core) :]
+                    cut.append((word, core, tail))
+                    new.add(core)
+                    new.add(tail)
+                    continue
+            new.add(word)
+        self.together(list(new - seen.keys()))
         for word, core, tail in cut:
-            seen[word] = parts[core] + parts[tail]
+            seen[word] = seen[core] + seen[tail]
 
     def ids(self, texts: list[str], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
         """(all ids, one text after another, and end after each; their number in each text)."""
@@ -93,8 +115,6 @@ class Encoder:
             split = [t.encode("utf-8", "replace").split() for t in texts]
             if len(self.seen) > GENERATION:
                 self.seen, self.before = {}, self.seen
-            if len(self.parts) > GENERATION:
-                self.parts = {}
             self.learn(set().union(*split) - self.seen.keys())
             get = self.seen.__getitem__
             raw = [b"".join(map(get, words)) + end for words in split]
