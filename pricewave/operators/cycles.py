@@ -40,6 +40,11 @@ def final(dates: str = "dates") -> Column:
     return F.expr(f"aggregate({dates}, CAST(NULL AS {_STATE}), (acc, d) -> {_step('acc')})")
 
 
+def onward(before: str, dates: str = "dates") -> Column:
+    """final() that starts from the struct before, null where there is none."""
+    return F.expr(f"aggregate({dates}, CAST({before} AS {_STATE}), (acc, d) -> {_step('acc')})")
+
+
 def intervals(dates: str = "dates") -> Column:
     """Whole weeks between kept dates, two or more."""
     fold = f"aggregate({dates}, CAST(array() AS ARRAY<DATE>), (acc, d) -> IF(size(acc) > 0 AND datediff(d, element_at(acc, -1)) < {NEAR_DAYS}, acc, concat(acc, array(d))))"

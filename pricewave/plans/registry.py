@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from pricewave.functions import scalars
-from pricewave.operators import bundles, cycles, digests, guards, matching, merge, pricing
+from pricewave.operators import bundles, cycle_state, cycles, digests, guards, matching, merge, pricing
+from pricewave.operators.cycle_state import CycleTable
 from pricewave.plans.adapter import AS_OF, WEEK, catalogue, price_points, table, watched
 from pricewave.plans.book import ORACLES, QUERIES, query  # noqa: F401
+from pricewave.session import stored, work_folder
 
 FLAGSHIP = "predictions"
 
@@ -130,6 +132,26 @@ def predictions(spark, sf_dir):
     return p.select("retailer", "name", F.col("n").alias("cycle_count"), "last_sale", "win_start", "win_end", "confidence", "tier", (F.rint(F.col("mean") * 100) / 100).alias("mean_weeks"), (F.rint(F.col("sd") * 100) / 100).alias("sd_weeks"), "rationale")
 
 
+def _predicted(p):
+    rounded = lambda c: F.rint(F.col(c) * 100) / 100
+    return p.select(
+        "retailer", "name", F.col("n").alias("cycle_count"), "last_sale", "win_start", "win_end", "confidence", "tier", rounded("mean").alias("mean_weeks"),
+        rounded("sd").alias("sd_weeks"), "rationale",
+    )
+
+
+@query(ORACLES["predictions"])
+def advanced_predictions(spark, sf_dir):
+    """The same predictions from a state that was advanced three times, the last time by early sales of every tenth item too."""
+    sales = stored(_sales(spark, sf_dir).withColumn("name", F.trim("name")), "sales")
+    late = (F.crc32(F.col("name").cast("binary")) % 10 == 0) & (F.month("week_start") == 3)
+    parts = [~late & (F.col("week_start") < "1995-01-01"), ~late & (F.col("week_start") >= "1995-01-01") & (F.col("week_start") < "1998-01-01"), late | (F.col("week_start") >= "1998-01-01")]
+    kept = CycleTable(spark, work_folder(spark, "cycles"), "retailer", "name")
+    for k, part in enumerate(parts):
+        kept.advance(f"run {k}", sales.where(part), lambda: sales)
+    return _predicted(cycle_state.predictions(kept.read(), AS_OF))
+
+
 @query(_FOLD + " SELECT count(*) AS considered, CAST(count(*) FILTER (n > 0) AS BIGINT) AS emitted, CAST(count(*) FILTER (n = 0) AS BIGINT) AS gated FROM (SELECT item, arg_max(n, k) AS n FROM st GROUP BY item)")
 def prediction_summary(spark, sf_dir):
     return cycles.prediction_summary(_sales(spark, sf_dir))
