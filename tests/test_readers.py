@@ -113,3 +113,32 @@ def test_variants(spark):
     assert [r.i for r in got if r.whole] == [1, 11]
     assert [(r.i, r.number) for r in got if r.number is not None] == [(0, 33.0), (1, 33.0), (2, 33.0), (3, 350.0), (11, 0.0)]
     assert [r.i for r in got if r.filled] == [0, 1, 2, 3, 4, 7, 9] and [r.i for r in got if r.object] == [8, 9]
+
+
+def test_folders_of_files(spark, tmp_path):
+    """A good, a short and a broken file of each kind: the good one's records, and a row for each file."""
+    import gzip
+
+    from pricewave.sources import formats
+
+    formats.register(spark)
+    good = {
+        "dump": gzip.compress(json.dumps([{"id": "1"}, {"id": "é"}]).encode()),
+        "callback": b'cb({"items": [{"items": {"SKU": "1P"}}, {"SKU": "2"}]});',
+        "sheet": f"banner\n{HEAD}\nColes,\"a\nb\",x\n".encode(),
+        "sitemap": b"<urlset><url><loc>https://x/1</loc></url><url><loc>https://x/2</loc></url></urlset>",
+    }
+    short = {"dump": b"[]", "callback": b'{"items": null}', "sheet": f"banner\n{HEAD}\n".encode(), "sitemap": b"<urlset/>"}
+    broken = {"dump": b'{"no": "list"}', "callback": b"cb(nothing)", "sheet": b"banner\nShop,Name,Category\nx\ny\n", "sitemap": b"\xff\xfe"}
+    for kind in good:
+        (tmp_path / kind).mkdir()
+        for name, body in (("good", good[kind]), ("short", short[kind]), ("broken", broken[kind]), ("_hidden", b"?")):
+            (tmp_path / kind / name).write_bytes(body)
+        read = spark.read.format("retail_files").option("kind", kind).load(str(tmp_path / kind))
+        assert read.rdd.getNumPartitions() == 3
+        held = formats.records(read).orderBy("pos").collect()
+        assert {r.file.rsplit("/", 1)[1] for r in held} == {"good"} and [r.pos for r in held] == list(range(len(held))) and len(held) in (2, 3)
+        ends = {r.file.rsplit("/", 1)[1]: (r.status, r.error is not None) for r in formats.outcomes(read).collect()}
+        assert ends == {"good": ("success", False), "short": ("no_data", False), "broken": ("failed", True)}
+    with pytest.raises(Exception, match="kind must be"):
+        spark.read.format("retail_files").load(str(tmp_path)).count()
