@@ -389,3 +389,20 @@ def parse_summary(spark, sf_dir):
     hist = F.when(third == 1, F.array(on(1, F.col("cents")), on(90, 3 * F.col("cents")))).when(third == 2, F.array(on(100, 3 * F.col("cents")), on(200, F.col("cents")), on(300, 3 * F.col("cents")))).otherwise(F.array(on(1, F.col("cents"))))
     items = p.select(F.lit("A").alias("retailer"), F.col("k").alias("item"), hist.alias("hist"), (F.col("k") % 4 == 0).alias("marketplace"))
     return parsers.parse_counts(items, pricing.products(items.where("NOT marketplace"), WEEK))
+
+
+_FORMS_SQL = """WITH p AS (SELECT p_partkey AS k, p_size AS n, p_partkey % 40 + 1 AS m FROM part),
+q AS (SELECT k, n, m, CASE k % 7 WHEN 0 THEN n * m WHEN 1 THEN m * 1000 WHEN 2 THEN m WHEN 3 THEN m * 250 WHEN 4 THEN n * 500 + m END AS g,
+      CASE k % 7 WHEN 2 THEN n WHEN 5 THEN n * m * 1000 + 1500 WHEN 3 THEN 330 * n END AS ml, CASE k % 7 WHEN 6 THEN CAST(n AS VARCHAR) WHEN 4 THEN '4' ELSE '' END AS counts FROM p)"""
+
+
+@query(_FORMS_SQL + """ SELECT k, concat_ws(' ', CASE WHEN g > 0 THEN 'g:' || g || '.0' END, CASE WHEN ml > 0 THEN 'ml:' || ml || '.0' END) AS quantity, counts FROM q""")
+def quantity_forms(spark, sf_dir):
+    """Sizes and counts in the forms that names have: multipacks, kilograms and litres, fractions, two families, packs."""
+    k, n, m = F.col("p_partkey"), F.col("p_size").cast("string"), (F.col("p_partkey") % 40 + 1).cast("string")
+    forms = [
+        F.concat(n, F.lit("x"), m, F.lit("g")), F.concat(m, F.lit(" kg")), F.concat(n, F.lit("ml with "), m, F.lit("g")), F.concat(m, F.lit(" x 0.25kg and "), n, F.lit(" x 330 ml")),
+        F.concat(n, F.lit(" x 500g plus "), m, F.lit("g 4 pack")), F.concat(n, F.lit(" x "), m, F.lit("l twice, not 1.5 of 1.5l")), F.concat(n, F.lit("pk of size 7")),
+    ]
+    made = table(spark, sf_dir, "part").select(k.alias("k"), F.concat(F.lit("item "), F.element_at(F.array(*forms), (k % 7 + 1).cast("int"))).alias("norm"))
+    return made.select("k", scalars.quantity_signature("norm").alias("quantity"), scalars.pack_counts("norm").alias("counts"))

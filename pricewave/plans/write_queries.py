@@ -200,14 +200,22 @@ def lookup_counts(spark, sf_dir):
 
 
 @query("""WITH c AS (SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS sku, CAST(round_even(p_retailprice * 100, 0) AS BIGINT) AS cents, p_type, p_name FROM part)
-SELECT sku, p_name AS name, CASE WHEN k % 3 <> 0 AND k % 9 <> 1 THEN p_type WHEN k % 2 = 0 THEN 'New' END AS category, CASE WHEN k % 3 <> 0 THEN greatest(cents, CASE WHEN k % 2 = 0 THEN cents + CASE WHEN k % 4 = 0 THEN 9 ELSE -9 END END) ELSE cents + CASE WHEN k % 4 = 0 THEN 9 ELSE -9 END END AS regular_price_cents FROM c WHERE k % 3 <> 0 OR k % 2 = 0""")
+SELECT sku, p_name AS name, CASE WHEN k % 3 <> 0 AND k % 9 <> 1 THEN p_type WHEN k % 2 = 0 THEN 'New' END AS category, CASE WHEN k % 3 <> 0 THEN greatest(cents, CASE WHEN k % 2 = 0 THEN cents + CASE WHEN k % 4 = 0 THEN 9 ELSE -9 END END) ELSE cents + CASE WHEN k % 4 = 0 THEN 9 ELSE -9 END END AS regular_price_cents,
+       CASE WHEN k % 3 <> 0 AND k % 5 = 0 THEN 'old' || k WHEN k % 2 = 0 AND k % 7 <> 0 THEN 'new' || k END AS image_url FROM c WHERE k % 3 <> 0 OR k % 2 = 0""")
 def upsert_product_rows(spark, sf_dir):
     """The row-wise rule, under which a category that is there stays."""
     k = F.col("p_partkey")
     p = table(spark, sf_dir, "part").withColumn("cents", F.rint(F.col("p_retailprice") * 100).cast("bigint"))
-    old = p.where(k % 3 != 0).select(k.cast("string").alias("sku"), F.col("p_name").alias("name"), F.when(k % 9 != 1, F.col("p_type")).alias("category"), F.col("cents").alias("regular_price_cents"), F.lit(None).cast("string").alias("image_url"))
-    new = p.where(k % 2 == 0).select(k.cast("string").alias("sku"), F.col("p_name").alias("name"), F.lit("New").alias("category"), (F.col("cents") + F.when(k % 4 == 0, 9).otherwise(-9)).alias("regular_price_cents"), F.lit(None).cast("string").alias("image_url"))
-    return merge.upsert(old, new, ["sku"], merge.product_rules("old")).drop("image_url")
+    key = k.cast("string")
+    old = p.where(k % 3 != 0).select(
+        key.alias("sku"), F.col("p_name").alias("name"), F.when(k % 9 != 1, F.col("p_type")).alias("category"), F.col("cents").alias("regular_price_cents"),
+        F.when(k % 5 == 0, F.concat(F.lit("old"), key)).alias("image_url"),
+    )
+    new = p.where(k % 2 == 0).select(
+        key.alias("sku"), F.col("p_name").alias("name"), F.lit("New").alias("category"), (F.col("cents") + F.when(k % 4 == 0, 9).otherwise(-9)).alias("regular_price_cents"),
+        F.when(k % 7 != 0, F.concat(F.lit("new"), key)).alias("image_url"),
+    )
+    return merge.upsert(old, new, ["sku"], merge.product_rules("old"))
 
 
 @query("SELECT p_type AS label FROM (SELECT DISTINCT p_type FROM part) WHERE p_type NOT IN (SELECT upper(c_mktsegment) FROM customer) AND p_type <> 'PROMO'")

@@ -54,12 +54,13 @@ class WeeklyTable:
         old = self.read().where(F.col(self.week).isin(weeks)) if weeks else self.read().limit(0)
         staged = f"{self.path}/staged/{run_id}"
         columns = old.columns
-        change(old).select(*columns).repartition(self.week).write.mode("overwrite").parquet(staged)
+        change(old).select(*columns).write.mode("overwrite").parquet(staged)
         made = self.spark.read.parquet(staged)
         counts = {r[self.week]: r["n"] for r in made.groupBy(self.week).agg(F.count("*").alias("n")).collect()}  # a row for each week
         if set(counts) - set(weeks):
             raise ValueError(f"rows of other weeks: {sorted(set(counts) - set(weeks))}")
-        made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.week).parquet(f"{self.path}/data")
+        dealt = made.hint("rebalance", self.week)  # few files for each week, and several tasks for a large one
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.week).parquet(f"{self.path}/data")
         for week in set(weeks) - set(counts):
             files, target = self._files(f"{self.path}/data/{self.week}={week}")
             files.delete(target, True)
