@@ -12,7 +12,7 @@ from pricewave.llm.common import cut
 _TERM = re.compile(r"[a-z0-9]+")
 #: A number of one digit, with what comes before it where it is a version: "version 2" and "version 3" are terms of their own.
 _NUMBER = re.compile(r"(?<!\d)(\d)(?:\.(\d))?(?!\d)")
-_BEFORE = re.compile(r"(?:\bv(?:ersion)?[. ]*|gpl[- v]*|(?:apache|mpl|zero)[- ]|\bcc[-a-z0 ]*)$")
+_BEFORE = re.compile(r"(?:\bv(?:ersion)?[. ]*|gpl[- v]*|(?:apache|mpl|epl|bsl|zero)[- ]|\bcc[-a-z0 ]*)$")
 #: How a comment line starts; the signs are those of common languages.
 _COMMENT = re.compile(r"\s*(#|//|/?\*|--|;|%|\"\"\")")
 
@@ -31,6 +31,51 @@ _MPL = "This Source Code Form is subject to the terms of the Mozilla Public Lice
 _MPL_REST = "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
 _GNU = "This {thing} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {kind} as published by the Free Software Foundation{either} version {version} of the License, or (at your option) any later version."
 _GNU_REST = "This {thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} for more details. You should have received a copy of the GNU {kind} along with this {thing}."
+_ZERO_BSD = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."
+_BSD_FOUR = (
+    "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software "
+    "developed by the organization. 4. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission."
+)
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the "
+    "use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+    "redistribute it freely, subject to the following restrictions:"
+)
+_ZLIB_REST = (
+    "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, "
+    "an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must "
+    "not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."
+)
+_BOOST = (
+    'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this '
+    'license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to '
+    "permit third-parties to whom the Software is furnished to do so, all subject to the following:"
+)
+_BOOST_REST = (
+    "The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be "
+    "included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in "
+    "the form of machine-executable object code generated by a source language processor."
+)
+_ECLIPSE = "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"
+#: How the texts of long licences begin: a licence file is known by these paragraphs.
+_HEADS = (
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", 'TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. "License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document.'),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+)
+#: Lines that offer a choice of two licences name both.
+_CHOICES = (
+    ("Apache-2.0 OR MIT", ("Apache License, Version 2.0", "MIT license")), ("Apache-2.0 OR MIT", ("MIT license", "Apache License, Version 2.0")),
+    ("GPL-2.0 OR MIT", ("GNU General Public License, version 2", "MIT license")), ("GPL-2.0 OR MIT", ("MIT license", "GNU General Public License, version 2")),
+)
 _UNLICENSE = "This is free and unencumbered software released into the public domain."
 _GNU_KINDS = (
     ("GPL-2.0", "program", ";", "General Public License", "2"),
@@ -46,7 +91,7 @@ _TITLES = (
     ("CC-BY-4.0", "Creative Commons Attribution 4.0 International License"), ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"), ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"),
 )
 #: Licences of a family share most of their wording; a text that fits two of them alike is given to the family.
-FAMILIES = {"BSD-2-Clause": "BSD", "BSD-3-Clause": "BSD", "GPL-2.0": "GPL", "GPL-3.0": "GPL", "LGPL-2.1": "LGPL", "LGPL-3.0": "LGPL", "AGPL-3.0": "AGPL", "CC-BY-4.0": "CC", "CC-BY-SA-4.0": "CC", "CC-BY-NC-4.0": "CC"}
+FAMILIES = {"BSD-2-Clause": "BSD", "BSD-3-Clause": "BSD", "BSD-4-Clause": "BSD", "GPL-2.0": "GPL", "GPL-3.0": "GPL", "LGPL-2.1": "LGPL", "LGPL-3.0": "LGPL", "AGPL-3.0": "AGPL", "CC-BY-4.0": "CC", "CC-BY-SA-4.0": "CC", "CC-BY-NC-4.0": "CC"}
 MARGIN = 0.01
 
 
@@ -74,6 +119,25 @@ def _templates():
             yield name, notice
             yield name, notice + " " + _GNU_REST.format(thing=thing, kind=kind)
         yield name, f"under the terms of the GNU {kind} version {version} as published by the Free Software Foundation."
+    yield "0BSD", _ZERO_BSD
+    yield "0BSD", f"{_ZERO_BSD} {_ISC_AS_IS}"
+    yield "BSD-4-Clause", f"{_BSD} {_BSD_TWO} {_BSD_FOUR}"
+    yield "BSD-4-Clause", f"{_BSD} {_BSD_TWO} {_BSD_FOUR} {_BSD_AS_IS}"
+    yield "Zlib", _ZLIB
+    yield "Zlib", f"{_ZLIB} {_ZLIB_REST}"
+    yield "BSL-1.0", _BOOST
+    yield "BSL-1.0", f"{_BOOST} {_BOOST_REST}"
+    yield "BSL-1.0", f"{_BOOST} {_BOOST_REST} {_AS_IS}"
+    yield "EPL-2.0", _ECLIPSE
+    yield from _HEADS
+    for name, (one, two) in _CHOICES:
+        yield name, f"Licensed under either of {one} or {two} at your option."
+        yield name, f"Dual licensed under the {one} and the {two}."
+        yield name, f"Licensed under the {one} or the {two}, at your option."
+    for name in ("Apache-2.0 OR MIT", "MIT OR Apache-2.0"):
+        yield "Apache-2.0 OR MIT", f"SPDX-License-Identifier: {name}"
+    for name in ("0BSD", "Zlib", "BSL-1.0", "EPL-2.0", "BSD-4-Clause"):
+        yield name, f"SPDX-License-Identifier: {name}"
     yield "Unlicense", _UNLICENSE
     yield "CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."
     for name, title in _TITLES:

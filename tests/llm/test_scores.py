@@ -178,10 +178,21 @@ def test_versions_are_told_apart(spark):
     given = {"MIT": own + L._MIT + "\n\n" + L._AS_IS, "ISC": own + L._ISC + "\n\n" + L._ISC_AS_IS, "BSD-2-Clause": own + L._BSD + "\n" + L._BSD_TWO + "\n\n" + L._BSD_AS_IS, "BSD-3-Clause": own + L._BSD + "\n" + L._BSD_TWO + "\n" + L._BSD_THREE + "\n\n" + L._BSD_AS_IS}
     given |= {name: gnu(name, True) for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")}
     given |= {"Apache-2.0": L._APACHE + " " + L._APACHE_REST, "MPL-2.0": L._MPL + " " + L._MPL_REST}
+    given |= {"0BSD": own + L._ZERO_BSD + "\n\n" + L._ISC_AS_IS, "Zlib": own + L._ZLIB + "\n\n" + L._ZLIB_REST, "BSL-1.0": L._BOOST + "\n\n" + L._BOOST_REST + "\n\n" + L._AS_IS}
+    given |= {"BSD-4-Clause": own + L._BSD + "\n" + L._BSD_TWO + "\n" + L._BSD_FOUR + "\n\n" + L._BSD_AS_IS, "EPL-2.0": L._ECLIPSE}
     code = "\n\nimport words\nx = other + things\n\ndef more(code):\n    return code\n"
     files = [(f"{name}/{k}", text) for name, whole in given.items() for k, text in enumerate([whole, wrap(whole, "#") + code, wrap(whole, " *") + code, f"// SPDX-License-Identifier: {name}" + code])]
     files += [(f"{name}/short", wrap(gnu(name, False), "//") + code) for name in given if "GPL" in name]
     files += [(f"none/{k}", t) for k, t in enumerate(["This file is not licensed under the MIT License.", "Not licensed under the Apache License, Version 2.0.", "words on a licence that is fine", L._AS_IS])]
+    files += [
+        ("Apache-2.0/full", "\n      Apache License\n   Version 2.0, January 2004\n  http://www.apache.org/licenses/\n\n  TERMS AND CONDITIONS FOR USE\n\n many other words\n"),
+        ("GPL-3.0/full", "   GNU GENERAL PUBLIC LICENSE\n      Version 3, 29 June 2007\n\n Everyone is permitted to copy words of this document\n"),
+        ("LGPL-3.0/full", "   GNU LESSER GENERAL PUBLIC LICENSE\n      Version 3, 29 June 2007\n\n Everyone is permitted to copy words of this document\n"),
+        ("Apache-2.0 OR MIT/a", "Licensed under either of Apache License, Version 2.0 or MIT license at your option." + code),
+        ("Apache-2.0 OR MIT/b", "// Dual licensed under the MIT license and the Apache License, Version 2.0" + code),
+        ("Apache-2.0 OR MIT/c", "# SPDX-License-Identifier: MIT OR Apache-2.0" + code),
+        ("GPL-2.0 OR MIT/a", "Dual licensed under the MIT license and the GNU General Public License, version 2." + code),
+    ]
     files += [("BSD/line", L._BSD + code)] + [(f"p/{i}", f"prose {i} of\nmany words and the rest of a line") for i in range(80)]
     got = {r.path: r.own for r in license_scan.scan(spark.createDataFrame(files, "path string, text string").withColumn("licence", F.lit("clash"))).collect()}
     assert {p: o for p, o in got.items() if p.split("/")[0] != o} == {p: None for p, _ in files if p[:2] in ("no", "p/")}
