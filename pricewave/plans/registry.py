@@ -16,7 +16,8 @@ FLAGSHIP = "predictions"
 _POINTS = """pp AS (SELECT retailer, item, on_date, cents FROM (
   SELECT {retailer} AS retailer, l_partkey AS item, CAST(l_shipdate AS DATE) AS on_date,
          CAST(round_even(l_extendedprice / l_quantity * 100, 0) AS BIGINT) AS cents,
-         row_number() OVER (PARTITION BY {retailer}, l_partkey, CAST(l_shipdate AS DATE) ORDER BY l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC, l_quantity DESC) AS rn
+         row_number() OVER (PARTITION BY {retailer}, l_partkey, CAST(l_shipdate AS DATE)
+  ORDER BY l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC, l_quantity DESC) AS rn
   FROM lineitem{when}) WHERE rn = 1)"""
 _SIDE, _UNTIL = "(CASE l_linestatus WHEN 'F' THEN 'A' ELSE 'B' END)", " WHERE CAST(l_shipdate AS DATE) <= DATE '2001-06-30'"
 _SPLIT, _SPLIT_ALL = _POINTS.format(retailer=_SIDE, when=_UNTIL), _POINTS.format(retailer=_SIDE, when="")
@@ -25,25 +26,33 @@ _EVENTS = """ev AS (SELECT retailer, item, on_date, cents AS sale_cents, was AS
   CAST(round_even(100e0 * (1e0 - cents / was), 0) AS BIGINT) AS discount_pct
   FROM (SELECT *, lead(cents) OVER (PARTITION BY retailer, item ORDER BY on_date DESC) AS was FROM pp)
   WHERE was > 0 AND cents > 0 AND (1e0 - cents / was) >= 0.48e0)"""
-_PRODUCTS = """pr AS (SELECT *, (coalesce(last_event = changed, false) OR (regular > 0 AND 1e0 - current / regular >= 0.48e0)) AND DATE '2001-06-30' - changed <= 14 AS is_half,
+_PRODUCTS = """pr AS (SELECT *, (coalesce(last_event = changed, false) OR (regular > 0 AND 1e0 - current / regular >= 0.48e0))
+  AND DATE '2001-06-30' - changed <= 14 AS is_half,
     CASE WHEN 1e0 - current / regular >= 0.30e0 THEN CAST(round_even(100e0 * (1e0 - current / regular), 0) AS BIGINT) END AS pct
-  FROM (SELECT retailer, item, coalesce(max(cents) FILTER (on_date >= DATE '2001-06-30' - 300), max(cents)) AS regular, arg_max(cents, on_date) AS current, max(on_date) AS changed
-        FROM pp GROUP BY ALL) LEFT JOIN (SELECT retailer, item, max(on_date) AS last_event, count(*) AS n_events FROM ev GROUP BY ALL) USING (retailer, item))"""
+  FROM (SELECT retailer, item, coalesce(max(cents) FILTER (on_date >= DATE '2001-06-30' - 300), max(cents)) AS regular, arg_max(cents,
+  on_date) AS current, max(on_date) AS changed
+        FROM pp GROUP BY ALL) LEFT JOIN (SELECT retailer, item, max(on_date) AS last_event, count(*) AS n_events
+  FROM ev GROUP BY ALL) USING (retailer, item))"""
 _SPECIALS = """sp AS (SELECT retailer, item, regular AS regular_cents, current AS sale_cents, pct AS discount_pct, is_half AND pct >= 48 AS is_half_price,
   DATE '2001-06-27' AS week_start, DATE '2001-07-03' AS week_end FROM pr WHERE pct IS NOT NULL)"""
 _PRICING = f"WITH {_SPLIT}, {_EVENTS}, {_PRODUCTS}, {_SPECIALS} "
 # The greedy fold carries the last kept date along each series.
 _FOLD_ROWS = f"""{_EVENTS}, o AS (SELECT item, on_date AS d, row_number() OVER (PARTITION BY item ORDER BY on_date) AS k FROM ev),
 f AS (SELECT item, k, d, d AS kept, 0::BIGINT AS w FROM o WHERE k = 1 UNION ALL
-      SELECT o.item, o.k, o.d, CASE WHEN o.d - f.kept < 7 THEN f.kept ELSE o.d END, CASE WHEN o.d - f.kept < 7 THEN 0 ELSE CAST(round((o.d - f.kept) / 7e0) AS BIGINT) END
+      SELECT o.item, o.k, o.d, CASE WHEN o.d - f.kept < 7 THEN f.kept ELSE o.d END, CASE WHEN o.d - f.kept < 7 THEN 0
+  ELSE CAST(round((o.d - f.kept) / 7e0) AS BIGINT) END
       FROM f JOIN o ON o.item = f.item AND o.k = f.k + 1),
-st AS (SELECT item, k, d, sum(CASE WHEN w >= 2 THEN 1 ELSE 0 END) OVER x AS n, sum(CASE WHEN w >= 2 THEN w ELSE 0 END) OVER x AS s, sum(CASE WHEN w >= 2 THEN w * w ELSE 0 END) OVER x AS q, w
+st AS (SELECT item, k, d, sum(CASE WHEN w >= 2 THEN 1 ELSE 0 END) OVER x AS n, sum(CASE WHEN w >= 2 THEN w ELSE 0 END) OVER x AS s, sum(CASE
+  WHEN w >= 2 THEN w * w ELSE 0 END) OVER x AS q, w
        FROM f WINDOW x AS (PARTITION BY item ORDER BY k))"""
 _FOLD, _FOLD_ALL = (f"WITH RECURSIVE {points}, {_FOLD_ROWS}" for points in (_POOLED, _POOLED_ALL))
-_WINDOW = """w1 AS (SELECT *, s / n AS mean, CASE WHEN n = 1 THEN 1.5e0 WHEN n < 4 THEN greatest(sqrt((n::DOUBLE * q - s::DOUBLE * s) / (n * (n - 1))), 1e0) ELSE sqrt((n::DOUBLE * q - s::DOUBLE * s) / (n * (n - 1))) END AS sd, CAST((7 * s) // n AS INT) AS step FROM base WHERE n > 0),
+_WINDOW = """w1 AS (SELECT *, s / n AS mean,
+  CASE WHEN n = 1 THEN 1.5e0 WHEN n < 4 THEN greatest(sqrt((n::DOUBLE * q - s::DOUBLE * s) / (n * (n - 1))), 1e0)
+  ELSE sqrt((n::DOUBLE * q - s::DOUBLE * s) / (n * (n - 1))) END AS sd, CAST((7 * s) // n AS INT) AS step FROM base WHERE n > 0),
 w2 AS (SELECT *, CAST(floor(round_even(greatest(1e0, least(sd, 4e0)) * 7 * 86400e6, 0) / 86400e6) AS INT) AS hd, last_sale + step AS nx FROM w1),
 w3 AS (SELECT * REPLACE (CASE WHEN nx + hd < today THEN nx + step ELSE nx END AS nx) FROM w2),
-w4 AS (SELECT *, nx - hd AS win_start, nx + hd AS win_end, round_even(least(0.95e0, 0.5e0 * least(n / 8e0, 1e0) + 0.5e0 * (1e0 - least(sd / greatest(mean, 1e0), 1e0))), 2) AS confidence FROM w3),
+w4 AS (SELECT *, nx - hd AS win_start, nx + hd AS win_end, round_even(least(0.95e0, 0.5e0 * least(n / 8e0,
+  1e0) + 0.5e0 * (1e0 - least(sd / greatest(mean, 1e0), 1e0))), 2) AS confidence FROM w3),
 pw AS (SELECT *, CASE WHEN n < 3 OR confidence < 0.45 THEN 'low' WHEN confidence >= 0.75 THEN 'high' ELSE 'medium' END AS tier FROM w4)"""
 _PREDICT = _FOLD + """, base AS (SELECT item, arg_max(n, k)::BIGINT AS n, arg_max(s, k)::BIGINT AS s, arg_max(q, k)::BIGINT AS q, max(d) AS last_sale, DATE '2001-06-30' AS today FROM st GROUP BY item), """ + _WINDOW
 _BACKTEST = _FOLD_ALL + """, base AS (SELECT a.item, b.d AS actual, a.d AS last_sale, a.n::BIGINT AS n, a.s::BIGINT AS s, a.q::BIGINT AS q, a.d + 1 AS today
@@ -123,10 +132,14 @@ def cycle_intervals(spark, sf_dir):
     return s.select("item", F.when(F.size("w") > 0, F.array_join(F.transform("w", lambda x: x.cast("string")), ",")).alias("weeks"))
 
 
-@query(_PREDICT + """ SELECT 'X' AS retailer, 'item ' || item AS name, n AS cycle_count, last_sale, win_start, win_end, confidence, tier, round_even(mean, 2) AS mean_weeks, round_even(sd, 2) AS sd_weeks,
-  (CASE WHEN today - last_sale <= 7 THEN 'Currently half-price' ELSE 'Last seen half-price ' || CAST((today - last_sale) // 7 AS VARCHAR) || ' weeks ago' END) ||
+@query(_PREDICT + """ SELECT 'X' AS retailer, 'item ' || item AS name, n AS cycle_count, last_sale, win_start, win_end, confidence, tier,
+  round_even(mean, 2) AS mean_weeks, round_even(sd, 2) AS sd_weeks,
+  (CASE WHEN today - last_sale <= 7 THEN 'Currently half-price'
+  ELSE 'Last seen half-price ' || CAST((today - last_sale) // 7 AS VARCHAR) || ' weeks ago' END) ||
   CASE WHEN n = 1 THEN '. Only one historical cycle observed so far — predicted window ' || win_start || ' to ' || win_end || ' is a rough estimate.'
-       ELSE '. Half-price about every ' || CAST(CAST(round_even(mean, 0) AS BIGINT) AS VARCHAR) || ' weeks on average over ' || n || ' cycles (±' || printf('%.1f', round_even(sd * 10, 0) / 10) || ' weeks). Predicted next window: ' || win_start || ' to ' || win_end || '.' END AS rationale FROM pw""")
+       ELSE '. Half-price about every ' || CAST(CAST(round_even(mean,
+  0) AS BIGINT) AS VARCHAR) || ' weeks on average over ' || n || ' cycles (±' || printf('%.1f', round_even(sd * 10,
+  0) / 10) || ' weeks). Predicted next window: ' || win_start || ' to ' || win_end || '.' END AS rationale FROM pw""")
 def predictions(spark, sf_dir):
     p = cycles.predictions(_sales(spark, sf_dir), AS_OF)
     return p.select("retailer", "name", F.col("n").alias("cycle_count"), "last_sale", "win_start", "win_end", "confidence", "tier", (F.rint(F.col("mean") * 100) / 100).alias("mean_weeks"), (F.rint(F.col("sd") * 100) / 100).alias("sd_weeks"), "rationale")
@@ -182,11 +195,13 @@ _NAMES = "nm AS (SELECT p_partkey AS pid, CAST(round_even(p_retailprice * 100, 0
 _STOP = ", ".join(f"'{w}'" for w in scalars.STOPWORDS)
 _CAND = f"""WITH {_NAMES}, ok AS (SELECT * FROM ix WHERE token NOT IN ({_STOP}) AND NOT regexp_matches(token, '^[0-9]')),
 df AS (SELECT token, count(*) AS df FROM ok WHERE pid % 2 = 1 GROUP BY token),
-ra AS (SELECT pid AS a, p_size, token FROM (SELECT ok.*, row_number() OVER (PARTITION BY pid ORDER BY coalesce(df, 0), token) AS r FROM ok LEFT JOIN df USING (token) WHERE pid % 2 = 0) WHERE r <= 3),
+ra AS (SELECT pid AS a, p_size, token FROM (SELECT ok.*, row_number() OVER (PARTITION BY pid ORDER BY coalesce(df, 0), token) AS r
+  FROM ok LEFT JOIN df USING (token) WHERE pid % 2 = 0) WHERE r <= 3),
 cd AS (SELECT DISTINCT a, pid AS b FROM ra JOIN ok ON ok.token = ra.token AND ok.p_size = ra.p_size AND pid % 2 = 1)"""
 _WORDS = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
 _GATED = _CAND + f""", g AS (SELECT a, b, x.tokens AS xt, y.tokens AS yt, x.norm AS xn, y.norm AS yn, x.cents AS xc, y.cents AS yc,
-    list_intersect(x.tokens, {_WORDS(scalars.SOFT_VARIANTS)}) AS xs, list_intersect(y.tokens, {_WORDS(scalars.SOFT_VARIANTS)}) AS ys FROM cd JOIN it x ON x.pid = a JOIN it y ON y.pid = b),
+    list_intersect(x.tokens, {_WORDS(scalars.SOFT_VARIANTS)}) AS xs, list_intersect(y.tokens, {_WORDS(scalars.SOFT_VARIANTS)}) AS ys
+  FROM cd JOIN it x ON x.pid = a JOIN it y ON y.pid = b),
 j AS (SELECT a, b, len(list_intersect(xt, yt)) / len(list_distinct(list_concat(xt, yt))) AS jaccard FROM g
   WHERE (list_contains(yt, split_part(xn, ' ', 1)) OR list_contains(xt, split_part(yn, ' ', 1)))
     AND list_sort(list_intersect(xt, {_WORDS(scalars.STRICT_VARIANTS)})) = list_sort(list_intersect(yt, {_WORDS(scalars.STRICT_VARIANTS)}))
@@ -235,9 +250,11 @@ def _product_tables(spark, sf_dir):
     return old, new
 
 
-_PRODUCT_SQL = """c AS (SELECT p_partkey AS pid, CAST(p_partkey AS VARCHAR) AS sku, concat_ws(' ', replace(p_brand, '#', ''), p_name, p_type, p_size || 'g') AS name, p_type AS category, CAST(round_even(p_retailprice * 100, 0) AS BIGINT) AS cents FROM part),
+_PRODUCT_SQL = """c AS (SELECT p_partkey AS pid, CAST(p_partkey AS VARCHAR) AS sku, concat_ws(' ', replace(p_brand, '#', ''), p_name, p_type,
+  p_size || 'g') AS name, p_type AS category, CAST(round_even(p_retailprice * 100, 0) AS BIGINT) AS cents FROM part),
 o AS (SELECT sku, name, category, cents AS regular, CASE WHEN pid % 2 = 0 THEN 'img' || sku END AS image FROM c WHERE pid % 3 <> 0),
-n AS (SELECT sku, name, CASE WHEN pid % 10 = 0 THEN 'Uncategorised' ELSE 'New ' || category END AS category, CASE WHEN pid % 4 = 0 THEN cents + 100 ELSE cents - 100 END AS regular, CASE WHEN pid % 5 = 0 THEN 'img' || sku END AS image FROM c WHERE pid % 2 = 0)"""
+n AS (SELECT sku, name, CASE WHEN pid % 10 = 0 THEN 'Uncategorised' ELSE 'New ' || category END AS category, CASE WHEN pid % 4 = 0 THEN cents + 100
+  ELSE cents - 100 END AS regular, CASE WHEN pid % 5 = 0 THEN 'img' || sku END AS image FROM c WHERE pid % 2 = 0)"""
 
 
 @query(f"WITH {_PRODUCT_SQL} SELECT coalesce(o.sku, n.sku) AS sku, coalesce(n.name, o.name) AS name, CASE WHEN o.sku IS NULL OR (n.category IS NOT NULL AND n.category <> 'Uncategorised') THEN n.category ELSE o.category END AS category, greatest(o.regular, n.regular) AS regular_price_cents, coalesce(o.image, n.image) AS image_url FROM o FULL JOIN n ON o.sku = n.sku")
@@ -258,7 +275,8 @@ def _stored(spark, sf_dir):
     return s.where("product_id % 6 <> 3"), new
 
 
-_STORED = _PRICING + """, a AS (SELECT item AS product_id, retailer, week_start, sale_cents, CASE WHEN item % 2 = 0 THEN 'dump' ELSE 'live' END AS source FROM sp),
+_STORED = _PRICING + """, a AS (SELECT item AS product_id, retailer, week_start, sale_cents, CASE WHEN item % 2 = 0 THEN 'dump'
+  ELSE 'live' END AS source FROM sp),
 s AS (SELECT * FROM a WHERE product_id % 6 <> 3), n AS (SELECT * REPLACE (sale_cents + 1 AS sale_cents, 'dump' AS source) FROM a WHERE product_id % 3 = 0) """
 
 
@@ -294,9 +312,11 @@ def purge_preview(spark, sf_dir):
     return rows[0].union(rows[1])
 
 
-_DIGEST = _PRICING + """, hs AS (SELECT item AS product_id, max(discount_pct) AS pct, 'Product number ' || item || ' in its extra long named family pack' AS name FROM sp WHERE is_half_price GROUP BY item),
+_DIGEST = _PRICING + """, hs AS (SELECT item AS product_id, max(discount_pct) AS pct,
+  'Product number ' || item || ' in its extra long named family pack' AS name FROM sp WHERE is_half_price GROUP BY item),
 w AS (SELECT DISTINCT user_id AS device_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS product_id FROM events WHERE event_type = 'view'),
-m AS (SELECT device_id, product_id, pct, name, row_number() OVER (PARTITION BY device_id ORDER BY pct DESC, name, product_id) AS r FROM w JOIN hs USING (product_id) WHERE device_id NOT IN (SELECT user_id FROM events WHERE event_type = 'signup' AND user_id % 4 = 0))"""
+m AS (SELECT device_id, product_id, pct, name, row_number() OVER (PARTITION BY device_id ORDER BY pct DESC, name, product_id) AS r
+  FROM w JOIN hs USING (product_id) WHERE device_id NOT IN (SELECT user_id FROM events WHERE event_type = 'signup' AND user_id % 4 = 0))"""
 
 
 @query(_DIGEST + " SELECT device_id, count(*) AS n, CASE WHEN count(*) = 1 THEN '1 of your items is' ELSE count(*) || ' of your items are' END || ' half-price this week: ' || string_agg(CASE WHEN length(name) > 40 THEN left(name, 39) || '…' ELSE name END, ', ' ORDER BY r) FILTER (r <= 3) || CASE WHEN count(*) > 3 THEN ' + ' || (count(*) - 3) || ' more' ELSE '' END || '.' AS body FROM m GROUP BY device_id")
@@ -309,11 +329,18 @@ def watchlist_digest(spark, sf_dir):
     return d.select("device_id", F.size("names").cast("bigint").alias("n"), "body")
 
 
-@query(f"""WITH {_SPLIT}, {_EVENTS}, {_PRODUCTS}, t AS (SELECT item AS id, pct >= 40 AS t_half, current AS t_cents FROM pr WHERE retailer = 'A' AND pct IS NOT NULL), o AS (SELECT item AS oid, is_half AS o_half, current AS o_cents FROM pr WHERE retailer = 'B'),
+@query(f"""WITH {_SPLIT}, {_EVENTS}, {_PRODUCTS}, t AS (SELECT item AS id, pct >= 40 AS t_half, current AS t_cents
+  FROM pr WHERE retailer = 'A' AND pct IS NOT NULL), o AS (SELECT item AS oid, is_half AS o_half, current AS o_cents FROM pr WHERE retailer = 'B'),
 j AS (SELECT * FROM t LEFT JOIN o ON id = oid),
-c AS (SELECT CAST(count(*) FILTER (t_half) AS BIGINT) AS catalogue_half, CAST(count(*) FILTER (t_half AND oid IS NOT NULL) AS BIGINT) AS matched, CAST(count(*) FILTER (t_half AND o_half) AS BIGINT) AS flagged, CAST(count(*) FILTER (t_half AND NOT o_half) AS BIGINT) AS missed, CAST(count(*) FILTER (t_half AND oid IS NULL) AS BIGINT) AS not_stocked,
-  CAST(count(*) FILTER (NOT t_half AND oid IS NOT NULL) AS BIGINT) AS non_half, CAST(count(*) FILTER (NOT t_half AND o_half) AS BIGINT) AS false_pos, CAST(count(*) FILTER (t_half AND o_half AND t_cents <> 0 AND o_cents <> 0) AS BIGINT) AS priced, CAST(count(*) FILTER (t_half AND o_half AND t_cents <> 0 AND o_cents = t_cents) AS BIGINT) AS exact FROM j)
-SELECT *, CASE WHEN matched > 0 THEN round_even(1000e0 * flagged / matched, 0) / 10 END AS recall_pct, CASE WHEN non_half > 0 THEN round_even(1000e0 * (non_half - false_pos) / non_half, 0) / 10 END AS precision_pct, CASE WHEN priced > 0 THEN round_even(1000e0 * exact / priced, 0) / 10 END AS price_pct FROM c""")
+c AS (SELECT CAST(count(*) FILTER (t_half) AS BIGINT) AS catalogue_half, CAST(count(*) FILTER (t_half
+  AND oid IS NOT NULL) AS BIGINT) AS matched, CAST(count(*) FILTER (t_half AND o_half) AS BIGINT) AS flagged, CAST(count(*) FILTER (t_half
+  AND NOT o_half) AS BIGINT) AS missed, CAST(count(*) FILTER (t_half AND oid IS NULL) AS BIGINT) AS not_stocked,
+  CAST(count(*) FILTER (NOT t_half AND oid IS NOT NULL) AS BIGINT) AS non_half, CAST(count(*) FILTER (NOT t_half
+  AND o_half) AS BIGINT) AS false_pos, CAST(count(*) FILTER (t_half AND o_half AND t_cents <> 0
+  AND o_cents <> 0) AS BIGINT) AS priced, CAST(count(*) FILTER (t_half AND o_half AND t_cents <> 0 AND o_cents = t_cents) AS BIGINT) AS exact FROM j)
+SELECT *, CASE WHEN matched > 0 THEN round_even(1000e0 * flagged / matched, 0) / 10 END AS recall_pct, CASE
+  WHEN non_half > 0 THEN round_even(1000e0 * (non_half - false_pos) / non_half, 0) / 10 END AS precision_pct, CASE
+  WHEN priced > 0 THEN round_even(1000e0 * exact / priced, 0) / 10 END AS price_pct FROM c""")
 def audit_metrics(spark, sf_dir):
     p = _products(spark, sf_dir)
     truth = p.where("retailer = 'A' AND pct IS NOT NULL").select(F.col("item").alias("id"), (F.col("pct") >= 40).alias("is_half"), F.col("current").alias("sale_cents"))
@@ -343,11 +370,17 @@ def _pick(k, word, used):
 
 
 # A bundle with two picks or more keeps them; with one it gives it back.
-_PLAN = f"""WITH nm AS (SELECT p_partkey AS pid, concat_ws(' ', replace(p_brand, '#', ''), p_name, p_type, p_size || 'g') AS name, CAST(round_even(p_retailprice * 100, 0) AS BIGINT) AS cents FROM part),
-{_pick(1, 'red', [])}, {_pick(2, 'blue', ['s1'])}, b1 AS (SELECT 0 AS bundle, 'Red and blue' AS title, 0 AS slot, pid FROM s1 UNION ALL SELECT 0, 'Red and blue', 1, pid FROM s2), k1 AS (SELECT * FROM b1 WHERE (SELECT count(*) FROM b1) >= 2),
-{_pick(3, 'hot', ['k1'])}, {_pick(4, 'green', ['k1', 's3'])}, {_pick(5, 'steel', ['k1', 's3', 's4'])}, b2 AS (SELECT 1 AS bundle, 'Hot and green' AS title, 0 AS slot, pid FROM s3 UNION ALL SELECT 1, 'Hot and green', 1, pid FROM s4 UNION ALL SELECT 1, 'Hot and green', 2, pid FROM s5), k2 AS (SELECT * FROM b2 WHERE (SELECT count(*) FROM b2) >= 2),
-{_pick(6, 'cold', ['k1', 'k2'])}, {_pick(7, 'ring', ['k1', 'k2', 's6'])}, b3 AS (SELECT 2 AS bundle, 'Cold ring' AS title, 0 AS slot, pid FROM s6 UNION ALL SELECT 2, 'Cold ring', 1, pid FROM s7)
-SELECT bundle, title, slot, pid AS product_id, '1' AS label FROM (SELECT * FROM k1 UNION ALL SELECT * FROM k2 UNION ALL SELECT * FROM b3 WHERE (SELECT count(*) FROM b3) >= 2)"""
+_PLAN = f"""WITH nm AS (SELECT p_partkey AS pid, concat_ws(' ', replace(p_brand, '#', ''), p_name, p_type, p_size || 'g') AS name,
+  CAST(round_even(p_retailprice * 100, 0) AS BIGINT) AS cents FROM part),
+{_pick(1, 'red', [])}, {_pick(2, 'blue', ['s1'])}, b1 AS (SELECT 0 AS bundle, 'Red and blue' AS title, 0 AS slot, pid FROM s1
+  UNION ALL SELECT 0, 'Red and blue', 1, pid FROM s2), k1 AS (SELECT * FROM b1 WHERE (SELECT count(*) FROM b1) >= 2),
+{_pick(3, 'hot', ['k1'])}, {_pick(4, 'green', ['k1', 's3'])}, {_pick(5, 'steel', ['k1', 's3', 's4'])}, b2 AS (SELECT 1 AS bundle,
+  'Hot and green' AS title, 0 AS slot, pid FROM s3 UNION ALL SELECT 1, 'Hot and green', 1, pid FROM s4
+  UNION ALL SELECT 1, 'Hot and green', 2, pid FROM s5), k2 AS (SELECT * FROM b2 WHERE (SELECT count(*) FROM b2) >= 2),
+{_pick(6, 'cold', ['k1', 'k2'])}, {_pick(7, 'ring', ['k1', 'k2', 's6'])}, b3 AS (SELECT 2 AS bundle, 'Cold ring' AS title, 0 AS slot, pid
+  FROM s6 UNION ALL SELECT 2, 'Cold ring', 1, pid FROM s7)
+SELECT bundle, title, slot, pid AS product_id, '1' AS label FROM (SELECT * FROM k1 UNION ALL SELECT * FROM k2
+  UNION ALL SELECT * FROM b3 WHERE (SELECT count(*) FROM b3) >= 2)"""
 
 
 @query(_PLAN)
@@ -396,7 +429,8 @@ def url_parse(spark, sf_dir):
 
 @query("""WITH nm AS (SELECT p_partkey AS pid, lower(concat_ws(' ', replace(p_brand, '#', ''), p_name, p_type, p_size || 'g')) AS name FROM part),
 t AS (SELECT pid, list_distinct(string_split(name, ' ')) AS w, split_part(name, ' ', 1) AS lead FROM nm),
-x AS (SELECT pid, lead, len(w) AS n, unnest(w) AS word FROM t WHERE pid % 2 = 0), y AS (SELECT pid AS entry, len(w) AS m, unnest(w) AS word FROM t WHERE pid % 2 = 1),
+x AS (SELECT pid, lead, len(w) AS n, unnest(w) AS word FROM t WHERE pid % 2 = 0), y AS (SELECT pid AS entry, len(w) AS m, unnest(w) AS word
+  FROM t WHERE pid % 2 = 1),
 k AS (SELECT pid, entry, n, m, count(*) AS k FROM x JOIN y USING (word) GROUP BY ALL HAVING count(*) / n >= 0.6),
 a AS (SELECT k.* FROM k JOIN t p ON p.pid = k.pid JOIN t e ON e.pid = k.entry WHERE list_contains(p.w, e.lead) OR list_contains(e.w, p.lead))
 SELECT pid, entry, k / n AS overlap FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY k DESC, abs(m - n), entry) AS r FROM a) WHERE r = 1""")

@@ -22,8 +22,10 @@ def _offers(spark, sf_dir) -> DataFrame:
     return p.withColumn("regular", F.expr(_CENTS)).withColumn("sale", F.expr(f"CAST(rint(p_retailprice * 100 * {_SHARE}) AS BIGINT)"))
 
 
-@query("""WITH o AS (SELECT o_custkey, CASE WHEN o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0 AND o_totalprice > 0 THEN CAST(round_even(o_totalprice * 100, 0) AS BIGINT) END AS cents, CAST(o_orderdate AS DATE) AS d FROM orders)
-SELECT CAST(o_custkey AS VARCHAR) AS id, 'Cust ' || o_custkey AS name, count(cents) AS n, CAST(sum(cents) AS BIGINT) AS total, min(d) FILTER (cents IS NOT NULL) AS first, max(d) FILTER (cents IS NOT NULL) AS last
+@query("""WITH o AS (SELECT o_custkey, CASE WHEN o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0
+  AND o_totalprice > 0 THEN CAST(round_even(o_totalprice * 100, 0) AS BIGINT) END AS cents, CAST(o_orderdate AS DATE) AS d FROM orders)
+SELECT CAST(o_custkey AS VARCHAR) AS id, 'Cust ' || o_custkey AS name, count(cents) AS n, CAST(sum(cents) AS BIGINT) AS total,
+  min(d) FILTER (cents IS NOT NULL) AS first, max(d) FILTER (cents IS NOT NULL) AS last
 FROM o WHERE o_custkey % 11 <> 0 AND o_custkey % 7 <> 0 GROUP BY o_custkey HAVING count(cents) > 0""")
 def dump_items(spark, sf_dir):
     """Dumps of customers as items and their orders as change points, some malformed."""
@@ -47,7 +49,8 @@ def category_dimension(spark, sf_dir):
 
 
 @query(f"""WITH {_SALES_SQL}
-SELECT p_name || ' ' || p_partkey AS name, CASE WHEN p_partkey % 5 = 0 THEN 'Uncategorised' ELSE p_type END AS category, regular AS regular_cents, sale AS sale_cents,
+SELECT p_name || ' ' || p_partkey AS name, CASE WHEN p_partkey % 5 = 0 THEN 'Uncategorised'
+  ELSE p_type END AS category, regular AS regular_cents, sale AS sale_cents,
        pct AS discount_pct, pct >= 50 AS is_half_price, CASE p_partkey % 3 WHEN 0 THEN 'L' || p_partkey WHEN 1 THEN 'S' || p_partkey END AS image_url,
        CASE WHEN p_partkey % 29 <> 0 THEN 'woolworths:' || p_partkey END AS sku FROM s WHERE p_partkey % 19 <> 0 AND p_partkey % 31 <> 0""")
 def browse_rows(spark, sf_dir):
@@ -64,7 +67,9 @@ def browse_rows(spark, sf_dir):
     return parsers.browse_specials(bundle.groupBy("page").agg(F.to_json(F.struct(F.collect_list("b").alias("Bundles"))).alias("body")))
 
 
-_RUNS_SQL = """WITH o AS (SELECT o_custkey % 200 AS run, o_orderkey % 10 AS page, row_number() OVER (PARTITION BY o_custkey % 200, o_orderkey % 10 ORDER BY o_orderkey) - 1 AS pos, CASE WHEN o_orderkey % 3 = 0 THEN 'ITEM ' ELSE 'Item ' END || (o_orderkey // 10 % 37) AS name FROM orders),
+_RUNS_SQL = """WITH o AS (SELECT o_custkey % 200 AS run, o_orderkey % 10 AS page, row_number() OVER (PARTITION BY o_custkey % 200,
+  o_orderkey % 10 ORDER BY o_orderkey) - 1 AS pos, CASE WHEN o_orderkey % 3 = 0 THEN 'ITEM ' ELSE 'Item ' END || (o_orderkey // 10 % 37) AS name
+  FROM orders),
 g AS (SELECT DISTINCT run, page, (run % 5 = 0 AND page = 6) AS failed, (run % 7 = 3 AND page = 4) AS empty FROM o),
 b AS (SELECT run, min(page) AS stop, arg_min(failed, page) AS failed FROM g WHERE failed OR empty GROUP BY run),
 e AS (SELECT o.*, CASE o.run % 4 WHEN 0 THEN 20 WHEN 1 THEN NULL ELSE 35 END AS total FROM o LEFT JOIN b USING (run) WHERE stop IS NULL OR page < stop),
@@ -88,7 +93,8 @@ def paged_items(spark, sf_dir):
 
 
 @query(_RUNS_SQL + """, h AS (SELECT run, count(*) AS items, max(total) AS total FROM k WHERE total IS NULL OR had < total GROUP BY run)
-SELECT g.run, coalesce(items, 0) AS items, CASE WHEN coalesce(b.failed, false) AND (h.total IS NULL OR coalesce(items, 0) < h.total) THEN CASE WHEN items > 0 THEN 'partial' ELSE 'failed' END WHEN items > 0 THEN 'success' ELSE 'no_data' END AS status
+SELECT g.run, coalesce(items, 0) AS items, CASE WHEN coalesce(b.failed, false) AND (h.total IS NULL OR coalesce(items, 0) < h.total) THEN CASE
+  WHEN items > 0 THEN 'partial' ELSE 'failed' END WHEN items > 0 THEN 'success' ELSE 'no_data' END AS status
 FROM (SELECT DISTINCT run FROM g) g LEFT JOIN b USING (run) LEFT JOIN h USING (run)""")
 def paged_runs(spark, sf_dir):
     return parsers.collect_pages(_paged(spark, sf_dir))[1]
@@ -104,7 +110,8 @@ def resumed_pages(spark, sf_dir):
 SELECT CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN lower(p_brand) || ' ' ELSE p_brand || ' ' END || p_name || ' ' || p_partkey AS name,
        regular AS regular_cents, sale AS sale_cents, CASE WHEN p_partkey % 6 = 1 THEN 33 ELSE pct END AS discount_pct,
        CASE WHEN p_partkey % 6 = 1 THEN false ELSE pct >= 50 END AS is_half_price,
-       'https://img' || CASE WHEN p_partkey % 4 = 1 THEN '/u/' || p_partkey ELSE '/' || left(CAST(p_partkey AS VARCHAR), 1) || '/' || p_partkey || '.jpg' END AS image_url,
+       'https://img' || CASE
+  WHEN p_partkey % 4 = 1 THEN '/u/' || p_partkey ELSE '/' || left(CAST(p_partkey AS VARCHAR), 1) || '/' || p_partkey || '.jpg' END AS image_url,
        CAST(p_partkey AS VARCHAR) AS sku
 FROM s WHERE p_partkey % 10 <> 7""")
 def embedded_listing(spark, sf_dir):
@@ -129,8 +136,10 @@ def embedded_listing(spark, sf_dir):
     return parsers.listing_specials(found, cdn="https://img")
 
 
-@query("""SELECT n_nationkey AS k, CASE WHEN n_nationkey % 5 = 0 THEN 'https://x.org/node/1' || n_nationkey WHEN n_nationkey % 5 = 1 THEN 'https://site.org/node/2' || n_nationkey WHEN n_nationkey % 5 = 2 THEN 'https://site.org/node/3' || n_nationkey END AS link,
-CASE WHEN n_nationkey % 3 = 0 THEN DATE '2001-06-13' ELSE DATE '2001-06-27' END AS week_start, CASE WHEN n_nationkey % 3 = 0 THEN DATE '2001-06-19' ELSE DATE '2001-07-03' END AS week_end FROM nation""")
+@query("""SELECT n_nationkey AS k, CASE WHEN n_nationkey % 5 = 0 THEN 'https://x.org/node/1' || n_nationkey
+  WHEN n_nationkey % 5 = 1 THEN 'https://site.org/node/2' || n_nationkey WHEN n_nationkey % 5 = 2 THEN 'https://site.org/node/3' || n_nationkey END AS link,
+CASE WHEN n_nationkey % 3 = 0 THEN DATE '2001-06-13' ELSE DATE '2001-06-27' END AS week_start, CASE WHEN n_nationkey % 3 = 0 THEN DATE '2001-06-19'
+  ELSE DATE '2001-07-03' END AS week_end FROM nation""")
 def report_posts(spark, sf_dir):
     """The report's link on a user page, else on the search page, and the week that its heading names."""
     n = table(spark, sf_dir, "nation")
@@ -149,7 +158,8 @@ def report_posts(spark, sf_dir):
 _SHEETS_SQL = f"""p AS (SELECT *, {_CENTS_SQL} AS regular, CAST(round_even(p_retailprice * 100 * {_SHARE_SQL}, 0) AS BIGINT) AS sale FROM part),
 l AS (SELECT *, 's' || p_partkey // 700 AS file, row_number() OVER (PARTITION BY p_partkey // 700 ORDER BY p_partkey) + 1 AS line,
       CASE p_partkey % 5 WHEN 0 THEN 'coles' WHEN 1 THEN 'woolworths' WHEN 2 THEN 'woolworths' WHEN 4 THEN 'coles' END AS retailer FROM p),
-g AS (SELECT * FROM l WHERE p_partkey // 700 % 4 <> 3 AND retailer IS NOT NULL AND p_partkey % 9 <> 0 AND p_partkey % 8 <> 1 AND p_partkey % 19 <> 0 AND sale < regular)"""
+g AS (SELECT * FROM l WHERE p_partkey // 700 % 4 <> 3 AND retailer IS NOT NULL AND p_partkey % 9 <> 0 AND p_partkey % 8 <> 1 AND p_partkey % 19 <> 0
+  AND sale < regular)"""
 
 
 def _sheets(spark, sf_dir) -> DataFrame:
@@ -191,10 +201,13 @@ def sheet_status(spark, sf_dir):
     return tables.sheet_runs(lines, tables.sheet_specials(lines))
 
 
-@query(f"""WITH p AS (SELECT *, {_CENTS_SQL} AS regular, CAST(round_even(p_retailprice * 100 * {_SHARE_SQL}, 0) AS BIGINT) AS sale, p_partkey // 300 AS own FROM part),
+@query(f"""WITH p AS (SELECT *, {_CENTS_SQL} AS regular, CAST(round_even(p_retailprice * 100 * {_SHARE_SQL}, 0) AS BIGINT) AS sale,
+  p_partkey // 300 AS own FROM part),
 q AS (SELECT *, p_partkey % 4 = 1 AND own > 0 AS early FROM p WHERE p_partkey % 7 <> 0 AND p_partkey % 11 <> 0 AND p_partkey % 13 <> 0 AND p_partkey % 17 <> 0)
-SELECT CASE WHEN early THEN own - 1 ELSE own END AS page, CASE WHEN p_partkey % 2 = 0 THEN 'coles' ELSE 'woolworths' END AS retailer, p_name || ' & ' || p_partkey AS name,
-       CASE WHEN early THEN 'Group 8' WHEN p_size % 5 = 0 THEN 'Uncategorised' ELSE 'Group ' || p_size % 5 END AS category, regular AS regular_cents, sale AS sale_cents,
+SELECT CASE WHEN early THEN own - 1 ELSE own END AS page, CASE WHEN p_partkey % 2 = 0 THEN 'coles'
+  ELSE 'woolworths' END AS retailer, p_name || ' & ' || p_partkey AS name,
+       CASE WHEN early THEN 'Group 8'
+  WHEN p_size % 5 = 0 THEN 'Uncategorised' ELSE 'Group ' || p_size % 5 END AS category, regular AS regular_cents, sale AS sale_cents,
        CAST(p_partkey % 90 AS INT) AS discount_pct, p_partkey % 90 >= 50 AS is_half_price,
        CASE p_partkey % 3 WHEN 0 THEN '8 weeks ago @ CL' WHEN 1 THEN '—' ELSE '' END AS last_raw, CASE WHEN p_partkey % 3 = 0 THEN 8 END AS last_weeks,
        CASE WHEN p_partkey % 3 = 0 THEN 'coles' END AS last_retailer FROM q""")
@@ -219,7 +232,8 @@ def html_table_rows(spark, sf_dir):
     return tables.table_specials(pages).drop("pos")
 
 
-@query(f"""WITH {_SALES_SQL}, x AS (SELECT p_partkey AS k, p_name || ' & ' || p_partkey AS name, p_partkey % 6 = 0 AS half, sale, regular FROM p WHERE p_partkey % 23 <> 0)
+@query(f"""WITH {_SALES_SQL}, x AS (SELECT p_partkey AS k, p_name || ' & ' || p_partkey AS name, p_partkey % 6 = 0 AS half, sale, regular
+  FROM p WHERE p_partkey % 23 <> 0)
 SELECT CAST(k AS VARCHAR) AS id, name, half AS is_half, sale AS sale_cents, CASE WHEN k % 4 < 3 THEN regular END AS was_cents,
        left(CASE WHEN half THEN '1/2 Price — ' ELSE 'Special: ' END || name || ' of the week, while stocks last everywhere', 40) AS discount_desc FROM x""")
 def callback_catalogue(spark, sf_dir):
@@ -255,7 +269,8 @@ def running_catalogues(spark, sf_dir):
 
 
 @query("""SELECT 'coles' AS retailer, CAST(p_partkey AS VARCHAR) AS id, replace(p_name, ' ', '-') AS slug FROM part WHERE p_partkey % 2 = 0
-UNION ALL SELECT 'woolworths', CAST(p_partkey AS VARCHAR), replace(p_name, ' ', '-') FROM part WHERE p_partkey % 2 = 1 UNION ALL SELECT 'index', '', 'https://x/Product-' || n_nationkey || '.xml' FROM nation WHERE n_nationkey % 2 = 0""")
+UNION ALL SELECT 'woolworths', CAST(p_partkey AS VARCHAR), replace(p_name, ' ', '-') FROM part WHERE p_partkey % 2 = 1
+  UNION ALL SELECT 'index', '', 'https://x/Product-' || n_nationkey || '.xml' FROM nation WHERE n_nationkey % 2 = 0""")
 def sitemap_rows(spark, sf_dir):
     """Product addresses of two layouts, and the product sitemaps of an index."""
     p, n = table(spark, sf_dir, "part"), table(spark, sf_dir, "nation")
@@ -292,8 +307,10 @@ def search_tiles(spark, sf_dir):
     return _searched(spark, sf_dir)[1]
 
 
-@query(_FOUND_SQL + """, t AS (SELECT pid, pos, r.name, list_distinct(list_filter(string_split(lower(n.name), ' '), lambda w: length(w) > 1)) AS q, list_distinct(list_filter(string_split(lower(r.name), ' '), lambda w: length(w) > 1)) AS o FROM r JOIN n ON n.k = pid),
-s AS (SELECT *, len(list_intersect(q, o)) / len(q) AS overlap FROM t) SELECT pid, CAST(pos AS INT) AS pos, name, overlap FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY overlap DESC, pos) AS r FROM s WHERE overlap >= 0.6) WHERE r = 1""")
+@query(_FOUND_SQL + """, t AS (SELECT pid, pos, r.name, list_distinct(list_filter(string_split(lower(n.name), ' '), lambda w: length(w) > 1)) AS q,
+  list_distinct(list_filter(string_split(lower(r.name), ' '), lambda w: length(w) > 1)) AS o FROM r JOIN n ON n.k = pid),
+s AS (SELECT *, len(list_intersect(q, o)) / len(q) AS overlap FROM t) SELECT pid, CAST(pos AS INT) AS pos, name, overlap
+  FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY overlap DESC, pos) AS r FROM s WHERE overlap >= 0.6) WHERE r = 1""")
 def best_search_result(spark, sf_dir):
     asked, found = _searched(spark, sf_dir)
     return writes.resolved_names(asked, found, scalars.search_tokens("name"), scalars.search_tokens("name"))
@@ -308,8 +325,10 @@ def newest_scrape(spark, sf_dir):
 
 
 
-@query("""SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 < 2 THEN CAST(round_even(o_totalprice * 100, 0) AS BIGINT) END AS cents, CASE WHEN o_orderkey % 4 <> 3 THEN CAST(round_even(o_totalprice * 100, 0) AS BIGINT) END AS amount,
-CAST(o_custkey % 100 AS INT) AS percent, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey % 30 AS INT) END AS weeks, CASE WHEN o_orderkey % 3 = 0 THEN 'woolworths' END AS hinted,
+@query("""SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 < 2 THEN CAST(round_even(o_totalprice * 100, 0) AS BIGINT) END AS cents, CASE
+  WHEN o_orderkey % 4 <> 3 THEN CAST(round_even(o_totalprice * 100, 0) AS BIGINT) END AS amount,
+CAST(o_custkey % 100 AS INT) AS percent, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey % 30 AS INT) END AS weeks, CASE
+  WHEN o_orderkey % 3 = 0 THEN 'woolworths' END AS hinted,
 CASE o_orderkey % 6 WHEN 0 THEN 'coles' WHEN 1 THEN 'woolworths' WHEN 2 THEN 'woolworths' WHEN 5 THEN 'coles' END AS retailer,
 CASE o_orderkey % 6 WHEN 4 THEN 'woolworths' WHEN 5 THEN 'coles' END AS exact_retailer FROM orders""")
 def money_cells(spark, sf_dir):
@@ -328,9 +347,12 @@ def money_cells(spark, sf_dir):
     return x.select("k", scalars.cents("price").alias("cents"), scalars.dollars_to_cents("dollars").alias("amount"), scalars.percent("pct", strict=True).alias("percent"), h["weeks"].alias("weeks"), h["retailer"].alias("hinted"), scalars.retailer_cell("shop").alias("retailer"), scalars.retailer_cell("shop", exact=True).alias("exact_retailer"))
 
 
-@query("""SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_partkey AS VARCHAR) ELSE 'stockup:' || lower(p_name) || ' big' END AS sku, CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN p_name || ' 500g' WHEN 2 THEN p_name ELSE p_name || ' pack' END AS query,
-CASE WHEN p_partkey % 2 = 0 THEN 'https://b/large/' || p_partkey || '.jpg' ELSE 'https://a/' || left(CAST(p_partkey AS VARCHAR), 1) || '/' || p_partkey || '.jpg' END AS image,
-CASE p_partkey % 4 WHEN 0 THEN 'http://y/z' WHEN 1 THEN 'https://y/z' WHEN 2 THEN 'https://x.org/z' ELSE 'https://x.org/z' END AS url, 'the cafe ' || replace(p_name, ' ', ' and ') AS folded FROM part""")
+@query("""SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_partkey AS VARCHAR) ELSE 'stockup:' || lower(p_name) || ' big' END AS sku,
+  CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN p_name || ' 500g' WHEN 2 THEN p_name ELSE p_name || ' pack' END AS query,
+CASE WHEN p_partkey % 2 = 0 THEN 'https://b/large/' || p_partkey || '.jpg'
+  ELSE 'https://a/' || left(CAST(p_partkey AS VARCHAR), 1) || '/' || p_partkey || '.jpg' END AS image,
+CASE p_partkey % 4 WHEN 0 THEN 'http://y/z' WHEN 1 THEN 'https://y/z' WHEN 2 THEN 'https://x.org/z'
+  ELSE 'https://x.org/z' END AS url, 'the cafe ' || replace(p_name, ' ', ' and ') AS folded FROM part""")
 def text_keys(spark, sf_dir):
     """Stock keys, cleaned queries, image addresses, absolute addresses and folded names."""
     p = table(spark, sf_dir, "part")
@@ -354,8 +376,10 @@ def name_words(spark, sf_dir):
     return p.select("k", F.array_join(F.array_sort(scalars.search_tokens("n")), " ").alias("folded"), F.array_join(F.array_sort(scalars.search_tokens("n", folded=False)), " ").alias("plain"))
 
 
-_PRODUCTS_SQL = """pr AS (SELECT p_partkey AS product_id, CASE WHEN p_partkey % 2 = 0 THEN 'A' ELSE 'B' END AS retailer, p_name AS name, CASE WHEN p_size % 4 <> 0 THEN p_type END AS category FROM part),
-st AS (SELECT l_partkey AS product_id, CAST(l_shipdate AS DATE) AS week_start, count(*) AS sale_cents, bool_or(l_discount >= 0.05) AS is_half_price FROM lineitem WHERE l_partkey % 3 = 0 GROUP BY ALL)"""
+_PRODUCTS_SQL = """pr AS (SELECT p_partkey AS product_id, CASE WHEN p_partkey % 2 = 0 THEN 'A' ELSE 'B' END AS retailer, p_name AS name, CASE
+  WHEN p_size % 4 <> 0 THEN p_type END AS category FROM part),
+st AS (SELECT l_partkey AS product_id, CAST(l_shipdate AS DATE) AS week_start, count(*) AS sale_cents, bool_or(l_discount >= 0.05) AS is_half_price
+  FROM lineitem WHERE l_partkey % 3 = 0 GROUP BY ALL)"""
 
 
 @query(f"WITH {_PRODUCTS_SQL} SELECT retailer, name, coalesce(category, 'Uncategorised') AS category, CAST(2 * sale_cents AS BIGINT) AS regular_cents, sale_cents, is_half_price, week_start FROM st JOIN pr USING (product_id)")
@@ -379,8 +403,11 @@ def top_matches(spark, sf_dir):
     return matching.top_matches(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("a"), F.col("o_orderkey").alias("b"), F.col("o_totalprice").alias("score")))
 
 
-@query(f"""WITH x AS (SELECT p_partkey AS k, p_partkey % 4 = 0 AS market, {_CENTS_SQL} AS cents FROM part) SELECT 'products' AS name, CAST(count(*) FILTER (NOT market) AS BIGINT) AS n FROM x UNION ALL SELECT 'half_now', CAST(count(*) FILTER (NOT market AND k % 3 = 1) AS BIGINT) FROM x
-UNION ALL SELECT 'half_ever', CAST(count(*) FILTER (NOT market AND k % 3 > 0) AS BIGINT) FROM x UNION ALL SELECT 'marketplace', CAST(count(*) FILTER (market) AS BIGINT) FROM x""")
+@query(f"""WITH x AS (SELECT p_partkey AS k, p_partkey % 4 = 0 AS market, {_CENTS_SQL} AS cents
+  FROM part) SELECT 'products' AS name, CAST(count(*) FILTER (NOT market) AS BIGINT) AS n FROM x
+  UNION ALL SELECT 'half_now', CAST(count(*) FILTER (NOT market AND k % 3 = 1) AS BIGINT) FROM x
+UNION ALL SELECT 'half_ever', CAST(count(*) FILTER (NOT market AND k % 3 > 0) AS BIGINT) FROM x
+  UNION ALL SELECT 'marketplace', CAST(count(*) FILTER (market) AS BIGINT) FROM x""")
 def parse_summary(spark, sf_dir):
     """Counts of one parse: a third of the parts half price now, a third long ago, a third never."""
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.expr(_CENTS).alias("cents"))
@@ -393,7 +420,8 @@ def parse_summary(spark, sf_dir):
 
 _FORMS_SQL = """WITH p AS (SELECT p_partkey AS k, p_size AS n, p_partkey % 40 + 1 AS m FROM part),
 q AS (SELECT k, n, m, CASE k % 7 WHEN 0 THEN n * m WHEN 1 THEN m * 1000 WHEN 2 THEN m WHEN 3 THEN m * 250 WHEN 4 THEN n * 500 + m END AS g,
-      CASE k % 7 WHEN 2 THEN n WHEN 5 THEN n * m * 1000 + 1500 WHEN 3 THEN 330 * n END AS ml, CASE k % 7 WHEN 6 THEN CAST(n AS VARCHAR) WHEN 4 THEN '4' ELSE '' END AS counts FROM p)"""
+      CASE k % 7 WHEN 2 THEN n WHEN 5 THEN n * m * 1000 + 1500 WHEN 3 THEN 330 * n END AS ml, CASE k % 7 WHEN 6 THEN CAST(n AS VARCHAR)
+  WHEN 4 THEN '4' ELSE '' END AS counts FROM p)"""
 
 
 @query(_FORMS_SQL + """ SELECT k, concat_ws(' ', CASE WHEN g > 0 THEN 'g:' || g || '.0' END, CASE WHEN ml > 0 THEN 'ml:' || ml || '.0' END) AS quantity, counts FROM q""")

@@ -14,11 +14,15 @@ WEEK = "1998-07-01"
 
 # Fixed values of the fixtures: products with made-up, long and plain stock numbers under labels of which some are denied.
 _PRODUCTS_SQL = """pr AS (SELECT p_partkey AS product_id, CASE WHEN p_partkey % 2 = 0 THEN 'woolworths' ELSE 'coles' END AS retailer,
-       CASE WHEN p_partkey % 10 = 3 THEN 'stockup:' || p_name ELSE CASE WHEN p_partkey % 2 = 0 THEN 'woolworths:' ELSE 'coles:' END || CASE WHEN p_partkey % 5 = 0 THEN '1234' ELSE '' END || (p_partkey + 1000) END AS sku,
+       CASE WHEN p_partkey % 10 = 3 THEN 'stockup:' || p_name ELSE CASE WHEN p_partkey % 2 = 0 THEN 'woolworths:' ELSE 'coles:' END || CASE
+  WHEN p_partkey % 5 = 0 THEN '1234' ELSE '' END || (p_partkey + 1000) END AS sku,
        'Group ' || p_size % 45 AS category FROM part),
-li AS (SELECT l_partkey AS product_id, l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN 'stockup_post' WHEN 1 THEN 'stockup_sheet' ELSE 'dump' END AS source FROM lineitem)"""
-_TABLES_SQL = f"""WITH {_PRODUCTS_SQL}, sp AS (SELECT product_id, source FROM li WHERE l_linenumber <= 3), ob AS (SELECT product_id, source FROM li WHERE l_linenumber > 3),
-pd AS (SELECT p_partkey AS product_id FROM part WHERE p_partkey % 3 = 0), al AS (SELECT p_partkey AS canonical, p_partkey + 1 AS variant FROM part WHERE p_partkey % 4 = 1), """
+li AS (SELECT l_partkey AS product_id, l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN 'stockup_post' WHEN 1 THEN 'stockup_sheet'
+  ELSE 'dump' END AS source FROM lineitem)"""
+_TABLES_SQL = f"""WITH {_PRODUCTS_SQL}, sp AS (SELECT product_id, source FROM li WHERE l_linenumber <= 3), ob AS (SELECT product_id, source
+  FROM li WHERE l_linenumber > 3),
+pd AS (SELECT p_partkey AS product_id FROM part WHERE p_partkey % 3 = 0), al AS (SELECT p_partkey AS canonical, p_partkey + 1 AS variant
+  FROM part WHERE p_partkey % 4 = 1), """
 
 
 def _tables(spark, sf_dir) -> dict[str, DataFrame]:
@@ -51,7 +55,8 @@ def purge_synthetic(spark, sf_dir):
     return _counted(purges.cascade(t, "products", purges.synthetic(t["products"])))
 
 
-_MARKET = """labels AS (SELECT DISTINCT p_size AS code, 'Group ' || p_size % 45 AS label FROM part), denied AS (SELECT label FROM labels WHERE code < 10 EXCEPT SELECT label FROM labels WHERE code >= 10),
+_MARKET = """labels AS (SELECT DISTINCT p_size AS code, 'Group ' || p_size % 45 AS label FROM part), denied AS (SELECT label
+  FROM labels WHERE code < 10 EXCEPT SELECT label FROM labels WHERE code >= 10),
 gone AS (SELECT product_id FROM pr WHERE (retailer = 'woolworths' AND length(split_part(sku, ':', 2)) >= 8) OR category IN (SELECT label FROM denied)) """
 
 
@@ -64,9 +69,11 @@ def purge_marketplace(spark, sf_dir):
     return _counted(purges.cascade(t, "products", gone))
 
 
-@query(_TABLES_SQL + _MARKET + """SELECT 'products' AS name, CAST(sum(product_id) AS BIGINT) AS total FROM pr WHERE product_id NOT IN (SELECT product_id FROM gone)
+@query(_TABLES_SQL + _MARKET + """SELECT 'products' AS name, CAST(sum(product_id) AS BIGINT) AS total
+  FROM pr WHERE product_id NOT IN (SELECT product_id FROM gone)
 UNION ALL SELECT 'specials', CAST(sum(product_id) AS BIGINT) FROM sp WHERE product_id NOT IN (SELECT product_id FROM gone)
-UNION ALL SELECT 'aliases', CAST(sum(canonical * 3 + variant) AS BIGINT) FROM al WHERE canonical NOT IN (SELECT product_id FROM gone) AND variant NOT IN (SELECT product_id FROM gone)""")
+UNION ALL SELECT 'aliases', CAST(sum(canonical * 3 + variant) AS BIGINT) FROM al WHERE canonical NOT IN (SELECT product_id
+  FROM gone) AND variant NOT IN (SELECT product_id FROM gone)""")
 def purged_marketplace(spark, sf_dir):
     """What stays once that purge is confirmed."""
     t = _tables(spark, sf_dir)
@@ -76,7 +83,8 @@ def purged_marketplace(spark, sf_dir):
     return reduce(DataFrame.union, [left[n].agg(F.lit(n).alias("name"), s.alias("total")) for n, s in sums.items()])
 
 
-@query(_TABLES_SQL + """m AS (SELECT product_id FROM pr WHERE retailer = 'coles') SELECT 'specials' AS name, count(*) FILTER (source <> 'dump') AS rows FROM sp JOIN m USING (product_id)
+@query(_TABLES_SQL + """m AS (SELECT product_id
+  FROM pr WHERE retailer = 'coles') SELECT 'specials' AS name, count(*) FILTER (source <> 'dump') AS rows FROM sp JOIN m USING (product_id)
 UNION ALL SELECT 'observations', count(*) FILTER (source <> 'dump') FROM ob JOIN m USING (product_id)""")
 def purge_stockup(spark, sf_dir):
     """What a purge of the posted lists' rows of one retailer would take."""
@@ -84,11 +92,14 @@ def purge_stockup(spark, sf_dir):
     return _counted(purges.drop_sources({n: t[n] for n in ("specials", "observations")}, t["products"], "coles"))
 
 
-_HISTORY_SQL = """WITH h AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS d, max(CAST(round_even(o_totalprice * 100, 0) AS BIGINT)) AS c FROM orders GROUP BY ALL),
-e AS (SELECT k, d, c AS sale, was, row_number() OVER (PARTITION BY k ORDER BY d DESC) AS pos FROM (SELECT *, lead(c) OVER (PARTITION BY k ORDER BY d DESC) AS was FROM h) WHERE was > 0 AND c > 0 AND 1e0 - c / was >= 0.48e0),
+_HISTORY_SQL = """WITH h AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS d, max(CAST(round_even(o_totalprice * 100, 0) AS BIGINT)) AS c
+  FROM orders GROUP BY ALL),
+e AS (SELECT k, d, c AS sale, was, row_number() OVER (PARTITION BY k ORDER BY d DESC) AS pos
+  FROM (SELECT *, lead(c) OVER (PARTITION BY k ORDER BY d DESC) AS was FROM h) WHERE was > 0 AND c > 0 AND 1e0 - c / was >= 0.48e0),
 st AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 3 = 0),
 id AS (SELECT DISTINCT k, CASE WHEN k % 3 = 0 THEN 'p' || k ELSE 'A:' || k END AS product_id FROM e),
-past AS (SELECT product_id, d, sale, was, CAST(round_even(100e0 * (1e0 - sale / was), 0) AS BIGINT) AS pct FROM e JOIN id USING (k) WHERE d < DATE '1998-07-01'),
+past AS (SELECT product_id, d, sale, was, CAST(round_even(100e0 * (1e0 - sale / was), 0) AS BIGINT) AS pct
+  FROM e JOIN id USING (k) WHERE d < DATE '1998-07-01'),
 old AS (SELECT product_id, d FROM past WHERE sale % 2 = 0) """
 
 
@@ -118,8 +129,10 @@ def _backfilled(spark, sf_dir) -> dict[str, DataFrame]:
     return backfill.backfill(parsed, products, specials, observations, WEEK)
 
 
-@query(_HISTORY_SQL + """SELECT product_id, d AS week_start, d + 6 AS week_end, CASE WHEN sale % 2 = 0 THEN 7 ELSE was END AS regular_cents, CASE WHEN sale % 2 = 0 THEN 3 ELSE sale END AS sale_cents,
-       CASE WHEN sale % 2 = 0 THEN 57 ELSE pct END AS discount_pct, true AS is_half_price, CASE WHEN sale % 2 = 0 THEN 'live' ELSE 'dump' END AS source FROM past""")
+@query(_HISTORY_SQL + """SELECT product_id, d AS week_start, d + 6 AS week_end, CASE WHEN sale % 2 = 0 THEN 7 ELSE was END AS regular_cents, CASE
+  WHEN sale % 2 = 0 THEN 3 ELSE sale END AS sale_cents,
+       CASE WHEN sale % 2 = 0 THEN 57 ELSE pct END AS discount_pct, true AS is_half_price, CASE WHEN sale % 2 = 0 THEN 'live'
+  ELSE 'dump' END AS source FROM past""")
 def backfilled_specials(spark, sf_dir):
     """Past events as specials from their own day; stored ones stay."""
     return _backfilled(spark, sf_dir)["specials"]
@@ -137,11 +150,15 @@ def backfill_counts(spark, sf_dir):
     return _backfilled(spark, sf_dir)["counts"]
 
 
-_PULL_SQL = """WITH li AS (SELECT l_partkey AS product_id, CASE WHEN l_partkey % 2 = 0 THEN 'A' ELSE 'B' END AS retailer, date_trunc('month', l_shipdate)::DATE AS week_start,
+_PULL_SQL = """WITH li AS (SELECT l_partkey AS product_id, CASE WHEN l_partkey % 2 = 0 THEN 'A'
+  ELSE 'B' END AS retailer, date_trunc('month', l_shipdate)::DATE AS week_start,
   l_orderkey * 8 + l_linenumber AS pos, CAST(round_even(l_extendedprice * 100, 0) AS BIGINT) AS sale_cents FROM lineitem),
-s AS (SELECT product_id, retailer, week_start, arg_max(sale_cents, pos) AS sale_cents, CASE WHEN product_id % 3 = 0 THEN 'live' ELSE 'dump' END AS source FROM li WHERE product_id % 5 <> 0 GROUP BY ALL),
-one AS (SELECT product_id, retailer, week_start, arg_max(sale_cents + 1, pos) AS sale_cents, 'dump' AS source FROM li WHERE product_id % 4 = 0 AND week_start = DATE '1998-03-01' GROUP BY ALL),
-two AS (SELECT product_id, retailer, week_start, arg_max(sale_cents + 2, pos) AS sale_cents, 'live' AS source FROM li WHERE product_id % 7 = 0 AND week_start = DATE '1998-04-01' GROUP BY ALL) """
+s AS (SELECT product_id, retailer, week_start, arg_max(sale_cents, pos) AS sale_cents, CASE WHEN product_id % 3 = 0 THEN 'live'
+  ELSE 'dump' END AS source FROM li WHERE product_id % 5 <> 0 GROUP BY ALL),
+one AS (SELECT product_id, retailer, week_start, arg_max(sale_cents + 1, pos) AS sale_cents, 'dump' AS source
+  FROM li WHERE product_id % 4 = 0 AND week_start = DATE '1998-03-01' GROUP BY ALL),
+two AS (SELECT product_id, retailer, week_start, arg_max(sale_cents + 2, pos) AS sale_cents, 'live' AS source
+  FROM li WHERE product_id % 7 = 0 AND week_start = DATE '1998-04-01' GROUP BY ALL) """
 
 
 def _pulls(spark, sf_dir):
@@ -152,8 +169,10 @@ def _pulls(spark, sf_dir):
     )
 
 
-@query(_PULL_SQL + """SELECT * FROM s WHERE week_start NOT IN (DATE '1998-03-01', DATE '1998-04-01') UNION ALL SELECT * FROM one UNION ALL SELECT * FROM s WHERE week_start = DATE '1998-03-01' AND retailer <> 'A'
-UNION ALL SELECT * FROM two UNION ALL SELECT * FROM s WHERE week_start = DATE '1998-04-01' AND NOT EXISTS (SELECT 1 FROM two WHERE two.product_id = s.product_id)""")
+@query(_PULL_SQL + """SELECT * FROM s WHERE week_start NOT IN (DATE '1998-03-01', DATE '1998-04-01') UNION ALL SELECT * FROM one
+  UNION ALL SELECT * FROM s WHERE week_start = DATE '1998-03-01' AND retailer <> 'A'
+UNION ALL SELECT * FROM two UNION ALL SELECT * FROM s WHERE week_start = DATE '1998-04-01' AND NOT EXISTS (SELECT 1
+  FROM two WHERE two.product_id = s.product_id)""")
 def stored_pulls(spark, sf_dir):
     """A table on disk, a whole pull and a partial one put into two of its weeks, the first once more under its own id, and the table read again."""
     rows = _pulls(spark, sf_dir)
@@ -188,7 +207,8 @@ def upsert_special_rows(spark, sf_dir):
     return merge.upsert_specials(old, rows.drop("retailer"), keep_source=True)
 
 
-@query(_PULL_SQL + _LAST + """SELECT product_id, week_start, CASE WHEN product_id % 3 = 0 THEN 1 ELSE first END AS sale_cents, CASE WHEN product_id % 3 = 0 THEN 'row' ELSE 'dump' END AS source,
+@query(_PULL_SQL + _LAST + """SELECT product_id, week_start, CASE WHEN product_id % 3 = 0 THEN 1 ELSE first END AS sale_cents, CASE
+  WHEN product_id % 3 = 0 THEN 'row' ELSE 'dump' END AS source,
        CASE WHEN product_id % 3 = 0 THEN 10 ELSE 50 END AS discount_pct FROM r""")
 def inserted_first_rows(spark, sf_dir):
     """Of rows that repeat a key that is not there the first one goes in."""
@@ -208,10 +228,13 @@ def last_observations(spark, sf_dir):
     return writes.upsert_observations(old, pull, products).select("product_id", "observed_at", "price_cents")
 
 
-@query("""WITH p AS (SELECT p_partkey, p_partkey % 3 = 0 AS t, p_partkey % 5 <> 0 AS have, p_partkey % 4 = 0 AS mine, p_size * 10 AS cents, CASE WHEN p_partkey % 8 = 0 THEN p_size * 10 ELSE 1 END AS ours FROM part),
-c AS (SELECT count(*) FILTER (t) AS a, count(*) FILTER (t AND have) AS m, count(*) FILTER (t AND have AND mine) AS f, count(*) FILTER (t AND have AND NOT mine) AS x, count(*) FILTER (t AND NOT have) AS n,
+@query("""WITH p AS (SELECT p_partkey, p_partkey % 3 = 0 AS t, p_partkey % 5 <> 0 AS have, p_partkey % 4 = 0 AS mine, p_size * 10 AS cents, CASE
+  WHEN p_partkey % 8 = 0 THEN p_size * 10 ELSE 1 END AS ours FROM part),
+c AS (SELECT count(*) FILTER (t) AS a, count(*) FILTER (t AND have) AS m, count(*) FILTER (t AND have AND mine) AS f, count(*) FILTER (t AND have
+  AND NOT mine) AS x, count(*) FILTER (t AND NOT have) AS n,
   count(*) FILTER (NOT t AND have) AS h, count(*) FILTER (NOT t AND have AND mine) AS w, count(*) FILTER (t AND have AND mine AND ours = cents) AS e FROM p)
-SELECT 'coles' AS retailer, DATE '1998-07-01' AS week_start, a AS ground_truth_half, m AS matched, f AS we_flag_half, round_even(1000e0 * f / m, 0) / 10 AS recall_pct, round_even(1000e0 * (h - w) / h, 0) / 10 AS precision_pct,
+SELECT 'coles' AS retailer, DATE '1998-07-01' AS week_start, a AS ground_truth_half, m AS matched, f AS we_flag_half, round_even(1000e0 * f / m,
+  0) / 10 AS recall_pct, round_even(1000e0 * (h - w) / h, 0) / 10 AS precision_pct,
   round_even(1000e0 * e / f, 0) / 10 AS price_exact_pct, 'missed=' || x || ' not_stocked=' || n || ' false_pos=' || w || ' sales=7,9' AS sample_note FROM c""")
 def audit_entry(spark, sf_dir):
     """The row that an audit adds to its table."""

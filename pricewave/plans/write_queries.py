@@ -9,7 +9,9 @@ from pricewave.plans.book import query
 WEEK, NOW = "1998-07-01", "1998-07-02 12:00:00"
 _RETAILER, _SKU = "CASE WHEN p_partkey % 2 = 0 THEN 'A' ELSE 'B' END", "'k' || (p_partkey // 2)"
 _PRODUCTS_SQL = f"pr AS (SELECT p_partkey AS product_id, {_RETAILER} AS retailer, {_SKU} AS sku, p_name AS name FROM part WHERE p_partkey % 7 <> 0)"
-_PULLED_SQL = """pu AS (SELECT CASE WHEN l_partkey % 2 = 0 THEN 'A' ELSE 'B' END AS retailer, 'k' || (l_partkey // 2) AS sku, CAST(l_shipdate AS DATE) AS week_start, max(CAST(round_even(l_extendedprice * 100, 0) AS BIGINT)) AS sale_cents, 'dump' AS source
+_PULLED_SQL = """pu AS (SELECT CASE WHEN l_partkey % 2 = 0 THEN 'A'
+  ELSE 'B' END AS retailer, 'k' || (l_partkey // 2) AS sku, CAST(l_shipdate AS DATE) AS week_start, max(CAST(round_even(l_extendedprice * 100,
+  0) AS BIGINT)) AS sale_cents, 'dump' AS source
 FROM lineitem WHERE l_linenumber <= 2 GROUP BY ALL)"""
 _OBSERVED_SQL = """ob AS (SELECT l_partkey AS product_id, CAST(l_shipdate AS DATE) AS observed_at, CASE WHEN l_partkey % 3 = 0 THEN 'live' ELSE 'dump' END AS source, CAST(count(*) AS BIGINT) AS price_cents FROM lineitem WHERE l_linenumber >= 2 GROUP BY ALL)"""
 
@@ -32,8 +34,10 @@ def product_ids(spark, sf_dir):
     return writes.with_product_ids(_pulled(spark, sf_dir), _products(spark, sf_dir)).select("product_id", "week_start", "sale_cents")
 
 
-@query(f"""WITH {_PRODUCTS_SQL}, {_PULLED_SQL}, {_OBSERVED_SQL}, n AS (SELECT product_id, week_start AS observed_at, source, sale_cents AS price_cents FROM pu JOIN pr USING (retailer, sku))
-SELECT product_id, observed_at, source, coalesce(n.price_cents, ob.price_cents) AS price_cents, n.price_cents IS NOT NULL AS is_special, CASE WHEN n.price_cents IS NOT NULL THEN 50 END AS discount_pct FROM ob FULL JOIN n USING (product_id, observed_at, source)""")
+@query(f"""WITH {_PRODUCTS_SQL}, {_PULLED_SQL}, {_OBSERVED_SQL}, n AS (SELECT product_id, week_start AS observed_at, source,
+  sale_cents AS price_cents FROM pu JOIN pr USING (retailer, sku))
+SELECT product_id, observed_at, source, coalesce(n.price_cents, ob.price_cents) AS price_cents, n.price_cents IS NOT NULL AS is_special, CASE
+  WHEN n.price_cents IS NOT NULL THEN 50 END AS discount_pct FROM ob FULL JOIN n USING (product_id, observed_at, source)""")
 def upsert_observations(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").where("l_linenumber >= 2")
     old = li.groupBy(F.col("l_partkey").alias("product_id"), F.to_date("l_shipdate").alias("observed_at"), F.when(F.col("l_partkey") % 3 == 0, "live").otherwise("dump").alias("source")).agg(F.count("*").alias("price_cents"))
@@ -41,7 +45,8 @@ def upsert_observations(spark, sf_dir):
     return writes.upsert_observations(old, _pulled(spark, sf_dir), _products(spark, sf_dir))
 
 
-_PREDICTED_SQL = f"""{_PRODUCTS_SQL}, q AS (SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'B' END AS retailer, CASE WHEN o_orderkey % 10 = 3 THEN 'nothing' ELSE c END AS name, CAST(o_orderdate AS DATE) AS computed_at, count(*) AS cycle_count
+_PREDICTED_SQL = f"""{_PRODUCTS_SQL}, q AS (SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'B' END AS retailer, CASE
+  WHEN o_orderkey % 10 = 3 THEN 'nothing' ELSE c END AS name, CAST(o_orderdate AS DATE) AS computed_at, count(*) AS cycle_count
   FROM orders JOIN (SELECT p_partkey AS pk, p_name AS c FROM part WHERE p_partkey < 500) ON pk = o_orderkey % 500 GROUP BY ALL),
 l AS (SELECT retailer, name, max(product_id) AS product_id FROM pr GROUP BY ALL), f AS (SELECT q.*, product_id FROM q LEFT JOIN l USING (retailer, name))"""
 
@@ -68,7 +73,8 @@ def insert_predictions(spark, sf_dir):
     return writes.insert_predictions(old, p, products)
 
 
-@query(f"""WITH {_PRODUCTS_SQL}, s AS (SELECT l_orderkey, l_linenumber, l_partkey AS product_id, CAST(l_shipdate AS DATE) AS week_start, CASE l_linenumber % 3 WHEN 0 THEN 'post' WHEN 1 THEN 'sheet' ELSE 'dump' END AS source FROM lineitem)
+@query(f"""WITH {_PRODUCTS_SQL}, s AS (SELECT l_orderkey, l_linenumber, l_partkey AS product_id, CAST(l_shipdate AS DATE) AS week_start,
+  CASE l_linenumber % 3 WHEN 0 THEN 'post' WHEN 1 THEN 'sheet' ELSE 'dump' END AS source FROM lineitem)
 SELECT s.* FROM s LEFT JOIN pr USING (product_id) WHERE NOT (coalesce(retailer, '') = 'A' AND week_start = DATE '{WEEK}' AND source IN ('post', 'sheet'))""")
 def drop_leftovers(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
@@ -78,7 +84,8 @@ def drop_leftovers(spark, sf_dir):
 
 @query("""WITH o AS (SELECT o_custkey AS a, o_orderkey AS b, o_totalprice / 200000e0 AS s, o_orderkey % 5 AS r FROM orders),
 n AS (SELECT a, b, round_even(least(s, 1e0) * 100, 0) / 100 AS confidence FROM o WHERE r > 1)
-SELECT a AS canonical, b AS variant, 'counterpart' AS kind, confidence, CASE WHEN b % 5 = 2 THEN 'hand' ELSE 'auto' END AS created_by FROM n UNION ALL SELECT a, b, 'alias', 0.5e0, 'hand' FROM o WHERE r = 1""")
+SELECT a AS canonical, b AS variant, 'counterpart' AS kind, confidence, CASE WHEN b % 5 = 2 THEN 'hand' ELSE 'auto' END AS created_by FROM n
+  UNION ALL SELECT a, b, 'alias', 0.5e0, 'hand' FROM o WHERE r = 1""")
 def replace_links(spark, sf_dir):
     """Old counterparts go, aliases stay, and an alias that is matched becomes a counterpart."""
     o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("a"), F.col("o_orderkey").alias("b"), (F.col("o_totalprice") / 200000.0).alias("score"), (F.col("o_orderkey") % 5).alias("r"))
@@ -93,17 +100,21 @@ def replace_scope(spark, sf_dir):
     return merge.replace_scope(o, new, F.col("o_orderstatus") == "P")
 
 
-_HALF_SQL = f"""sp AS (SELECT l_partkey AS product_id, CAST(l_shipdate AS DATE) AS week_start, CAST(count(*) * 500 AS BIGINT) AS regular_cents, CAST(count(*) * 300 AS BIGINT) AS sale_cents,
+_HALF_SQL = f"""sp AS (SELECT l_partkey AS product_id, CAST(l_shipdate AS DATE) AS week_start, CAST(count(*) * 500 AS BIGINT) AS regular_cents,
+  CAST(count(*) * 300 AS BIGINT) AS sale_cents,
   l_partkey % 2 = 1 AS flagged FROM lineitem GROUP BY ALL),
-t AS (SELECT p_partkey AS id, p_partkey % 3 = 0 AS is_half, CASE WHEN p_partkey % 6 <> 0 THEN CAST(p_size * 20 AS BIGINT) END AS was_cents, CAST(p_size * 10 AS BIGINT) AS sale_cents FROM part),
+t AS (SELECT p_partkey AS id, p_partkey % 3 = 0 AS is_half,
+  CASE WHEN p_partkey % 6 <> 0 THEN CAST(p_size * 20 AS BIGINT) END AS was_cents, CAST(p_size * 10 AS BIGINT) AS sale_cents FROM part),
 n AS (SELECT id AS product_id, DATE '{WEEK}' AS week_start, coalesce(was_cents, 2 * sale_cents) AS was, sale_cents AS sale FROM t
       WHERE is_half AND sale_cents > 0 AND id NOT IN (SELECT product_id FROM sp WHERE flagged AND week_start = DATE '{WEEK}'))"""
 
 
 @query(f"""WITH {_HALF_SQL}
 SELECT product_id, week_start, CASE WHEN sp.sale_cents IS NOT NULL THEN week_start + 6 ELSE week_start END AS week_end,
-       CASE WHEN n.was IS NULL THEN regular_cents WHEN sp.sale_cents IS NULL THEN n.was ELSE greatest(regular_cents, n.was) END AS regular_cents, coalesce(n.sale, sp.sale_cents) AS sale_cents,
-       CASE WHEN n.was IS NULL THEN 40 ELSE CAST(round_even(100e0 * (n.was - n.sale) / n.was, 0) AS BIGINT) END AS discount_pct, n.was IS NOT NULL OR flagged AS is_half_price,
+       CASE WHEN n.was IS NULL THEN regular_cents
+  WHEN sp.sale_cents IS NULL THEN n.was ELSE greatest(regular_cents, n.was) END AS regular_cents, coalesce(n.sale, sp.sale_cents) AS sale_cents,
+       CASE WHEN n.was IS NULL THEN 40 ELSE CAST(round_even(100e0 * (n.was - n.sale) / n.was, 0) AS BIGINT) END AS discount_pct, n.was IS NOT NULL
+  OR flagged AS is_half_price,
        CASE WHEN n.was IS NULL THEN 'dump' ELSE 'catalogue' END AS source FROM sp FULL JOIN n USING (product_id, week_start)""")
 def audit_corrections(spark, sf_dir):
     """Half prices of a catalogue put into one week: of products without a row there, with a row that is no half price, and, to no effect, with one that is."""
@@ -128,8 +139,11 @@ def synced_watchlists(spark, sf_dir):
     return merge.drop_orphans(lists.withColumn("last_synced_at", F.coalesce("last_synced_at", F.lit("2001-08-01").cast("timestamp"))), "2001-08-01 12:00:00").select("c_custkey")
 
 
-_LOG_SQL = f"""m AS (SELECT o_custkey % 300 AS batch, o_orderkey // 7 AS pos, o_custkey AS device_id, 1 + o_orderkey % 3 AS n FROM orders WHERE o_orderkey % 7 = 0),
-t AS (SELECT o_custkey % 300 AS batch, o_orderkey // 7 AS pos, 't' || o_orderkey AS ticket_id, CASE WHEN o_orderkey % 5 = 0 THEN 'error' ELSE 'ok' END AS status, CASE WHEN o_orderkey % 10 = 0 THEN 'DeviceNotRegistered' END AS error FROM orders WHERE o_orderkey % 7 = 0 AND o_orderkey % 11 <> 0)"""
+_LOG_SQL = f"""m AS (SELECT o_custkey % 300 AS batch, o_orderkey // 7 AS pos, o_custkey AS device_id, 1 + o_orderkey % 3 AS n
+  FROM orders WHERE o_orderkey % 7 = 0),
+t AS (SELECT o_custkey % 300 AS batch, o_orderkey // 7 AS pos, 't' || o_orderkey AS ticket_id, CASE WHEN o_orderkey % 5 = 0 THEN 'error'
+  ELSE 'ok' END AS status, CASE WHEN o_orderkey % 10 = 0 THEN 'DeviceNotRegistered' END AS error
+  FROM orders WHERE o_orderkey % 7 = 0 AND o_orderkey % 11 <> 0)"""
 
 
 def _sent(spark, sf_dir):
@@ -154,7 +168,9 @@ def logged_digests(spark, sf_dir):
     return writes.log_digests(old, sent).groupBy("device_id").agg(F.count("*").alias("rows"), F.bool_or(F.col("ticket_id") == "old").alias("old"))
 
 
-@query(f"""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '{NOW}' - INTERVAL 30 MINUTE AND o_orderkey % 3 <> 0 THEN CASE WHEN o_orderkey % 3 = 1 THEN 'receipt_ok' ELSE 'receipt_error' END WHEN o_orderstatus = 'F' THEN 'sent' ELSE 'errored' END AS status,
+@query(f"""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '{NOW}' - INTERVAL 30 MINUTE
+  AND o_orderkey % 3 <> 0 THEN CASE WHEN o_orderkey % 3 = 1 THEN 'receipt_ok' ELSE 'receipt_error' END WHEN o_orderstatus = 'F' THEN 'sent'
+  ELSE 'errored' END AS status,
 CASE WHEN o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '{NOW}' - INTERVAL 30 MINUTE AND o_orderkey % 3 = 2 THEN 'Too big' END AS error_detail FROM orders""")
 def applied_receipts(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
@@ -193,15 +209,21 @@ def image_queue(spark, sf_dir):
     return writes.image_work(p, 200).select("product_id")
 
 
-@query("""WITH r AS (SELECT p_brand AS method, p_size % 3 = 0 AS hit FROM part) SELECT method, count(*) AS considered, CAST(count(*) FILTER (hit) AS BIGINT) AS hits, count(*) FILTER (hit) / count(*) AS hit_rate FROM r GROUP BY method
+@query("""WITH r AS (SELECT p_brand AS method, p_size % 3 = 0 AS hit
+  FROM part) SELECT method, count(*) AS considered, CAST(count(*) FILTER (hit) AS BIGINT) AS hits, count(*) FILTER (hit) / count(*) AS hit_rate
+  FROM r GROUP BY method
 UNION ALL SELECT 'all', count(*), CAST(count(*) FILTER (hit) AS BIGINT), count(*) FILTER (hit) / count(*) FROM r""")
 def lookup_counts(spark, sf_dir):
     return writes.lookup_counts(table(spark, sf_dir, "part").select(F.col("p_brand").alias("method"), F.when(F.col("p_size") % 3 == 0, "u").alias("image_url")))
 
 
-@query("""WITH c AS (SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS sku, CAST(round_even(p_retailprice * 100, 0) AS BIGINT) AS cents, p_type, p_name FROM part)
-SELECT sku, p_name AS name, CASE WHEN k % 3 <> 0 AND k % 9 <> 1 THEN p_type WHEN k % 2 = 0 THEN 'New' END AS category, CASE WHEN k % 3 <> 0 THEN greatest(cents, CASE WHEN k % 2 = 0 THEN cents + CASE WHEN k % 4 = 0 THEN 9 ELSE -9 END END) ELSE cents + CASE WHEN k % 4 = 0 THEN 9 ELSE -9 END END AS regular_price_cents,
-       CASE WHEN k % 3 <> 0 AND k % 5 = 0 THEN 'old' || k WHEN k % 2 = 0 AND k % 7 <> 0 THEN 'new' || k END AS image_url FROM c WHERE k % 3 <> 0 OR k % 2 = 0""")
+@query("""WITH c AS (SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS sku, CAST(round_even(p_retailprice * 100, 0) AS BIGINT) AS cents, p_type,
+  p_name FROM part)
+SELECT sku, p_name AS name, CASE WHEN k % 3 <> 0 AND k % 9 <> 1 THEN p_type WHEN k % 2 = 0 THEN 'New' END AS category, CASE
+  WHEN k % 3 <> 0 THEN greatest(cents, CASE WHEN k % 2 = 0 THEN cents + CASE WHEN k % 4 = 0 THEN 9 ELSE -9 END END) ELSE cents + CASE
+  WHEN k % 4 = 0 THEN 9 ELSE -9 END END AS regular_price_cents,
+       CASE WHEN k % 3 <> 0 AND k % 5 = 0 THEN 'old' || k WHEN k % 2 = 0 AND k % 7 <> 0 THEN 'new' || k END AS image_url
+  FROM c WHERE k % 3 <> 0 OR k % 2 = 0""")
 def upsert_product_rows(spark, sf_dir):
     """The row-wise rule, under which a category that is there stays."""
     k = F.col("p_partkey")
@@ -224,7 +246,8 @@ def changed_labels(spark, sf_dir):
     return writes.changed_labels(table(spark, sf_dir, "part").select(F.col("p_type").alias("label")), allowed)
 
 
-@query("""WITH w AS (SELECT o_custkey AS item, CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey % 9 AS INT) END AS h FROM orders),
+@query("""WITH w AS (SELECT o_custkey AS item, CAST(o_orderdate AS DATE) AS d,
+  CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey % 9 AS INT) END AS h FROM orders),
 e AS (SELECT item, d FROM w UNION ALL SELECT item, d - 7 * h FROM w WHERE h > 0)
 SELECT item, count(*) AS n, min(d) AS first, max(d) AS last, CAST(sum(d - DATE '1990-01-01') AS BIGINT) AS days FROM e GROUP BY item""")
 def hinted_dates(spark, sf_dir):
@@ -235,10 +258,15 @@ def hinted_dates(spark, sf_dir):
     return s.select("item", F.size("dates").cast("bigint").alias("n"), F.get("dates", F.lit(0)).alias("first"), F.element_at("dates", -1).alias("last"), days.alias("days"))
 
 
-@query("""WITH h AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS d, max(CAST(round_even(o_totalprice * 100, 0) AS BIGINT)) AS c FROM orders GROUP BY ALL),
-n AS (SELECT k, coalesce(max(c) FILTER (d >= DATE '2001-06-30' - 300), max(c)) AS regular FROM h WHERE k % 3 <> 0 GROUP BY k), o AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 2 = 0)
-SELECT CAST(coalesce(o.k, n.k) AS VARCHAR) AS sku, CASE WHEN o.k IS NULL THEN 'new ' || n.k ELSE 'old ' || o.k END AS name, CASE WHEN o.k IS NULL THEN CASE WHEN n.k % 5 = 0 THEN 'Uncategorised' ELSE 'Tea' END WHEN n.k IS NOT NULL AND n.k % 5 <> 0 THEN 'Tea' ELSE 'Old' END AS category,
-CASE WHEN o.k IS NULL THEN n.regular ELSE 1 END AS regular_price_cents, CASE WHEN n.k IS NOT NULL THEN 'img' END AS image_url FROM o FULL JOIN n ON o.k = n.k""")
+@query("""WITH h AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS d, max(CAST(round_even(o_totalprice * 100, 0) AS BIGINT)) AS c
+  FROM orders GROUP BY ALL),
+n AS (SELECT k, coalesce(max(c) FILTER (d >= DATE '2001-06-30' - 300), max(c)) AS regular
+  FROM h WHERE k % 3 <> 0 GROUP BY k), o AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 2 = 0)
+SELECT CAST(coalesce(o.k, n.k) AS VARCHAR) AS sku, CASE WHEN o.k IS NULL THEN 'new ' || n.k ELSE 'old ' || o.k END AS name, CASE
+  WHEN o.k IS NULL THEN CASE WHEN n.k % 5 = 0 THEN 'Uncategorised' ELSE 'Tea' END WHEN n.k IS NOT NULL AND n.k % 5 <> 0 THEN 'Tea'
+  ELSE 'Old' END AS category,
+CASE WHEN o.k IS NULL THEN n.regular ELSE 1 END AS regular_price_cents, CASE WHEN n.k IS NOT NULL THEN 'img' END AS image_url
+  FROM o FULL JOIN n ON o.k = n.k""")
 def ingest_retailer(spark, sf_dir):
     """A parsed catalogue put into stored products, names and prices of known ones staying."""
     o = table(spark, sf_dir, "orders").where("o_custkey % 3 <> 0")
@@ -253,9 +281,12 @@ def ingest_retailer(spark, sf_dir):
     return merge.ingest_retailer(stored, parsed)
 
 
-_DRAFTS_SQL = """d AS (SELECT o_custkey AS reply, o_orderkey AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos FROM orders WHERE o_custkey % 10 <> 0),
-g AS (SELECT reply, CAST(pos AS INT) AS pos, k, CASE WHEN k % 6 = 0 THEN '' ELSE left('Dinner of a long name ' || k || repeat(' and more', 12), 80) END AS title, 
-      CASE k % 5 WHEN 0 THEN 4 WHEN 1 THEN 0 WHEN 2 THEN 40 ELSE CAST(k % 12 AS INT) END AS serves FROM d WHERE k % 7 <> 0 AND k % 11 <> 0 AND (k % 13 <> 0 OR k % 5 = 0))"""
+_DRAFTS_SQL = """d AS (SELECT o_custkey AS reply, o_orderkey AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos
+  FROM orders WHERE o_custkey % 10 <> 0),
+g AS (SELECT reply, CAST(pos AS INT) AS pos, k,
+  CASE WHEN k % 6 = 0 THEN '' ELSE left('Dinner of a long name ' || k || repeat(' and more', 12), 80) END AS title, 
+      CASE k % 5 WHEN 0 THEN 4 WHEN 1 THEN 0 WHEN 2 THEN 40 ELSE CAST(k % 12 AS INT) END AS serves
+  FROM d WHERE k % 7 <> 0 AND k % 11 <> 0 AND (k % 13 <> 0 OR k % 5 = 0))"""
 
 
 def _drafts(spark, sf_dir):
@@ -279,8 +310,11 @@ def drafted_bundles(spark, sf_dir):
     return d.select("reply", "pos", "title", "serves", F.size("ingredients").alias("ingredients"), F.size("pantry").alias("pantry"), F.array_max(F.transform("pantry", F.length)).alias("longest"), F.size("tags").alias("tags"))
 
 
-@query(f"""WITH {_DRAFTS_SQL}, i AS (SELECT DISTINCT reply, pos, title, serves, (k + n) % 50 AS p FROM g, (VALUES (0), (1), (60)) t(n) WHERE k % 3 <> 0 AND title <> '')
-SELECT reply, pos, title, CASE WHEN serves BETWEEN 1 AND 12 THEN serves ELSE 4 END AS serves, count(*) AS items, CAST(sum(p * 10 + 5) AS BIGINT) AS cost_cents, CAST(sum(p * 20 + 10) AS BIGINT) AS regular_cents, 40 AS longest
+@query(f"""WITH {_DRAFTS_SQL}, i AS (SELECT DISTINCT reply, pos, title, serves, (k + n) % 50 AS p
+  FROM g, (VALUES (0), (1), (60)) t(n) WHERE k % 3 <> 0 AND title <> '')
+SELECT reply, pos, title,
+  CASE WHEN serves BETWEEN 1 AND 12 THEN serves
+  ELSE 4 END AS serves, count(*) AS items, CAST(sum(p * 10 + 5) AS BIGINT) AS cost_cents, CAST(sum(p * 20 + 10) AS BIGINT) AS regular_cents, 40 AS longest
 FROM i WHERE p < 45 GROUP BY ALL HAVING count(*) >= 2""")
 def validated_bundles(spark, sf_dir):
     """Drafts whose products are on offer, costed."""
@@ -289,7 +323,8 @@ def validated_bundles(spark, sf_dir):
     return v.select("reply", "pos", "title", "serves", "items", "cost_cents", "regular_cents", F.array_max(F.transform("labels", lambda x: F.length(x))).alias("longest"))
 
 
-@query("""WITH o AS (SELECT p_partkey AS product_id, CASE WHEN p_partkey % 3 = 0 THEN 'Tomato ' ELSE '' END || p_name AS name, CAST(round_even(p_retailprice * 100, 0) AS BIGINT) AS sale_cents FROM part)
+@query("""WITH o AS (SELECT p_partkey AS product_id, CASE WHEN p_partkey % 3 = 0 THEN 'Tomato '
+  ELSE '' END || p_name AS name, CAST(round_even(p_retailprice * 100, 0) AS BIGINT) AS sale_cents FROM part)
 SELECT product_id FROM o WHERE product_id % 3 = 0 ORDER BY sale_cents, product_id LIMIT 45""")
 def meal_menu(spark, sf_dir):
     """The menu's forty-five, as the feature has it."""
