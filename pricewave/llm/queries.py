@@ -83,7 +83,8 @@ def op11_ranked_search(spark, sf_dir):
 def op12_token_files(spark, sf_dir):
     """Files are written with the metadata that documents has, in the shared folder, and read again."""
     folder = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
-    token_files.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer_path("word_bpe_49k.json"), end_id=2, metadata=("lang", "source"), by_word=True)
+    docs, path = table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")
+    token_files.write_tokens(docs, folder, path, end_id=2, metadata=("lang", "source"), encoding="delta", by_word=True)
     return token_files.checksums(token_files.read_tokens(spark, folder))
 
 

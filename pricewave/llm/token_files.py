@@ -11,26 +11,32 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pricewave.llm.common import partitions
 
 #: Bytes of a row group and of a page, and rows of a page at most: a page is the least that a selective read decodes.
 GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 64 << 10, 500
-#: Words whose ids a Python worker remembers: those of the last two generations of so many new ones.
-GENERATION = 1 << 18
+#: Words whose ids a Python worker remembers; when they are more, it keeps the frequent ones.
+WORDS_HELD = 1 << 19
 #: Characters, about, of the texts that are encoded together and make an Arrow batch.
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 8 << 20
 
 #: What stands between words that are encoded together; words with it are encoded alone.
-_MARK = b"\x01"
+_MARK = "\x01"
 #: ASCII marks that never join a letter or digit before them; the apostrophe may.
-_TAILS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
-_ALNUM = frozenset(b for b in range(128) if chr(b).isalnum())
+_TAILS = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
 
 _LOADED: dict = {}
 
 
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ranges of flat, one after another."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Encoder:
     """ids(texts) by a tokenizers file, added special tokens not being put in.
 
@@ -39,7 +45,8 @@ class Encoder:
     at it. Words not yet seen are encoded many at a time, and without the ASCII
     marks that follow their last letter or digit: the file cuts there, so word
     and marks are looked up apart. Words of letters alone are told apart in the
-    result by the ids that end a word, others by a control character between them.
+    result by the ids that end a word, others by a control character between
+    them. A word is a number, its ids a range of one array.
     """
 
     def __init__(self, path: str, by_word: bool) -> None:
@@ -47,80 +54,106 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task, as Spark counts them
         self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
-        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.mark = self.tokenizer.encode(_MARK.decode(), add_special_tokens=False).ids
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items() if suffix else ():
             self.ends[i] = token.endswith(suffix)
-        self.seen, self.before = {}, {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def together(self, words: list[bytes]) -> None:
-        """Remember the ids of words, none of which holds the mark or an added token."""
-        texts = b"\n".join(words).decode("utf-8", "replace").split("\n")
-        alone = [t.isalpha() and "\u0130" not in t for t in texts]  # the one letter whose lower case holds a mark
-        for letters in (True, False):
-            these = [(w, t) for w, t, a in zip(words, texts, alone) if a == letters]
+        self.words, self.flat, self.starts, self.sizes = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def forget(self, but: pa.Array) -> None:
+        """Remember those words only that are among these and were known: the frequent ones."""
+        kept = pc.index_in(but, self.words).drop_null()
+        words, at = self.words.take(kept), kept.to_numpy()
+        ids, sizes = _gathered(self.flat, self.starts[at], self.sizes[at]), self.sizes[at]
+        self.words, self.flat, self.starts, self.sizes = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.add(words, ids, sizes)
+
+    def add(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Remember words whose ids follow each other in ids."""
+        starts = len(self.flat) + np.cumsum(sizes) - sizes
+        self.words = pa.concat_arrays([self.words, words])
+        self.flat, self.starts, self.sizes = np.concatenate([self.flat, ids]), np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def alone(self, words: pa.Array) -> None:
+        found = [self.whole(w) for w in words.to_pylist()]
+        self.add(words, np.concatenate([np.zeros(0, "<u4"), *found]), np.array([len(f) for f in found], np.int64))
+
+    def together(self, words: pa.Array) -> None:
+        """Remember the ids of distinct new words, none of which holds the mark or an added token."""
+        letters = pc.and_(pc.utf8_is_alpha(words), pc.invert(pc.match_substring(words, "\u0130")))  # the one letter whose lower case holds a mark
+        waiting = [(words.filter(letters), True), (words.filter(pc.invert(letters)), False)]
+        while waiting:
+            these, letters = waiting.pop()
             for k in range(0, len(these), 5000):
-                some = these[k : k + 5000]
-                between = "\n" if letters else f"\n{_MARK.decode()}\n"
-                ids = np.array(self.tokenizer.encode_batch_fast([between.join(t for _, t in some)], add_special_tokens=False)[0].ids, "<u4")
-                raw = ids.tobytes()
+                some = these.slice(k, 5000)
+                joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some), "\n" if letters else f"\n{_MARK}\n")[0].as_py()
+                ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
                 if letters:
-                    cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-                    if len(cuts) != len(some):
-                        raise ValueError("this file does not end each word of letters by a token of its own")
-                    places = zip([0, *cuts], cuts)
+                    cuts = np.flatnonzero(self.ends[ids]) + 1
+                    sizes = np.diff(cuts, prepend=0)
+                else:
+                    cuts = np.append(np.flatnonzero(ids == self.mark), len(ids))
+                    sizes = np.diff(cuts, prepend=-1) - 1
+                    ids = ids[ids != self.mark]
+                if len(sizes) == len(some):
+                    self.add(some, ids, sizes.astype(np.int64))
+                elif letters:
+                    waiting.append((some, False))
                 else:
-                    cuts = (np.flatnonzero(ids == self.mark[0]) * 4).tolist()
-                    places = zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])
-                self.seen.update((w, raw[a:b]) for (w, _), (a, b) in zip(some, places))
-
-    def learn(self, words: set[bytes]) -> None:
-        """Remember the ids of new words."""
-        seen, before = self.seen, self.before
-        back = words & before.keys()
-        seen.update((w, before[w]) for w in back)
-        words = words - back
-        blob = b"\n".join(words)
-        odd = set()
-        if _MARK in blob or len(self.mark) != 1 or not self.ends.any():
-            odd = {w for w in words if _MARK in w} if len(self.mark) == 1 and self.ends.any() else words
-        if any(t in blob for t in self.added):
-            odd = odd | {w for w in words if any(t in w for t in self.added)}
-        for word in odd:
-            seen[word] = self.whole(word.decode("utf-8", "replace"))
-        new, cut = set(), []
-        for word in words - odd:
-            if word[-1] in _TAILS:
-                core = word.rstrip(_TAILS)
-                if core and core[-1] in _ALNUM:
-                    tail = word[len(core) :]
-                    cut.append((word, core, tail))
-                    new.add(core)
-                    new.add(tail)
-                    continue
-            new.add(word)
-        self.together(list(new - seen.keys()))
-        for word, core, tail in cut:
-            seen[word] = seen[core] + seen[tail]
-
-    def ids(self, texts: list[str], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, one text after another, and end after each; their number in each text)."""
-        if self.by_word:
-            split = [t.encode("utf-8", "replace").split() for t in texts]
-            if len(self.seen) > GENERATION:
-                self.seen, self.before = {}, self.seen
-            self.learn(set().union(*split) - self.seen.keys())
-            get = self.seen.__getitem__
-            raw = [b"".join(map(get, words)) + end for words in split]
+                    self.alone(some)
+
+    def learn(self, words: pa.Array) -> None:
+        """Remember the ids of distinct new words."""
+        odd = pc.match_substring(words, _MARK)
+        for token in self.added:
+            odd = pc.or_(odd, pc.match_substring(words, token))
+        if self.mark is None or not self.ends.any():
+            odd = pa.array(np.ones(len(words), bool))
+        self.alone(words.filter(odd))
+        words = words.filter(pc.invert(odd))
+        cores = pc.ascii_rtrim(words, characters=_TAILS)
+        cut = pc.and_(pc.less(pc.binary_length(cores), pc.binary_length(words)), pc.match_substring_regex(cores, "[0-9A-Za-z]$"))
+        wanted, cores = words.filter(cut), cores.filter(cut)
+        tails = pc.replace_substring_regex(wanted, "(?s)^.*[0-9A-Za-z]", "")
+        parts = pc.unique(pa.concat_arrays([words.filter(pc.invert(cut)), cores, tails]))
+        self.together(parts.filter(pc.is_null(pc.index_in(parts, self.words))))
+        wanted, cores, tails = (x.filter(pc.is_null(pc.index_in(wanted, self.words))) for x in (wanted, cores, tails))
+        pairs = np.stack([pc.index_in(x, self.words).to_numpy() for x in (cores, tails)], 1)
+        sizes = self.sizes[pairs]
+        self.add(wanted, _gathered(self.flat, self.starts[pairs].ravel(), sizes.ravel()), sizes.sum(1))
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """The number of each of these distinct words."""
+        new = words.filter(pc.is_null(pc.index_in(words, self.words)))
+        if len(new):
+            self.learn(new)
+        return pc.index_in(words, self.words).to_numpy()
+
+    def ids(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, one text after another, and end after each; their number in each text); texts are not null."""
+        if not self.by_word:
+            found = [self.whole(t) for t in texts.to_pylist()]
+            flat, counts = np.concatenate([np.zeros(0, "<u4"), *found]), np.array([len(f) for f in found], np.int64)
         else:
-            raw = [self.whole(t) + end for t in texts]
-        return np.frombuffer(b"".join(raw), "<u4"), np.array([len(r) // 4 for r in raw], np.int64)
+            split = pc.ascii_split_whitespace(texts)
+            encoded = split.flatten().dictionary_encode()
+            if len(self.words) > WORDS_HELD:
+                self.forget(encoded.dictionary)
+            number = self.numbers(encoded.dictionary)[encoded.indices.to_numpy()] if len(encoded) else np.zeros(0, np.int64)
+            sizes = self.sizes[number]
+            flat = _gathered(self.flat, self.starts[number], sizes)
+            upto = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])]
+            counts = np.diff(upto)
+        if end is not None:
+            flat, counts = np.insert(flat, np.cumsum(counts), end), counts + 1
+        return flat.astype("<u4", copy=False), counts
 
 
 def encoder(path: str, by_word: bool) -> Encoder:
@@ -130,8 +163,6 @@ def encoder(path: str, by_word: bool) -> Encoder:
 
 
 def _tokenise(path: str, end_id: int | None, by_word: bool):
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-
     def run(batches):
         from pyspark import TaskContext
 
@@ -139,14 +170,13 @@ def _tokenise(path: str, end_id: int | None, by_word: bool):
         place = offset = 0
         for batch in batches:
             texts, first = batch.column("text"), 0
+            sizes = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
             while first < batch.num_rows:
-                some, chars = [], 0
-                while first + len(some) < batch.num_rows and chars < BATCH_CHARS:
-                    some.append(texts[first + len(some)].as_py())
-                    chars += len(some[-1])
-                flat, counts = enc.ids(some, end)
+                # As many texts as have BATCH_CHARS bytes, one at least.
+                n = max(1, int(np.searchsorted(sizes[first + 1 :], sizes[first] + BATCH_CHARS)))
+                n = min(n, batch.num_rows - first)
+                flat, counts = enc.ids(texts.slice(first, n), end_id)
                 before = np.concatenate([[0], np.cumsum(counts)])
-                n = len(some)
                 columns = {
                     "part": pa.array(np.full(n, part, np.int32)),
                     "place": pa.array(np.arange(place, place + n)),

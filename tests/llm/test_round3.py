@@ -185,7 +185,20 @@ def test_token_files_odd_rows(spark, nothing, library, tmp_path):
 @given(st.text() | st.text("ab'sÉé̀‍\xa0\x85\x1c  \t\n.,<|>endoftextİΣς１²"))
 def test_ids_by_word(text):
     whole, apart = token_files.encoder(WORDS, False), token_files.encoder(WORDS, True)
-    assert [x.tolist() for x in apart.ids([text, text + " x"])] == [x.tolist() for x in whole.ids([text, text + " x"])]
+    both = pa.array([text, text + " x", "", text])
+    assert [x.tolist() for x in apart.ids(both, 2)] == [x.tolist() for x in whole.ids(both, 2)]
+
+
+def test_words_are_forgotten_and_kept(library, monkeypatch):
+    """A worker that may remember few words gives the same ids."""
+    monkeypatch.setattr(token_files, "WORDS_HELD", 20)
+    rng, enc = random.Random(4), token_files.Encoder(WORDS, True)
+    for _ in range(12):
+        texts = [" ".join(rng.choice(["the", "of", "don't", "x1,", "Größe!!", "".join(rng.choice("abc") for _ in range(9))]) for _ in range(30)) for _ in range(4)]
+        flat, counts = enc.ids(pa.array(texts))
+        wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert flat.tolist() == [i for w in wanted for i in w] and counts.tolist() == [len(w) for w in wanted]
+    assert len(enc.words) < 200
 
 
 # Conversation repair
