@@ -6,8 +6,9 @@ within t_i on some part i, so probing every part's values with up to t_i bits
 flipped finds every link. Part count and thresholds come from a dynamic program
 over estimated candidate counts.
 
-Documents alike in their five-word shingles are found by bands of MinHashes and
-decided by the exact Jaccard similarity of their shingle sets.
+Documents alike in their five-word shingles are found by the same search on the
+fingerprints of their shingle sets; bands of MinHashes find those that it leaves
+apart. All are decided by the exact Jaccard similarity of their shingle sets.
 """
 
 from itertools import combinations
@@ -95,11 +96,12 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
 
 
 def marks_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, node, n, low_bytes, bands): node tells shingle sets apart, n is the set's size; low_bytes and bands come from its MinHashes."""
-    out = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("low_bytes", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    """(doc_id, row, node, n, fp, low_bytes, bands): node tells shingle sets apart, n is the set's size, fp its fingerprint; low_bytes and bands come from its MinHashes."""
+    fields = [("doc_id", pa.int64()), ("row", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("fp", pa.int64()), ("low_bytes", pa.binary()), ("bands", pa.list_(pa.int64()))]
+    out = pa.schema(fields)
 
     def make(batch):
-        cols = ([], [], [], [])
+        cols = ([], [], [], [], [])
         for t in batch.column("text"):
             h = shingle_set(t.as_buffer().to_pybytes())
             m = min_hashes(h)
@@ -107,11 +109,11 @@ def marks_of(docs: DataFrame) -> DataFrame:
             key = keys[:, 0]
             for k in range(1, BAND_ROWS):
                 key = _mixed(key) + keys[:, k]
-            for c, v in zip(cols, (_node(h), len(h), m.astype(np.uint8).tobytes(), key.view(np.int64).tolist() if len(h) else [])):
+            for c, v in zip(cols, (_node(h), len(h), _signed(_majority(h)), m.astype(np.uint8).tobytes(), key.view(np.int64).tolist() if len(h) else [])):
                 c.append(v)
         return [batch.column("doc_id"), batch.column("row"), *cols]
 
-    return keyed(docs).mapInArrow(arrow_rows(make, out), "doc_id long, row long, node long, n long, low_bytes binary, bands array<long>")
+    return keyed(docs).mapInArrow(arrow_rows(make, out), "doc_id long, row long, node long, n long, fp long, low_bytes binary, bands array<long>")
 
 
 def _node(h: np.ndarray) -> int:
@@ -284,13 +286,16 @@ def near_dups(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame
     return fps.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def alike(docs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """(u, v) edges that connect the nodes of classes (node, low, n, low_bytes, bands) whose shingle sets have a Jaccard similarity of least or more.
+def alike(docs: DataFrame, classes: DataFrame, least: float, max_bits: int = 4) -> DataFrame:
+    """(u, v) edges that connect the nodes of classes (node, low, n, fp, low_bytes, bands) whose shingle sets have a Jaccard similarity of least or more.
 
-    Candidates agree in a band. Pairs of ordinary buckets are all decided. In a
-    hot bucket each node is decided against the least one; only those that are
-    not linked to it meet the whole bucket, in cells of bounded blocks.
+    First come the links of the fingerprints, at most max_bits apart. The nodes
+    that they leave apart are candidates where they agree in a band. Pairs of
+    ordinary buckets are all decided. In a hot bucket each node is decided
+    against the least one; only those that are not linked to it meet the whole
+    bucket, in cells of bounded blocks.
     """
+    close = cut(links(classes.where("n > 0").select("node", "fp"), max_bits))
     index = classes.select("node", "n", F.posexplode("bands").alias("part", "key"))
     counts = index.groupBy("part", "key").agg(F.count("*").alias("count"), F.sum("n").alias("total"), F.min("node").alias("pivot")).where("count > 1")
     counts = cut(counts)  # the join can then split a hot bucket
@@ -301,12 +306,19 @@ def alike(docs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     pairs = side(cool, "u").join(side(cool, "v"), ["part", "key"]).where("u < v").where(F.least("u_n", "v_n") >= least * F.greatest("u_n", "v_n")).select("u", "v").distinct()
     stars = hot.where("node <> pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v"))
     pairs = cut(pairs.union(stars).distinct())
-    ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    met = pairs.union(close)
+    ends = met.select(F.col("u").alias("node")).union(met.select("v")).distinct()
     sets = cut(sets_of(docs, classes.join(ends, "node", "left_semi").select("node", "low")))
     whole = lambda name: sets.select(F.col("node").alias(name), F.col("hs").alias(name + "_hs"))
     both = F.size(F.array_intersect("u_hs", "v_hs"))
-    linked = cut(pairs.join(whole("u"), "u").join(whole("v"), "v").where(both >= least * (F.size("u_hs") + F.size("v_hs") - both)).select("u", "v"))
-    rest = cut(hot.where("node <> pivot").join(linked.select(F.col("u").alias("pivot"), F.col("v").alias("node")), ["pivot", "node"], "left_anti"))
+    linked_of = lambda p: p.join(whole("u"), "u").join(whole("v"), "v").where(both >= least * (F.size("u_hs") + F.size("v_hs") - both)).select("u", "v")
+    near = cut(linked_of(close))
+    roots = components(near)
+    root = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(name + "_root"))
+    pairs = cut(pairs.join(root("u"), "u", "left").join(root("v"), "v", "left").select("u", "v", F.coalesce(F.col("u_root") == F.col("v_root"), F.lit(False)).alias("one")))
+    linked = cut(near.union(linked_of(pairs.where("NOT one"))))
+    joined = linked.union(pairs.where("one").select("u", "v")).select(F.col("u").alias("pivot"), F.col("v").alias("node"))
+    rest = cut(hot.where("node <> pivot").join(joined, ["pivot", "node"], "left_anti"))
     if rest.isEmpty():
         return linked
     # Block b of the rest of a bucket meets block c of the whole bucket.
@@ -350,20 +362,21 @@ def _spanning(cell: pd.DataFrame, least: float) -> pd.DataFrame:
     return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
 
 
-def similar_groups(docs: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
+def similar_groups(docs: DataFrame, least: float = 0.8, max_bits: int = 4) -> tuple[DataFrame, DataFrame]:
     """(doc_id, row, keep_id) of the rows that share a component with another that stays, and (doc_id, row) of those that occur more than once.
 
     Texts are linked when the Jaccard similarity of their sets of five-word
-    shingles is least or more; it is computed for each candidate pair, and those
-    agree in a band of MinHashes, which depends on that similarity alone and not
-    on where the edits lie. Equal sets always link. Of a component the row with
+    shingles is least or more; it is computed for each candidate pair. Candidates
+    are linked by their SimHash fingerprints, at most max_bits apart, or, where
+    that leaves them apart, agree in a band of MinHashes, which depends on the
+    similarity alone and not on where the edits lie. Equal sets always link. Of a component the row with
     the smallest doc_id stays, rows without an id coming last and, of rows that
     repeat an id, the one whose text has the least hash; ids are whole numbers.
     """
     marks = cut(marks_of(docs))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    classes = cut(marks.groupBy("node").agg(F.min(place).alias("low"), F.first("n").alias("n"), F.first("low_bytes").alias("low_bytes"), F.first("bands").alias("bands")))
-    roots = components(alike(docs, classes, least))
+    classes = cut(marks.groupBy("node").agg(F.min(place).alias("low"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("low_bytes").alias("low_bytes"), F.first("bands").alias("bands")))
+    roots = components(alike(docs, classes, least, max_bits))
     placed = classes.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     lows = cut(placed.groupBy("root").agg(F.min("low").alias("keep")))  # the join can then split a large component
     named = placed.join(lows, "root").select("node", "keep")

@@ -132,6 +132,24 @@ def test_texts_below_the_threshold_stay(spark, monkeypatch, hot):
     assert kept == set(range(41))
 
 
+def test_near_stage_searches_by_simhash(spark):
+    """Without any band, those link whose fingerprints are at most four bits apart and whose similarity is 0.8 or more."""
+    rng, docs = random.Random(10), []
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    for k in range(20):
+        w = [word() for _ in range(400)]
+        docs += [w, [word() if i == 7 or (k % 2 and i % 19 == 7) else x for i, x in enumerate(w)]]
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    sets = [simhash_neardup.shingle_set(" ".join(w).encode()) for w in docs]
+    fps = [simhash_neardup._majority(h) for h in sets]
+    pairs = [(a, b) for a in range(40) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 4]
+    want = {frozenset(p) for p in pairs if simhash_neardup.jaccard(sets[p[0]], sets[p[1]]) >= 0.8}
+    place = F.struct("doc_id", "row").alias("low")
+    classes = simhash_neardup.marks_of(frame).select("node", place, "n", "fp", "low_bytes", F.array().cast("array<long>").alias("bands"))
+    name = {r.node: r.low.doc_id for r in classes.collect()}
+    assert len(want) >= 8 and {frozenset((name[r.u], name[r.v])) for r in simhash_neardup.alike(frame, classes, 0.8).collect()} == want
+
+
 def test_exact(corpus):
     text = {i: re.sub("[" + BLANK + "]+", " ", t) for i, t in texts_of(corpus).items()}
     groups = defaultdict(list)
