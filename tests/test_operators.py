@@ -175,6 +175,17 @@ def test_slugs_equal_all_pairs(spark):
     assert want and {r.pid: (r.entry, r.overlap) for r in got.collect()} == want
 
 
+def test_copies_are_searched_once(spark, monkeypatch):
+    """Catalogues of many copies: the pairs of classes are as few as those of one copy, all pairs and matches come out."""
+    monkeypatch.setattr(matching, "LISTED", 3)
+    once = [(i, f"acme{i // 2 % 3} {'rice' if i // 2 % 2 else 'soup'} bean 100g", 100 + i // 2) for i in range(12)]
+    many = [(i + 12 * k, name, cents) for k in range(8) for i, name, cents in once]
+    sides = lambda rows: [matching.items(spark.createDataFrame(rows, "pid long, name string, cents long")).where(f"pid % 2 = {r}") for r in (0, 1)]
+    pairs = lambda rows: sorted((r.a, r.b) for r in matching.candidates(*sides(rows)).collect())
+    few = pairs(once)
+    assert few and pairs(many) == sorted((a + 12 * k, b + 12 * m) for a, b in few for k in range(8) for m in range(8))
+
+
 def test_bundles_equal_a_plain_loop(spark):
     rng = random.Random(7)
     words = ["pasta sauce", "penne", "tortilla", "salsa", "cheddar", "curry", "rice", "naan", "pizza base", "soup", "chocolate", "cup a soup", "ramen", "soy sauce"]
