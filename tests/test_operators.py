@@ -184,6 +184,8 @@ def test_copies_are_searched_once(spark, monkeypatch):
     pairs = lambda rows: sorted((r.a, r.b) for r in matching.candidates(*sides(rows)).collect())
     few = pairs(once)
     assert few and pairs(many) == sorted((a + 12 * k, b + 12 * m) for a, b in few for k in range(8) for m in range(8))
+    assert matching.gated_matches(*sides(many)).count() == matching.gated_matches(*sides(once)).count() > 0
+    assert {(r.a, r.b): round(r.score, 9) for r in matching.matches(*sides(many)).collect()} == plain_matches(many)
 
 
 def test_bundles_equal_a_plain_loop(spark):
