@@ -188,6 +188,13 @@ def test_copies_are_searched_once(spark, monkeypatch):
     assert {(r.a, r.b): round(r.score, 9) for r in matching.matches(*sides(many)).collect()} == plain_matches(many)
 
 
+def test_copies_of_slugs(spark):
+    asked = [(k, ("zest bean tea", "bean rice")[k % 2]) for k in range(10)]
+    entries = [(k, ("zest-bean", "bean-rice-soup")[k % 2]) for k in range(20, 30)]
+    got = matching.best_slugs(spark.createDataFrame(asked, "pid long, name string"), spark.createDataFrame(entries, "entry long, slug string"))
+    assert sorted((r.pid, r.entry) for r in got.collect()) == [(k, 20 + k % 2) for k in range(10)]
+
+
 def test_bundles_equal_a_plain_loop(spark):
     rng = random.Random(7)
     words = ["pasta sauce", "penne", "tortilla", "salsa", "cheddar", "curry", "rice", "naan", "pizza base", "soup", "chocolate", "cup a soup", "ramen", "soy sauce"]
