@@ -175,6 +175,24 @@ def test_slugs_equal_all_pairs(spark):
     assert want and {r.pid: (r.entry, r.overlap) for r in got.collect()} == want
 
 
+def test_fold_looks_up_rare_characters_alone(spark):
+    """Every character of the basic plane as NFKD has it; long ASCII beside one of several letters costs no look-ups."""
+    import time
+
+    def plain(c):
+        to = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        return to if not to or any(x.isascii() for x in to) else c
+
+    chars = [chr(c) for c in range(1, 65536) if not 0xD800 <= c < 0xE000]
+    rows = [(i, "a" + "b".join(chars[i : i + 64])) for i in range(0, len(chars), 64)]
+    got = {r.i: r.t for r in spark.createDataFrame(rows, "i int, t string").select("i", scalars.fold("t").alias("t")).collect()}
+    assert got == {i: "a" + "b".join(map(plain, chars[i : i + 64])) for i, _ in rows}
+    long = spark.range(2000).select(F.concat(F.repeat(F.lit("abcdefghij"), 200), F.lit("™"), F.col("id").cast("string")).alias("t"))
+    start = time.perf_counter()
+    assert long.where(scalars.fold("t").contains("jTM")).count() == 2000
+    assert time.perf_counter() - start < 10
+
+
 def test_copies_are_searched_once(spark, monkeypatch):
     """Catalogues of many copies: the pairs of classes are as few as those of one copy, all pairs and matches come out."""
     monkeypatch.setattr(matching, "LISTED", 3)
