@@ -132,10 +132,10 @@ def menu(offers: DataFrame, bundles=BUNDLES, limit: int = MENU) -> DataFrame:
 
 def _entries(value: Column, n: int, size: int) -> Column:
     """The first n entries of a list as texts of that size; the characters of a text, the names in an object, none of nothing."""
-    each = F.when(variants.is_list(value), F.transform(variants.elements(value), variants.written))
+    each = F.when(variants.is_list(value), F.transform(F.slice(variants.elements(value), 1, n), variants.written))
     each = each.when(variants.is_text(value), F.filter(F.split(variants.text(value), ""), lambda c: c != ""))
     each = each.when(variants.is_object(value), F.map_keys(F.try_variant_get(value, "$", "map<string, variant>")))
-    return F.slice(F.transform(F.coalesce(each, F.array().cast("array<string>")), lambda x: F.left(scalars.strip(x), F.lit(size))), 1, n)
+    return F.transform(F.slice(F.coalesce(each, F.array().cast("array<string>")), 1, n), lambda x: F.left(scalars.strip(x), F.lit(size)))
 
 
 def drafted(replies: DataFrame, body: str = "body") -> DataFrame:

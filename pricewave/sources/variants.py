@@ -44,11 +44,11 @@ def is_text(value: Column) -> Column:
 
 
 def is_object(value: Column) -> Column:
-    return F.coalesce(F.startswith(kind(value), F.lit("OBJECT")), F.lit(False))
+    return F.try_variant_get(value, "$", "map<string, variant>").isNotNull()  # without the kinds of all that it holds
 
 
 def is_list(value: Column) -> Column:
-    return F.coalesce(F.startswith(kind(value), F.lit("ARRAY")), F.lit(False))
+    return elements(value).isNotNull()
 
 
 def is_whole(value: Column) -> Column:

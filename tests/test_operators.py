@@ -193,6 +193,25 @@ def test_fold_looks_up_rare_characters_alone(spark):
     assert time.perf_counter() - start < 10
 
 
+def test_strip_and_kinds(spark):
+    """White space of any script goes at both ends alone; kinds of values by their outermost form, and long lists are read no further than wanted."""
+    import time
+
+    from pricewave.sources import variants
+
+    space = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+    rows = [(i, f"{chr(i)}a{chr(i)} b{chr(i)}") for i in range(1, 65536) if not 0xD800 <= i < 0xE000]
+    got = spark.createDataFrame(rows, "i int, t string").select("i", scalars.strip("t").alias("t")).collect()
+    assert {r.i for r in got if r.t == f"a{chr(r.i)} b"} == set(map(ord, space)) and all(r.t == f"a{chr(r.i)} b" or r.t == f"{chr(r.i)}a{chr(r.i)} b{chr(r.i)}" for r in got)
+    values = spark.createDataFrame([(x,) for x in ("{}", '{"a": null}', "[]", "[1, {}]", "null", "1", '"x"', "true")], "t string").select("t", variants.parsed("t").alias("v"))
+    kinds = {r.t: (r.o, r.l) for r in values.select("t", variants.is_object(F.col("v")).alias("o"), variants.is_list(F.col("v")).alias("l")).collect()}
+    assert {t for t, k in kinds.items() if k[0]} == {"{}", '{"a": null}'} and {t for t, k in kinds.items() if k[1]} == {"[]", "[1, {}]"} and not kinds["null"][0]
+    wide = spark.range(200).select(F.col("id").alias("reply"), F.concat(F.lit('{"recipes": [{"title": "t", "pantry": ["'), F.array_join(F.array_repeat(F.repeat(F.lit("a "), 2000), 60), '","'), F.lit('"]}]}')).alias("body"))
+    start = time.perf_counter()
+    assert bundles.drafted(wide).where("pantry[5] = trim(left(pantry[5], 40))").count() + bundles.drafted(wide).where("size(pantry) = 6").count() >= 200
+    assert time.perf_counter() - start < 20
+
+
 def test_copies_are_searched_once(spark, monkeypatch):
     """Catalogues of many copies: the pairs of classes are as few as those of one copy, all pairs and matches come out."""
     monkeypatch.setattr(matching, "LISTED", 3)
