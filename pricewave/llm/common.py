@@ -91,22 +91,27 @@ def components(edges: DataFrame) -> DataFrame:
 
     Returns (node, root), root being the least node of the component; nodes
     without an edge to another node are absent. Alternates the large-star and
-    small-star steps until the edges no longer change: every round is two
+    small-star steps until each node with an edge to a lesser one has no other
+    edge, which neither step would change: every round is two
     grouped minima and two joins, and a node with many neighbours is never
     gathered in one row. Each round is checkpointed, and the minima are written
-    before their joins, so that Spark can split the edges of a star's centre.
+    before their joins, so that Spark can split the edges of a star's centre;
+    so is the first join, which both the second minima and the second join read.
     """
     pair = lambda a, b: F.struct(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     flat = lambda df: df.where("u <> v").select(pair(F.col("u"), F.col("v")).alias("e")).select("e.u", "e.v").distinct()
-    now, seen = cut(flat(edges)), None
-    while True:
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    now = cut(flat(edges))
+    while not _is_stars(now):
+        both = now.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.u", "e.v")
         low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = cut(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = cut(flat(small.union(least.select("u", F.col("m").alias("v")))))
-        mark = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            return new.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        now, seen = new, mark
+        now = cut(flat(small.union(least.select("u", F.col("m").alias("v")))))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether each u of the edges (u, v) is in one edge only."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))).alias("e"))
+    return ends.select("e.*").groupBy("node").agg(F.max("up").alias("up"), F.count("*").alias("n")).where("up = 1 AND n > 1").isEmpty()

@@ -121,15 +121,17 @@ def _node(h: np.ndarray) -> int:
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, hs): the shingle sets of nodes (node, low), computed anew from the rows that low names."""
-    out = pa.schema([("node", pa.int64()), ("hs", pa.list_(pa.int64()))])
+    """(node, low_bytes, hs): the shingle sets of nodes (node, low, low_bytes), computed anew from the rows that low names."""
+    out = pa.schema([("node", pa.int64()), ("low_bytes", pa.binary()), ("hs", pa.list_(pa.int64()))])
 
     def make(batch):
         found = [shingle_set(t.as_buffer().to_pybytes()) for t in batch.column("text")]
-        return [[_node(h) for h in found], [h.view(np.int64) for h in found]]
+        own = [i for i, (h, node) in enumerate(zip(found, batch.column("node").to_pylist())) if _node(h) == node]
+        return [*(batch.column(c).take(pa.array(own, pa.int64())) for c in ("node", "low_bytes")), [found[i].view(np.int64) for i in own]]
 
-    rows = rows_in(keyed(docs), nodes.select("low.doc_id", "low.row"))
-    return rows.mapInArrow(arrow_rows(make, out), "node long, hs array<long>").join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    rows, named = keyed(docs), nodes.select("node", "low_bytes", F.col("low.doc_id").alias("_id"), F.col("low.row").alias("_row"))
+    rows = rows.join(named, rows["doc_id"].eqNullSafe(named["_id"]) & (rows["row"] == named["_row"])).select("node", "low_bytes", "text")
+    return rows.mapInArrow(arrow_rows(make, out), "node long, low_bytes binary, hs array<long>").dropDuplicates(["node"])
 
 
 def bit_pairs(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -210,11 +212,11 @@ def _keys(part: int, key, flips: list[int]):
 
 
 def links(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
-    """(u, v) edges that connect exactly the nodes linked by at most max_bits differing bits of fp.
+    """(u, v) edges, some more than once, that connect exactly the nodes linked by at most max_bits differing bits of fp.
 
     nodes is (node, fp), node a unique long. Ordinary buckets
-    give each link once; hot ones are compared in cells of bounded blocks, of
-    which each gives a spanning forest of its links.
+    give each of their links; hot ones are compared in cells of bounded blocks,
+    of which each gives a spanning forest of its links.
     """
     n, both = bit_pairs(nodes)
     index, probe, limits = [], [], []
@@ -230,7 +232,7 @@ def links(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
     any_hot = not hot.isEmpty()
     near = F.bit_count(F.col("u_fp").bitwiseXOR(F.col("v_fp"))) <= max_bits
     cool = lambda df: df.join(hot.select("part", "key"), ["part", "key"], "left_anti") if any_hot else df
-    found = cool(index).join(cool(probe), ["part", "key"]).where((F.col("u") < F.col("v")) & near).select("u", "v").distinct()
+    found = cool(index).join(cool(probe), ["part", "key"]).where((F.col("u") < F.col("v")) & near).select("u", "v")
     if not any_hot:
         return found
     # Of a hot bucket, block b of the index rows meets block c of the probes.
@@ -241,7 +243,7 @@ def links(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
     left = left.select("part", "key", block("u").alias("b"), every.alias("c"), F.col("u").alias("node"), F.col("u_fp").alias("fp"), F.lit(True).alias("indexed"))
     right = right.select("part", "key", every.alias("b"), block("v").alias("c"), F.col("v").alias("node"), F.col("v_fp").alias("fp"), F.lit(False).alias("indexed"))
     forest = left.union(right).groupBy("part", "key", "b", "c").applyInPandas(lambda cell: _forest(cell, max_bits), "u long, v long")
-    return found.union(forest).distinct()
+    return found.union(forest)
 
 
 def _forest(cell: pd.DataFrame, max_bits: int) -> pd.DataFrame:
@@ -287,15 +289,15 @@ def near_dups(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame
 
 
 def alike(docs: DataFrame, classes: DataFrame, least: float, max_bits: int = 4) -> DataFrame:
-    """(u, v) edges that connect the nodes of classes (node, low, n, fp, low_bytes, bands) whose shingle sets have a Jaccard similarity of least or more.
+    """(u, v) edges, some more than once, that connect the nodes of classes (node, low, n, fp, low_bytes, bands) whose shingle sets have a Jaccard similarity of least or more.
 
-    First come the links of the fingerprints, at most max_bits apart. The nodes
-    that they leave apart are candidates where they agree in a band. Pairs of
+    Candidates are the links of the fingerprints, at most max_bits apart, and,
+    beyond these, nodes that agree in a band; each pair is decided once. Pairs of
     ordinary buckets are all decided. In a hot bucket each node is decided
     against the least one; only those that are not linked to it meet the whole
     bucket, in cells of bounded blocks.
     """
-    close = cut(links(classes.where("n > 0").select("node", "fp"), max_bits))
+    close = links(classes.where("n > 0").select("node", "fp"), max_bits).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     index = classes.select("node", "n", F.posexplode("bands").alias("part", "key"))
     counts = index.groupBy("part", "key").agg(F.count("*").alias("count"), F.sum("n").alias("total"), F.min("node").alias("pivot")).where("count > 1")
     counts = cut(counts)  # the join can then split a hot bucket
@@ -303,22 +305,15 @@ def alike(docs: DataFrame, classes: DataFrame, least: float, max_bits: int = 4)
     is_hot = F.col("count") > HOT_BUCKET + HOT_FACTOR
     cool, hot = held.where(~is_hot), held.where(is_hot)
     side = lambda df, name: df.select("part", "key", F.col("node").alias(name), F.col("n").alias(name + "_n"))
-    pairs = side(cool, "u").join(side(cool, "v"), ["part", "key"]).where("u < v").where(F.least("u_n", "v_n") >= least * F.greatest("u_n", "v_n")).select("u", "v").distinct()
+    pairs = side(cool, "u").join(side(cool, "v"), ["part", "key"]).where("u < v").where(F.least("u_n", "v_n") >= least * F.greatest("u_n", "v_n")).select("u", "v")
     stars = hot.where("node <> pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v"))
-    pairs = cut(pairs.union(stars).distinct())
-    met = pairs.union(close)
-    ends = met.select(F.col("u").alias("node")).union(met.select("v")).distinct()
-    sets = cut(sets_of(docs, classes.join(ends, "node", "left_semi").select("node", "low")))
+    pairs = cut(close.union(pairs).union(stars).distinct())
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    sets = cut(sets_of(docs, classes.join(ends, "node", "left_semi")))
     whole = lambda name: sets.select(F.col("node").alias(name), F.col("hs").alias(name + "_hs"))
     both = F.size(F.array_intersect("u_hs", "v_hs"))
-    linked_of = lambda p: p.join(whole("u"), "u").join(whole("v"), "v").where(both >= least * (F.size("u_hs") + F.size("v_hs") - both)).select("u", "v")
-    near = cut(linked_of(close))
-    roots = components(near)
-    root = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(name + "_root"))
-    pairs = cut(pairs.join(root("u"), "u", "left").join(root("v"), "v", "left").select("u", "v", F.coalesce(F.col("u_root") == F.col("v_root"), F.lit(False)).alias("one")))
-    linked = cut(near.union(linked_of(pairs.where("NOT one"))))
-    joined = linked.union(pairs.where("one").select("u", "v")).select(F.col("u").alias("pivot"), F.col("v").alias("node"))
-    rest = cut(hot.where("node <> pivot").join(joined, ["pivot", "node"], "left_anti"))
+    linked = cut(pairs.join(whole("u"), "u").join(whole("v"), "v").where(both >= least * (F.size("u_hs") + F.size("v_hs") - both)).select("u", "v"))
+    rest = cut(hot.where("node <> pivot").join(linked.select(F.col("u").alias("pivot"), F.col("v").alias("node")), ["pivot", "node"], "left_anti"))
     if rest.isEmpty():
         return linked
     # Block b of the rest of a bucket meets block c of the whole bucket.
@@ -326,10 +321,10 @@ def alike(docs: DataFrame, classes: DataFrame, least: float, max_bits: int = 4)
     over = cut(rest.groupBy("part", "key").agg(F.count("*").alias("few"), F.sum("n").alias("few_total")))
     home = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    sized = lambda df: df.join(over, ["part", "key"]).withColumn("nb", blocks("few", "few_total")).withColumn("nc", blocks("count", "total")).join(sets, "node").join(classes.select("node", "low_bytes"), "node")
+    sized = lambda df: df.join(over, ["part", "key"]).withColumn("nb", blocks("few", "few_total")).withColumn("nc", blocks("count", "total")).join(sets, "node")
     left = sized(rest).select("part", "key", home("nb").alias("b"), every("nc").alias("c"), "node", "low_bytes", "hs", F.lit(True).alias("asked"))
     right = sized(hot).select("part", "key", every("nb").alias("b"), home("nc").alias("c"), "node", "low_bytes", "hs", F.lit(False).alias("asked"))
-    return linked.union(left.union(right).groupBy("part", "key", "b", "c").applyInPandas(lambda cell: _spanning(cell, least), "u long, v long")).distinct()
+    return linked.union(left.union(right).groupBy("part", "key", "b", "c").applyInPandas(lambda cell: _spanning(cell, least), "u long, v long"))
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricewave.llm import exact_dedup, line_dedup, simhash_neardup, substring_dedup
+from pricewave.llm import common, exact_dedup, line_dedup, simhash_neardup, substring_dedup
 
 BLANK = " \t\n\x0b\f\r"
 
@@ -150,6 +150,34 @@ def test_near_stage_searches_by_simhash(spark):
     assert len(want) >= 8 and {frozenset((name[r.u], name[r.v])) for r in simhash_neardup.alike(frame, classes, 0.8).collect()} == want
 
 
+def counted_cuts(monkeypatch):
+    """A list that gets an item for each table that is written in the shared folder."""
+    written, real = [], common.cut
+    for module in (common, simhash_neardup):
+        monkeypatch.setattr(module, "cut", lambda df: written.append(1) or real(df))
+    return written
+
+
+def test_near_stage_writes_few_tables(spark, monkeypatch):
+    """Each pair is decided once, whichever search found it, and components are sought once."""
+    written = counted_cuts(monkeypatch)
+    rng, docs = random.Random(13), []
+    for k in range(10):
+        w = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(200)]
+        docs += [w, ["other" if i == 7 else x for i, x in enumerate(w)]]
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    assert {r.doc_id for r in simhash_neardup.keep_one(frame).collect()} == set(range(0, 20, 2))
+    assert len(written) <= 12
+
+
+def test_components_take_no_round_that_changes_nothing(spark, monkeypatch):
+    written = counted_cuts(monkeypatch)
+    found = lambda edges: {r.node: r.root for r in common.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert found([(1, k) for k in range(2, 9)] + [(30, 20), (20, 30), (40, 40)]) == {k: 1 for k in range(2, 9)} | {30: 20}
+    assert len(written) == 1
+    assert found([(k, k + 1) for k in range(9)]) == {k: 0 for k in range(1, 10)}
+
+
 def test_exact(corpus):
     text = {i: re.sub("[" + BLANK + "]+", " ", t) for i, t in texts_of(corpus).items()}
     groups = defaultdict(list)
