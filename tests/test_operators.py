@@ -225,6 +225,31 @@ def test_copies_are_searched_once(spark, monkeypatch):
     assert {(r.a, r.b): round(r.score, 9) for r in matching.matches(*sides(many)).collect()} == plain_matches(many)
 
 
+def _match_sides(spark, rows):
+    return [matching.items(spark.createDataFrame(rows, "pid long, name string, cents long")).where(f"pid % 2 = {r}") for r in (0, 1)]
+
+
+def test_matches_of_equal_words_and_far_prices(spark):
+    """An item whose equals are turned away by price or size is matched to others, as over all pairs; prices that are fair to all make no classes."""
+    rng = random.Random(9)
+    names = [" ".join([rng.choice(["acme", "zest"]), *rng.sample(["rice", "soup", "bean", "red", "lemon", "lime"], 2), *rng.choice([["500g"], ["400g"], []])]) for _ in range(14)]
+    rows = [(i, rng.choice(names[5 * (i % 2) :][:9]), rng.choice([None, 0, 100, 120, 170, 400])) for i in range(90)]
+    got = {(r.a, r.b): round(r.score, 9) for r in matching.matches(*_match_sides(spark, rows)).collect()}
+    assert len(got) > 5 and any(score < 1 for score in got.values()) and got == plain_matches(rows)
+    alike = [(i, "acme rice 500g", 100 + i) for i in range(20)]
+    assert [(r.a, r.b) for r in matching.gated_matches(*_match_sides(spark, alike)).collect()] == [(0, 1)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_items_are_not_broadcast(spark):
+    """Written tables are small as files and large as rows: none goes through the driver."""
+    rows = [(i, f"acme{i % 3} rice bean {100 + i % 2}g", 100 + i) for i in range(8)]
+    assert "SortMergeJoin" in (plan := _plan(matching.gated_matches(*_match_sides(spark, rows)))) and "BroadcastHashJoin" not in plan
+
+
 def test_copies_of_slugs(spark):
     asked = [(k, ("zest bean tea", "bean rice")[k % 2]) for k in range(10)]
     entries = [(k, ("zest-bean", "bean-rice-soup")[k % 2]) for k in range(20, 30)]
