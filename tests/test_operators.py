@@ -250,6 +250,14 @@ def test_items_are_not_broadcast(spark):
     assert "SortMergeJoin" in (plan := _plan(matching.gated_matches(*_match_sides(spark, rows)))) and "BroadcastHashJoin" not in plan
 
 
+def test_pairs_are_not_shuffled(spark):
+    """Candidates come out of the join that makes them: nothing is dealt out or counted after it, and no list is broadcast."""
+    rows = [(i, f"acme{i % 3} rice bean {100 + i % 2}g", 100 + i) for i in range(8)]
+    plan = _plan(matching.candidates(*_match_sides(spark, rows)))
+    above = plan[: plan.index("SortMergeJoin")]
+    assert "Exchange" not in above and "Aggregate" not in above and "BroadcastHashJoin" not in plan
+
+
 def test_copies_of_slugs(spark):
     asked = [(k, ("zest bean tea", "bean rice")[k % 2]) for k in range(10)]
     entries = [(k, ("zest-bean", "bean-rice-soup")[k % 2]) for k in range(20, 30)]
